@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passagework.functions.templates import fill, template_fields
+from passagework.functions.text import ANY_SPACE
 from passagework.operators.generation import Generator, generate, generate_named
 
 LoadGenerator = Callable[[], Generator]
@@ -52,7 +53,7 @@ def parallel(df: DataFrame, **results: Column | Mapping[str, Column]) -> DataFra
 
 def normalise_label(label: Column) -> Column:
     """Lower case, without white space at either end."""
-    return F.trim(F.lower(label))
+    return F.regexp_replace(F.lower(label), f"^{ANY_SPACE}+|{ANY_SPACE}+$", "")
 
 
 def route(label: Column, branches: Mapping[str, Column], default: Column) -> Column:

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from passagework.functions.templates import chat_markup, strip_echo
 from passagework.schemas import GENERATION_REQUEST, check_columns
 
 # A request has the keys prompt, system_prompt, temperature and max_new_tokens.
@@ -67,6 +68,19 @@ def generate(
     return requests.withColumn(out_col, complete.asNondeterministic()(fields)).select(*df.columns, out_col)
 
 
+def predict(
+    df: DataFrame, load_generator: Callable[[], Generator], out_col: str = "completion", max_call: int = MAX_CALL
+) -> DataFrame:
+    """``generate`` for a bare model: wraps system text and prompt in chat markup, drops the echoed prompt."""
+    marked = df.withColumn("_asked", F.col("prompt")).withColumn(
+        "prompt", F.when(F.col("prompt").isNotNull(), chat_markup(F.col("system_prompt"), F.col("prompt")))
+    )
+    answered = generate(marked, load_generator, "_output", max_call)
+    return answered.withColumn(out_col, strip_echo(F.col("_output"), F.col("prompt"))).withColumn(
+        "prompt", F.col("_asked")
+    ).select(*df.columns, out_col)
+
+
 def generate_named(
     df: DataFrame,
     prompts: dict[str, Column],

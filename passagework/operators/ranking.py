@@ -163,7 +163,7 @@ def _grid(
     shape = blocks(index, size, "n_rows").join(blocks(queries, size + F.lit(hit_bytes), "n_cols"), "match")
 
     def place(df: DataFrame, key: str) -> DataFrame:
-        return join_lookup(df, shape, ["match"], salt_by=F.col(key))
+        return join_lookup(df, shape, ["match"], salt_by=key)
 
     def every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from passagework.functions.text import clean_text
 from passagework.functions.vectors import norm
 from passagework.operators.ranking import BLOCK_BYTES, best_matches
-from passagework.session import join_lookup, scratch_dir, write_once
+from passagework.session import scratch_dir, write_once
 
 # Scores are rounded to this many digits before ranking, so that ties do not depend on summation order.
 SCORE_DIGITS = 6
@@ -237,7 +237,7 @@ def share_scored(listed: DataFrame, probes: DataFrame) -> DataFrame:
     """Share of all query-vector pairs that an approximate search scores, one row ``share_scored``."""
     sizes = listed.groupBy("list_id").agg(F.count("*").alias("n"))
     asked = probes.groupBy("list_id").agg(F.count("*").alias("asked"))
-    scored = join_lookup(sizes, asked, ["list_id"], "left").agg(
+    scored = sizes.join(asked, "list_id", "left").agg(
         F.sum(F.col("n") * F.coalesce("asked", F.lit(0))).alias("scored"), F.sum("n").alias("rows")
     )
     queries = probes.agg(F.count_distinct("query_id").alias("queries"))

@@ -7,14 +7,14 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Row limit below which a table of a few plain columns is sent to every executor.
 SMALL_TABLE_ROWS = 200_000
 
-# Copies of the smaller side in a salted join.
-SALTS = 32
+# Rows per key above which a key is spread over several tasks.
+HOT_ROWS = 1_000_000
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -45,20 +45,25 @@ def is_small(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> bool:
 
 
 def join_lookup(
-    big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", salt_by: Column | None = None,
-    max_rows: int = SMALL_TABLE_ROWS,
+    big: DataFrame, lookup: DataFrame, on: list[str], salt_by: str, how: str = "inner",
+    small_rows: int = SMALL_TABLE_ROWS, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join a big table with a lookup that has one row per key, whatever share of ``big`` one key holds.
+    """Join a big table with a lookup of one row per key, whatever share of ``big`` one key holds.
 
-    A lookup of checked size is broadcast. A larger one is copied once per salt and the big side is spread
-    over the salts by ``salt_by`` (a column that varies within a key), so a hot key goes to many tasks.
+    A lookup of checked size is broadcast, and ``big`` is not shuffled. Otherwise keys with more than ``hot_rows``
+    rows are cut into pieces by the hash of ``salt_by``, a column that varies within a key, and only their lookup
+    rows are copied. There are at most (rows of ``big``) / ``hot_rows`` such keys, so their list is broadcast.
     """
-    if is_small(small, max_rows):
-        return big.join(F.broadcast(small), on, how)
-    spread = F.pmod(F.xxhash64(salt_by if salt_by is not None else F.monotonically_increasing_id()), F.lit(SALTS))
-    salted = big.withColumn("_salt", spread.cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    if is_small(lookup, small_rows):
+        return big.join(F.broadcast(lookup), on, how)
+    counts = big.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = F.broadcast(counts.select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces")))
+    piece = F.pmod(F.xxhash64(salt_by), F.coalesce("_pieces", F.lit(1))).cast("int")
+    cut = big.join(hot, on, "left").withColumn("_piece", piece).drop("_pieces")
+    copies = lookup.join(hot, on, "left").withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))
+    ).drop("_pieces")
+    return cut.join(copies, [*on, "_piece"], how).drop("_piece")
 
 
 @contextmanager
