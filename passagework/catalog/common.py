@@ -108,9 +108,9 @@ chunks AS (
 def sql_vectors(name: str, base: str) -> str:
     """CTEs that end in ``<name>(id, dim, v)``, the stand-in embedding of a query with ``id, text``."""
     return f"""
-{name}_w AS (SELECT id, unnest(string_split({sql_clean('text')}, ' ')) AS w FROM ({base})),
+{name}_w AS (SELECT id, unnest(regexp_extract_all(text, '\\S+')) AS w FROM ({base})),
 {name} AS (
-  SELECT id, left(md5(lower(w)), 1) AS dim, count(*)::DOUBLE AS v FROM {name}_w WHERE w <> '' GROUP BY ALL)"""
+  SELECT id, left(md5(lower(w)), 1) AS dim, count(*)::DOUBLE AS v FROM {name}_w GROUP BY ALL)"""
 
 
 def sql_nearest(index: str, queries: str, k: int = 3) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from passagework.functions.vectors import digit_embedding, load_digit_embedder
 from passagework.operators.index import build_index, read_index, refresh_index
 from passagework.operators.chunking import chunk_rows
 from passagework.operators.search import (
-    approximate_search, assign_lists, keyword_search, list_centres, probe_lists, share_scored, similarity_search,
+    approximate_search, assign_lists, keyword_search, probe_lists, share_scored, similarity_search,
     train_lists,
 )
 from passagework.plans.retrieval import embedded_chunks, nearest_chunks
@@ -60,27 +61,27 @@ def refreshed_index(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("id", F.md5("content").alias("content_md5"), size.cast("bigint").alias("n_tokens"))
 
 
-def _lists(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _lists(spark: SparkSession, folder: str) -> tuple[DataFrame, KMeansModel, DataFrame]:
     index, queries = _vectors(spark, folder)
     model = train_lists(index, N_LISTS)
-    return assign_lists(index, model), list_centres(index, model), queries
+    return assign_lists(index, model), model, queries
 
 
 def approximate(n_probe: int):
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        listed, centres, queries = _lists(spark, folder)
-        return plain(approximate_search(listed, centres, queries, 3, n_probe))
+        listed, model, queries = _lists(spark, folder)
+        return plain(approximate_search(listed, model, queries, 3, n_probe))
 
     return run
 
 
 def approximate_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Share of the exact hits that the approximate search finds, and share of pairs it scores."""
-    listed, centres, queries = _lists(spark, folder)
+    listed, model, queries = _lists(spark, folder)
     exact = similarity_search(listed, queries, 3).select("query_id", "id")
-    found = approximate_search(listed, centres, queries, 3, N_PROBE).select("query_id", "id", F.lit(1).alias("hit"))
+    found = approximate_search(listed, model, queries, 3, N_PROBE).select("query_id", "id", F.lit(1).alias("hit"))
     recall = exact.join(found, ["query_id", "id"], "left").agg(F.avg(F.coalesce("hit", F.lit(0))).alias("recall"))
-    return recall.join(F.broadcast(share_scored(listed, probe_lists(queries, centres, N_PROBE))))
+    return recall.join(F.broadcast(share_scored(listed, probe_lists(queries, model, N_PROBE))))
 
 
 def keyword(spark: SparkSession, folder: str) -> DataFrame:

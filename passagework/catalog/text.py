@@ -63,8 +63,8 @@ def _dimensions(df: DataFrame, key: str, embedding: str | F.Column = "embedding"
 
 
 def embed_udf(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = _documents(spark, folder).select("doc_id", clean_text(F.col("text")).alias("text"))
-    return _dimensions(embed(cleaned, "text", load_digit_embedder), "doc_id")
+    documents = _documents(spark, folder).select("doc_id", "text")
+    return _dimensions(embed(documents, "text", load_digit_embedder), "doc_id")
 
 
 def embed_native(spark: SparkSession, folder: str) -> DataFrame:

@@ -76,7 +76,7 @@ def strip_html(html: Column) -> Column:
 
 def words(cleaned: Column) -> Column:
     """Tokens of a cleaned text: its runs of non-blank characters. Empty for an empty text."""
-    return F.filter(F.split(cleaned, " "), lambda w: w != "")
+    return F.array_remove(F.split(cleaned, " "), "")
 
 
 def word_count(cleaned: Column) -> Column:
@@ -87,7 +87,7 @@ def word_count(cleaned: Column) -> Column:
 
 def sentences(cleaned: Column) -> Column:
     """Sentences of a cleaned text: a sentence ends at ``. ! ?`` followed by a blank."""
-    return F.filter(F.split(cleaned, "(?<=[.!?]) "), lambda s: s != "")
+    return F.array_remove(F.split(cleaned, "(?<=[.!?]) "), "")
 
 
 def stable_id(*parts: Column) -> Column:

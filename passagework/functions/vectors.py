@@ -9,7 +9,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from passagework.functions.text import bind, clean_text, words
+from passagework.functions.text import ANY_SPACE, bind
 
 # One dimension of the stand-in embedder per hex digit.
 HEX_DIGITS = "0123456789abcdef"
@@ -23,9 +23,11 @@ def norm(vector: Column) -> Column:
 def digit_embedding(text: Column) -> Column:
     """Stand-in for an embedding model, as a native expression: ARRAY<FLOAT> of 16 counts.
 
-    The dimension of a token is the first hex digit of the MD5 of its lower-case form.
+    Tokens are runs of characters that are not white space; the dimension of a token is the first hex digit of
+    the MD5 of its lower-case form.
     """
-    digits = F.array_join(F.transform(words(clean_text(text)), lambda w: F.left(F.md5(F.lower(w)), F.lit(1))), "")
+    tokens = F.array_remove(F.split(text, f"{ANY_SPACE}+"), "")
+    digits = F.array_join(F.transform(tokens, lambda w: F.left(F.md5(F.lower(w)), F.lit(1))), "")
     return bind(
         digits,
         lambda d: F.array(*[
@@ -35,7 +37,7 @@ def digit_embedding(text: Column) -> Column:
 
 
 def load_digit_embedder() -> Callable[[list[str]], list[list[float]]]:
-    """The same embedder as a model function from texts to vectors. Expects cleaned texts."""
+    """The same embedder as a model function from texts to vectors."""
 
     @lru_cache(maxsize=100_000)
     def dimension(token: str) -> int:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from passagework.functions.templates import fill
 from passagework.functions.text import ANY_SPACE
 from passagework.operators.chunking import CONTEXT_TOKENS
-from passagework.session import HOT_ROWS, join_lookup
+from passagework.session import HOT_ROWS, join_lookup, write_once
 
 # Pieces that a very long conversation is cut into while its first messages are found.
 MEMORY_PIECES = 1024
@@ -59,7 +59,7 @@ def fold(messages: DataFrame, max_tokens: int = CONTEXT_TOKENS) -> DataFrame:
     ``messages`` is NULL above ``max_tokens``. A message counts at least one token, so no collected group has more
     than ``max_tokens`` messages; longer conversations leave before the shuffle that gathers the texts.
     """
-    sizes = conversation_sizes(messages).drop("last_turn")
+    sizes = write_once(conversation_sizes(messages).drop("last_turn"))
     over = sizes.filter(F.col("n_tokens") > max_tokens).select("conv_id")
     fitting = join_lookup(messages, over, ["conv_id"], salt_by="turn", how="left_anti")
     folded = fitting.groupBy("conv_id").agg(
@@ -134,7 +134,7 @@ def with_memory(messages: DataFrame, max_tokens: int = CONTEXT_TOKENS, hot_rows:
     earlier = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
     memory = F.collect_list(F.struct("turn", "role", "text")).over(earlier)
 
-    long = conversation_sizes(messages).filter(F.col("n_tokens") > max_tokens)
+    long = write_once(conversation_sizes(messages).filter(F.col("n_tokens") > max_tokens))
     if long.isEmpty():
         return messages.withColumn("memory", memory)
 

@@ -40,23 +40,23 @@ def embed(
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load_embedder()
         for texts in batches:
-            out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-            present = texts[texts.notna()]
+            out: list[list[float] | None] = [None] * len(texts)
+            present = [i for i, known in enumerate(texts.notna()) if known]
             for start in range(0, len(present), max_call):
-                call = present.iloc[start:start + max_call]
+                rows = present[start:start + max_call]
                 try:
-                    got = list(model(call.tolist()))
+                    got = list(model([texts.iat[i] for i in rows]))
                 except Exception:
                     if on_error == "raise":
                         raise
                     continue
-                if len(got) != len(call):
+                if len(got) != len(rows):
                     raise ValueError(
-                        f"the model returned {len(got)} vectors for {len(call)} texts (call at row {start})"
+                        f"the model returned {len(got)} vectors for {len(rows)} texts (call at row {start})"
                     )
-                for at, vector in zip(call.index, got):
-                    out.at[at] = vector
-            yield out
+                for i, vector in zip(rows, got):
+                    out[i] = vector
+            yield pd.Series(out, dtype=object)
 
     return df.withColumn(out_col, vectors.asNondeterministic()(F.col(text_col)))
 

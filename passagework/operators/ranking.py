@@ -41,9 +41,6 @@ class Scorer(Protocol):
     def rows(self, features: pa.Array) -> Any:
         """Prepare the features of one batch of index rows."""
 
-    def width(self, queries: Any) -> int:
-        """Cells per index row, queries aside."""
-
     def scores(self, rows: Any, row_at: np.ndarray, queries: Any, query_at: np.ndarray) -> np.ndarray:
         """Score matrix of the given rows and queries. A pair that must not be a hit gets -inf."""
 
@@ -88,7 +85,7 @@ class _Block:
     """A prepared block of queries together with their best hits."""
 
     def __init__(self, table: pa.Table, scorer: Scorer, k: int) -> None:
-        table = table.combine_chunks()
+        table = table.filter(pc.is_valid(table.column("feature"))).combine_chunks()
         self.ids = table.column("query_id").to_numpy()
         self.scorer = scorer
         self.features = scorer.queries(_one(table.column("feature")))
@@ -97,26 +94,25 @@ class _Block:
         if "match" in table.column_names:
             self.by_match = _positions(_one(table.column("match")))
 
-    def add(self, ids: pa.Array, features: pa.Array, match: pa.Array | None) -> None:
-        ids = ids.to_numpy()
-        rows = self.scorer.rows(features)
-        if self.by_match is None or match is None:
+    def add(self, batch: pa.RecordBatch) -> None:
+        """Score a batch of index rows. Rows without feature are left out here: a filter on a computed feature
+        would be pushed down and compute it twice."""
+        batch = batch.filter(pc.is_valid(batch.column("feature")))
+        ids = batch.column("id").to_numpy()
+        rows = self.scorer.rows(batch.column("feature"))
+        if self.by_match is None:
             self._score(ids, rows, np.arange(len(ids)), np.arange(len(self.ids)))
             return
-        for value, row_at in _positions(match).items():
+        for value, row_at in _positions(batch.column("match")).items():
             query_at = self.by_match.get(value)
             if query_at is not None:
                 self._score(ids, rows, row_at, query_at)
 
     def _score(self, ids: np.ndarray, rows: Any, row_at: np.ndarray, query_at: np.ndarray) -> None:
-        step = max(1, MATRIX_CELLS // max(1, self.scorer.width(self.features)))
-        columns = max(1, min(len(query_at), MATRIX_CELLS // max(1, min(step, len(row_at)))))
-        for q in range(0, len(query_at), columns):
-            some = query_at[q:q + columns]
-            height = max(1, min(step, MATRIX_CELLS // len(some)))
-            for r in range(0, len(row_at), height):
-                at = row_at[r:r + height]
-                self.best.offer(ids[at], self.scorer.scores(rows, at, self.features, some), some)
+        height = max(1, MATRIX_CELLS // max(1, len(query_at)))
+        for start in range(0, len(row_at), height):
+            at = row_at[start:start + height]
+            self.best.offer(ids[at], self.scorer.scores(rows, at, self.features, query_at), query_at)
 
 
 def _one(column: pa.ChunkedArray) -> pa.Array:
@@ -137,12 +133,11 @@ def _positions(values: pa.Array) -> dict[Any, np.ndarray]:
 def _scan(index: DataFrame, queries: DataFrame, k: int, scorer: Scorer) -> DataFrame:
     """Score the whole index in place against one broadcast block of queries."""
     block = index.sparkSession.sparkContext.broadcast(queries.toArrow())
-    matched = "match" in index.columns
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = _Block(block.value, scorer, k)
         for batch in batches:
-            state.add(batch.column("id"), batch.column("feature"), batch.column("match") if matched else None)
+            state.add(batch)
         yield from state.best.table(state.ids).to_batches()
 
     return index.mapInArrow(score, HITS)
@@ -158,7 +153,7 @@ def _grid(
 
     def blocks(df: DataFrame, row_bytes: Column, name: str) -> DataFrame:
         needed = F.ceil(F.sum(row_bytes) / F.lit(block_bytes)).cast("int")
-        return df.groupBy("match").agg(F.greatest(needed, F.lit(1)).alias(name))
+        return df.groupBy("match").agg(F.greatest(F.coalesce(needed, F.lit(1)), F.lit(1)).alias(name))
 
     shape = blocks(index, size, "n_rows").join(blocks(queries, size + F.lit(hit_bytes), "n_cols"), "match")
 
@@ -185,7 +180,7 @@ def _grid(
             return BestHits(0, k).table(np.empty(0, dtype=np.int64))
         state = _Block(cols.select(["query_id", "feature"]), scorer, k)
         for batch in rows.combine_chunks().to_batches(max_chunksize=65_536):
-            state.add(batch.column("id"), batch.column("feature"), None)
+            state.add(batch)
         return state.best.table(state.ids)
 
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, HITS)
@@ -193,22 +188,23 @@ def _grid(
 
 def best_matches(
     index: DataFrame, queries: DataFrame, k: int, scorer: Scorer, size: Column, block_bytes: int = BLOCK_BYTES
-) -> DataFrame:
-    """The k best index rows per query: ``query_id, rank, id, score``, ties by lower id.
+) -> tuple[DataFrame, int]:
+    """The k best index rows per query, ``query_id, rank, id, score``, ties by lower id; and an upper bound of hits.
 
     ``index`` has ``id, feature`` and ``queries`` has ``query_id, feature``, both perhaps with ``match``; keys are
-    BIGINT. A query may come with several match values, one row each. ``size`` gives the bytes of a feature.
+    BIGINT. A query may come with several match values, one row each. ``size`` gives the bytes of a feature. Rows
+    with a NULL feature have no hits and are none.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    index = index.filter(F.col("feature").isNotNull())
-    queries = queries.filter(F.col("feature").isNotNull())
     hit_bytes = 16 * k
-    total = queries.agg(F.coalesce(F.sum(size + F.lit(hit_bytes)), F.lit(0)).alias("n")).first()["n"]
-    if total <= block_bytes:
+    measured = queries.agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum(F.coalesce(size, F.lit(0)) + F.lit(hit_bytes)), F.lit(0)).alias("bytes")
+    ).first()
+    if measured["bytes"] <= block_bytes:
         found = _scan(index, queries, k, scorer)
     else:
         found = _grid(index, queries, k, scorer, size, hit_bytes, block_bytes)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "id", "score")
+    return ranked.select("query_id", "rank", "id", "score"), measured["rows"] * k

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 
 from passagework.functions.text import clean_text
 from passagework.functions.vectors import norm
-from passagework.operators.ranking import BLOCK_BYTES, best_matches
-from passagework.session import scratch_dir, write_once
+from passagework.operators.ranking import BLOCK_BYTES, MATRIX_CELLS, best_matches
+from passagework.session import SMALL_TABLE_ROWS, join_lookup, scratch_dir, write_once
 
 # Scores are rounded to this many digits before ranking, so that ties do not depend on summation order.
 SCORE_DIGITS = 6
@@ -24,26 +25,24 @@ SCORE_DIGITS = 6
 class CosineScorer:
     """Cosine of vectors in DOUBLE. Vectors of length zero match nothing."""
 
-    def _matrix(self, features: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def matrix(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return vectors, np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+
+    def rows(self, features: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not len(features):
             return np.empty((0, 0)), np.empty(0)
         lengths = pc.unique(pc.list_value_length(features)).to_pylist()
         if len(lengths) != 1:
             raise ValueError(f"vectors of different lengths: {sorted(lengths)[:5]}")
         flat = features.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        matrix = flat.reshape(len(features), lengths[0])
-        return matrix, np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
-
-    def queries(self, features: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        return self._matrix(features)
-
-    rows = queries
+        return self.matrix(flat.reshape(len(features), lengths[0]))
 
-    def width(self, queries: Any) -> int:
-        return queries[0].shape[1]
+    queries = rows
 
     def scores(self, rows: Any, row_at: np.ndarray, queries: Any, query_at: np.ndarray) -> np.ndarray:
         (x, x_norm), (q, q_norm) = rows, queries
+        if not len(row_at) or not len(query_at):
+            return np.empty((len(row_at), len(query_at)))
         if x.shape[1] != q.shape[1]:
             raise ValueError(f"index vectors have {x.shape[1]} dimensions, query vectors {q.shape[1]}")
         lengths = np.outer(x_norm[row_at], q_norm[query_at])
@@ -55,42 +54,48 @@ class CosineScorer:
 class SharedTokenScorer:
     """Number of distinct tokens that two texts share. Features are cleaned lower-case texts."""
 
+    def _tokens(self, features: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        # large lists: the tokens of one batch may exceed 32-bit offsets
+        lists = pc.split_pattern(features.cast(pa.large_string()), " ")
+        return lists.flatten(), np.repeat(np.arange(len(features)), pc.list_value_length(lists).to_numpy())
+
     def queries(self, features: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, int]:
+        """Vocabulary of the block, and per token the queries that have it."""
         tokens, owner = self._tokens(features)
-        encoded = pc.dictionary_encode(tokens)
-        encoded = encoded.combine_chunks() if isinstance(encoded, pa.ChunkedArray) else encoded
-        return encoded.dictionary, encoded.indices.to_numpy(), owner, len(features)
+        filled = pc.not_equal(tokens, "")
+        tokens, owner = tokens.filter(filled), owner[filled.to_numpy(zero_copy_only=False)]
+        vocabulary = pc.unique(tokens)
+        codes = pc.index_in(tokens, value_set=vocabulary).to_numpy()
+        pairs = np.unique(codes.astype(np.int64) * len(features) + owner)
+        codes, owner = np.divmod(pairs, max(1, len(features)))
+        return vocabulary, np.searchsorted(codes, np.arange(len(vocabulary) + 1)), owner, len(features)
 
     def rows(self, features: pa.Array) -> tuple[pa.Array, np.ndarray]:
         return self._tokens(features)
 
-    def _tokens(self, features: pa.Array) -> tuple[pa.Array, np.ndarray]:
-        # large lists: the tokens of one batch may exceed the 32-bit offsets
-        lists = pc.split_pattern(features.cast(pa.large_string()), " ")
-        return lists.flatten(), np.repeat(np.arange(len(features)), pc.list_value_length(lists).to_numpy())
-
-    def width(self, queries: Any) -> int:
-        return len(queries[0])
-
     def scores(self, rows: Any, row_at: np.ndarray, queries: Any, query_at: np.ndarray) -> np.ndarray:
-        vocabulary, codes, owner, n_queries = queries
-        wanted = np.zeros((len(vocabulary), len(query_at)), dtype=np.float32)
-        column = np.full(n_queries, -1)
-        column[query_at] = np.arange(len(query_at))
-        used = column[owner] >= 0
-        wanted[codes[used], column[owner[used]]] = 1
-
-        tokens, doc = rows
-        first, last = np.searchsorted(doc, [row_at[0], row_at[-1] + 1])
-        at = pc.index_in(tokens.slice(first, last - first), value_set=vocabulary)
-        known = at.is_valid().to_numpy(zero_copy_only=False)
-        line = np.full(int(row_at[-1]) + 1, -1)
-        line[row_at] = np.arange(len(row_at))
-        lines = line[doc[first:last][known]]
-        at = at.drop_null().to_numpy()[lines >= 0]
-        present = np.zeros((len(row_at), len(vocabulary)), dtype=np.float32)
-        present[lines[lines >= 0], at] = 1
-        shared = (present @ wanted).astype(np.float64)
+        (tokens, doc), (vocabulary, first, owner, width) = rows, queries
+        low, high = np.searchsorted(doc, [row_at[0], row_at[-1] + 1])
+        found = pc.index_in(tokens.slice(low, high - low), value_set=vocabulary)
+        known = found.is_valid().to_numpy(zero_copy_only=False)
+        codes, lines = found.drop_null().to_numpy().astype(np.int64), np.searchsorted(row_at, doc[low:high][known])
+        pairs = np.unique(lines * len(vocabulary) + codes)
+        lines, codes = np.divmod(pairs, max(1, len(vocabulary)))
+
+        # every token of a row counts once for each query that has it, a bounded number of counts at a time
+        counts = first[codes + 1] - first[codes]
+        ends = np.cumsum(counts)
+        shared = np.zeros(len(row_at) * width)
+        start = 0
+        while start < len(codes):
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + MATRIX_CELLS, side="right")))
+            n = counts[start:stop]
+            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            cells = np.repeat(lines[start:stop] * width, n) + owner[np.repeat(first[codes[start:stop]], n) + within]
+            shared += np.bincount(cells, minlength=len(shared))
+            start = stop
+        shared = shared.reshape(len(row_at), width)[:, query_at]
         return np.where(shared > 0, shared, -np.inf)
 
 
@@ -102,13 +107,24 @@ def _side(df: DataFrame, key: str, name: str, feature: Column, match_col: str |
     return out.filter(F.col("match").isNotNull()) if match_col else out
 
 
-def _with_columns(hits: DataFrame, index: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
-    """Fetch the wanted columns of the hits only. The scoring scan reads no more than key, vector and match."""
+def _with_columns(
+    found: tuple[DataFrame, int], index: DataFrame, id_col: str, columns: list[str]
+) -> DataFrame:
+    """Fetch the wanted columns of the hits only: the scoring scan reads no more than key, feature and match.
+
+    Few hits are broadcast against the index, which is not shuffled. Many are written, and an index row that a
+    large share of the queries hit is spread over several tasks.
+    """
+    hits, at_most = found
     extra = [c for c in columns if c not in (id_col, "id")]
     if not extra:
         return hits
     details = index.select(F.col(id_col).cast("bigint").alias("id"), *extra)
-    return hits.join(details, "id").select("query_id", "rank", "id", *extra, "score")
+    if at_most <= SMALL_TABLE_ROWS:
+        joined = details.join(F.broadcast(hits), "id")
+    else:
+        joined = join_lookup(write_once(hits), details, ["id"], salt_by="query_id")
+    return joined.select("query_id", "rank", "id", *extra, "score")
 
 
 def similarity_search(
@@ -134,8 +150,8 @@ def similarity_search(
     rows = _side(kept, id_col, "id", F.col(vector_col), match[0] if match else None)
     asked = _side(queries, query_id_col, "query_id", F.col(query_vector_col), match[1] if match else None)
     size = F.size("feature") * F.lit(8)
-    hits = best_matches(rows, asked, k, CosineScorer(), size, block_bytes)
-    return _with_columns(hits, kept, id_col, columns or [])
+    found = best_matches(rows, asked, k, CosineScorer(), size, block_bytes)
+    return _with_columns(found, kept, id_col, columns or [])
 
 
 def keyword_search(
@@ -155,13 +171,12 @@ def keyword_search(
     here the tokens of a block are matched as matrices.
     """
     def tokens(name: str) -> Column:
-        cleaned = F.lower(clean_text(F.col(name)))
-        return F.when(cleaned != "", cleaned)
+        return F.lower(clean_text(F.col(name)))
 
     rows = _side(index, id_col, "id", tokens(text_col), None)
     asked = _side(queries, query_id_col, "query_id", tokens(query_text_col), None)
-    hits = best_matches(rows, asked, k, SharedTokenScorer(), F.octet_length("feature"), block_bytes)
-    return _with_columns(hits, index, id_col, columns or [])
+    found = best_matches(rows, asked, k, SharedTokenScorer(), F.octet_length("feature"), block_bytes)
+    return _with_columns(found, index, id_col, columns or [])
 
 
 def train_lists(
@@ -173,12 +188,6 @@ def train_lists(
     return means.fit(usable.select(array_to_vector(F.col(vector_col)).alias("_vector")))
 
 
-def list_centres(index: DataFrame, model: KMeansModel) -> DataFrame:
-    """Centres as a table ``id, embedding``. Its size is the number of lists, a parameter."""
-    rows = [(i, [float(v) for v in centre]) for i, centre in enumerate(model.clusterCenters())]
-    return index.sparkSession.createDataFrame(rows, "id bigint, embedding array<double>")
-
-
 def assign_lists(
     index: DataFrame, model: KMeansModel, vector_col: str = "embedding", path: str | None = None
 ) -> DataFrame:
@@ -195,20 +204,40 @@ def assign_lists(
 
 
 def probe_lists(
-    queries: DataFrame, centres: DataFrame, n_probe: int, query_id_col: str = "query_id",
+    queries: DataFrame, model: KMeansModel, n_probe: int, query_id_col: str = "query_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
-    """The ``n_probe`` nearest lists of each query: ``query_id, embedding, list_id``."""
-    nearest = similarity_search(
-        centres, queries, n_probe, query_id_col=query_id_col, query_vector_col=vector_col
-    )
-    asked = queries.select(F.col(query_id_col).cast("bigint").alias("query_id"), F.col(vector_col).alias("embedding"))
-    return asked.join(nearest.select("query_id", F.col("id").cast("int").alias("list_id")), "query_id")
+    """The ``n_probe`` nearest lists of each query: ``query_id, embedding, list_id``.
+
+    The centres, as many as the model has lists, go to the queries: any number of queries, no shuffle.
+    """
+    centres = queries.sparkSession.sparkContext.broadcast(np.array(model.clusterCenters()))
+    asked = queries.select(
+        F.col(query_id_col).cast("bigint").alias("query_id"),
+        F.col(vector_col).cast("array<double>").alias("embedding"),
+    ).filter(F.col("embedding").isNotNull())
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = CosineScorer()
+        lists = scorer.matrix(centres.value)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = scorer.rows(batch.column("embedding"))
+            at = np.arange(batch.num_rows)
+            scores = scorer.scores(vectors, at, lists, np.arange(len(centres.value)))
+            order = np.argsort(-scores, axis=1, kind="stable")[:, :n_probe]
+            usable = np.repeat(scores.max(axis=1) > -np.inf, order.shape[1])
+            rows = pa.array(np.repeat(at, order.shape[1])[usable])
+            out = batch.take(rows)
+            yield out.append_column("list_id", pa.array(order.ravel()[usable].astype(np.int32)))
+
+    return asked.mapInArrow(nearest, "query_id bigint, embedding array<double>, list_id int")
 
 
 def approximate_search(
     listed: DataFrame,
-    centres: DataFrame,
+    model: KMeansModel,
     queries: DataFrame,
     k: int,
     n_probe: int,
@@ -224,7 +253,7 @@ def approximate_search(
     The numbers of the probed lists, at most as many as there are lists, become a filter on the folder column,
     so the other folders are not opened.
     """
-    probes = write_once(probe_lists(queries, centres, n_probe, query_id_col, query_vector_col))
+    probes = write_once(probe_lists(queries, model, n_probe, query_id_col, query_vector_col))
     wanted = [row["list_id"] for row in probes.select("list_id").distinct().collect()]
     reached = listed.filter(F.col("list_id").isin(wanted))
     return similarity_search(
