@@ -155,7 +155,7 @@ def token_windows(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVE
         last = F.greatest(F.size(ws) - overlap - 1, F.lit(0))
         starts = F.sequence(F.lit(0), last, F.lit(size - overlap))
         found = F.transform(starts, lambda first: F.array_join(F.slice(ws, first + 1, size), " "))
-        return F.when(F.size(ws) == 0, F.array().cast("array<string>")).otherwise(found)
+        return F.when(F.size(ws) > 0, found).otherwise(F.array().cast("array<string>"))
 
     return bind(words(clean_text(text)), cut)
 

@@ -52,7 +52,7 @@ def generate(
     Only the request goes to Python. ``load_generator`` runs once per Python task; a row with a NULL prompt is not
     sent and gets NULL. Write the result before using it twice: a recomputed plan calls the model again.
     """
-    requests = check_columns(with_defaults(df), GENERATION_REQUEST)
+    requests = with_defaults(check_columns(df, GENERATION_REQUEST, optional=("temperature", "max_new_tokens")))
 
     @F.pandas_udf("string")
     def complete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
