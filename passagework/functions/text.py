@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that Unicode-aware regular expressions treat as white space.
-# Java's own \s covers only the first six, so they are spelled out.
-OTHER_SPACE = r"\t\n\x0B\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The characters that Unicode-aware regular expressions treat as white space, blank aside.
+# Java's own \s covers only the first five. The wide ones stand behind one range test, which most letters fail.
+_WIDE_SPACE = r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+OTHER_SPACE = r"\t\n\x0B\f\r\x1c\x1d\x1e\x1f\x85\xa0" + _WIDE_SPACE
 ANY_SPACE = f"[ {OTHER_SPACE}]"
 
 # A lone blank is already in its final form; matching only the other runs saves one replacement per word.
@@ -79,9 +80,14 @@ def words(cleaned: Column) -> Column:
     return F.array_remove(F.split(cleaned, " "), "")
 
 
+def tokens(text: Column) -> Column:
+    """Tokens of a raw text: its runs of characters that are not white space."""
+    return F.array_remove(F.split(text, f"{ANY_SPACE}+"), "")
+
+
 def word_count(cleaned: Column) -> Column:
-    """Number of tokens in a cleaned text, without building them."""
-    blanks = F.length(cleaned) - F.length(F.replace(cleaned, F.lit(" "), F.lit("")))
+    """Number of tokens in a cleaned text, without building them: its blanks, each one byte, and one."""
+    blanks = F.octet_length(cleaned) - F.octet_length(F.replace(cleaned, F.lit(" "), F.lit("")))
     return F.when(cleaned == "", F.lit(0)).otherwise(blanks + 1)
 
 

@@ -9,7 +9,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from passagework.functions.text import ANY_SPACE, bind
+from passagework.functions.text import bind, tokens
 
 # One dimension of the stand-in embedder per hex digit.
 HEX_DIGITS = "0123456789abcdef"
@@ -26,8 +26,7 @@ def digit_embedding(text: Column) -> Column:
     Tokens are runs of characters that are not white space; the dimension of a token is the first hex digit of
     the MD5 of its lower-case form.
     """
-    tokens = F.array_remove(F.split(text, f"{ANY_SPACE}+"), "")
-    digits = F.array_join(F.transform(tokens, lambda w: F.left(F.md5(F.lower(w)), F.lit(1))), "")
+    digits = F.array_join(F.transform(tokens(text), lambda w: F.left(F.md5(F.lower(w)), F.lit(1))), "")
     return bind(
         digits,
         lambda d: F.array(*[

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from passagework.functions.templates import fill
-from passagework.functions.text import ANY_SPACE
+from passagework.functions.text import tokens
 from passagework.operators.chunking import CONTEXT_TOKENS
 from passagework.session import HOT_ROWS, join_lookup, write_once
 
@@ -22,8 +22,7 @@ MEMORY_PIECES = 1024
 
 def message_tokens(text: Column) -> Column:
     """Tokens of a raw text, at least 1, BIGINT: runs of characters that are not white space."""
-    runs = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(ANY_SPACE.replace("[", "[^", 1) + "+"))
-    return F.greatest(runs, F.lit(1)).cast("bigint")
+    return F.greatest(F.size(tokens(F.coalesce(text, F.lit("")))), F.lit(1)).cast("bigint")
 
 
 def conversation_sizes(messages: DataFrame) -> DataFrame:

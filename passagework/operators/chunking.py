@@ -38,7 +38,11 @@ def _cut(sentence: Column, limit: int) -> Column:
     )
 
 
-def _starts(pieces: Column, limit: int) -> Column:
+def _counts(pieces: Column) -> Column:
+    return F.transform(pieces, word_count)
+
+
+def _starts(counts: Column, limit: int) -> Column:
     """Position of the first piece of every chunk. Only counts travel through the fold, no text."""
     state = F.struct(
         F.array().cast("array<int>").alias("starts"), F.lit(0).alias("pos"), F.lit(limit + 1).alias("filled")
@@ -52,7 +56,7 @@ def _starts(pieces: Column, limit: int) -> Column:
             F.when(opens, count).otherwise(acc["filled"] + count).alias("filled"),
         )
 
-    return F.aggregate(F.transform(pieces, word_count), state, add, lambda acc: acc["starts"])
+    return F.aggregate(counts, state, add, lambda acc: acc["starts"])
 
 
 def chunk_text(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
@@ -64,22 +68,30 @@ def chunk_text(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLA
     _check(size, overlap)
     limit = size - overlap
 
-    def split_long(found: Column) -> Column:
-        cut = F.flatten(
+    def cut_long(found: Column) -> Column:
+        return F.flatten(
             F.transform(found, lambda s: F.when(word_count(s) <= limit, F.array(s)).otherwise(_cut(s, limit)))
         )
-        return F.when(F.exists(found, lambda s: word_count(s) > limit), cut).otherwise(found)
 
-    def pack(pieces: Column) -> Column:
+    def sized(pieces: Column, counts: Column) -> Column:
+        return F.struct(pieces.alias("pieces"), counts.alias("counts"))
+
+    def split_long(found: Column) -> Column:
+        return bind(
+            _counts(found),
+            lambda counts: F.when(
+                F.exists(counts, lambda n: n > limit), bind(cut_long(found), lambda cut: sized(cut, _counts(cut)))
+            ).otherwise(sized(found, counts)),
+        )
+
+    def pack(units: Column) -> Column:
+        pieces = units["pieces"]
         return bind(
-            _starts(pieces, limit),
+            _starts(units["counts"], limit),
             lambda starts: F.transform(
                 starts,
                 lambda first, i: F.array_join(
-                    F.slice(
-                        pieces, first + 1, F.coalesce(F.get(starts, i + 1), F.size(pieces)) - first
-                    ),
-                    " ",
+                    F.slice(pieces, first + 1, F.coalesce(F.get(starts, i + 1), F.size(pieces)) - first), " "
                 ),
             ),
         )
