@@ -16,13 +16,14 @@ from passagework.operators.chat import (
 )
 from passagework.operators.generation import predict, with_defaults
 from passagework.plans.chat_chain import (
-    answers, chat_inputs, exact_search, prompts, retrieve, run_chain, search_texts,
+    chat_inputs, index_search, prompts, retrieve, run_chain, search_texts,
 )
-from passagework.plans.retrieval import embedded_chunks
+from passagework.plans.retrieval import embedded_chunks, expression_embedding
 from passagework.schemas import ChainConfig, GeneratorConfig
 from passagework.session import write_once
 
 CONFIG = ChainConfig()
+NATIVE = expression_embedding(digit_embedding)
 # Small enough that some conversations of the tables exceed it.
 TIGHT = ChainConfig(generator=GeneratorConfig(context_tokens=500))
 
@@ -57,17 +58,13 @@ def _first_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def _index(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select(F.col("doc_id").alias("url"), "text")
-    return embedded_chunks(documents, "text", "url", digit_embedding)
-
-
-def _native(asked: DataFrame) -> DataFrame:
-    return asked.withColumn("embedding", digit_embedding(F.col("search_text")))
+    return embedded_chunks(documents, "text", "url", NATIVE)
 
 
 def _retrieved(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     inputs = chat_inputs(_conversations(spark, folder), CONFIG)
     texts = write_once(search_texts(inputs, load_stub_generator, CONFIG))
-    return texts, write_once(retrieve(texts, exact_search(_index(spark, folder)), _native, CONFIG))
+    return texts, write_once(retrieve(texts, index_search(_index(spark, folder)), NATIVE, CONFIG))
 
 
 def retrieved(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,7 +86,7 @@ def final_prompts(spark: SparkSession, folder: str) -> DataFrame:
 def full_chain(config: ChainConfig):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         answered, _ = run_chain(
-            _conversations(spark, folder), exact_search(_index(spark, folder)), load_digit_embedder,
+            _conversations(spark, folder), index_search(_index(spark, folder)), load_digit_embedder,
             load_stub_generator, config,
         )
         return answered.select("conv_id", "search_text", "n_tokens", "overflow", "answer")

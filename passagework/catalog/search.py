@@ -17,7 +17,7 @@ from passagework.operators.search import (
     approximate_search, assign_lists, keyword_search, probe_lists, share_scored, similarity_search,
     train_lists,
 )
-from passagework.plans.retrieval import embedded_chunks, nearest_chunks
+from passagework.plans.retrieval import embedded_chunks, expression_embedding, model_embedding, nearest_chunks
 from passagework.session import scratch_dir, write_once
 
 N_LISTS = 16
@@ -81,7 +81,7 @@ def approximate_quality(spark: SparkSession, folder: str) -> DataFrame:
     exact = similarity_search(listed, queries, 3).select("query_id", "id")
     found = approximate_search(listed, model, queries, 3, N_PROBE).select("query_id", "id", F.lit(1).alias("hit"))
     recall = exact.join(found, ["query_id", "id"], "left").agg(F.avg(F.coalesce("hit", F.lit(0))).alias("recall"))
-    return recall.join(F.broadcast(share_scored(listed, probe_lists(queries, model, N_PROBE))))
+    return recall.withColumn("share_scored", F.lit(share_scored(listed, probe_lists(queries, model, N_PROBE))))
 
 
 def keyword(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,10 +93,10 @@ def keyword(spark: SparkSession, folder: str) -> DataFrame:
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """For each benchmark passage, the three nearest chunks of the documents."""
-    chunks = embedded_chunks(table(spark, folder, "documents"), "text", "doc_id", digit_embedding)
+    embedding = expression_embedding(digit_embedding)
+    chunks = embedded_chunks(table(spark, folder, "documents"), "text", "doc_id", embedding)
     found = nearest_chunks(
-        chunks, table(spark, folder, "benchmark"), "item_id", "text", digit_embedding, 3,
-        ["doc_id", "chunk_pos", "content"],
+        chunks, table(spark, folder, "benchmark"), "item_id", "text", embedding, 3, ["doc_id", "chunk_pos", "content"]
     )
     return plain(found)
 
@@ -106,7 +106,9 @@ def text_index(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select(F.col("doc_id").alias("url"), "text")
     chunks = chunk_rows(documents, "text", "url").select("id", F.col("url").cast("string").alias("url"), "content")
     index = build_index(chunks, f"{scratch_dir(spark)}/index", load_embedder=load_digit_embedder)
-    found = nearest_chunks(index, table(spark, folder, "benchmark"), "item_id", "text", digit_embedding, 3, ["url"])
+    found = nearest_chunks(
+        index, table(spark, folder, "benchmark"), "item_id", "text", model_embedding(load_digit_embedder), 3, ["url"]
+    )
     return plain(found)
 
 

@@ -35,42 +35,52 @@ HITS = "query_id bigint, id bigint, score double"
 class Scorer(Protocol):
     """Scores index rows against a fixed block of queries."""
 
+    # Scores are rounded to this many digits before ranking, so that ties do not depend on summation order.
+    digits: int
+
     def queries(self, features: pa.Array) -> Any:
         """Prepare the query features."""
 
     def rows(self, features: pa.Array) -> Any:
         """Prepare the features of one batch of index rows."""
 
+    def usable(self, prepared: Any) -> np.ndarray:
+        """Which of the prepared queries or rows can be part of a hit."""
+
     def scores(self, rows: Any, row_at: np.ndarray, queries: Any, query_at: np.ndarray) -> np.ndarray:
-        """Score matrix of the given rows and queries. A pair that must not be a hit gets -inf."""
+        """Unrounded score matrix of the given rows and queries. A pair that must not be a hit gets -inf."""
 
 
 class BestHits:
-    """The k best hits per query so far: higher score first, then lower id."""
+    """The k best hits per query so far: higher rounded score first, then lower id."""
 
-    def __init__(self, n_queries: int, k: int) -> None:
-        self.k = k
+    def __init__(self, n_queries: int, k: int, digits: int = 0) -> None:
+        self.k, self.digits = k, digits
+        self.slack = 10.0 ** -digits
         self.score = np.full((n_queries, k), -np.inf)
         self.id = np.full((n_queries, k), np.iinfo(np.int64).max)
 
     def offer(self, ids: np.ndarray, scores: np.ndarray, query_at: np.ndarray) -> None:
-        """Merge a score matrix of shape (rows, queries)."""
+        """Merge a score matrix of shape (rows, queries).
+
+        Only pairs that may reach the k best are rounded and sorted. The slack keeps those whose rounded score
+        could tie. The partition per query is needed while the known hits are few, then hardly ever.
+        """
         worst = self.score[query_at, -1]
-        keep = (scores >= worst) & (scores > -np.inf)
-        if len(ids) > self.k:
+        keep = (scores >= worst - self.slack) & (scores > -np.inf)
+        if len(ids) > self.k and np.count_nonzero(keep) > 8 * self.k * len(query_at):
             kth = np.partition(scores, len(ids) - self.k, axis=0)[len(ids) - self.k]
-            keep &= scores >= kth
+            keep &= scores >= kth - self.slack
         row, col = np.nonzero(keep)
         if not len(row):
             return
         touched, slot = np.unique(col, return_inverse=True)
         held = query_at[touched]
         slots = np.concatenate([np.repeat(np.arange(len(held)), self.k), slot])
-        new_score = np.concatenate([self.score[held].ravel(), scores[row, col]])
+        new_score = np.concatenate([self.score[held].ravel(), np.round(scores[row, col], self.digits)])
         new_id = np.concatenate([self.id[held].ravel(), ids[row]])
         order = np.lexsort((new_id, -new_score, slots))
-        slots = slots[order]
-        first = np.searchsorted(slots, np.arange(len(held)))
+        first = np.searchsorted(slots[order], np.arange(len(held)))
         picked = order[(first[:, None] + np.arange(self.k)).ravel()]
         self.score[held] = new_score[picked].reshape(-1, self.k)
         self.id[held] = new_id[picked].reshape(-1, self.k)
@@ -89,10 +99,12 @@ class _Block:
         self.ids = table.column("query_id").to_numpy()
         self.scorer = scorer
         self.features = scorer.queries(_one(table.column("feature")))
-        self.best = BestHits(len(self.ids), k)
+        self.best = BestHits(len(self.ids), k, scorer.digits)
+        self.usable = np.nonzero(scorer.usable(self.features))[0]
         self.by_match: dict[Any, np.ndarray] | None = None
         if "match" in table.column_names:
-            self.by_match = _positions(_one(table.column("match")))
+            positions = _positions(_one(table.column("match")), self.usable)
+            self.by_match = {value: at for value, at in positions.items() if len(at)}
 
     def add(self, batch: pa.RecordBatch) -> None:
         """Score a batch of index rows. Rows without feature are left out here: a filter on a computed feature
@@ -100,10 +112,11 @@ class _Block:
         batch = batch.filter(pc.is_valid(batch.column("feature")))
         ids = batch.column("id").to_numpy()
         rows = self.scorer.rows(batch.column("feature"))
+        usable = np.nonzero(self.scorer.usable(rows))[0]
         if self.by_match is None:
-            self._score(ids, rows, np.arange(len(ids)), np.arange(len(self.ids)))
+            self._score(ids, rows, usable, self.usable)
             return
-        for value, row_at in _positions(batch.column("match")).items():
+        for value, row_at in _positions(batch.column("match"), usable).items():
             query_at = self.by_match.get(value)
             if query_at is not None:
                 self._score(ids, rows, row_at, query_at)
@@ -119,14 +132,14 @@ def _one(column: pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def _positions(values: pa.Array) -> dict[Any, np.ndarray]:
-    """Row numbers per distinct non-null value."""
+def _positions(values: pa.Array, at: np.ndarray) -> dict[Any, np.ndarray]:
+    """The given row numbers per distinct non-null value, in ascending order."""
     encoded = _one(pc.dictionary_encode(values))
-    codes = pc.fill_null(encoded.indices, -1).to_numpy(zero_copy_only=False)
+    codes = pc.fill_null(encoded.indices, -1).to_numpy(zero_copy_only=False)[at]
     order = np.argsort(codes, kind="stable")
     bounds = np.searchsorted(codes[order], np.arange(len(encoded.dictionary) + 1))
     return {
-        value: order[bounds[i]:bounds[i + 1]] for i, value in enumerate(encoded.dictionary.to_pylist())
+        value: at[order[bounds[i]:bounds[i + 1]]] for i, value in enumerate(encoded.dictionary.to_pylist())
     }
 
 

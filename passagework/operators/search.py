@@ -18,42 +18,49 @@ from passagework.functions.vectors import norm
 from passagework.operators.ranking import BLOCK_BYTES, MATRIX_CELLS, best_matches
 from passagework.session import SMALL_TABLE_ROWS, join_lookup, scratch_dir, write_once
 
-# Scores are rounded to this many digits before ranking, so that ties do not depend on summation order.
+# Digits of a cosine that count for the ranking.
 SCORE_DIGITS = 6
 
 
 class CosineScorer:
     """Cosine of vectors in DOUBLE. Vectors of length zero match nothing."""
 
-    def matrix(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return vectors, np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+    digits = SCORE_DIGITS
+
+    def unit(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors of length one, and which of them had a length."""
+        lengths = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+        usable = lengths > 0
+        return vectors / np.where(usable, lengths, 1.0)[:, None], usable
 
     def rows(self, features: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not len(features):
-            return np.empty((0, 0)), np.empty(0)
+            return np.empty((0, 0)), np.empty(0, dtype=bool)
         lengths = pc.unique(pc.list_value_length(features)).to_pylist()
         if len(lengths) != 1:
             raise ValueError(f"vectors of different lengths: {sorted(lengths)[:5]}")
         flat = features.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        return self.matrix(flat.reshape(len(features), lengths[0]))
+        return self.unit(flat.reshape(len(features), lengths[0]))
 
     queries = rows
 
+    def usable(self, prepared: Any) -> np.ndarray:
+        return prepared[1]
+
     def scores(self, rows: Any, row_at: np.ndarray, queries: Any, query_at: np.ndarray) -> np.ndarray:
-        (x, x_norm), (q, q_norm) = rows, queries
+        x, q = rows[0], queries[0]
         if not len(row_at) or not len(query_at):
             return np.empty((len(row_at), len(query_at)))
         if x.shape[1] != q.shape[1]:
             raise ValueError(f"index vectors have {x.shape[1]} dimensions, query vectors {q.shape[1]}")
-        lengths = np.outer(x_norm[row_at], q_norm[query_at])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            cosine = np.round(x[row_at] @ q[query_at].T / lengths, SCORE_DIGITS)
-        return np.where(np.isnan(cosine), -np.inf, cosine)
+        return x[row_at] @ q[query_at].T
 
 
 class SharedTokenScorer:
     """Number of distinct tokens that two texts share. Features are cleaned lower-case texts."""
 
+    digits = 0
+
     def _tokens(self, features: pa.Array) -> tuple[pa.Array, np.ndarray]:
         # large lists: the tokens of one batch may exceed 32-bit offsets
         lists = pc.split_pattern(features.cast(pa.large_string()), " ")
@@ -70,11 +77,14 @@ class SharedTokenScorer:
         codes, owner = np.divmod(pairs, max(1, len(features)))
         return vocabulary, np.searchsorted(codes, np.arange(len(vocabulary) + 1)), owner, len(features)
 
-    def rows(self, features: pa.Array) -> tuple[pa.Array, np.ndarray]:
-        return self._tokens(features)
+    def rows(self, features: pa.Array) -> tuple[pa.Array, np.ndarray, int]:
+        return *self._tokens(features), len(features)
+
+    def usable(self, prepared: Any) -> np.ndarray:
+        return np.ones(prepared[-1], dtype=bool)
 
     def scores(self, rows: Any, row_at: np.ndarray, queries: Any, query_at: np.ndarray) -> np.ndarray:
-        (tokens, doc), (vocabulary, first, owner, width) = rows, queries
+        (tokens, doc, _), (vocabulary, first, owner, width) = rows, queries
         low, high = np.searchsorted(doc, [row_at[0], row_at[-1] + 1])
         found = pc.index_in(tokens.slice(low, high - low), value_set=vocabulary)
         known = found.is_valid().to_numpy(zero_copy_only=False)
@@ -180,10 +190,17 @@ def keyword_search(
 
 
 def train_lists(
-    index: DataFrame, n_lists: int, vector_col: str = "embedding", seed: int = 7, max_iter: int = 20
+    index: DataFrame, n_lists: int, vector_col: str = "embedding", seed: int = 7, max_iter: int = 20,
+    share: float = 1.0,
 ) -> KMeansModel:
-    """Centres of the inverted lists: k-means by cosine over the non-zero vectors."""
+    """Centres of the inverted lists: k-means by cosine over the non-zero vectors.
+
+    ``share`` below 1 trains on a random part of them, which changes the centres but no row's place in the index:
+    every row is assigned to a list afterwards. Large indexes need no more than some hundred rows per list.
+    """
     usable = index.filter(norm(F.col(vector_col)) > 0)
+    if share < 1:
+        usable = usable.sample(share, seed)
     means = KMeans(k=n_lists, seed=seed, maxIter=max_iter, distanceMeasure="cosine", featuresCol="_vector")
     return means.fit(usable.select(array_to_vector(F.col(vector_col)).alias("_vector")))
 
@@ -219,18 +236,16 @@ def probe_lists(
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = CosineScorer()
-        lists = scorer.matrix(centres.value)
+        lists = scorer.unit(centres.value)
         for batch in batches:
-            if not batch.num_rows:
-                continue
             vectors = scorer.rows(batch.column("embedding"))
-            at = np.arange(batch.num_rows)
-            scores = scorer.scores(vectors, at, lists, np.arange(len(centres.value)))
+            at = np.nonzero(vectors[1])[0]
+            if not len(at):
+                continue
+            scores = np.round(scorer.scores(vectors, at, lists, np.arange(len(centres.value))), scorer.digits)
             order = np.argsort(-scores, axis=1, kind="stable")[:, :n_probe]
-            usable = np.repeat(scores.max(axis=1) > -np.inf, order.shape[1])
-            rows = pa.array(np.repeat(at, order.shape[1])[usable])
-            out = batch.take(rows)
-            yield out.append_column("list_id", pa.array(order.ravel()[usable].astype(np.int32)))
+            out = batch.take(pa.array(np.repeat(at, order.shape[1])))
+            yield out.append_column("list_id", pa.array(order.ravel().astype(np.int32)))
 
     return asked.mapInArrow(nearest, "query_id bigint, embedding array<double>, list_id int")
 
@@ -262,14 +277,12 @@ def approximate_search(
     )
 
 
-def share_scored(listed: DataFrame, probes: DataFrame) -> DataFrame:
-    """Share of all query-vector pairs that an approximate search scores, one row ``share_scored``."""
+def share_scored(listed: DataFrame, probes: DataFrame) -> float:
+    """Share of all query-vector pairs that a search of the probed lists scores."""
     sizes = listed.groupBy("list_id").agg(F.count("*").alias("n"))
     asked = probes.groupBy("list_id").agg(F.count("*").alias("asked"))
-    scored = sizes.join(asked, "list_id", "left").agg(
+    counted = sizes.join(asked, "list_id", "left").agg(
         F.sum(F.col("n") * F.coalesce("asked", F.lit(0))).alias("scored"), F.sum("n").alias("rows")
-    )
-    queries = probes.agg(F.count_distinct("query_id").alias("queries"))
-    return scored.join(F.broadcast(queries)).select(
-        (F.col("scored") / (F.col("rows") * F.col("queries"))).alias("share_scored")
-    )
+    ).first()
+    queries = probes.agg(F.count_distinct("query_id")).first()[0]
+    return counted["scored"] / (counted["rows"] * queries)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.clustering import KMeansModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from passagework.functions.templates import fill
@@ -18,9 +19,10 @@ from passagework.operators.chat import (
     question_of,
     rewrite_prompt,
 )
-from passagework.operators.embedding import Embedder, embed
+from passagework.operators.embedding import Embedder
 from passagework.operators.generation import Generator, generate
-from passagework.operators.search import similarity_search
+from passagework.operators.search import approximate_search, similarity_search
+from passagework.plans.retrieval import Embedding, model_embedding
 from passagework.schemas import CONVERSATIONS, ChainConfig, check_columns
 from passagework.session import write_once
 
@@ -62,20 +64,24 @@ def search_texts(
     return rewritten.select(*inputs.columns, text.alias("search_text"))
 
 
-def exact_search(index: DataFrame, config: ChainConfig = ChainConfig()) -> Search:
-    """Exact search of an index with the column names of the configuration."""
-    def search(queries: DataFrame, k: int, columns: list[str]) -> DataFrame:
-        return similarity_search(index, queries, k, columns, id_col=config.retriever.key_col)
-
-    return search
+def index_search(
+    index: DataFrame, config: ChainConfig = ChainConfig(), lists: KMeansModel | None = None, n_probe: int = 8
+) -> Search:
+    """Search of an index as the configuration says: exact, or ``ann`` over an index that has been given lists."""
+    key = config.retriever.key_col
+    if config.retriever.query_type == "exact":
+        return lambda queries, k, columns: similarity_search(index, queries, k, columns, id_col=key)
+    if lists is None:
+        raise ValueError("query_type 'ann' needs the lists that the index was divided by")
+    return lambda queries, k, columns: approximate_search(index, lists, queries, k, n_probe, columns, id_col=key)
 
 
 def retrieve(
-    texts: DataFrame, search: Search, embedding: Callable[[DataFrame], DataFrame], config: ChainConfig = ChainConfig()
+    texts: DataFrame, search: Search, embedding: Embedding, config: ChainConfig = ChainConfig()
 ) -> DataFrame:
     """Hits of every search text, keyed by ``(conv_id, rank)``: also the table for a review of the chunks."""
     asked = texts.filter(F.col("search_text").isNotNull()).select(F.col("conv_id").alias("query_id"), "search_text")
-    queries = embedding(asked).select("query_id", "embedding")
+    queries = embedding(asked, "search_text").select("query_id", "embedding")
     r = config.retriever
     return search(queries, r.k, [r.text_col, r.uri_col]).withColumnRenamed("query_id", "conv_id")
 
@@ -126,7 +132,5 @@ def run_chain(
     Whatever a model produced is written before it is used again, so no call is repeated.
     """
     texts = write_once(search_texts(chat_inputs(conversations, config), load_generator, config))
-    hits = write_once(
-        retrieve(texts, search, lambda df: write_once(embed(df, "search_text", load_embedder)), config)
-    )
+    hits = write_once(retrieve(texts, search, model_embedding(load_embedder), config))
     return write_once(answers(prompts(texts, hits, config), load_generator, config)), hits

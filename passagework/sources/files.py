@@ -22,9 +22,15 @@ def scan_files(spark: SparkSession, folder: str, glob: str = "*", excluded: str
     return files.filter(without_name(F.element_at(F.split("path", "/"), -1), excluded)) if excluded else files
 
 
-def stream_files(spark: SparkSession, folder: str, glob: str = "*", excluded: str | None = None) -> DataFrame:
-    """The same as a stream that reports every path once. A changed file under an old path is not read again."""
-    files = (
-        spark.readStream.schema(RAW_FILES).format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    )
+def stream_files(
+    spark: SparkSession, folder: str, glob: str = "*", excluded: str | None = None, files_per_batch: int | None = None
+) -> DataFrame:
+    """The same as a stream that reports every path once. A changed file under an old path is not read again.
+
+    ``files_per_batch`` cuts a large backlog into several commits, so that a failure repeats only the last one.
+    """
+    reader = spark.readStream.schema(RAW_FILES).format("binaryFile").option("pathGlobFilter", glob)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    files = reader.load(folder)
     return files.filter(without_name(F.element_at(F.split("path", "/"), -1), excluded)) if excluded else files

@@ -31,6 +31,7 @@ def ingest_files(
     excluded: str | None = None,
     table: str | None = None,
     path: str | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Append the files that earlier runs have not seen. Keep the checkpoint outside the scanned folder."""
-    return append_stream(stream_files(spark, folder, glob, excluded), checkpoint, table, path)
+    return append_stream(stream_files(spark, folder, glob, excluded, files_per_batch), checkpoint, table, path)

@@ -8,7 +8,7 @@ from passagework.operators.chat import (
     context_check, final_messages, fold, format_context, formatted_history_of, formatted_history_rows, history_of,
     history_rows, last_questions, question_of, rewrite_prompt, with_memory,
 )
-from passagework.plans.chat_chain import exact_search, run_chain
+from passagework.plans.chat_chain import index_search, run_chain
 from passagework.schemas import ChainConfig, GeneratorConfig, RetrieverConfig, SchemaMismatch
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string"
@@ -115,7 +115,7 @@ def test_chain(spark, messages):
     def load():
         return lambda requests: [r["prompt"].split("|")[-1] for r in requests]
 
-    done, hits = run_chain(messages, exact_search(index, config), load_digit_embedder, load, config)
+    done, hits = run_chain(messages, index_search(index, config), load_digit_embedder, load, config)
     got = {r["conv_id"]: r for r in done.collect()}
     assert set(got) == {1, 2, 3, 4, 5}
     assert got[2]["answer"] == '[{"role":"system","text":"S <single>"},{"role":"user","text":"single"}]'
@@ -131,3 +131,22 @@ def test_config_is_checked(spark, messages):
             bad()
     with pytest.raises(SchemaMismatch):
         run_chain(messages.drop("role"), None, None, None)
+
+
+def test_chain_search_types(spark, messages):
+    from passagework.operators.search import assign_lists, train_lists
+    from passagework.plans.chat_chain import retrieve
+    from passagework.plans.retrieval import expression_embedding
+
+    index = spark.createDataFrame([(i, f"u{i}", t) for i, t in enumerate(["a b", "c d e", "f", "g h i j"])],
+                                  "id bigint, url string, content string")
+    index = index.withColumn("embedding", digit_embedding(F.col("content")))
+    ann = ChainConfig(retriever=RetrieverConfig(k=2, query_type="ann"))
+    with pytest.raises(ValueError):
+        index_search(index, ann)
+    model = train_lists(index, 2)
+    search = index_search(assign_lists(index, model), ann, model, n_probe=2)
+    texts = spark.createDataFrame([(1, "a b"), (2, None)], "conv_id bigint, search_text string")
+    got = retrieve(texts, search, expression_embedding(digit_embedding), ann)
+    assert [(r["conv_id"], r["rank"]) for r in got.orderBy("rank").collect()] == [(1, 1), (1, 2)]
+    assert got.filter("rank = 1").first()["url"] == "u0"

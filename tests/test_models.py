@@ -117,10 +117,10 @@ def upper():
 
 
 def test_chain_of_two_steps(spark, upper):
-    df = spark.createDataFrame([("obama", "spanish")], "person string, language string")
+    df = spark.createDataFrame([("ada", "spanish")], "person string, language string")
     one = prompt_step(df, "city of {person}?", upper, "city")
     two = prompt_step(one, "country of {city} in {language}", upper, "country")
-    assert two.first()["country"] == "COUNTRY OF CITY OF OBAMA? IN SPANISH"
+    assert two.first()["country"] == "COUNTRY OF CITY OF ADA? IN SPANISH"
     with pytest.raises(KeyError):
         prompt_step(df, "{nobody}", upper, "x")
 
@@ -140,8 +140,8 @@ def test_parallel(spark):
 
 
 def test_route_takes_the_first_branch(spark):
-    df = spark.createDataFrame([(" Cooking\n",), ("langchain and cooking",), ("x",), (None,)], "l string")
-    out = df.select(route(F.col("l"), {"langchain": F.lit(1), "cooking": F.lit(2)}, F.lit(3)))
+    df = spark.createDataFrame([(" Cooking\n",), ("sailing and cooking",), ("x",), (None,)], "l string")
+    out = df.select(route(F.col("l"), {"sailing": F.lit(1), "cooking": F.lit(2)}, F.lit(3)))
     assert [r[0] for r in out.collect()] == [2, 1, 3, 3]
     assert df.select(normalise_label(F.col("l"))).first()[0] == "cooking"
 
@@ -151,7 +151,7 @@ def test_classify_and_answer(spark):
         return lambda rs: [("Cooking" if "meat" in r["prompt"] else "Other") if r["prompt"].startswith("Label")
                            else r["prompt"] for r in rs]
 
-    df = spark.createDataFrame([("meatloaf",), ("drain",)], "question string")
+    df = spark.createDataFrame([("meat pie",), ("drain",)], "question string")
     got = classify_and_answer(df, "Label {question}", {"cooking": "Chef: {question}"}, "General: {question}", load)
     assert {tuple(r) for r in got.collect()} == {
-        ("meatloaf", "Cooking", "Chef: meatloaf"), ("drain", "Other", "General: drain")}
+        ("meat pie", "Cooking", "Chef: meat pie"), ("drain", "Other", "General: drain")}

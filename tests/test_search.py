@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 from passagework.operators.search import (
     approximate_search, assign_lists, keyword_search, probe_lists, similarity_search, train_lists,
 )
-from passagework.plans.retrieval import nearest_chunks
+from passagework.plans.retrieval import expression_embedding, nearest_chunks
 from passagework.functions.vectors import digit_embedding
 
 
@@ -122,6 +124,8 @@ def test_approximate_hits_have_exact_scores(spark, vectors):
         assert hits and all(score[q, i] == s for q, _, i, s in hits)
     probes = probe_lists(queries, model, 2)
     assert probes.count() == 2 * 89
+    one = approximate_search(listed, model, queries.limit(1), 3, 1)
+    assert re.search(r"PartitionFilters: \[[^]]*list_id", one._jdf.queryExecution().executedPlan().toString())
     every = approximate_search(listed, model, queries, 3, 5)
     assert as_set(every) == brute([v[:2] for v in vectors[0]], [q[:2] for q in vectors[1]], 3)
 
@@ -152,5 +156,5 @@ def test_nearest_chunks(spark):
     chunks = spark.createDataFrame([(1, "red fox"), (2, "blue sky")], "id bigint, content string")
     chunks = chunks.withColumn("embedding", digit_embedding(F.col("content")))
     queries = spark.createDataFrame([(5, "Red  FOX")], "q bigint, t string")
-    row = nearest_chunks(chunks, queries, "q", "t", digit_embedding, 1, ["content"]).first()
+    row = nearest_chunks(chunks, queries, "q", "t", expression_embedding(digit_embedding), 1, ["content"]).first()
     assert (row["query_id"], row["id"], row["content"], row["score"]) == (5, 1, "red fox", 1.0)

@@ -37,7 +37,8 @@ def test_scan(spark, folder):
 
 def test_ingest_takes_each_file_once(spark, folder, tmp_path):
     def run():
-        ingest_files(spark, str(folder), str(tmp_path / "cp"), "*.txt", "NOTICE", path=str(tmp_path / "raw"))
+        ingest_files(spark, str(folder), str(tmp_path / "cp"), "*.txt", "NOTICE", path=str(tmp_path / "raw"),
+                     files_per_batch=1)
         return spark.read.parquet(str(tmp_path / "raw")).count()
 
     assert run() == 2
