@@ -137,19 +137,23 @@ def with_memory(messages: DataFrame, max_tokens: int = CONTEXT_TOKENS, hot_rows:
     if long.isEmpty():
         return messages.withColumn("memory", memory)
 
-    # Keys only: the first messages of each piece of a conversation, then the first of the whole conversation.
     pieces = long.select("conv_id", F.when(F.col("n_messages") > hot_rows, MEMORY_PIECES).otherwise(1).alias("_pieces"))
-    keys = messages.select("conv_id", "turn", message_tokens(F.col("text")).alias("_tokens"))
-    cut = join_lookup(keys, pieces, ["conv_id"], salt_by="turn", how="left", hot_rows=hot_rows).withColumn(
-        "_piece", F.pmod(F.xxhash64("turn"), F.coalesce("_pieces", F.lit(1)))
-    )
+    marked = join_lookup(messages, pieces, ["conv_id"], salt_by="turn", how="left", hot_rows=hot_rows)
+    whole = marked.filter(F.col("_pieces").isNull()).drop("_pieces")
+    cut = marked.filter(F.col("_pieces").isNotNull())
+
+    # Keys only: the first messages of each piece of a conversation, then the first of the whole conversation.
     in_piece = Window.partitionBy("conv_id", "_piece").orderBy("turn")
-    first = cut.withColumn("_n", F.row_number().over(in_piece)).filter(F.col("_n") <= max_tokens + 1)
+    first = (
+        cut.select("conv_id", "turn", F.pmod(F.xxhash64("turn"), "_pieces").alias("_piece"),
+                   message_tokens(F.col("text")).alias("_tokens"))
+        .withColumn("_n", F.row_number().over(in_piece)).filter(F.col("_n") <= max_tokens + 1)
+    )
     before = F.coalesce(F.sum("_tokens").over(earlier), F.lit(0))
     fitting = first.withColumn("_before", before).filter(F.col("_before") <= max_tokens)
-    marked = messages.join(
+    parts = cut.drop("_pieces").join(
         fitting.select("conv_id", "turn", F.lit(True).alias("_fits")), ["conv_id", "turn"], "left"
     )
-    short = marked.filter(F.col("_fits")).drop("_fits").withColumn("memory", memory)
-    rest = marked.filter(F.col("_fits").isNull()).drop("_fits")
-    return short.unionByName(rest.withColumn("memory", F.lit(None).cast(short.schema["memory"].dataType)))
+    head = parts.filter(F.col("_fits")).drop("_fits").unionByName(whole).withColumn("memory", memory)
+    rest = parts.filter(F.col("_fits").isNull()).drop("_fits")
+    return head.unionByName(rest.withColumn("memory", F.lit(None).cast(head.schema["memory"].dataType)))
