@@ -94,6 +94,15 @@ def full_chain(config: ChainConfig):
     return run
 
 
+def review_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The chunks that the chain retrieved, for a human review: key, text and address per conversation and rank."""
+    _, hits = run_chain(
+        _conversations(spark, folder), index_search(_index(spark, folder)), load_digit_embedder,
+        load_stub_generator, CONFIG,
+    )
+    return plain(hits.select("conv_id", "rank", "id", "content", "url"))
+
+
 def _requests(spark: SparkSession, folder: str) -> DataFrame:
     """A generation request per message; system messages leave the parameters open."""
     open_ = F.col("role") == "system"
@@ -126,6 +135,7 @@ QUERIES = {
     "r8_final_prompt": final_prompts,
     "r9_full_chain": full_chain(CONFIG),
     "r9_full_chain_tight_context": full_chain(TIGHT),
+    "r11_review_records": review_records,
     "c8_memory": memory(4096),
     "c8_memory_tight_context": memory(200),
     "l1_chat_markup": lambda s, d: _requests(s, d).select(
@@ -221,6 +231,7 @@ ORACLES = {
         [{{'role': 'user', 'text': question}}]))::VARCHAR AS messages FROM shaped""",
     "r9_full_chain": _sql_chain(4096),
     "r9_full_chain_tight_context": _sql_chain(500),
+    "r11_review_records": f"{_sql_hits(4096)} SELECT conv_id, rank, id, content, url FROM found",
     "c8_memory": _sql_memory(4096),
     "c8_memory_tight_context": _sql_memory(200),
     "l1_chat_markup": f"SELECT conv_id, turn, {_MARKED} AS marked FROM conversations",

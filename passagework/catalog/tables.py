@@ -63,6 +63,15 @@ def changes(spark: SparkSession, folder: str) -> DataFrame:
     return snapshot_changes(before, after, "doc_id", ["text"])
 
 
+def append_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Both states appended to one table; the current view is the last one of each document."""
+    path = f"{scratch_dir(spark)}/history"
+    for number, state in enumerate(_states(spark, folder), 1):
+        state.withColumn("ingest", F.lit(number)).write.mode("append").parquet(path)
+    current = latest_rows(spark.read.parquet(path), "doc_id", ["ingest"])
+    return plain(current.select("doc_id", "ingest", F.md5("text").alias("text_md5")))
+
+
 QUERIES = {
     "s1_binary_scan": binary_scan,
     "s2_incremental_ingest": incremental_ingest,
@@ -72,6 +81,7 @@ QUERIES = {
     "s6_latest_rows": lambda s, d: latest_rows(
         table(s, d, "events").select("user_id", "ts", "event_id", "event_type", "value"), "user_id", ["ts", "event_id"]
     ).select("user_id", "event_id", "event_type", "value"),
+    "s6_append_history": append_history,
     "s10_changes": changes,
     "p1_preview": lambda s, d: s.read.parquet(f"{d}/documents.parquet")
     .select("doc_id", "lang", "source").orderBy("doc_id").limit(10),
@@ -98,6 +108,10 @@ ORACLES = {
     "s6_latest_rows": """SELECT user_id, event_id, event_type, value FROM (
       SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
       WHERE rn = 1""",
+    "s6_append_history": f"""WITH b AS ({_BEFORE}), a AS ({_AFTER})
+      SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN a.doc_id IS NULL THEN 1 ELSE 2 END::BIGINT AS ingest,
+        md5(CASE WHEN a.doc_id IS NULL THEN b.text ELSE a.text END) AS text_md5
+      FROM b FULL JOIN a ON a.doc_id = b.doc_id""",
     "s10_changes": f"""WITH b AS ({_BEFORE}), a AS ({_AFTER})
       SELECT coalesce(b.doc_id, a.doc_id) AS doc_id, CASE WHEN b.doc_id IS NULL THEN 'insert'
         WHEN a.doc_id IS NULL THEN 'delete' ELSE 'update' END AS change

@@ -9,7 +9,7 @@ from passagework.catalog.common import (
     noise, plain, sql_chunks, sql_clean, sql_id, sql_noise, sql_tokens, sql_vectors, table,
 )
 from passagework.functions.text import (
-    PAGE_BREAK, clean_pages, clean_text, collapse_whitespace, join_hyphenated, sentences, split_pages, strip_html,
+    PAGE_BREAK, clean_pages, clean_text, collapse_whitespace, join_hyphenated, sentences, split_pages,
     tighten_punctuation, word_count,
 )
 from passagework.functions.vectors import digit_embedding, load_digit_embedder
@@ -17,7 +17,7 @@ from passagework.operators.chat import context_check
 from passagework.operators.chunking import chunk_report, chunk_rows, token_windows
 from passagework.operators.embedding import embed, request_payloads
 from passagework.operators.extract import chunk_files, extract, rejects
-from passagework.session import scratch_dir, write_once
+from passagework.session import scratch_dir
 from passagework.streaming.embed_sync import read_sync_table, sync_embeddings
 
 

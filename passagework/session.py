@@ -23,12 +23,13 @@ def scratch_dir(spark: SparkSession) -> str:
     A local session without the setting gets a temporary folder; on a cluster it is an error, since
     executors would not see each other's files.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="passagework-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="passagework-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/passagework-{uuid.uuid4().hex}"
 
 

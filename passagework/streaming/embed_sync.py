@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagework.functions.text import stable_id
@@ -40,13 +40,13 @@ def sync_embeddings(
         fresh = embed(new_rows(batch, before), "content", load_embedder).select(*SYNC_TABLE.names)
         fresh.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    spark.createDataFrame([], SYNC_TABLE).write.mode("append").parquet(f"{path}/batch=-1")
+    spark.createDataFrame([], SYNC_TABLE).write.mode("ignore").parquet(f"{path}/batch=-1")
     rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(
         write
     ).start().awaitTermination()
 
 
-def read_sync_table(spark, path: str) -> DataFrame:
+def read_sync_table(spark: SparkSession, path: str) -> DataFrame:
     """The sync table with the number of the batch that wrote each row."""
     schema = SYNC_TABLE.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
     return spark.read.schema(f"{schema}, batch bigint").option("basePath", path).parquet(path)
