@@ -51,5 +51,7 @@ def chunk_files(
     """Chunks of a raw file table: extract, clean, split, one row per chunk with the other columns kept."""
     pages = extract(raw, extractor)
     kept = [c for c in pages.columns if c != "pages"]
-    texts = pages.select(*kept, F.array_join("pages", PAGE_BREAK).alias("text"))
+    # a page break inside a page is white space there, not a page edge
+    bodies = F.transform("pages", lambda page: F.replace(page, F.lit(PAGE_BREAK), F.lit(" ")))
+    texts = pages.select(*kept, F.array_join(bodies, PAGE_BREAK).alias("text"))
     return chunk_rows(texts, "text", path_col, splitter)

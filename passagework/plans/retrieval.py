@@ -46,7 +46,8 @@ def nearest_chunks(
     embedding: Embedding,
     k: int = 3,
     columns: list[str] | None = None,
+    where: Column | str | None = None,
 ) -> DataFrame:
-    """The k chunks nearest to each query text."""
+    """The k chunks nearest to each query text, among those that ``where`` lets through."""
     asked = queries.select(F.col(query_id_col).alias("query_id"), F.col(query_text_col).alias("query_text"))
-    return similarity_search(chunks, embedding(asked, "query_text"), k, columns)
+    return similarity_search(chunks, embedding(asked, "query_text"), k, columns, where)

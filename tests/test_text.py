@@ -101,6 +101,11 @@ def test_extractor_of_the_caller(spark):
     assert chunk_files(raw, pages).first()["content"] == "x- y \xe9."
 
 
+def test_page_break_inside_an_html_page_is_white_space(spark):
+    raw = spark.createDataFrame([("a", bytearray(b"<p>one\x0ctwo-\x0cthree</p>"))], "path string, content binary")
+    assert chunk_files(raw, "html").first()["content"] == "one twothree"
+
+
 def test_template_keeps_placeholders_of_the_data(spark):
     df = spark.createDataFrame([("{question}", None)], "context string, question string")
     out = df.select(fill("{{x}} {context}|{question}|{context}", context="context", question="question")).first()[0]
