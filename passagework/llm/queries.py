@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.llm import bpe, decontamination
+from passagework.llm import bpe, decontamination, quality, substring_dedup, suffix_dedup
+from passagework.session import write_once
+
+#: Least score of a document that counts as good.
+GOOD = 0.3
 
 
 def read(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -66,6 +70,57 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM doc LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
-QUERIES = {"op4_bpe": op4_bpe, "op6_decontamination": op6_decontamination}
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document, learned from the labels of four folds of five."""
+    stats = write_once(quality.document_stats(read(spark, folder, "documents", "doc_id", "text")).drop("text"))
+    model = quality.fit(quality.labelled(stats, read(spark, folder, "labels", "doc_id", "quality")))
+    return quality.score_stats(stats, model).select(
+        "doc_id", (quality.fold("doc_id") == 0).alias("held_out"), "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the strings of 400 bytes that start twice or more."""
+    found = suffix_dedup.remove_repeated_bytes(read(spark, folder, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the windows of 35 words that start twice or more."""
+    found = substring_dedup.remove_repeated_words(read(spark, folder, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+place AS (
+  SELECT r, i, array_to_string(ws[i:i + 34], ' ') AS w
+  FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 33, 1))) AS i FROM doc)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY w) AS n FROM place) WHERE n > 1),
+word AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM doc),
+edge AS (SELECT r, i, sum(d) AS d FROM (
+  SELECT r, i, 1 AS d FROM again UNION ALL SELECT r, i + 35, -1 FROM again) GROUP BY r, i),
+depth AS (
+  SELECT r, i, w, sum(coalesce(d, 0)) OVER (PARTITION BY r ORDER BY i) AS d
+  FROM word LEFT JOIN edge USING (r, i)),
+kept AS (
+  SELECT r, count(*) FILTER (d > 0) AS gone, string_agg(w, ' ' ORDER BY i) FILTER (d <= 0) AS body
+  FROM depth GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)
+"""
+
+QUERIES = {
+    "op4_bpe": op4_bpe,
+    "op6_decontamination": op6_decontamination,
+    "op7_quality": op7_quality,
+    "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
+}
 
-ORACLES = {"op6_decontamination": OP6_SQL}
+ORACLES = {"op6_decontamination": OP6_SQL, "op9_substring_dedup": OP9_SQL}
