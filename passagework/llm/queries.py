@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.llm import bpe, decontamination, quality, substring_dedup, suffix_dedup
+from passagework.llm import bpe, decontamination, ngram_join, quality, substring_dedup, suffix_dedup
 from passagework.session import write_once
 
 #: Least score of a document that counts as good.
@@ -115,12 +115,41 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_remove
 FROM doc LEFT JOIN kept USING (r)
 """
 
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, as connected classes."""
+    return ngram_join.similar_documents(read(spark, folder, "documents", "doc_id", "text"))
+
+
+OP5_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM doc WHERE len(ws) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+link AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM shingle x JOIN shingle y USING (s)
+    WHERE x.doc_id <> y.doc_id GROUP BY ALL) JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b
+  WHERE 100 * k >= 80 * (p.n + q.n - k)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM doc
+  UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles,
+       (SELECT count(*) FROM link WHERE link.a = doc.doc_id)::BIGINT AS n_links, component_id
+FROM doc LEFT JOIN size USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
+
 QUERIES = {
     "op4_bpe": op4_bpe,
+    "op5_ngram_join": op5_ngram_join,
     "op6_decontamination": op6_decontamination,
     "op7_quality": op7_quality,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
-ORACLES = {"op6_decontamination": OP6_SQL, "op9_substring_dedup": OP9_SQL}
+ORACLES = {"op5_ngram_join": OP5_SQL, "op6_decontamination": OP6_SQL, "op9_substring_dedup": OP9_SQL}
