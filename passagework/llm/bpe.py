@@ -1,9 +1,10 @@
 """Byte-level BPE: encoding with the tokenizers library over Arrow batches, and decoding through the byte table.
 
 The ranks of a vocabulary file are turned into merges: every way to cut a token in two tokens is a merge, in the order
-of the rank of the whole. Texts are cut before a blank or line feed that follows a character other than white space: no
-match of the split pattern crosses such a place and the pattern never looks back, so each chunk has the same ids alone
-as in its text. Each distinct chunk of a piece of a batch is encoded once and its ids are dealt to all its places.
+of the rank of the whole. Texts are cut before a blank or line feed that follows a character other than white space,
+and between an ASCII letter and a mark: no match of the split pattern crosses such a place and the pattern never looks
+back, so each chunk has the same ids alone as in its text. That holds for patterns that, as the usual ones, match runs
+of letters, of marks and of white space apart. Each distinct chunk of a piece of a batch is encoded once and its ids are dealt to all its places.
 
 Cases: a null or empty text has no tokens. Every string is encoded, also those that look like special tokens. Decoding
 joins the bytes of the ids; characters that were split over tokens are whole again in ``bytes``, and ``decoded`` puts
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -27,8 +29,8 @@ from passagework.llm.words import Texts, pieces
 
 #: Most bytes of a vocabulary file; it is sent to every executor.
 VOCABULARY_BYTES = 16 << 20
-#: Distinct chunks whose ids a task remembers, and the longest of them in bytes.
-REMEMBERED, REMEMBERED_BYTES = 200_000, 64
+#: Distinct chunks whose ids a task remembers.
+REMEMBERED = 400_000
 
 
 def byte_characters() -> list[str]:
@@ -70,17 +72,29 @@ def make_tokenizer(ranks: dict[bytes, int], pattern: str):
     return tokenizer
 
 
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[0x21:0x7F] = True
+_MARK[48:58] = _MARK[65:91] = _MARK[97:123] = False
+
+
 def chunk_starts(texts: Texts) -> np.ndarray:
-    """Where chunks begin: the texts' own starts, and blanks or line feeds after a character that is no white space.
+    """Where chunks begin: the texts' own starts, blanks or line feeds after a character that is no white space, and
+    ASCII marks after an ASCII letter.
 
     After a character of several bytes that may be white space there is no cut.
     """
     data, offsets = texts
+    mark = np.zeros(len(data), dtype=bool)
     at = np.flatnonzero((data == 0x20) | (data == 0x0A))
     one, two = data[np.maximum(at - 1, 0)], data[np.maximum(at - 2, 0)]
     blank = (one <= 0x20) | (one == 0x7F) | (two == 0xC2) & ((one == 0x85) | (one == 0xA0))
     blank |= (one >= 0x80) & ((two == 0x80) | (two == 0x81) | (two == 0x9A))
-    return np.union1d(at[~blank & (at > 0)], offsets[:-1][offsets[:-1] < offsets[1:]])
+    mark[at[~blank]] = True
+    mark[1:] |= _MARK[data[1:]] & _LETTER[data[:-1]]
+    mark[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    return np.flatnonzero(mark)
 
 
 def spread(values: np.ndarray, first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,24 +123,30 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", offsets:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = make_tokenizer(parse_ranks(content.value), pattern)
 
-        known: dict[bytes, list[np.ndarray]] = {}
-
-        def encoded(chunks: list[bytes]) -> list[list[np.ndarray]]:
-            """Ids, starts and ends of each chunk."""
-            new = [c for c in chunks if c not in known]
-            fresh = {}
-            for at in range(0, len(new), 4096):
-                some = new[at:at + 4096]
-                for c, e in zip(some, tokenizer.encode_batch([c.decode() for c in some], add_special_tokens=False)):
-                    one = [np.array(e.ids, dtype=np.int32)]
-                    if offsets:
-                        one += list(np.array(e.offsets, dtype=np.int32).reshape(-1, 2).T)
-                    fresh[c] = one
-            found = [known[c] if c in known else fresh[c] for c in chunks]
-            if len(known) + len(fresh) > REMEMBERED:
-                known.clear()
-            known.update((c, x) for c, x in fresh.items() if len(c) <= REMEMBERED_BYTES)
-            return found
+        slots: dict[bytes, int] = {}  # remembered chunks
+        first = np.zeros(1, dtype=np.int64)
+        stored = [np.zeros(0, dtype=np.int32) for _ in new]  # their ids, starts and ends
+
+        def remember(chunks: list[bytes]) -> np.ndarray:
+            """Slots of the chunks; those not known are encoded."""
+            nonlocal slots, first, stored
+            if len(slots) > REMEMBERED:  # go on with what this piece has
+                kept = [c for c in chunks if c in slots]
+                which = np.array([slots[c] for c in kept], dtype=np.int64)
+                found = [spread(values, first, which) for values in stored]
+                stored, first = [x[0] for x in found], found[0][1]
+                slots = {c: i for i, c in enumerate(kept)}
+            fresh = [c for c in chunks if c not in slots]
+            for at in range(0, len(fresh), 8192):
+                some = tokenizer.encode_batch([c.decode() for c in fresh[at:at + 8192]], add_special_tokens=False)
+                ids = [e.ids for e in some]
+                flat = [np.array([i for x in ids for i in x], dtype=np.int32)]
+                if offsets:
+                    flat += list(np.array([o for e in some for o in e.offsets], dtype=np.int32).reshape(-1, 2).T)
+                stored = [np.concatenate(x) for x in zip(stored, flat)]
+                first = np.concatenate([first, first[-1] + np.cumsum([len(x) for x in ids])])
+            slots.update(zip(fresh, range(len(slots), len(slots) + len(fresh))))
+            return np.array([slots[c] for c in chunks], dtype=np.int64)
 
         for batch in batches:
             for part, texts in pieces(batch, text):
@@ -136,11 +156,9 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", offsets:
                     pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(texts.data)])
                 codes = chunks.dictionary_encode()
                 which = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                found = encoded(codes.dictionary.to_pylist())
-                first = np.concatenate([[0], np.cumsum([len(x[0]) for x in found])]).astype(np.int64)
+                which = remember(codes.dictionary.to_pylist())[which]
                 lists = []
-                for k in range(len(new)):
-                    flat = np.concatenate([x[k] for x in found]) if found else np.zeros(0, dtype=np.int32)
+                for k, flat in enumerate(stored):
                     values, ends = spread(flat, first, which)
                     row_edges = ends[np.searchsorted(starts, texts.offsets)]
                     if k:  # places within the text
@@ -167,19 +185,22 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
         table = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             table[rank] = bytes(byte_of[c] for c in "".join(map(letter.__getitem__, token)))
-        known = set(ranks.values())
+        flat = np.frombuffer(b"".join(table), dtype=np.uint8)
+        first = np.concatenate([[0], np.cumsum([len(x) for x in table])])
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                rows = []
-                for value in part.column(ids):
-                    numbers = value.values.to_numpy(zero_copy_only=False).tolist() if value.is_valid else []
-                    if not known.issuperset(numbers):
-                        raise ValueError("an id is not in the vocabulary")
-                    rows.append(b"".join(map(table.__getitem__, numbers)))
+                lists = part.column(ids)
+                numbers = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                if len(numbers) and (numbers.min() < 0 or numbers.max() >= len(table) or not np.diff(first)[numbers].all()):
+                    raise ValueError("an id is not in the vocabulary")
+                count = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                body, edges = spread(flat, first, numbers)
+                ends = edges[np.concatenate([[0], np.cumsum(count)])].tolist()
+                rows = [body[a:b].tobytes() for a, b in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(n) for n in names]
-                    + [pa.array(rows, type=pa.binary()), pa.array([r.decode(errors="replace") for r in rows])],
+                    + [pa.array(rows, type=pa.binary()), pa.array([r.decode(errors="replace") for r in rows], type=pa.string())],
                     [*names, "bytes", "decoded"])
 
     return df.mapInArrow(run, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.llm import bpe, decontamination, ngram_join, quality, substring_dedup, suffix_dedup
+from passagework.llm import bpe, decontamination, embedding_dedup, ngram_join, quality, substring_dedup, suffix_dedup
 from passagework.session import write_once
 
 #: Least score of a document that counts as good.
@@ -143,6 +143,28 @@ FROM doc LEFT JOIN size USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
 """
 
+def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors of one label with a cosine of 0.98 or more, as connected classes."""
+    found = embedding_dedup.link_vectors(read(spark, folder, "embeddings", "vec_id", "embedding", "label"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
+OP10_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+link AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y USING (label)
+  WHERE x.vec_id <> y.vec_id AND list_cosine_similarity(x.v, y.v) >= 0.98),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT vec_id, (SELECT count(*) FROM link WHERE link.a = vec_id)::BIGINT AS n_links, component_id,
+       vec_id = component_id AS kept
+FROM embeddings JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a) USING (vec_id)
+"""
+
 QUERIES = {
     "op4_bpe": op4_bpe,
     "op5_ngram_join": op5_ngram_join,
@@ -150,6 +172,12 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
-ORACLES = {"op5_ngram_join": OP5_SQL, "op6_decontamination": OP6_SQL, "op9_substring_dedup": OP9_SQL}
+ORACLES = {
+    "op5_ngram_join": OP5_SQL,
+    "op6_decontamination": OP6_SQL,
+    "op9_substring_dedup": OP9_SQL,
+    "op10_embedding_dedup": OP10_SQL,
+}
