@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.llm import bpe, decontamination, embedding_dedup, ngram_join, quality, substring_dedup, suffix_dedup
+from passagework.llm import bpe, decontamination, embedding_dedup, ngram_join, pii, quality, substring_dedup, suffix_dedup
 from passagework.session import write_once
 
 #: Least score of a document that counts as good.
@@ -21,6 +21,19 @@ def joined_hash(items) -> F.Column:
     return F.sha2(F.array_join(items, ",").cast("binary"), 256)
 
 
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: spans that rules prove, and those that boosted trees add."""
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    found = pii.find_pii(docs, pii.fit(docs))
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(number, pii.BASE), F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"))
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document by the ranks of a public vocabulary, and their bytes again."""
     import public_tokenizers
@@ -166,6 +179,7 @@ FROM embeddings JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reach GROU
 """
 
 QUERIES = {
+    "op2_pii": op2_pii,
     "op4_bpe": op4_bpe,
     "op5_ngram_join": op5_ngram_join,
     "op6_decontamination": op6_decontamination,
