@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.llm import bpe, decontamination, embedding_dedup, ngram_join, pii, quality, substring_dedup, suffix_dedup
+from passagework.llm import bpe, chat_format, decontamination, embedding_dedup, ngram_join, pii, quality, substring_dedup, suffix_dedup
 from passagework.session import write_once
 
 #: Least score of a document that counts as good.
@@ -21,6 +21,37 @@ def joined_hash(items) -> F.Column:
     return F.sha2(F.array_join(items, ",").cast("binary"), 256)
 
 
+def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation from the view of each of its participants."""
+    found = chat_format.rotate_perspectives(read(spark, folder, "conversations", "conv_id", "turn", "role", "text"))
+    spans = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
+    return found.select("conv_id", "speaker", "part", "n_messages", "rendered", F.array_join(spans, ",").alias("mask"))
+
+
+OP1_SQL = """
+WITH message AS (
+  SELECT conv_id, coalesce(nullif(role, ''), 'unknown') AS speaker, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(nullif(role, ''), 'unknown'),
+                            coalesce(text, '')) - 1 AS number
+  FROM conversations),
+view AS (SELECT DISTINCT conv_id, speaker FROM message WHERE speaker <> 'system'),
+piece AS (
+  SELECT v.conv_id, v.speaker, number // 64 AS part, number, m.speaker = v.speaker AS own,
+         '<|im_start|>' || CASE WHEN m.speaker = 'system' THEN 'system' WHEN m.speaker = v.speaker THEN 'assistant'
+           ELSE 'user name=' || m.speaker END || chr(10) AS head,
+         text || '<|im_end|>' AS body
+  FROM view v JOIN message m ON m.conv_id IS NOT DISTINCT FROM v.conv_id),
+placed AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
+      PARTITION BY conv_id, speaker, part ORDER BY number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    + length(head) AS begins FROM piece)
+SELECT conv_id, speaker, part, count(*) AS n_messages,
+       string_agg(head || body || chr(10), '' ORDER BY number) AS rendered,
+       coalesce(string_agg(begins::BIGINT || ':' || (begins + length(body))::BIGINT, ',' ORDER BY number) FILTER (own), '') AS mask
+FROM placed GROUP BY conv_id, speaker, part
+"""
+
+
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document: spans that rules prove, and those that boosted trees add."""
     docs = read(spark, folder, "documents", "doc_id", "text")
@@ -179,6 +210,7 @@ FROM embeddings JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reach GROU
 """
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op2_pii": op2_pii,
     "op4_bpe": op4_bpe,
     "op5_ngram_join": op5_ngram_join,
@@ -190,6 +222,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_chat_format": OP1_SQL,
     "op5_ngram_join": OP5_SQL,
     "op6_decontamination": OP6_SQL,
     "op9_substring_dedup": OP9_SQL,
