@@ -12,7 +12,7 @@ from passagework.catalog.common import (
 from passagework.functions.templates import chat_markup, strip_echo
 from passagework.functions.vectors import digit_embedding, load_digit_embedder
 from passagework.operators.chat import (
-    final_messages, fold, formatted_history_rows, history_rows, last_questions, rewrite_prompt, with_memory,
+    fold, formatted_history_rows, history_rows, last_questions, rewrite_prompt, with_memory,
 )
 from passagework.operators.generation import predict, with_defaults
 from passagework.plans.chat_chain import (
@@ -24,17 +24,21 @@ from passagework.session import write_once
 
 CONFIG = ChainConfig()
 NATIVE = expression_embedding(digit_embedding)
-# Small enough that some conversations of the tables exceed it.
+# Small enough that some conversations of the tables exceed it, which is reported.
 TIGHT = ChainConfig(generator=GeneratorConfig(context_tokens=500))
 
 
 def _conversations(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "conversations")
+    """The conversations, and every 64 of them once more as one long conversation."""
+    rows = table(spark, folder, "conversations")
+    long = rows.withColumns({
+        "conv_id": -1_000_000 - F.floor(F.col("conv_id") / 64), "turn": F.pmod("conv_id", F.lit(64)) * 1000 + F.col("turn")})
+    return rows.unionByName(long)
 
 
 def folded(spark: SparkSession, folder: str) -> DataFrame:
-    rows = fold(_conversations(spark, folder), 500)
-    return rows.select("conv_id", "n_messages", "n_tokens", F.to_json("messages").alias("messages"))
+    rows = fold(_conversations(spark, folder))
+    return rows.select("conv_id", "n_messages", "n_tokens", F.md5(F.to_json("messages")).alias("messages_md5"))
 
 
 def rewrites(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,14 +48,14 @@ def rewrites(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def branched(spark: SparkSession, folder: str) -> DataFrame:
-    """Every prefix of a conversation is a request of its own, so that the first ones have no history."""
+    """With every opening message as a conversation of its own, which has no history and needs no rewrite."""
     inputs = chat_inputs(_first_messages(spark, folder), CONFIG)
     return search_texts(inputs, load_stub_generator, CONFIG).select("conv_id", "search_text")
 
 
 def _first_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """User conversations as they are, and each opening message once more as a conversation of its own."""
-    rows = _conversations(spark, folder)
+    """Conversations as they are, and each opening message once more as a conversation of its own."""
+    rows = table(spark, folder, "conversations")
     openings = rows.filter("turn = 0").withColumn("conv_id", -F.col("conv_id") - 1)
     return rows.unionByName(openings)
 
@@ -77,10 +81,9 @@ def contexts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def final_prompts(spark: SparkSession, folder: str) -> DataFrame:
-    """Messages with the question itself as context: the shape of the prompt without retrieval."""
-    inputs = chat_inputs(_conversations(spark, folder), CONFIG)
-    messages = final_messages(F.col("question"), F.col("formatted_history"), F.col("question"))
-    return inputs.select("conv_id", F.to_json(messages).alias("messages"))
+    """The whole final messages, with the retrieved context."""
+    texts, hits = _retrieved(spark, folder)
+    return prompts(texts, hits, CONFIG).select("conv_id", F.md5(F.to_json("messages")).alias("messages_md5"))
 
 
 def full_chain(config: ChainConfig):
@@ -89,7 +92,8 @@ def full_chain(config: ChainConfig):
             _conversations(spark, folder), index_search(_index(spark, folder)), load_digit_embedder,
             load_stub_generator, config,
         )
-        return answered.select("conv_id", "search_text", "n_tokens", "overflow", "answer")
+        return answered.select(
+            "conv_id", "search_text", "n_tokens", "overflow", F.md5(F.to_json("messages")).alias("messages_md5"), "answer")
 
     return run
 
@@ -113,12 +117,10 @@ def _requests(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def memory(max_tokens: int):
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        rows = with_memory(_conversations(spark, folder), max_tokens)
-        return rows.select("conv_id", "turn", F.to_json("memory").alias("memory"))
-
-    return run
+def memory(spark: SparkSession, folder: str) -> DataFrame:
+    """For every message the prompt of all earlier ones and itself."""
+    rows = with_memory(_conversations(spark, folder), lambda earlier, m: F.md5(F.concat(F.to_json(earlier), m["text"])))
+    return rows.select("conv_id", "turn", "n_earlier", F.col("prompt").alias("prompt_md5"))
 
 
 QUERIES = {
@@ -136,8 +138,7 @@ QUERIES = {
     "r9_full_chain": full_chain(CONFIG),
     "r9_full_chain_tight_context": full_chain(TIGHT),
     "r11_review_records": review_records,
-    "c8_memory": memory(4096),
-    "c8_memory_tight_context": memory(200),
+    "c8_memory": memory,
     "l1_chat_markup": lambda s, d: _requests(s, d).select(
         "conv_id", "turn", chat_markup(F.col("system_prompt"), F.col("prompt")).alias("marked")),
     "l2_defaults": lambda s, d: with_defaults(_requests(s, d)).select(
@@ -150,90 +151,81 @@ QUERIES = {
             .otherwise(F.lit("no echo")), F.col("prompt")).alias("reply")),
 }
 
+_TALK = """talk AS (
+  SELECT * FROM conversations
+  UNION ALL SELECT -1000000 - conv_id // 64, conv_id % 64 * 1000 + turn, role, text FROM conversations)"""
 _ORDERED = """ordered AS (
-  SELECT conv_id, list({'turn': turn, 'role': role, 'text': text} ORDER BY turn) AS m, max(turn) AS last_turn,
-         sum(TOKENS)::BIGINT AS n_tokens FROM conversations GROUP BY 1),
-inputs AS (
-  SELECT conv_id, n_tokens, m[-1].text AS question, m[:-2] AS history FROM ordered),
+  SELECT conv_id, list({'turn': turn, 'role': role, 'text': text} ORDER BY turn) AS m FROM talk GROUP BY 1),
+inputs AS (SELECT conv_id, m[-1].text AS question, m[:-2] AS history FROM ordered),
 shaped AS (
-  SELECT conv_id, n_tokens, question, len(history) AS n_history,
+  SELECT conv_id, question, len(history) AS n_history,
     list_transform(history, lambda x: {'role': x.role, 'text': x.text}) AS h,
     list_transform(list_filter(history, lambda x: x.role IN ('user', 'assistant')),
-      lambda x: {'role': x.role, 'text': x.text}) AS f FROM inputs)""".replace("TOKENS", sql_tokens("text"))
+      lambda x: {'role': x.role, 'text': x.text}) AS f FROM inputs)"""
 _REWRITE = """('Earlier messages: ' || to_json(h)::VARCHAR || chr(10) || 'Last message: ' || question || chr(10)
   || 'Search text:')"""
 
 
-def _sql_texts(limit: int) -> str:
-    return f"""{_ORDERED},
-fitting AS (SELECT * FROM shaped WHERE n_tokens <= {limit}),
-texts AS (SELECT *, CASE WHEN n_history > 0 THEN {sql_stub(_REWRITE)} ELSE question END AS search_text FROM fitting)"""
-
-
-def _sql_hits(limit: int) -> str:
-    keyed = f"SELECT {sql_id('key', 'chunk_pos')} AS id, content AS text FROM chunks"
-    return f"""WITH RECURSIVE {sql_chunks("SELECT doc_id AS key, text FROM documents")},
-{_sql_texts(limit)},
-{sql_vectors('idx', keyed)}, {sql_vectors('qry', 'SELECT conv_id AS id, search_text AS text FROM texts')},
+_TEXTS = f"""{_ORDERED},
+texts AS (SELECT *, CASE WHEN n_history > 0 THEN {sql_stub(_REWRITE)} ELSE question END AS search_text FROM shaped)"""
+_KEYED = f"SELECT {sql_id('key', 'chunk_pos')} AS id, content AS text FROM chunks"
+_HITS = f"""WITH RECURSIVE {sql_chunks("SELECT doc_id AS key, text FROM documents")},
+{_TALK}, {_TEXTS},
+{sql_vectors('idx', _KEYED)}, {sql_vectors('qry', 'SELECT conv_id AS id, search_text AS text FROM texts')},
 {sql_nearest('idx', 'qry')},
 keyed AS (SELECT {sql_id('key', 'chunk_pos')} AS id, key AS url, content FROM chunks),
 found AS (SELECT query_id AS conv_id, rank, id, content, url, score FROM hits JOIN keyed USING (id)),
 contexts AS (
   SELECT conv_id, string_agg('Source text: ' || content || chr(10), '' ORDER BY rank) AS context FROM found GROUP BY 1)"""
-
-
-def _sql_chain(limit: int) -> str:
-    system = """('Use only these source texts.' || chr(10) || coalesce(context, '') || chr(10) || 'The user asks: '
+_SYSTEM = """('Use only these source texts.' || chr(10) || coalesce(context, '') || chr(10) || 'The user asks: '
       || question)"""
-    return f"""{_sql_hits(limit)},
+_BUILT = f"""{_HITS},
 built AS (
-  SELECT t.conv_id, search_text, list_concat(list_concat([{{'role': 'system', 'text': {system}}}], f),
+  SELECT t.conv_id, search_text, list_concat(list_concat([{{'role': 'system', 'text': {_SYSTEM}}}], f),
     [{{'role': 'user', 'text': question}}]) AS m
-  FROM texts t LEFT JOIN contexts USING (conv_id)),
-counted AS (
-  SELECT conv_id, search_text, m AS final, list_sum(list_transform(m, lambda x: {sql_tokens('x.text')}))::BIGINT AS n FROM built)
-SELECT o.conv_id, search_text, coalesce(n, n_tokens) AS n_tokens, coalesce(n + 100 > {limit}, TRUE) AS overflow,
-  CASE WHEN n + 100 <= {limit} THEN {sql_stub('to_json(final)::VARCHAR')} END AS answer
-FROM ordered o LEFT JOIN counted USING (conv_id)"""
+  FROM texts t LEFT JOIN contexts USING (conv_id))"""
 
 
-def _sql_memory(limit: int) -> str:
-    before = "OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    return f"""SELECT conv_id, turn, CASE WHEN coalesce(n, 0) <= {limit} THEN to_json(coalesce(m, []))::VARCHAR END AS memory
-      FROM (SELECT conv_id, turn, sum({sql_tokens('text')}) {before} AS n,
-              list({{'turn': turn, 'role': role, 'text': text}}) {before} AS m FROM conversations)"""
+def _sql_chain(limit: int) -> str:
+    return f"""{_BUILT},
+counted AS (
+  SELECT conv_id, search_text, m AS final, list_sum(list_transform(m, lambda x: {sql_tokens('x.text')}))::BIGINT AS n FROM built)
+SELECT conv_id, search_text, n AS n_tokens, n + 100 > {limit} AS overflow, md5(to_json(final)::VARCHAR) AS messages_md5,
+  {sql_stub('to_json(final)::VARCHAR')} AS answer
+FROM counted"""
 
 
 _MARKED = """'<s>[INST]<<SYS>>' || chr(10) || role || chr(10) || '<</SYS>>' || chr(10) || chr(10) || chr(10) || text
   || '[/INST]' || chr(10)"""
 
 ORACLES = {
-    "r0_folded_requests": f"""SELECT conv_id, count(*) AS n_messages, sum({sql_tokens('text')})::BIGINT AS n_tokens,
-      CASE WHEN sum({sql_tokens('text')}) <= 500 THEN
-        to_json(list({{'turn': turn, 'role': role, 'text': text}} ORDER BY turn))::VARCHAR END AS messages
-      FROM conversations GROUP BY 1""",
-    "r1_last_question": "SELECT conv_id, arg_max(text, turn) AS question FROM conversations GROUP BY 1",
+    "r0_folded_requests": f"""WITH {_TALK}
+      SELECT conv_id, count(*) AS n_messages, sum({sql_tokens('text')})::BIGINT AS n_tokens,
+        md5(to_json(list({{'turn': turn, 'role': role, 'text': text}} ORDER BY turn))::VARCHAR) AS messages_md5
+      FROM talk GROUP BY 1""",
+    "r1_last_question": f"WITH {_TALK} SELECT conv_id, arg_max(text, turn) AS question FROM talk GROUP BY 1",
     "r1_last_user_question":
-        "SELECT conv_id, arg_max(text, turn) AS question FROM conversations WHERE role = 'user' GROUP BY 1",
-    "r2_history": """SELECT * FROM conversations c
-      WHERE turn < (SELECT max(turn) FROM conversations d WHERE d.conv_id = c.conv_id)""",
-    "r3_formatted_history": """SELECT conv_id, turn, CASE role WHEN 'user' THEN 'human' ELSE 'ai' END AS tag, text
-      FROM conversations c WHERE role IN ('user', 'assistant')
-      AND turn < (SELECT max(turn) FROM conversations d WHERE d.conv_id = c.conv_id)""",
-    "r4_rewrite_prompt": f"""WITH {_ORDERED}
+        f"WITH {_TALK} SELECT conv_id, arg_max(text, turn) AS question FROM talk WHERE role = 'user' GROUP BY 1",
+    "r2_history": f"""WITH {_TALK} SELECT * FROM talk c
+      WHERE turn < (SELECT max(turn) FROM talk d WHERE d.conv_id = c.conv_id)""",
+    "r3_formatted_history": f"""WITH {_TALK}
+      SELECT conv_id, turn, CASE role WHEN 'user' THEN 'human' ELSE 'ai' END AS tag, text
+      FROM talk c WHERE role IN ('user', 'assistant')
+      AND turn < (SELECT max(turn) FROM talk d WHERE d.conv_id = c.conv_id)""",
+    "r4_rewrite_prompt": f"""WITH {_TALK}, {_ORDERED}
       SELECT conv_id, CASE WHEN n_history > 0 THEN {_REWRITE} END AS prompt FROM shaped""",
-    "r5_branched_rewrite": f"""WITH {_sql_texts(4096)} SELECT conv_id, search_text FROM texts
+    "r5_branched_rewrite": f"""WITH {_TALK.split('UNION ALL')[0]}), {_TEXTS} SELECT conv_id, search_text FROM texts
       UNION ALL SELECT -conv_id - 1, text FROM conversations WHERE turn = 0""",
-    "r6_retrieved_chunks": f"{_sql_hits(4096)} SELECT conv_id, rank, id, content, url, score FROM found",
-    "r7_context": f"{_sql_hits(4096)} SELECT conv_id, md5(context) AS context_md5 FROM contexts",
-    "r8_final_prompt": f"""WITH {_ORDERED}
-      SELECT conv_id, to_json(list_concat(list_concat([{{'role': 'system', 'text': question}}], f),
-        [{{'role': 'user', 'text': question}}]))::VARCHAR AS messages FROM shaped""",
+    "r6_retrieved_chunks": f"{_HITS} SELECT conv_id, rank, id, content, url, score FROM found",
+    "r7_context": f"{_HITS} SELECT conv_id, md5(context) AS context_md5 FROM contexts",
+    "r8_final_prompt": f"{_BUILT} SELECT conv_id, md5(to_json(m)::VARCHAR) AS messages_md5 FROM built",
     "r9_full_chain": _sql_chain(4096),
     "r9_full_chain_tight_context": _sql_chain(500),
-    "r11_review_records": f"{_sql_hits(4096)} SELECT conv_id, rank, id, content, url FROM found",
-    "c8_memory": _sql_memory(4096),
-    "c8_memory_tight_context": _sql_memory(200),
+    "r11_review_records": f"{_HITS} SELECT conv_id, rank, id, content, url FROM found",
+    "c8_memory": f"""WITH {_TALK} SELECT conv_id, turn, len(coalesce(m, []))::BIGINT AS n_earlier,
+        md5(to_json(coalesce(m, []))::VARCHAR || text) AS prompt_md5
+      FROM (SELECT conv_id, turn, text, list({{'turn': turn, 'role': role, 'text': text}}) OVER (
+              PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM talk)""",
     "l1_chat_markup": f"SELECT conv_id, turn, {_MARKED} AS marked FROM conversations",
     "l2_defaults": """SELECT conv_id, turn, CASE WHEN role = 'system' THEN 1.0 ELSE 0.5 END::DOUBLE AS temperature,
       CASE WHEN role = 'system' THEN 100 ELSE turn + 10 END::BIGINT AS max_new_tokens FROM conversations""",

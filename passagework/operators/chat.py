@@ -1,23 +1,24 @@
 """Conversations: questions, histories, prompts and memory.
 
-Conversations arrive as rows ``conv_id, turn, role, text``. Everything that needs no folding works on rows and holds
-for a conversation of any length. Only what a model must receive in one piece is folded to an array, and only up to
-the model's context: a longer conversation could not be sent, so its group never has to be collected. It stays in the
-result, with its size and a NULL in place of the array.
+Conversations arrive as rows ``conv_id, turn, role, text``; a turn occurs once in a conversation. Everything that needs
+no folding works on rows. What a model must receive in one piece is folded to one record per conversation, whatever its
+length, out of ordered runs, so no task sorts a whole long conversation. Whether a record fits the model's context is
+reported and never changes it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passagework.functions.templates import fill
 from passagework.functions.text import tokens
 from passagework.operators.chunking import CONTEXT_TOKENS
-from passagework.session import HOT_ROWS, join_lookup, write_once
 
-# Pieces that a very long conversation is cut into while its first messages are found.
-MEMORY_PIECES = 1024
+# Turns of a conversation that are put in order at a time.
+RUN_TURNS = 256
 
 
 def message_tokens(text: Column) -> Column:
@@ -35,15 +36,19 @@ def conversation_sizes(messages: DataFrame) -> DataFrame:
 
 
 def last_questions(messages: DataFrame, rule: str = "last") -> DataFrame:
-    """``conv_id, question``: the text of the last message, or with ``last_user`` of the last user message."""
+    """``conv_id, question``: the text of the last message, or with ``last_user`` of the last user message.
+
+    Only turns are aggregated; the text comes by a join on conversation and turn, a key that is never hot.
+    """
     asked = messages if rule == "last" else messages.filter(F.col("role") == "user")
-    return asked.groupBy("conv_id").agg(F.max_by("text", "turn").alias("question"))
+    last = asked.groupBy("conv_id").agg(F.max("turn").alias("turn"))
+    return asked.join(last, ["conv_id", "turn"]).select("conv_id", F.col("text").alias("question"))
 
 
 def history_rows(messages: DataFrame) -> DataFrame:
-    """All messages but the last of each conversation, as rows."""
+    """All messages but the last of each conversation, as rows in any order; the turn is their position."""
     last = messages.groupBy("conv_id").agg(F.max("turn").alias("_last"))
-    return join_lookup(messages, last, ["conv_id"], salt_by="turn").filter(F.col("turn") < F.col("_last")).drop("_last")
+    return messages.join(last, "conv_id").filter(F.col("turn") < F.col("_last")).drop("_last")
 
 
 def formatted_history_rows(messages: DataFrame) -> DataFrame:
@@ -52,19 +57,22 @@ def formatted_history_rows(messages: DataFrame) -> DataFrame:
     return history_rows(messages).withColumn("tag", tag).filter(F.col("tag").isNotNull())
 
 
-def fold(messages: DataFrame, max_tokens: int = CONTEXT_TOKENS) -> DataFrame:
+def fold(messages: DataFrame) -> DataFrame:
     """``conv_id, n_messages, n_tokens, messages``: one row per conversation, messages in order of turn.
 
-    ``messages`` is NULL above ``max_tokens``. A message counts at least one token, so no collected group has more
-    than ``max_tokens`` messages; longer conversations leave before the shuffle that gathers the texts.
+    Runs of turns are gathered and ordered first, then the runs, so a long conversation is ordered by many tasks.
     """
-    sizes = write_once(conversation_sizes(messages).drop("last_turn"))
-    over = sizes.filter(F.col("n_tokens") > max_tokens).select("conv_id")
-    fitting = join_lookup(messages, over, ["conv_id"], salt_by="turn", how="left_anti")
-    folded = fitting.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("messages")
+    runs = messages.groupBy("conv_id", F.floor(F.col("turn") / RUN_TURNS).alias("run")).agg(
+        F.count("*").alias("n"),
+        F.sum(message_tokens(F.col("text"))).alias("n_tokens"),
+        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("messages"),
+    )
+    return runs.groupBy("conv_id").agg(
+        F.sum("n").alias("n_messages"),
+        F.sum("n_tokens").alias("n_tokens"),
+        F.flatten(F.transform(
+            F.array_sort(F.collect_list(F.struct("run", "messages"))), lambda r: r["messages"])).alias("messages"),
     )
-    return sizes.join(folded, "conv_id", "left")
 
 
 def question_of(messages: Column, rule: str = "last") -> Column:
@@ -123,37 +131,13 @@ def context_check(
     return sizes.select("conv_id", "n_tokens", (F.col("n_tokens") + max_new_tokens <= context_tokens).alias("fits"))
 
 
-def with_memory(messages: DataFrame, max_tokens: int = CONTEXT_TOKENS, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Every message with the array of all earlier messages of its conversation in ``memory``.
+def with_memory(messages: DataFrame, prompt: Callable[[Column, Column], Column]) -> DataFrame:
+    """``conv_id, turn, n_earlier, prompt``: every message with the prompt made from it and all earlier ones.
 
-    ``memory`` is NULL where the earlier messages have more than ``max_tokens`` tokens. Since a message counts at
-    least one token, only the first messages of a conversation qualify, so a gathered group is small even if the
-    conversation holds a large share of all rows.
+    ``prompt`` gets the array of earlier messages and the message. The ordered history is held once per conversation and
+    sliced while a prompt is filled, so only prompts leave the row.
     """
-    earlier = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    memory = F.collect_list(F.struct("turn", "role", "text")).over(earlier)
-
-    long = write_once(conversation_sizes(messages).filter(F.col("n_tokens") > max_tokens))
-    if long.isEmpty():
-        return messages.withColumn("memory", memory)
-
-    pieces = long.select("conv_id", F.when(F.col("n_messages") > hot_rows, MEMORY_PIECES).otherwise(1).alias("_pieces"))
-    marked = join_lookup(messages, pieces, ["conv_id"], salt_by="turn", how="left", hot_rows=hot_rows)
-    whole = marked.filter(F.col("_pieces").isNull()).drop("_pieces")
-    cut = marked.filter(F.col("_pieces").isNotNull())
-
-    # Keys only: the first messages of each piece of a conversation, then the first of the whole conversation.
-    in_piece = Window.partitionBy("conv_id", "_piece").orderBy("turn")
-    first = (
-        cut.select("conv_id", "turn", F.pmod(F.xxhash64("turn"), "_pieces").alias("_piece"),
-                   message_tokens(F.col("text")).alias("_tokens"))
-        .withColumn("_n", F.row_number().over(in_piece)).filter(F.col("_n") <= max_tokens + 1)
-    )
-    before = F.coalesce(F.sum("_tokens").over(earlier), F.lit(0))
-    fitting = first.withColumn("_before", before).filter(F.col("_before") <= max_tokens)
-    parts = cut.drop("_pieces").join(
-        fitting.select("conv_id", "turn", F.lit(True).alias("_fits")), ["conv_id", "turn"], "left"
-    )
-    head = parts.filter(F.col("_fits")).drop("_fits").unionByName(whole).withColumn("memory", memory)
-    rest = parts.filter(F.col("_fits").isNull()).drop("_fits")
-    return head.unionByName(rest.withColumn("memory", F.lit(None).cast(head.schema["memory"].dataType)))
+    filled = F.transform("messages", lambda m, i: F.struct(
+        m["turn"].alias("turn"), i.cast("bigint").alias("n_earlier"),
+        prompt(F.slice("messages", F.lit(1), i), m).alias("prompt")))
+    return fold(messages).select("conv_id", F.explode(filled).alias("m")).select("conv_id", "m.*")

@@ -31,11 +31,8 @@ Search = Callable[[DataFrame, int, list[str]], DataFrame]
 
 
 def chat_inputs(conversations: DataFrame, config: ChainConfig = ChainConfig()) -> DataFrame:
-    """``conv_id, n_tokens, question, history, formatted_history``: one row per conversation.
-
-    All but the first two are NULL for a conversation that exceeds the model's context.
-    """
-    folded = fold(check_columns(conversations, CONVERSATIONS), config.generator.context_tokens)
+    """``conv_id, n_tokens, question, history, formatted_history``: one row per conversation of any length."""
+    folded = fold(check_columns(conversations, CONVERSATIONS))
     messages = F.col("messages")
     return folded.select(
         "conv_id", "n_tokens",
@@ -89,30 +86,24 @@ def retrieve(
 def prompts(texts: DataFrame, hits: DataFrame, config: ChainConfig = ChainConfig()) -> DataFrame:
     """Add ``context``, the final ``messages``, their ``n_tokens`` and ``overflow`` to every conversation.
 
-    A conversation overflows if its messages and the answer exceed the context. Nothing is shortened.
+    ``overflow`` reports that messages and answer exceed the model's context. Nothing is shortened or left out for it.
     """
     r, g = config.retriever, config.generator
     context = format_context(hits, "conv_id", r.text_col, r.uri_col, r.passage_template)
     joined = texts.join(context, "conv_id", "left")
     system = fill(g.system_template, context=F.col("context"), question=F.col("question"))
-    messages = F.when(
-        F.col("formatted_history").isNotNull(),
-        final_messages(system, F.col("formatted_history"), F.col("question")),
-    )
-    built = joined.withColumn("messages", messages).withColumn(
-        "n_tokens", F.coalesce(messages_tokens(F.col("messages")), F.col("n_tokens"))
-    )
-    overflow = F.col("messages").isNull() | (F.col("n_tokens") + g.max_new_tokens > g.context_tokens)
-    return built.withColumn("overflow", overflow)
+    built = joined.withColumn("messages", final_messages(system, F.col("formatted_history"), F.col("question")))
+    built = built.withColumn("n_tokens", messages_tokens(F.col("messages")))
+    return built.withColumn("overflow", F.col("n_tokens") + g.max_new_tokens > g.context_tokens)
 
 
 def answers(
     prompted: DataFrame, load_generator: Callable[[], Generator], config: ChainConfig = ChainConfig()
 ) -> DataFrame:
-    """Add ``answer``: the model's reply to the messages as JSON. NULL for conversations that overflow."""
+    """Add ``answer``: the model's reply to the messages as JSON, for every conversation."""
     g = config.generator
     asked = prompted.withColumns({
-        "prompt": F.when(~F.col("overflow"), F.to_json("messages")),
+        "prompt": F.to_json("messages"),
         "system_prompt": F.lit(""),
         "temperature": F.lit(g.temperature),
         "max_new_tokens": F.lit(g.max_new_tokens).cast("bigint"),

@@ -1,9 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from passagework import session
 from passagework.functions.vectors import digit_embedding, load_digit_embedder
-from passagework.operators import chat
 from passagework.operators.chat import (
     context_check, final_messages, fold, format_context, formatted_history_of, formatted_history_rows, history_of,
     history_rows, last_questions, question_of, rewrite_prompt, with_memory,
@@ -37,16 +35,22 @@ def test_questions(messages):
         (1, "why?"), (2, "single"), (3, "then what"), (4, "a b c")}
 
 
-@pytest.mark.parametrize("small_rows,hot_rows", [(1000, 1000), (0, 1000), (0, 2)])
-def test_history_with_hot_conversations(messages, monkeypatch, small_rows, hot_rows):
-    join = lambda *a, **o: session.join_lookup(*a, **{**o, "small_rows": small_rows, "hot_rows": hot_rows})
-    monkeypatch.setattr(chat, "join_lookup", join)
+def test_history(messages):
     assert pairs(history_rows(messages), "conv_id", "turn") == {(1, 0), (1, 1), (1, 2), (3, 0), (4, 0), (4, 5)}
     assert pairs(formatted_history_rows(messages), "conv_id", "turn", "tag") == {
         (1, 1, "human"), (1, 2, "ai"), (4, 0, "human")}
-    assert pairs(fold(messages, 3), "conv_id", "n_tokens") == {(1, 6), (2, 1), (3, 3), (4, 6), (5, 1)}
-    folded = fold(messages, 3).withColumn("n", F.size("messages"))
-    assert pairs(folded, "conv_id", "n") == {(1, None), (2, 1), (3, 2), (4, None), (5, 1)}
+
+
+def test_fold_keeps_long_conversations(spark, messages):
+    assert pairs(fold(messages).withColumn("n", F.size("messages")), "conv_id", "n_tokens", "n") == {
+        (1, 6, 4), (2, 1, 1), (3, 3, 2), (4, 6, 3), (5, 1, 1)}
+    long = spark.range(3000).select(
+        F.lit(7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"),
+        F.concat(F.lit("word " * 9), F.col("id").cast("string")).alias("text")).repartition(5)
+    row = fold(long).first()
+    assert (row["n_messages"], row["n_tokens"]) == (3000, 30_000)
+    assert [m["turn"] for m in row["messages"]] == list(range(3000))
+    assert last_questions(long).first()["question"].endswith("2999")
 
 
 def test_folded_columns(messages):
@@ -81,17 +85,15 @@ def test_context_check(messages):
     assert (4, False) in pairs(context_check(messages, 3, 8), "conv_id", "fits")
 
 
-@pytest.mark.parametrize("max_tokens", [0, 1, 3, 5, 100])
-@pytest.mark.parametrize("hot_rows", [1, 1000])
-def test_memory(messages, max_tokens, hot_rows):
-    got = {(r["conv_id"], r["turn"]): r["memory"] for r in with_memory(messages, max_tokens, hot_rows).collect()}
+def test_memory(messages):
+    got = {(r["conv_id"], r["turn"]): r for r in with_memory(
+        messages, lambda earlier, m: F.concat(F.to_json(F.transform(earlier, lambda e: e["turn"])), F.coalesce(m["text"], F.lit("-")))
+    ).collect()}
     assert set(got) == {row[:2] for row in ROWS}
-    for conv, turn, _, _ in ROWS:
-        earlier = [r for r in ROWS if r[0] == conv and r[1] < turn]
-        if sum(max(1, len((r[3] or "").split())) for r in earlier) > max_tokens:
-            assert got[conv, turn] is None
-        else:
-            assert [tuple(m) for m in got[conv, turn]] == [r[1:] for r in earlier]
+    for conv, turn, _, text in ROWS:
+        earlier = [r[1] for r in ROWS if r[0] == conv and r[1] < turn]
+        assert got[conv, turn]["n_earlier"] == len(earlier)
+        assert got[conv, turn]["prompt"] == "[" + ",".join(map(str, earlier)) + "]" + (text if text is not None else "-")
 
 
 def test_final_messages(messages):
@@ -120,7 +122,7 @@ def test_chain(spark, messages):
     assert set(got) == {1, 2, 3, 4, 5}
     assert got[2]["answer"] == '[{"role":"system","text":"S <single>"},{"role":"user","text":"single"}]'
     assert got[3]["search_text"] == "then what" and "<then what>" in got[3]["answer"]
-    assert got[1]["overflow"] and got[1]["answer"] is None and got[1]["n_tokens"] > 6
+    assert got[1]["overflow"] and "why?" in got[1]["answer"] and got[1]["n_tokens"] > 6
     assert pairs(hits, "conv_id", "rank", "url") >= {(2, 1, "u2"), (3, 1, "u3")}
 
 
