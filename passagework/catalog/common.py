@@ -62,7 +62,11 @@ def noise(text: str) -> F.Column:
 
 def sql_id(*parts: str) -> str:
     joined = " || '#' || ".join(f"{p}::VARCHAR" for p in parts)
-    return f"('0x' || substr(md5({joined}), 1, 15))::BIGINT"
+    return f"md5({joined})"
+
+
+def sql_bucket(key: str, buckets: str) -> str:
+    return f"(('0x' || substr(md5({key}::VARCHAR), 1, 15))::BIGINT % {buckets})"
 
 
 def sql_tokens(text: str) -> str:

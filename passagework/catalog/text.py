@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagework.catalog.common import (
-    noise, plain, sql_chunks, sql_clean, sql_id, sql_noise, sql_tokens, sql_vectors, table,
+    noise, plain, sql_bucket, sql_chunks, sql_clean, sql_id, sql_noise, sql_tokens, sql_vectors, table,
 )
 from passagework.functions.text import (
     PAGE_BREAK, clean_pages, clean_text, collapse_whitespace, join_hyphenated, sentences, split_pages,
@@ -72,12 +72,20 @@ def embed_native(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def embed_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Chunks written twice under the same keys and streamed after each write: embedded and stored once."""
+    """Chunks streamed twice, the second time with other French texts; a second source has the pages' texts."""
     work = scratch_dir(spark)
-    for mode in ("append", "overwrite"):
-        _chunks(spark, folder).write.mode(mode).parquet(f"{work}/chunks")
-        stream = spark.readStream.schema(spark.read.parquet(f"{work}/chunks").schema).parquet(f"{work}/chunks")
-        sync_embeddings(stream, f"{work}/sync", f"{work}/checkpoint", load_digit_embedder, "doc_id")
+
+    def sync(rows: DataFrame, name: str, mode: str, url: str) -> None:
+        rows.write.mode(mode).parquet(f"{work}/{name}")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{work}/{name}")
+        sync_embeddings(stream, f"{work}/sync", f"{work}/checkpoint-{name}", load_digit_embedder, url)
+
+    first = _chunks(spark, folder)
+    sync(first, "chunks", "append", "doc_id")
+    changed = F.when(F.col("lang") == "fr", F.concat(F.col("content"), F.lit(" fin"))).otherwise(F.col("content"))
+    sync(first.withColumn("content", changed), "chunks", "overwrite", "doc_id")
+    pages = table(spark, folder, "pages").select(F.concat(F.lit("page "), "page_id").alias("url"), "url", F.col("url").alias("text"))
+    sync(chunk_rows(pages.toDF("path", "address", "text").drop("address"), "text", "path"), "pages", "append", "path")
     return _dimensions(read_sync_table(spark, f"{work}/sync"), "id")
 
 
@@ -111,8 +119,7 @@ QUERIES = {
     "e1_embed_native": embed_native,
     "e4_embed_stream": embed_stream,
     "e6_request_payloads": lambda s, d: request_payloads(_documents(s, d), "doc_id", "text").select(
-        "bucket", "batch", "n_rows", F.md5(F.array_join(F.expr("from_json(payload, 'index array<bigint>').index"), ","))
-        .alias("keys_md5")),
+        "bucket", "batch", "n_rows", F.md5("payload").alias("payload_md5")),
 }
 
 _DOC_CHUNKS = sql_chunks("SELECT doc_id AS key, text FROM documents")
@@ -162,11 +169,16 @@ ORACLES = {
     "e1_embed_udf": _VECTORS,
     "e1_embed_native": _VECTORS,
     "e4_embed_stream": f"""WITH RECURSIVE {_DOC_CHUNKS},
-      {sql_vectors('vec', f"SELECT {sql_id('key', 'chunk_pos')} AS id, content AS text FROM chunks")}
+      rows AS (
+        SELECT {sql_id('key', 'chunk_pos')} AS id, CASE WHEN lang = 'fr' THEN content || ' fin' ELSE content END AS text
+        FROM chunks JOIN documents ON doc_id = key
+        UNION ALL SELECT {sql_id("'page ' || page_id", '0')}, url FROM pages),
+      {sql_vectors('vec', "SELECT id, text FROM rows")}
       SELECT id, dim, v FROM vec""",
     "e6_request_payloads": f"""WITH b AS (SELECT greatest(1, (count(*) + 2399) // 2400) AS n FROM documents),
-      k AS (SELECT doc_id, {sql_id('doc_id')} % n AS bucket FROM documents, b),
+      k AS (SELECT doc_id, text, {sql_bucket('doc_id', 'n')} AS bucket FROM documents, b),
       r AS (SELECT *, (row_number() OVER (PARTITION BY bucket ORDER BY doc_id) - 1) // 150 AS batch FROM k)
       SELECT bucket::BIGINT AS bucket, batch::BIGINT AS batch, count(*) AS n_rows,
-        md5(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id)) AS keys_md5 FROM r GROUP BY 1, 2""",
+        md5(to_json({{'columns': ['text'], 'index': list(doc_id ORDER BY doc_id), 'data': list([text] ORDER BY doc_id)}})
+          ::VARCHAR) AS payload_md5 FROM r GROUP BY 1, 2""",
 }

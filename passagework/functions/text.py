@@ -97,9 +97,14 @@ def sentences(cleaned: Column) -> Column:
 
 
 def stable_id(*parts: Column) -> Column:
-    """BIGINT key made from its parts alone: the first 15 hex digits of the MD5 of ``a#b#...``.
+    """STRING key made from its parts alone: the 32 hex digits of the MD5 of ``a#b#...``.
 
-    Needs no global counter, and a rerun gives every row the same key.
+    Needs no global counter, and a rerun gives every row the same key. All 128 bits are kept: at some 1e10 keys
+    64 bits would already collide.
     """
-    digest = F.md5(F.concat_ws("#", *[p.cast("string") for p in parts]))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    return F.md5(F.concat_ws("#", *[p.cast("string") for p in parts]))
+
+
+def hash_bucket(key: Column, buckets: Column) -> Column:
+    """Number of the bucket of a key, by the first 60 bits of its MD5."""
+    return F.pmod(F.conv(F.substring(F.md5(key.cast("string")), 1, 15), 16, 10).cast("bigint"), buckets)

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from passagework.functions.text import stable_id
+from passagework.functions.text import hash_bucket
 
 Embedder = Callable[[list[str]], list[list[float]]]
 
@@ -70,7 +70,7 @@ def request_payloads(df: DataFrame, key_col: str, text_col: str, max_call: int =
     buckets = F.lit(max(1, -(-df.count() // (16 * max_call))))
     numbered = (
         df.select(F.col(key_col).alias("key"), F.col(text_col).alias("text"))
-        .withColumn("bucket", F.pmod(stable_id(F.col("key")), buckets))
+        .withColumn("bucket", hash_bucket(F.col("key"), buckets))
         .withColumn("pos", F.row_number().over(Window.partitionBy("bucket").orderBy("key")) - 1)
         .withColumn("batch", F.floor(F.col("pos") / max_call))
     )

@@ -29,7 +29,17 @@ BLOCK_BYTES = 64 << 20
 # Cells of a score matrix computed at once.
 MATRIX_CELLS = 4_000_000
 
-HITS = "query_id bigint, id bigint, score double"
+
+
+def hits_schema(index: DataFrame) -> str:
+    return f"query_id bigint, id {index.schema['id'].dataType.simpleString()}, score double"
+
+
+def _ids(column: pa.Array) -> np.ndarray:
+    """Keys of a batch: numbers, or the bytes of texts, which sort as the texts do."""
+    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        return np.array([v.encode() for v in column.to_pylist()], dtype=np.bytes_)
+    return column.to_numpy()
 
 
 class Scorer(Protocol):
@@ -58,7 +68,7 @@ class BestHits:
         self.k, self.digits = k, digits
         self.slack = 10.0 ** -digits
         self.score = np.full((n_queries, k), -np.inf)
-        self.id = np.full((n_queries, k), np.iinfo(np.int64).max)
+        self.id = np.zeros((n_queries, k), dtype=np.int64)  # of no meaning where the score is -inf
 
     def offer(self, ids: np.ndarray, scores: np.ndarray, query_at: np.ndarray) -> None:
         """Merge a score matrix of shape (rows, queries).
@@ -74,6 +84,8 @@ class BestHits:
         row, col = np.nonzero(keep)
         if not len(row):
             return
+        if ids.dtype.kind == "S" and (self.id.dtype.kind != "S" or self.id.dtype.itemsize < ids.dtype.itemsize):
+            self.id = self.id.astype(ids.dtype)
         touched, slot = np.unique(col, return_inverse=True)
         held = query_at[touched]
         slots = np.concatenate([np.repeat(np.arange(len(held)), self.k), slot])
@@ -85,10 +97,14 @@ class BestHits:
         self.score[held] = new_score[picked].reshape(-1, self.k)
         self.id[held] = new_id[picked].reshape(-1, self.k)
 
-    def table(self, query_ids: np.ndarray) -> pa.Table:
+    def table(self, query_ids: np.ndarray, text: bool = False) -> pa.Table:
         row, col = np.nonzero(self.score > -np.inf)
-        columns = [query_ids[row], self.id[row, col], self.score[row, col]]
-        return pa.table([pa.array(c) for c in columns], names=["query_id", "id", "score"])
+        found = self.id[row, col]
+        if text:
+            ids = pa.array([v.decode() for v in found.tolist()] if len(found) else [], type=pa.string())
+        else:
+            ids = pa.array(found)
+        return pa.table([pa.array(query_ids[row]), ids, pa.array(self.score[row, col])], names=["query_id", "id", "score"])
 
 
 class _Block:
@@ -110,7 +126,7 @@ class _Block:
         """Score a batch of index rows. Rows without feature are left out here: a filter on a computed feature
         would be pushed down and compute it twice."""
         batch = batch.filter(pc.is_valid(batch.column("feature")))
-        ids = batch.column("id").to_numpy()
+        ids = _ids(batch.column("id"))
         rows = self.scorer.rows(batch.column("feature"))
         usable = np.nonzero(self.scorer.usable(rows))[0]
         if self.by_match is None:
@@ -146,20 +162,22 @@ def _positions(values: pa.Array, at: np.ndarray) -> dict[Any, np.ndarray]:
 def _scan(index: DataFrame, queries: DataFrame, k: int, scorer: Scorer) -> DataFrame:
     """Score the whole index in place against one broadcast block of queries."""
     block = index.sparkSession.sparkContext.broadcast(queries.toArrow())
+    text = index.schema["id"].dataType.simpleString() == "string"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = _Block(block.value, scorer, k)
         for batch in batches:
             state.add(batch)
-        yield from state.best.table(state.ids).to_batches()
+        yield from state.best.table(state.ids, text).to_batches()
 
-    return index.mapInArrow(score, HITS)
+    return index.mapInArrow(score, hits_schema(index))
 
 
 def _grid(
     index: DataFrame, queries: DataFrame, k: int, scorer: Scorer, size: Column, hit_bytes: int, block_bytes: int
 ) -> DataFrame:
     """Score block against block. Blocks are hashes of unique keys, counted per match value."""
+    text = index.schema["id"].dataType.simpleString() == "string"
     if "match" not in index.columns:
         index = index.withColumn("match", F.lit(0))
         queries = queries.withColumn("match", F.lit(0))
@@ -190,13 +208,13 @@ def _grid(
 
     def score(rows: pa.Table, cols: pa.Table) -> pa.Table:
         if not rows.num_rows or not cols.num_rows:
-            return BestHits(0, k).table(np.empty(0, dtype=np.int64))
+            return BestHits(0, k).table(np.empty(0, dtype=np.int64), text)
         state = _Block(cols.select(["query_id", "feature"]), scorer, k)
         for batch in rows.combine_chunks().to_batches(max_chunksize=65_536):
             state.add(batch)
-        return state.best.table(state.ids)
+        return state.best.table(state.ids, text)
 
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, HITS)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, hits_schema(index))
 
 
 def best_matches(
@@ -204,8 +222,8 @@ def best_matches(
 ) -> tuple[DataFrame, int]:
     """The k best index rows per query, ``query_id, rank, id, score``, ties by lower id; and an upper bound of hits.
 
-    ``index`` has ``id, feature`` and ``queries`` has ``query_id, feature``, both perhaps with ``match``; keys are
-    BIGINT. A query may come with several match values, one row each. ``size`` gives the bytes of a feature. Rows
+    ``index`` has ``id, feature`` and ``queries`` has ``query_id, feature``, both perhaps with ``match``; a
+    query's key is BIGINT, an index row's BIGINT or STRING. A query may come with several match values, one row each. ``size`` gives the bytes of a feature. Rows
     with a NULL feature have no hits and are none.
     """
     if k < 1:

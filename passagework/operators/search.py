@@ -12,6 +12,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from passagework.functions.text import clean_text
 from passagework.functions.vectors import norm
@@ -109,8 +110,13 @@ class SharedTokenScorer:
         return np.where(shared > 0, shared, -np.inf)
 
 
+def _key(df: DataFrame, name: str) -> Column:
+    """A key as it is if it is text, else as BIGINT."""
+    return F.col(name) if isinstance(df.schema[name].dataType, T.StringType) else F.col(name).cast("bigint")
+
+
 def _side(df: DataFrame, key: str, name: str, feature: Column, match_col: str | None) -> DataFrame:
-    columns = [F.col(key).cast("bigint").alias(name), feature.alias("feature")]
+    columns = [_key(df, key).alias(name), feature.alias("feature")]
     if match_col:
         columns.append(F.col(match_col).alias("match"))
     out = df.select(*columns)
@@ -129,7 +135,7 @@ def _with_columns(
     extra = [c for c in columns if c not in (id_col, "id")]
     if not extra:
         return hits
-    details = index.select(F.col(id_col).cast("bigint").alias("id"), *extra)
+    details = index.select(_key(index, id_col).alias("id"), *extra)
     if at_most <= SMALL_TABLE_ROWS:
         joined = details.join(F.broadcast(hits), "id")
     else:

@@ -22,7 +22,7 @@ CHUNKS = T.StructType([
 ])
 
 SYNC_TABLE = T.StructType([
-    T.StructField("id", T.LongType()),
+    T.StructField("id", T.StringType()),
     T.StructField("url", T.StringType()),
     T.StructField("content", T.StringType()),
     T.StructField("embedding", T.ArrayType(T.FloatType())),

@@ -1,24 +1,35 @@
-"""Incremental embedding: a stream of chunks to the sync table."""
+"""Incremental embedding: streams of chunks to the sync table."""
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagework.functions.text import stable_id
 from passagework.operators.embedding import Embedder, embed
 from passagework.schemas import SYNC_TABLE
-from passagework.session import is_small
 
+_STORED = "id string, url string, content string, embedding array<float>, content_hash string, version bigint"
 
-def new_rows(batch: DataFrame, known: DataFrame, key: str = "id") -> DataFrame:
-    """Rows of a batch whose key is not known yet. The big side is not shuffled while the batch is small."""
-    keys = batch.select(key).distinct()
-    if is_small(keys):
-        known = known.select(key).join(F.broadcast(keys), key, "left_semi")
-    return batch.dropDuplicates([key]).join(known.select(key), key, "left_anti")
+
+def _content_hash() -> Column:
+    return F.md5(F.coalesce("content", F.lit("")))
+
+
+def changed_rows(batch: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of a batch that are new or whose content differs from the newest stored row of their key.
+
+    A key that stands in a batch with several contents keeps the one with the greatest hash, so a repeated batch gives the
+    same rows. Only keys and hashes of the stored rows are read.
+    """
+    hashed = batch.withColumn("content_hash", _content_hash())
+    one = hashed.groupBy("id").agg(F.max("content_hash").alias("content_hash"))
+    fresh = one.join(known.select("id", "content_hash"), ["id", "content_hash"], "left_anti")
+    return hashed.dropDuplicates(["id", "content_hash"]).join(fresh, ["id", "content_hash"], "left_semi")
 
 
 def sync_embeddings(
@@ -26,27 +37,45 @@ def sync_embeddings(
 ) -> None:
     """Embed the chunks that arrived since the last run and append them to the Parquet table at ``path``.
 
-    The key is made from address and position, and rows whose key the table already has are left out before the
-    model is called: chunks that were written again under the same key are not embedded or stored twice. Each
-    batch owns the folder ``batch=N``, which a repeated batch replaces, so a retry leaves no duplicates either.
+    The key is made from address and position. A row reaches the model if its key is new or its content differs from
+    what the table shows for the key; the newest row of a key wins when the table is read. Every query (a checkpoint that
+    is started anew is another one) and batch owns the folder ``source=Q/batch=N``, which a repeated batch replaces: a
+    retry leaves no duplicates, and several sources can feed one table.
     """
     spark = chunks.sparkSession
     rows = chunks.select(
         stable_id(F.col(url_col), F.col("chunk_pos")).alias("id"), F.col(url_col).cast("string").alias("url"), "content"
     )
+    started = threading.Event()
+    source: list[str] = []
 
     def write(batch: DataFrame, number: int) -> None:
-        before = read_sync_table(batch.sparkSession, path).filter(F.col("batch") != number)
-        fresh = embed(new_rows(batch, before), "content", load_embedder).select(*SYNC_TABLE.names)
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        started.wait()
+        own = (F.col("source") == source[0]) & (F.col("batch") == number)
+        stored = _stored(batch.sparkSession, path).filter(~own)
+        newest = stored.agg(F.max("version")).first()[0] or 0
+        version = max(time.time_ns() // 1000, newest + 1)
+        fresh = embed(changed_rows(batch, _newest(stored)), "content", load_embedder)
+        fresh = fresh.withColumn("version", F.lit(version)).select(*SYNC_TABLE.names, "content_hash", "version")
+        fresh.write.mode("overwrite").parquet(f"{path}/source={source[0]}/batch={number}")
+
+    spark.createDataFrame([], _STORED).write.mode("ignore").parquet(f"{path}/source=none/batch=-1")
+    query = rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(write).start()
+    source.append(str(query.id))
+    started.set()
+    query.awaitTermination()
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{_STORED}, source string, batch bigint").option("basePath", path).parquet(path)
+
 
-    spark.createDataFrame([], SYNC_TABLE).write.mode("ignore").parquet(f"{path}/batch=-1")
-    rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(
-        write
-    ).start().awaitTermination()
+def _newest(stored: DataFrame) -> DataFrame:
+    """The newest row per key: numbers are aggregated, rows come by a join on key and version."""
+    last = stored.groupBy("id").agg(F.max("version").alias("version"))
+    return stored.join(last, ["id", "version"])
 
 
 def read_sync_table(spark: SparkSession, path: str) -> DataFrame:
-    """The sync table with the number of the batch that wrote each row."""
-    schema = SYNC_TABLE.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
-    return spark.read.schema(f"{schema}, batch bigint").option("basePath", path).parquet(path)
+    """The newest row of every key, with the source and batch that wrote it."""
+    return _newest(_stored(spark, path)).select(*SYNC_TABLE.names, "source", "batch")

@@ -97,6 +97,21 @@ def test_rewritten_chunks_are_embedded_once(spark, tmp_path):
     assert run(chunks("a", "b", "c"), "append") == (3, 3)
     assert run(chunks("a", "b", "c"), "overwrite") == (3, 3)
     assert run(chunks("a", "b", "c", "d"), "overwrite") == (4, 4)
+    # other content under a known key is embedded and shown
+    assert run(chunks("a", "B new", "c", "d"), "overwrite") == (4, 5)
+    shown = {r["url"]: (r["content"], sum(r["embedding"])) for r in read_sync_table(spark, str(tmp_path / "sync")).collect()}
+    assert shown["u1"] == ("B new", 2.0)
+
+    # a second source, and a checkpoint that is started anew, replace no rows of others
+    other = chunk_rows(spark.createDataFrame([("x", "other")], "path string, t string"), "t", "path")
+    other.write.parquet(str(tmp_path / "other"))
+    for checkpoint in ("cp2", "cp3"):
+        stream = spark.readStream.schema(other.schema).parquet(str(tmp_path / "other"))
+        sync_embeddings(stream, str(tmp_path / "sync"), str(tmp_path / checkpoint), load)
+    assert {r["url"] for r in read_sync_table(spark, str(tmp_path / "sync")).collect()} == {"u0", "u1", "u2", "u3", "x"}
+    # back to an earlier content
+    assert run(chunks("a", "b", "c", "d"), "overwrite")[0] == 5
+    assert {r["content"] for r in read_sync_table(spark, str(tmp_path / "sync")).collect()} == {"a", "b", "c", "d", "other"}
 
 
 def test_index_refresh_embeds_only_changes(spark, tmp_path):
