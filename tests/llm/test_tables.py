@@ -1,0 +1,174 @@
+"""Chat formatting, embeddings, components and the pipeline against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from passagework.llm import chat_format, embedding_dedup, ngram_join, pii, quality, queries
+from passagework.llm.graph import connected_components
+from passagework.session import write_once
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def components(edges):
+    root = {x: x for e in edges for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {x: find(x) for x in root}
+
+
+def test_connected_components(spark):
+    rnd = random.Random(1)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(rnd.randrange(60), rnd.randrange(60)) for _ in range(40)] + [(7, 7), (900, 900)]
+    df = spark.createDataFrame(edges + [(None, 4)], "a long, b long")
+    assert {r["node"]: r["component"] for r in connected_components(df).collect()} == components(edges)
+    assert connected_components(df.limit(0)).count() == 0
+
+
+# chat
+
+
+def test_chat_parts_and_masks(spark):
+    rows = [(1, i, f"s{i % 3}", f"text é {i}") for i in range(300)] + [(1, 5, "s2", "text é 5")] * 3
+    rows += [(2, 0, "system", "be kind"), (2, 1, "a", None), (2, 1, "a", ""), (2, None, None, "first <|im_end|>"), (2, 2, "", "x")]
+    rows += [(3, 0, "system", "alone"), (None, 0, "a", "no id"), (4, 0, "b", "long " * 30_000)]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string").withColumns(
+        {n: F.lit(1) for n in ("conv", "part", "number", "view")})
+    found = chat_format.rotate_perspectives(df).orderBy("conv_id", "speaker", "part").collect()
+    whole = {}
+    for r in found:
+        assert r["n_messages"] <= 64
+        whole.setdefault((r["conv_id"], r["speaker"]), []).append(r)
+    expected = {}
+    for conv in {r[0] for r in rows}:
+        mine = sorted(((t is not None, t or 0, s or "unknown", x or "") for c, t, s, x in rows if c == conv))
+        for view in {m[2] for m in mine} - {"system"}:
+            text, own = "", []
+            for _, _, s, x in mine:
+                who = "system" if s == "system" else "assistant" if s == view else f"user name={s}"
+                text += f"<|im_start|>{who}\n{x}<|im_end|>\n"
+                own += [x + "<|im_end|>"] if s == view else []
+            expected[conv, view] = (text, own)
+    assert set(whole) == set(expected)
+    for key, parts in whole.items():
+        assert "".join(p["rendered"] for p in parts) == expected[key][0]
+        assert [p["rendered"][m["start"]:m["end"]] for p in parts for m in p["mask"]] == expected[key][1]
+    assert chat_format.rotate_perspectives(df.limit(0)).count() == 0
+
+
+# embeddings
+
+
+def near_vectors(seed=2):
+    rng = np.random.default_rng(seed)
+    rows, at = [], 0
+    for label in (0, 1, None):
+        for k in (1, 1, 1, 2, 3, 40, 150):
+            base = rng.normal(size=16)
+            for _ in range(k):
+                rows.append((at, [float(x) for x in base + rng.normal(size=16) * 0.06 * (k > 1)], label))
+                at += 1
+    same = [1.0] + [0.0] * 15
+    rows += [(at, same, 0), (at + 1, same, 0), (at + 2, [2.0] + [0.0] * 15, 0), (at + 3, same, 1), (at + 3, same, 1),
+             (at + 4, [0.0] * 16, 0), (at + 5, None, 0), (at + 6, [None] + [1.0] * 15, 0), (at + 7, [float("nan")] * 16, 0),
+             (at + 8, [float("inf")] * 16, 0), (at + 9, [], 0), (None, same, 0), (at + 10, [1.0, 0.0], 0), (at + 11, [1.0, 0.0], 0),
+             (at + 12, [1e300] + [0.0] * 15, 0)]
+    return rows
+
+
+def links_of(rows):
+    good = [(i, np.array(v, dtype=float) / max(map(abs, v)), g) for i, (k, v, g) in enumerate(rows)
+            if g is not None and k is not None and v and None not in v and np.isfinite(v).all() and any(v)]
+    out = set()
+    for i, a, g in good:
+        for j, b, h in good:
+            if i != j and g == h and len(a) == len(b) and a @ b / np.sqrt((a @ a) * (b @ b)) >= 0.98:
+                out.add((i, j))
+    return out
+
+
+@pytest.mark.parametrize("limits", [{}, {"shard": 40, "max_shard": 64, "probes": 2}])
+def test_embedding_dedup(spark, limits):
+    rows = near_vectors()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4).withColumn("node", F.lit(1))
+    found = sorted((tuple(r)[:5] for r in embedding_dedup.link_vectors(df, **limits).collect()), key=str)
+    assert found[0][4] >= 0.9
+    links = links_of(rows)
+    have = sum(r[1] for r in found)
+    assert 0.97 * len(links) <= have <= len(links)
+    assert all(kept == (v == c) for v, _, c, kept, _ in found)
+    if not limits:
+        root = components([(r[0], r[0]) for r in rows if r[0] is not None] + [(rows[i][0], rows[j][0]) for i, j in links])
+        count = {i: 0 for i in range(len(rows))}
+        for i, _ in links:
+            count[i] += 1
+        expected = sorted(((r[0], count[i], root.get(r[0])) for i, r in enumerate(rows)), key=str)
+        assert sorted((r[:3] for r in found), key=str) == expected
+    assert embedding_dedup.link_vectors(df.limit(0)).count() == 0
+
+
+# pipeline
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").unionByName(spark.createDataFrame(
+        [(None, "A text without an id, which is kept.", "en", "s", 36), (9_001, None, None, None, None), (9_002, "", "en", "s", 0),
+         (3, "one two three", "en", "s", 13), (9_003, "write to me@mail.example.com or +1 (375) 555-4393 now", "en", "s", 53)],
+        "doc_id long, text string, lang string, source string, n_chars long"))
+    docs = write_once(docs.withColumns({n: F.lit(n) for n in ("score", "n_words", "items", "spans", "base", "node", "a.b")}))
+    tables = [("", docs)]
+    for name, stage in corpus_pipeline.STAGES:
+        tables.append((name, write_once(stage(spark, tables[-1][1], FOLDER))))
+    return tables
+
+
+def test_stages_keep_columns(stages):
+    for name, df in stages[1:-1]:
+        assert df.schema.names == stages[0][1].schema.names, name
+        assert df.select("score", "items", "`a.b`").distinct().collect() == [("score", "items", "a.b")]
+
+
+def test_stage_decisions(spark, stages):
+    tables = dict(stages)
+    sorted_ids = {n: sorted((r[0] for r in df.select("doc_id").collect()), key=str) for n, df in stages}
+    good = {r["doc_id"] for r in queries.op7_quality(spark, FOLDER).collect() if r["predicted"]}
+    assert len(good & set(sorted_ids["quality"])) > 0.97 * len(good)
+    found = ngram_join.similar_documents(tables["quality"])
+    first = {r["doc_id"] for r in found.collect() if r["doc_id"] is not None and r["doc_id"] == r["component_id"]}
+    assert set(sorted_ids["near_duplicates"]) - {None} == first
+    assert sorted_ids["near_duplicates"].count(None) == sorted_ids["quality"].count(None)
+    flat = [r["text"] for r in tables["pii"].collect()]
+    assert not any(pii.re_check(t) for t in flat if t) if hasattr(pii, "re_check") else True
+    texts = {r["doc_id"]: r for r in tables["pii"].collect()}
+    if 9_003 in texts:
+        assert texts[9_003]["text"] == "write to [EMAIL] or [PHONE] now" and texts[9_003]["n_chars"] == 31
+    assert len(sorted_ids["pii"]) == len(sorted_ids["decontamination"]) == len(sorted_ids["tokens"])
+    assert tables["tokens"].filter("NOT exact OR n_tokens <> size(ids)").count() == 0
+
+
+def test_pipeline_on_an_empty_table(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = write_once(stage(spark, docs, FOLDER))
+        assert docs.count() == 0
+
+
+def test_run(spark):
+    rows = corpus_pipeline.run(spark, FOLDER).collect()
+    assert rows and all(r["exact"] for r in rows)
+
+
+def test_quality_names():
+    assert len(quality.STATS) == len(set(quality.STATS))
