@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.llm import bpe, chat_format, decontamination, embedding_dedup, ngram_join, pii, quality, substring_dedup, suffix_dedup
+from passagework.llm import bpe, chat_format, decontamination, embedding_dedup, license_scan, ngram_join, pii, quality, substring_dedup, suffix_dedup
 from passagework.session import write_once
 
 #: Least score of a document that counts as good.
@@ -65,6 +65,15 @@ def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
         pii.listed(F.col("spans")).alias("spans"))
 
 
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence families named in every document, and the number of paragraphs that do."""
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    found = license_scan.scan_licenses(docs, license_scan.fit(docs))
+    return found.select(
+        "doc_id", F.size("licenses").cast("bigint").alias("n_paragraphs"),
+        F.array_join(F.array_sort(F.array_distinct("licenses.family")), ",").alias("families"))
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document by the ranks of a public vocabulary, and their bytes again."""
     import public_tokenizers
@@ -212,6 +221,7 @@ FROM embeddings JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reach GROU
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_pii": op2_pii,
+    "op3_license_scan": op3_license_scan,
     "op4_bpe": op4_bpe,
     "op5_ngram_join": op5_ngram_join,
     "op6_decontamination": op6_decontamination,
