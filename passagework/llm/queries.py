@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.llm import bpe, chat_format, decontamination, embedding_dedup, license_scan, ngram_join, pii, quality, substring_dedup, suffix_dedup
+from passagework.llm import (
+    bpe, chat_format, decontamination, embedding_dedup, license_scan, ngram_join, pii, quality, substring_dedup, suffix_dedup,
+)
 from passagework.session import write_once
 
 #: Least score of a document that counts as good.
