@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagework.catalog.common import (
-    load_echo_generator, load_stub_generator, plain, sql_chunks, sql_id, sql_nearest, sql_stub, sql_tokens,
+    load_echo_generator, load_stub_generator, plain, spread_table, sql_chunks, sql_id, sql_nearest, sql_stub, sql_tokens,
     sql_vectors, table,
 )
 from passagework.functions.templates import chat_markup, strip_echo
@@ -61,7 +61,7 @@ def _first_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _index(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select(F.col("doc_id").alias("url"), "text")
+    documents = spread_table(spark, folder, "documents").select(F.col("doc_id").alias("url"), "text")
     return embedded_chunks(documents, "text", "url", NATIVE)
 
 

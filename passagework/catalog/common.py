@@ -15,8 +15,12 @@ KEYS = {"documents": "doc_id", "pages": "page_id"}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread(df, KEYS[name]) if name in KEYS else df
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of texts, dealt to all cores before costly work."""
+    return spread(table(spark, folder, name), KEYS[name])
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -14,16 +14,16 @@ from passagework.operators.compose import (
 
 def two_stage(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand")
-    first = prompt_step(rows, "Who makes {p_name}?", load_stub_generator, "maker")
-    return prompt_step(first, "Where is {maker}? Answer for {p_brand}.", load_stub_generator, "place").select(
-        "p_partkey", "place")
+    first = prompt_step(rows, "Describe a use of the part {p_name}.", load_stub_generator, "use")
+    return prompt_step(first, "Estimate a price for {use} by {p_brand}", load_stub_generator, "price").select(
+        "p_partkey", "price")
 
 
 def several(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "text")
     return fan_out(
-        rows, {"joke": "A joke on: {text}", "poem": "Two lines on: {text}"}, load_stub_generator
-    ).select("conv_id", "turn", "joke", "poem")
+        rows, {"summary": "Sum up the message: {text}", "subject": "Name the subject of: {text}"}, load_stub_generator
+    ).select("conv_id", "turn", "summary", "subject")
 
 
 def passed_along(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,7 +44,7 @@ def passed_along(spark: SparkSession, folder: str) -> DataFrame:
 def lengths(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "part").select(
         "p_partkey", F.length("p_name").alias("a"), (F.length("p_name") * F.length("p_brand")).alias("b"))
-    return rows.select("p_partkey", fill("what is {a} + {b}", a="a", b="b").alias("prompt"))
+    return rows.select("p_partkey", fill("name of {a} letters, {b} with its brand", a="a", b="b").alias("prompt"))
 
 
 def routed(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,20 +81,20 @@ QUERIES = {
         "event_id", normalise_label(F.concat(F.lit(" \t"), F.upper("event_type"), F.lit("\n"))).alias("label")),
 }
 
-_MAKER = sql_stub("('Who makes ' || p_name || '?')")
+_USE = sql_stub("('Describe a use of the part ' || p_name || '.')")
 _TOPIC = sql_stub("('Name the kind of: ' || event_type)")
 
 ORACLES = {
     "c1_template": """SELECT p_partkey, '{' || p_name || '} by ' || p_brand || ', size ' || p_size || ': ' || p_name
       AS filled FROM part""",
-    "c2_two_stage_chain": f"""SELECT p_partkey, {sql_stub("('Where is ' || maker || '? Answer for ' || p_brand || '.')")}
-      AS place FROM (SELECT *, {_MAKER} AS maker FROM part)""",
-    "c3_fan_out": f"""SELECT conv_id, turn, {sql_stub("('A joke on: ' || text)")} AS joke,
-      {sql_stub("('Two lines on: ' || text)")} AS poem FROM conversations""",
+    "c2_two_stage_chain": f"""SELECT p_partkey, {sql_stub("('Estimate a price for ' || use || ' by ' || p_brand)")}
+      AS price FROM (SELECT *, {_USE} AS use FROM part)""",
+    "c3_fan_out": f"""SELECT conv_id, turn, {sql_stub("('Sum up the message: ' || text)")} AS summary,
+      {sql_stub("('Name the subject of: ' || text)")} AS subject FROM conversations""",
     "c4_pass_and_assign": """SELECT l_orderkey, l_linenumber::BIGINT AS num, l_linenumber::BIGINT AS extra_num,
       (l_linenumber * 3)::BIGINT AS mult, (l_linenumber + 1)::BIGINT AS modified FROM lineitem""",
-    "c5_field_lengths": """SELECT p_partkey, 'what is ' || length(p_name) || ' + ' || length(p_name) * length(p_brand)
-      AS prompt FROM part""",
+    "c5_field_lengths": """SELECT p_partkey, 'name of ' || length(p_name) || ' letters, ' || length(p_name) * length(p_brand)
+      || ' with its brand' AS prompt FROM part""",
     "c6_route": """SELECT event_id, lower(event_type) AS label, CASE WHEN event_type = 'purchase' THEN 'sales'
       WHEN event_type = 'error' THEN 'support' WHEN event_type = 'click' THEN 'usage' ELSE 'general' END AS branch
       FROM events""",

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeansModel
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagework.catalog.common import (
-    plain, sql_chunks, sql_clean, sql_id, sql_nearest, sql_vectors, table,
+    plain, spread_table, sql_chunks, sql_clean, sql_id, sql_nearest, sql_vectors, table,
 )
 from passagework.catalog.tables import _AFTER, _states
 from passagework.functions.vectors import digit_embedding, load_digit_embedder
@@ -15,13 +15,11 @@ from passagework.operators.index import build_index, read_index, refresh_index
 from passagework.operators.chunking import chunk_rows
 from passagework.operators.search import (
     approximate_search, assign_lists, keyword_search, probe_lists, share_scored, similarity_search,
-    train_lists,
 )
 from passagework.plans.retrieval import embedded_chunks, expression_embedding, model_embedding, nearest_chunks
 from passagework.session import scratch_dir
 
-N_LISTS = 16
-N_PROBE = 8
+N_PROBE = 3
 
 
 def _vectors(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -61,32 +59,37 @@ def refreshed_index(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("id", F.md5("content").alias("content_md5"), size.cast("bigint").alias("n_tokens"))
 
 
-def _lists(spark: SparkSession, folder: str) -> tuple[DataFrame, KMeansModel, DataFrame]:
+def _lists(spark: SparkSession, folder: str) -> tuple[DataFrame, np.ndarray, DataFrame]:
+    """Lists around the mean vector of each label."""
     index, queries = _vectors(spark, folder)
-    model = train_lists(index, N_LISTS)
-    return assign_lists(index, model), model, queries
+    parts = index.select("label", F.posexplode("embedding").alias("dim", "x"))
+    means = parts.groupBy("label", "dim").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    centres = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("dim", "x"))).alias("c")).orderBy("label")
+    table = np.array([[x for _, x in row["c"]] for row in centres.collect()])
+    return assign_lists(index, table), table, queries
 
 
-def approximate(n_probe: int):
+def approximate(n_probe: int | None):
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        listed, model, queries = _lists(spark, folder)
-        return plain(approximate_search(listed, model, queries, 3, n_probe))
+        listed, centres, queries = _lists(spark, folder)
+        return plain(approximate_search(listed, centres, queries, 3, n_probe or len(centres)))
 
     return run
 
 
 def approximate_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Share of the exact hits that the approximate search finds, and share of pairs it scores."""
-    listed, model, queries = _lists(spark, folder)
+    listed, centres, queries = _lists(spark, folder)
     exact = similarity_search(listed, queries, 3).select("query_id", "id")
-    found = approximate_search(listed, model, queries, 3, N_PROBE).select("query_id", "id", F.lit(1).alias("hit"))
+    found = approximate_search(listed, centres, queries, 3, N_PROBE).select("query_id", "id", F.lit(1).alias("hit"))
     recall = exact.join(found, ["query_id", "id"], "left").agg(F.avg(F.coalesce("hit", F.lit(0))).alias("recall"))
-    return recall.withColumn("share_scored", F.lit(share_scored(listed, probe_lists(queries, model, N_PROBE))))
+    scored = share_scored(listed, probe_lists(queries, centres, N_PROBE))
+    return recall.select(F.round("recall", 9).alias("recall"), F.round(F.lit(scored), 9).alias("share_scored"))
 
 
 def keyword(spark: SparkSession, folder: str) -> DataFrame:
     return plain(keyword_search(
-        table(spark, folder, "documents"), table(spark, folder, "benchmark"), 3, ["lang", "source"],
+        spread_table(spark, folder, "documents"), table(spark, folder, "benchmark"), 3, ["lang", "source"],
         id_col="doc_id", text_col="text", query_id_col="item_id", query_text_col="text",
     ))
 
@@ -94,7 +97,7 @@ def keyword(spark: SparkSession, folder: str) -> DataFrame:
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """For each benchmark passage, the three nearest chunks of the documents."""
     embedding = expression_embedding(digit_embedding)
-    chunks = embedded_chunks(table(spark, folder, "documents"), "text", "doc_id", embedding)
+    chunks = embedded_chunks(spread_table(spark, folder, "documents"), "text", "doc_id", embedding)
     found = nearest_chunks(
         chunks, table(spark, folder, "benchmark"), "item_id", "text", embedding, 3, ["doc_id", "chunk_pos", "content"]
     )
@@ -103,7 +106,7 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
 
 def text_index(spark: SparkSession, folder: str) -> DataFrame:
     """An index that computes its vectors from the text, searched with texts of the same model."""
-    documents = table(spark, folder, "documents").select(F.col("doc_id").alias("url"), "text")
+    documents = spread_table(spark, folder, "documents").select(F.col("doc_id").alias("url"), "text")
     chunks = chunk_rows(documents, "text", "url").select("id", F.col("url").cast("string").alias("url"), "content")
     index = build_index(chunks, f"{scratch_dir(spark)}/index", load_embedder=load_digit_embedder)
     found = nearest_chunks(
@@ -117,11 +120,12 @@ QUERIES = {
     "v1_vector_index": vector_index,
     "v2_refreshed_index": refreshed_index,
     "v3_similarity_search": _search(),
+    "v3_search_in_blocks": _search(block_bytes=64_000),
     "p5_search_columns": _search(columns=["label"]),
     "v4_filtered_search": _search(where="label = 3"),
     "v5_permission_search": _search(match=("label", "label")),
     "v6_approximate_search": approximate(N_PROBE),
-    "v6_approximate_all_lists": approximate(N_LISTS),
+    "v6_approximate_all_lists": approximate(None),
     "v6_approximate_quality": approximate_quality,
     "v7_keyword_search": keyword,
     "v8_text_index": text_index,
@@ -136,6 +140,20 @@ def _sql_search(condition: str = "TRUE", extra: str = "") -> str:
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= 3"""
 
 
+_LISTED = """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+      mean AS (SELECT label, dim, avg(x) AS x FROM (
+        SELECT label, generate_subscripts(v, 1) AS dim, unnest(v) AS x FROM e) GROUP BY ALL),
+      centre AS (SELECT label AS c, list(x ORDER BY dim) AS m FROM mean GROUP BY label),
+      near AS (SELECT vec_id, c, row_number() OVER (
+        PARTITION BY vec_id ORDER BY round(list_cosine_similarity(v, m), 6) DESC, c) AS n FROM e CROSS JOIN centre),
+      listed AS (SELECT vec_id, c FROM near WHERE n = 1),
+      probe AS (SELECT vec_id, c FROM near WHERE n <= 3),
+      pair AS (SELECT p.vec_id AS query_id, l.vec_id AS id FROM probe p JOIN listed l USING (c)),
+      scored AS (SELECT query_id, id, round(list_cosine_similarity(q.v, i.v), 6) AS score
+        FROM pair JOIN e q ON q.vec_id = query_id JOIN e i ON i.vec_id = id),
+      hits AS (SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM scored) WHERE rank <= 3)"""
+
 _CHUNKS = sql_chunks("SELECT doc_id AS key, text FROM documents")
 _KEYED = f"SELECT {sql_id('key', 'chunk_pos')} AS id, content AS text FROM chunks"
 _NEAREST = f"""WITH RECURSIVE {_CHUNKS},
@@ -153,9 +171,19 @@ ORACLES = {
     "v2_refreshed_index": f"""SELECT doc_id AS id, md5(text) AS content_md5,
       len(regexp_extract_all(text, '\\S+'))::BIGINT AS n_tokens FROM ({_AFTER})""",
     "v3_similarity_search": _sql_search(),
+    "v3_search_in_blocks": _search(block_bytes=64_000),
+    "v3_search_in_blocks": _sql_search(),
     "p5_search_columns": _sql_search(extra="label,"),
     "v4_filtered_search": _sql_search("i.label = 3"),
     "v5_permission_search": _sql_search("i.label = q.label"),
+    "v6_approximate_search": f"{_LISTED} SELECT query_id, rank, id, score FROM hits",
+    "v6_approximate_quality": f"""{_LISTED},
+      every AS (SELECT q.vec_id AS query_id, i.vec_id AS id, round(list_cosine_similarity(q.v, i.v), 6) AS score FROM e q, e i),
+      exact AS (SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM every) WHERE rank <= 3)
+      SELECT round(avg(CASE WHEN h.id IS NULL THEN 0 ELSE 1 END), 9) AS recall,
+        round((SELECT count(*) FROM probe JOIN listed USING (c)) / (SELECT count(*) * count(*) FROM e), 9) AS share_scored
+      FROM exact x LEFT JOIN hits h ON h.query_id = x.query_id AND h.id = x.id""",
     "v6_approximate_all_lists": _sql_search(),
     "v7_keyword_search": f"""WITH
       d AS (SELECT doc_id, unnest({_WORDS.format(sql_clean('text'))}) AS w FROM documents),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from passagework.operators.changes import latest_rows, latest_version, snapshot_
 from passagework.operators.extract import extract
 from passagework.session import scratch_dir
 from passagework.sources.files import scan_files, without_name
+from passagework.sources.tables import append_table, create_schema, create_table, overwrite_table
 from passagework.streaming.ingest import append_stream, ingest_files
 
 
@@ -72,7 +75,54 @@ def append_history(spark: SparkSession, folder: str) -> DataFrame:
     return plain(current.select("doc_id", "ingest", F.md5("text").alias("text_md5")))
 
 
+def _schema(spark: SparkSession) -> str:
+    """A new schema whose tables lie in the scratch folder."""
+    name = f"catalog_{uuid.uuid4().hex}"
+    create_schema(spark, name, scratch_dir(spark))
+    return name
+
+
+def overwritten(spark: SparkSession, folder: str) -> DataFrame:
+    """Two states of the documents in one table: the second replaces the first."""
+    name = f"{_schema(spark)}.documents"
+    for state in _states(spark, folder):
+        overwrite_table(state, name)
+    return spark.table(name).select("doc_id", F.md5("text").alias("text_md5"))
+
+
+def table_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Events appended in two parts to a table and read with a filter."""
+    name, events = f"{_schema(spark)}.events", table(spark, folder, "events").select("event_id", "event_type", "value")
+    for part in (events.filter("event_id % 2 = 0"), events.filter("event_id % 2 = 1")):
+        append_table(part, name)
+    return spark.table(name).filter("event_type = 'click'").select("event_id", "value")
+
+
+def streamed_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A table read as a stream into another one, in two runs over a growing table."""
+    schema, work = _schema(spark), scratch_dir(spark)
+    events = table(spark, folder, "events").select("event_id", "event_type")
+    for part in (events.filter("event_type = 'click'"), events.filter("event_type <> 'click'")):
+        append_table(part, f"{schema}.events")
+        append_stream(spark.readStream.table(f"{schema}.events"), f"{work}/checkpoint", table=f"{schema}.copied")
+    return spark.table(f"{schema}.copied")
+
+
+def created_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A table declared first, filled with rows of the declared columns."""
+    name = f"{_schema(spark)}.parts"
+    declared = table(spark, folder, "part").select("p_partkey", "p_name").schema
+    for _ in range(2):
+        create_table(spark, name, declared)
+    append_table(table(spark, folder, "part").select("p_partkey", "p_name"), name)
+    return spark.table(name)
+
+
 QUERIES = {
+    "s5_overwrite_table": overwritten,
+    "s7_table_scan": table_scan,
+    "s8_stream_table_scan": streamed_table,
+    "s9_create_table": created_table,
     "s1_binary_scan": binary_scan,
     "s2_incremental_ingest": incremental_ingest,
     "s3_exclude_by_name": lambda s, d: table(s, d, "documents")
@@ -100,6 +150,10 @@ _AFTER = """SELECT doc_id, CASE WHEN lang = 'fr' THEN text || ' fin' ELSE text E
   FROM documents WHERE lang <> 'es'"""
 
 ORACLES = {
+    "s5_overwrite_table": f"SELECT doc_id, md5(text) AS text_md5 FROM ({_AFTER})",
+    "s7_table_scan": "SELECT event_id, value FROM events WHERE event_type = 'click'",
+    "s8_stream_table_scan": "SELECT event_id, event_type FROM events",
+    "s9_create_table": "SELECT p_partkey, p_name FROM part",
     "s1_binary_scan": f"SELECT md5({sql_clean('text')}) AS page_md5, count(*) AS n FROM documents GROUP BY 1",
     "s2_incremental_ingest": """SELECT sum(strlen(text) + 1)::BIGINT AS n_bytes, count(*) AS n_pages,
       0::BIGINT AS n_repeated FROM documents""",

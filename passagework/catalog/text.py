@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagework.catalog.common import (
-    noise, plain, sql_bucket, sql_chunks, sql_clean, sql_id, sql_noise, sql_tokens, sql_vectors, table,
+    noise, plain, spread_table, sql_bucket, sql_chunks, sql_clean, sql_id, sql_noise, sql_tokens, sql_vectors, table,
 )
 from passagework.functions.text import (
     PAGE_BREAK, clean_pages, clean_text, collapse_whitespace, join_hyphenated, sentences, split_pages,
@@ -14,7 +14,7 @@ from passagework.functions.text import (
 )
 from passagework.functions.vectors import digit_embedding, load_digit_embedder
 from passagework.operators.chat import context_check
-from passagework.operators.chunking import chunk_report, chunk_rows, token_windows
+from passagework.operators.chunking import chunk_report, chunk_rows, token_windows, tokenizer_splitter
 from passagework.operators.embedding import embed, request_payloads
 from passagework.operators.extract import chunk_files, extract, rejects
 from passagework.session import scratch_dir
@@ -22,7 +22,7 @@ from passagework.streaming.embed_sync import read_sync_table, sync_embeddings
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    return spread_table(spark, folder, "documents")
 
 
 def _step(step):
@@ -91,7 +91,7 @@ def embed_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "t1_html_text": lambda s, d: extract(
-        table(s, d, "pages").select("page_id", F.encode("html", "UTF-8").alias("content")), "html"
+        spread_table(s, d, "pages").select("page_id", F.encode("html", "UTF-8").alias("content")), "html"
     ).select("page_id", F.md5(clean_pages(F.col("pages"))).alias("text_md5")),
     "t2a_collapse_whitespace": _step(collapse_whitespace),
     "t2b_join_hyphenated": _step(join_hyphenated),
@@ -109,6 +109,9 @@ QUERIES = {
         "doc_id", F.posexplode(sentences(clean_text(F.col("text")))).alias("pos", "sentence"))),
     "k3_token_count": lambda s, d: _documents(s, d).select(
         "doc_id", word_count(clean_text(F.col("text"))).cast("bigint").alias("n_tokens")),
+    "k3_tokenizer_chunks": lambda s, d: plain(chunk_rows(
+        _documents(s, d).select("doc_id", "text"), "text", "doc_id", tokenizer_splitter(lambda: lambda t: len(t.split(" ")))
+    ).select("doc_id", "chunk_pos", "content")),
     "k4_chunk_rows": lambda s, d: plain(_chunks(s, d).select("id", "doc_id", "lang", "source", "chunk_pos")),
     "k5_token_windows": lambda s, d: plain(chunk_rows(
         _documents(s, d).select("doc_id", "text"), "text", "doc_id", token_windows
@@ -154,6 +157,7 @@ ORACLES = {
         chr(1)), lambda x: x <> '') AS parts FROM documents)""",
     "k3_token_count": f"""SELECT doc_id, CASE WHEN c = '' THEN 0 ELSE len(string_split(c, ' ')) END::BIGINT AS n_tokens
       FROM (SELECT doc_id, {sql_clean('text')} AS c FROM documents)""",
+    "k3_tokenizer_chunks": f"WITH RECURSIVE {_DOC_CHUNKS} SELECT key AS doc_id, chunk_pos, content FROM chunks",
     "k4_chunk_rows": f"""WITH RECURSIVE {_DOC_CHUNKS}
       SELECT {sql_id('key', 'chunk_pos')} AS id, doc_id, lang, source, chunk_pos
       FROM chunks JOIN documents ON doc_id = key""",

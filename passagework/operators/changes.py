@@ -13,10 +13,16 @@ def latest_version(df: DataFrame, key: str, version_col: str) -> DataFrame:
 
 
 def latest_rows(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
-    """The last row per key by ``order_cols``, whole. Aggregated before the shuffle: one row per key and task."""
-    rest = [c for c in df.columns if c != key]
-    last = F.max_by(F.struct(*rest), F.struct(*order_cols)).alias("_row")
-    return df.groupBy(key).agg(last).select(key, "_row.*").select(*df.columns)
+    """The last row per key by ``order_cols``, whole; of rows that tie in all of them one stays.
+
+    Only keys and order columns are aggregated, by hash and before the shuffle; the rows come by a join on both.
+    """
+    found = df
+    for col in order_cols:
+        last = found.groupBy(F.col(key).alias("_key")).agg(F.max(col).alias("_last"))
+        same = F.col(key).eqNullSafe(F.col("_key")) & F.col(col).eqNullSafe(F.col("_last"))
+        found = found.join(last, same, "left_semi")
+    return found.dropDuplicates([key]).select(*df.columns)
 
 
 def content_hash(*columns: str) -> Column:
@@ -24,15 +30,20 @@ def content_hash(*columns: str) -> Column:
     return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
 
 
-def snapshot_changes(before: DataFrame, after: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """``key, change`` with ``insert``, ``update`` or ``delete``. Keys are unique on each side.
+def hash_changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """``key, change`` of two tables of ``key, content_hash``: ``insert``, ``update`` or ``delete``.
 
-    Only key and hash are shuffled, once per side; unique keys cannot skew.
+    Keys are unique on each side, so none can skew; only keys and hashes are shuffled, once per side.
     """
-    old = before.select(key, content_hash(*columns).alias("_old"))
-    new = after.select(key, content_hash(*columns).alias("_new"))
+    old = before.select(key, F.col("content_hash").alias("_old"))
+    new = after.select(key, F.col("content_hash").alias("_new"))
     change = (
         F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNull(), "delete")
         .when(F.col("_old") != F.col("_new"), "update")
     )
     return old.join(new, key, "full").select(key, change.alias("change")).filter(F.col("change").isNotNull())
+
+
+def snapshot_changes(before: DataFrame, after: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``key, change`` between two states of a table, by the hash of ``columns``."""
+    return hash_changes(*[df.select(key, content_hash(*columns).alias("content_hash")) for df in (before, after)], key)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -114,8 +113,9 @@ def tokenizer_splitter(
 ) -> Callable[[Column], Column]:
     """Splitter that counts with a real tokenizer instead of blanks; pass it as ``splitter`` to ``chunk_rows``.
 
-    ``load_tokenizer`` runs once per Python task and returns a function from a text to its token count. The
-    rules are those of ``chunk_text``; a single word above the limit is kept whole.
+    ``load_tokenizer`` runs once per Python task and returns a function from a text to its token count. The rules are
+    those of ``chunk_text``. No chunk counts more than ``size``, measured as a whole with its overlap, unless a single
+    character does: longer words are cut.
     """
     _check(size, overlap)
 
@@ -123,17 +123,25 @@ def tokenizer_splitter(
     def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         count = load_tokenizer()
 
+        def cut(word: str, limit: int) -> list[str]:
+            """Parts of a word within the limit, each as long as halving finds."""
+            out = []
+            while count(word) > limit and len(word) > 1:
+                n = len(word)
+                while n > 1 and count(word[:n]) > limit:
+                    n = (n + 1) // 2
+                out.append(word[:n])
+                word = word[n:]
+            return [*out, word] if word else out
+
         def pack(pieces: list[str], limit: int) -> list[str]:
-            out: list[list[str]] = []
-            filled = limit + 1
+            out: list[str] = []
             for piece in pieces:
-                n = count(piece)
-                if filled + n > limit:
-                    out.append([])
-                    filled = 0
-                out[-1].append(piece)
-                filled += n
-            return [" ".join(p) for p in out]
+                if out and count(f"{out[-1]} {piece}") <= limit:
+                    out[-1] += f" {piece}"
+                else:
+                    out.append(piece)
+            return out
 
         def one(found: list[str] | None) -> list[str] | None:
             if found is None:
@@ -141,17 +149,21 @@ def tokenizer_splitter(
             limit = size - overlap
             pieces: list[str] = []
             for s in found:
-                pieces += [s] if count(s) <= limit else pack(s.split(" "), limit)
+                if count(s) <= limit:
+                    pieces.append(s)
+                else:
+                    pieces += pack([part for word in s.split(" ") for part in cut(word, limit)], limit)
             packed = pack(pieces, limit)
-            tails = []
-            for body in packed:
+            out = packed[:1]
+            for before, body in zip(packed, packed[1:]):
                 tail: list[str] = []
-                for word in reversed(re.split(" ", body)):
-                    if count(" ".join([word, *tail])) > overlap:
+                for word in reversed(before.split(" ")):
+                    longer = [word, *tail]
+                    if count(" ".join(longer)) > overlap or count(" ".join([*longer, body])) > size:
                         break
-                    tail.insert(0, word)
-                tails.append(" ".join(tail))
-            return packed[:1] + [f"{t} {b}" if t else b for t, b in zip(tails, packed[1:])]
+                    tail = longer
+                out.append(" ".join([*tail, body]))
+            return out
 
         for found in batches:
             yield found.map(one)

@@ -1,7 +1,8 @@
-"""A vector table that follows its source: built once, refreshed with the changes only.
+"""A vector table that follows its source: built once, refreshed by the changes alone.
 
-Every state is a folder ``version=N`` below the index path. A folder counts once Spark has marked its write as
-complete, so readers never see half a version and a failed refresh leaves the old one in place.
+Every version is a folder ``version=N`` below the index path with the rows that changed: new and updated rows with their
+vectors and the hash of their content, and a mark for deleted keys. The newest row of a key counts. A folder counts once
+Spark has marked its write as complete, so readers never see half a version and a failed refresh changes nothing.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagework.functions.vectors import norm
-from passagework.operators.changes import snapshot_changes
+from passagework.operators.changes import content_hash, hash_changes
 from passagework.operators.embedding import Embedder, embed
 from passagework.session import write_once
 
@@ -33,12 +34,27 @@ def complete_versions(spark: SparkSession, path: str) -> list[int]:
     )
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """The latest complete version."""
+def _newest(spark: SparkSession, path: str, *columns: str) -> DataFrame:
+    """The newest row of every key that is not deleted, with ``columns`` only."""
     versions = complete_versions(spark, path)
     if not versions:
         raise FileNotFoundError(f"no complete index version below {path}")
-    return spark.read.parquet(f"{path}/{PREFIX}{versions[-1]}")
+    folders = [f"{path}/{PREFIX}{n}" for n in versions]
+    rows = spark.read.option("basePath", path).parquet(*folders)
+    if len(versions) > 1:
+        last = rows.groupBy("id").agg(F.max("version").alias("version"))
+        rows = rows.join(last, ["id", "version"])
+    return rows.filter("NOT deleted").select("id", *columns)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """The index as its latest complete version leaves it."""
+    return _newest(spark, path, "url", "content", "embedding", "norm")
+
+
+def _write_version(rows: DataFrame, path: str, number: int) -> None:
+    rows = rows.withColumns({"norm": norm(F.col("embedding")), "content_hash": content_hash("url", "content")})
+    rows.write.mode("overwrite").parquet(f"{path}/{PREFIX}{number}")
 
 
 def _vectors(rows: DataFrame, embedding_col: str | None, load_embedder: Callable[[], Embedder] | None) -> DataFrame:
@@ -62,7 +78,7 @@ def build_index(
     if complete_versions(spark, path):
         raise FileExistsError(f"{path} already holds an index")
     rows = _vectors(source, embedding_col, load_embedder)
-    rows.withColumn("norm", norm(F.col("embedding"))).write.mode("overwrite").parquet(f"{path}/{PREFIX}1")
+    _write_version(rows.withColumn("deleted", F.lit(False)), path, 1)
     return read_index(spark, path)
 
 
@@ -74,18 +90,24 @@ def refresh_index(
 ) -> DataFrame:
     """Bring an index in line with its source; returns the changes ``id, change``.
 
-    Only inserted and updated rows are embedded; others are copied with the vectors they have. Without changes no
-    version is written.
+    Only inserted and updated rows are embedded and written, deleted keys are marked; other rows stay in their files.
+    Of the index only keys and stored hashes are read. Without changes no version is written.
     """
     spark = source.sparkSession
-    current = read_index(spark, path)
-    changes = write_once(snapshot_changes(current, source, "id", ["url", "content"]))
+    known = _newest(spark, path, "content_hash")
+    changes = write_once(hash_changes(known, source.select("id", content_hash("url", "content").alias("content_hash")), "id"))
     if changes.isEmpty():
         return changes
     fresh = source.join(changes.filter(F.col("change") != "delete").select("id"), "id", "left_semi")
-    gone = changes.filter(F.col("change") != "insert").select("id")
     new = _vectors(fresh, embedding_col, load_embedder)
-    rows = current.join(gone, "id", "left_anti").unionByName(new.withColumn("norm", norm(F.col("embedding"))))
-    following = complete_versions(spark, path)[-1] + 1
-    rows.write.mode("overwrite").parquet(f"{path}/{PREFIX}{following}")
+    gone = changes.filter(F.col("change") == "delete").select(
+        "id", *[F.lit(None).cast(new.schema[c].dataType).alias(c) for c in ("url", "content", "embedding")])
+    rows = new.withColumn("deleted", F.lit(False)).unionByName(gone.withColumn("deleted", F.lit(True)))
+    _write_version(rows, path, complete_versions(spark, path)[-1] + 1)
     return changes
+
+
+def compact_index(spark: SparkSession, path: str) -> None:
+    """Write the whole index as one new version, after many refreshes. Older folders may then be removed."""
+    rows = read_index(spark, path).drop("norm").withColumn("deleted", F.lit(False))
+    _write_version(rows, path, complete_versions(spark, path)[-1] + 1)

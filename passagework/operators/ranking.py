@@ -1,13 +1,9 @@
 """Exact top-k of an index for many queries at once, without joining every query to every row.
 
-Each task scores a block of index rows against a block of queries as a matrix and keeps the best k per query, so
-pairs never become Spark rows: a task emits at most k rows per query. The queries reach the tasks
-
-- as one broadcast block, if their measured size is within ``BLOCK_BYTES``: the index is scanned once, no shuffle;
-- else as a grid: both sides are hashed into blocks of bounded size and every pair of blocks is one cogroup.
-
-With a match column a query only meets index rows that carry its value. In the grid, a value that many rows share
-is cut into as many blocks as it needs, so one hot value never lands in one task.
+Each task scores its index rows against a block of queries as a matrix and keeps the best k per query, so pairs never
+become Spark rows: a task emits at most k rows per query. Queries reach the tasks in broadcast blocks of at most
+``BLOCK_BYTES`` by measured size. The index is scanned in place once per block and never shuffled or copied; only hits move.
+With a match column a query only meets index rows that carry its value, however many rows share it.
 """
 
 from __future__ import annotations
@@ -21,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from passagework.session import join_lookup
+from passagework.session import scratch_dir, write_once
 
 # Measured size of a block of queries or index rows that one task holds.
 BLOCK_BYTES = 64 << 20
@@ -173,48 +169,15 @@ def _scan(index: DataFrame, queries: DataFrame, k: int, scorer: Scorer) -> DataF
     return index.mapInArrow(score, hits_schema(index))
 
 
-def _grid(
-    index: DataFrame, queries: DataFrame, k: int, scorer: Scorer, size: Column, hit_bytes: int, block_bytes: int
-) -> DataFrame:
-    """Score block against block. Blocks are hashes of unique keys, counted per match value."""
-    text = index.schema["id"].dataType.simpleString() == "string"
-    if "match" not in index.columns:
-        index = index.withColumn("match", F.lit(0))
-        queries = queries.withColumn("match", F.lit(0))
-
-    def blocks(df: DataFrame, row_bytes: Column, name: str) -> DataFrame:
-        needed = F.ceil(F.sum(row_bytes) / F.lit(block_bytes)).cast("int")
-        return df.groupBy("match").agg(F.greatest(F.coalesce(needed, F.lit(1)), F.lit(1)).alias(name))
-
-    shape = blocks(index, size, "n_rows").join(blocks(queries, size + F.lit(hit_bytes), "n_cols"), "match")
-
-    def place(df: DataFrame, key: str) -> DataFrame:
-        return join_lookup(df, shape, ["match"], salt_by=key)
-
-    def every(n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-
-    def own(key: str, n: str) -> Column:
-        return F.pmod(F.xxhash64(key), F.col(n)).cast("int")
-
-    keys = ["match", "row_block", "col_block"]
-    left = place(index, "id").select(
-        "match", own("id", "n_rows").alias("row_block"), every("n_cols").alias("col_block"), "id", "feature"
-    )
-    right = place(queries, "query_id").select(
-        "match", every("n_rows").alias("row_block"), own("query_id", "n_cols").alias("col_block"),
-        "query_id", "feature",
-    )
-
-    def score(rows: pa.Table, cols: pa.Table) -> pa.Table:
-        if not rows.num_rows or not cols.num_rows:
-            return BestHits(0, k).table(np.empty(0, dtype=np.int64), text)
-        state = _Block(cols.select(["query_id", "feature"]), scorer, k)
-        for batch in rows.combine_chunks().to_batches(max_chunksize=65_536):
-            state.add(batch)
-        return state.best.table(state.ids, text)
-
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, hits_schema(index))
+def _in_blocks(index: DataFrame, queries: DataFrame, k: int, scorer: Scorer, n_blocks: int) -> DataFrame:
+    """One scan per block of queries, whose hits are written before the next block is sent."""
+    spark = index.sparkSession
+    dealt = write_once(queries.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))))
+    path = scratch_dir(spark)
+    for number in range(n_blocks):
+        block = dealt.filter(F.col("_block") == number).drop("_block")
+        _scan(index, block, k, scorer).write.parquet(f"{path}/block={number}")
+    return spark.read.schema(hits_schema(index)).parquet(path)
 
 
 def best_matches(
@@ -229,13 +192,15 @@ def best_matches(
     if k < 1:
         raise ValueError("k must be at least 1")
     hit_bytes = 16 * k
+    if "match" in queries.columns:
+        size = size + F.octet_length(F.col("match").cast("string"))
     measured = queries.agg(
         F.count("*").alias("rows"), F.coalesce(F.sum(F.coalesce(size, F.lit(0)) + F.lit(hit_bytes)), F.lit(0)).alias("bytes")
     ).first()
     if measured["bytes"] <= block_bytes:
         found = _scan(index, queries, k, scorer)
     else:
-        found = _grid(index, queries, k, scorer, size, hit_bytes, block_bytes)
+        found = _in_blocks(index, queries, k, scorer, -(-measured["bytes"] // block_bytes))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "id", "score"), measured["rows"] * k

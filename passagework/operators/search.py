@@ -8,7 +8,7 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from passagework.functions.text import clean_text
 from passagework.functions.vectors import norm
 from passagework.operators.ranking import BLOCK_BYTES, MATRIX_CELLS, best_matches
-from passagework.session import SMALL_TABLE_ROWS, join_lookup, scratch_dir, write_once
+from passagework.session import SMALL_TABLE_ROWS, scratch_dir, write_once
 
 # Digits of a cosine that count for the ranking.
 SCORE_DIGITS = 6
@@ -128,8 +128,8 @@ def _with_columns(
 ) -> DataFrame:
     """Fetch the wanted columns of the hits only: the scoring scan reads no more than key, feature and match.
 
-    Few hits are broadcast against the index, which is not shuffled. Many are written, and an index row that a
-    large share of the queries hit is spread over several tasks.
+    Few hits, rows of four numbers, are broadcast against the index, which is not shuffled. Many are written and joined
+    by key; Spark splits a key that many queries hit.
     """
     hits, at_most = found
     extra = [c for c in columns if c not in (id_col, "id")]
@@ -139,7 +139,7 @@ def _with_columns(
     if at_most <= SMALL_TABLE_ROWS:
         joined = details.join(F.broadcast(hits), "id")
     else:
-        joined = join_lookup(write_once(hits), details, ["id"], salt_by="query_id")
+        joined = write_once(hits).join(details, "id")
     return joined.select("query_id", "rank", "id", *extra, "score")
 
 
@@ -179,7 +179,7 @@ def keyword_search(
     text_col: str = "content",
     query_id_col: str = "query_id",
     query_text_col: str = "query_text",
-    block_bytes: int = BLOCK_BYTES // 64,
+    block_bytes: int = BLOCK_BYTES // 8,
 ) -> DataFrame:
     """The k index rows that share most distinct tokens with each query; rows that share none are no hits.
 
@@ -197,68 +197,68 @@ def keyword_search(
 
 def train_lists(
     index: DataFrame, n_lists: int, vector_col: str = "embedding", seed: int = 7, max_iter: int = 20,
-    share: float = 1.0,
-) -> KMeansModel:
-    """Centres of the inverted lists: k-means by cosine over the non-zero vectors.
-
-    ``share`` below 1 trains on a random part of them, which changes the centres but no row's place in the index:
-    every row is assigned to a list afterwards. Large indexes need no more than some hundred rows per list.
-    """
+) -> np.ndarray:
+    """Centres of inverted lists, one row each: k-means by cosine over all non-zero vectors."""
     usable = index.filter(norm(F.col(vector_col)) > 0)
-    if share < 1:
-        usable = usable.sample(share, seed)
     means = KMeans(k=n_lists, seed=seed, maxIter=max_iter, distanceMeasure="cosine", featuresCol="_vector")
-    return means.fit(usable.select(array_to_vector(F.col(vector_col)).alias("_vector")))
+    return np.array(means.fit(usable.select(array_to_vector(F.col(vector_col)).alias("_vector"))).clusterCenters())
+
+
+def _nearest_lists(rows: DataFrame, vector_col: str, centres: np.ndarray, n: int) -> DataFrame:
+    """The rows, each once for every one of its ``n`` nearest lists, ties by lower number. Zero vectors have none.
+
+    The centres are an input of the caller and go to the rows: no shuffle. Scores are built in pieces of bounded size.
+    """
+    sent = rows.sparkSession.sparkContext.broadcast(np.asarray(centres, dtype=np.float64))
+    schema = T.StructType([*rows.schema.fields, T.StructField("list_id", T.IntegerType())])
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = CosineScorer()
+        lists = scorer.unit(sent.value)
+        height = max(1, MATRIX_CELLS // max(1, len(sent.value)))
+        for whole in batches:
+            for start in range(0, whole.num_rows, height):
+                batch = whole.slice(start, height)
+                batch = batch.filter(pc.is_valid(batch.column(vector_col)))
+                vectors = scorer.rows(batch.column(vector_col))
+                at = np.nonzero(vectors[1])[0]
+                if len(at):
+                    scores = np.round(scorer.scores(vectors, at, lists, np.arange(len(sent.value))), scorer.digits)
+                    order = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+                    out = batch.take(pa.array(np.repeat(at, order.shape[1])))
+                    yield out.append_column("list_id", pa.array(order.ravel().astype(np.int32)))
+
+    return rows.mapInArrow(nearest, schema)
 
 
 def assign_lists(
-    index: DataFrame, model: KMeansModel, vector_col: str = "embedding", path: str | None = None
+    index: DataFrame, centres: np.ndarray, vector_col: str = "embedding", path: str | None = None
 ) -> DataFrame:
     """Write the index with a ``list_id``, one folder per list, so that a search reads only probed lists.
 
     Rebalancing gathers a list in few files and still splits a list that holds a large share of the rows.
     """
-    usable = index.filter(norm(F.col(vector_col)) > 0)
-    found = model.transform(usable.withColumn("_vector", array_to_vector(F.col(vector_col))))
-    table = found.withColumnRenamed("prediction", "list_id").drop("_vector").hint("rebalance", "list_id")
+    table = _nearest_lists(index, vector_col, centres, 1).hint("rebalance", "list_id")
     path = path or f"{scratch_dir(index.sparkSession)}/lists"
     table.write.mode("overwrite").partitionBy("list_id").parquet(path)
     return index.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def probe_lists(
-    queries: DataFrame, model: KMeansModel, n_probe: int, query_id_col: str = "query_id",
+    queries: DataFrame, centres: np.ndarray, n_probe: int, query_id_col: str = "query_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
-    """The ``n_probe`` nearest lists of each query: ``query_id, embedding, list_id``.
-
-    The centres, as many as the model has lists, go to the queries: any number of queries, no shuffle.
-    """
-    centres = queries.sparkSession.sparkContext.broadcast(np.array(model.clusterCenters()))
+    """The ``n_probe`` nearest lists of each query: ``query_id, embedding, list_id``."""
     asked = queries.select(
         F.col(query_id_col).cast("bigint").alias("query_id"),
         F.col(vector_col).cast("array<double>").alias("embedding"),
-    ).filter(F.col("embedding").isNotNull())
-
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = CosineScorer()
-        lists = scorer.unit(centres.value)
-        for batch in batches:
-            vectors = scorer.rows(batch.column("embedding"))
-            at = np.nonzero(vectors[1])[0]
-            if not len(at):
-                continue
-            scores = np.round(scorer.scores(vectors, at, lists, np.arange(len(centres.value))), scorer.digits)
-            order = np.argsort(-scores, axis=1, kind="stable")[:, :n_probe]
-            out = batch.take(pa.array(np.repeat(at, order.shape[1])))
-            yield out.append_column("list_id", pa.array(order.ravel().astype(np.int32)))
-
-    return asked.mapInArrow(nearest, "query_id bigint, embedding array<double>, list_id int")
+    )
+    return _nearest_lists(asked, "embedding", centres, n_probe)
 
 
 def approximate_search(
     listed: DataFrame,
-    model: KMeansModel,
+    centres: np.ndarray,
     queries: DataFrame,
     k: int,
     n_probe: int,
@@ -271,15 +271,15 @@ def approximate_search(
 ) -> DataFrame:
     """Search the ``n_probe`` nearest lists of each query only; scores of the hits are exact.
 
-    The numbers of the probed lists, at most as many as there are lists, become a filter on the folder column,
-    so the other folders are not opened.
+    The numbers of the probed lists, at most as many as there are centres, are joined to the folder column, and Spark
+    opens only the folders that they name.
     """
-    probes = write_once(probe_lists(queries, model, n_probe, query_id_col, query_vector_col))
-    wanted = [row["list_id"] for row in probes.select("list_id").distinct().collect()]
-    reached = listed.filter(F.col("list_id").isin(wanted))
+    probes = write_once(probe_lists(queries, centres, n_probe, query_id_col, query_vector_col))
+    # the comparison, true of all, tells Spark that pruning the folders by the join is worth while
+    wanted = F.broadcast(probes.select("list_id").filter("list_id >= 0").distinct())
     return similarity_search(
-        reached, probes, k, columns, match=("list_id", "list_id"), id_col=id_col, vector_col=vector_col,
-        block_bytes=block_bytes,
+        listed.join(wanted, "list_id"), probes, k, columns, match=("list_id", "list_id"), id_col=id_col,
+        vector_col=vector_col, block_bytes=block_bytes,
     )
 
 

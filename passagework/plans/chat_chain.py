@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.clustering import KMeansModel
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,14 +62,14 @@ def search_texts(
 
 
 def index_search(
-    index: DataFrame, config: ChainConfig = ChainConfig(), lists: KMeansModel | None = None, n_probe: int = 8
+    index: DataFrame, config: ChainConfig = ChainConfig(), lists: np.ndarray | None = None, n_probe: int = 8
 ) -> Search:
     """Search of an index as the configuration says: exact, or ``ann`` over an index that has been given lists."""
     key = config.retriever.key_col
     if config.retriever.query_type == "exact":
         return lambda queries, k, columns: similarity_search(index, queries, k, columns, id_col=key)
     if lists is None:
-        raise ValueError("query_type 'ann' needs the lists that the index was divided by")
+        raise ValueError("query_type 'ann' needs the centres of the lists that the index was divided by")
     return lambda queries, k, columns: approximate_search(index, lists, queries, k, n_probe, columns, id_col=key)
 
 

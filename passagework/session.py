@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -13,22 +15,21 @@ from pyspark.sql import functions as F
 # Row limit below which a table of a few plain columns is sent to every executor.
 SMALL_TABLE_ROWS = 200_000
 
-# Rows per key above which a key is spread over several tasks.
-HOT_ROWS = 1_000_000
-
 
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``, for intermediate tables and stream checkpoints.
 
-    A local session without the setting gets a temporary folder; on a cluster it is an error, since
-    executors would not see each other's files.
+    A local session without the setting gets a temporary folder that goes when the process ends; on a cluster it is an
+    error, since executors would not see each other's files.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="passagework-"))
+        own = tempfile.mkdtemp(prefix="passagework-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
         base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/passagework-{uuid.uuid4().hex}"
 
@@ -45,28 +46,6 @@ def is_small(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> bool:
     return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
 
 
-def join_lookup(
-    big: DataFrame, lookup: DataFrame, on: list[str], salt_by: str, how: str = "inner",
-    small_rows: int = SMALL_TABLE_ROWS, hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Join a big table with a lookup of one row per key, whatever share of ``big`` one key holds.
-
-    A lookup of checked size is broadcast, and ``big`` is not shuffled. Otherwise keys with more than ``hot_rows``
-    rows are cut into pieces by the hash of ``salt_by``, a column that varies within a key, and only their lookup
-    rows are copied. There are at most (rows of ``big``) / ``hot_rows`` such keys, so their list is broadcast.
-    """
-    if is_small(lookup, small_rows):
-        return big.join(F.broadcast(lookup), on, how)
-    counts = big.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
-    hot = F.broadcast(counts.select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces")))
-    piece = F.pmod(F.xxhash64(salt_by), F.coalesce("_pieces", F.lit(1))).cast("int")
-    cut = big.join(hot, on, "left").withColumn("_piece", piece).drop("_pieces")
-    copies = lookup.join(hot, on, "left").withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))
-    ).drop("_pieces")
-    return cut.join(copies, [*on, "_piece"], how).drop("_piece")
-
-
 @contextmanager
 def arrow_batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Send at most ``rows`` rows per batch to Python while the block runs its jobs, then restore the setting.

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def create_schema(spark: SparkSession, name: str) -> None:
-    """Create a schema if it does not exist."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create a schema if it does not exist, with its tables below ``location`` or the warehouse."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}" + (f" LOCATION '{location}'" if location else ""))
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType) -> None:

@@ -77,7 +77,11 @@ def test_tokenizer_of_the_caller(spark):
     df = spark.createDataFrame([(1, "aa bb. cc dd. eeeee. f " + "g" * 9 + " hh.")], "k bigint, t string")
     splitter = tokenizer_splitter(load, 8, 2)
     got = [r["content"] for r in chunk_rows(df, "t", "k", splitter).orderBy("chunk_pos").collect()]
-    assert got == ["aa bb.", "cc dd.", "eeeee.", "f", "f ggggggggg", "hh."]
+    assert got == ["aa bb.", "cc dd.", "eeeee.", "f ggggg", "gggg", "hh."]
+    # any word and every chunk with its overlap stay within the limit, by a counter that counts blanks, too
+    hard = spark.createDataFrame([(1, "a bb ccc. " * 30 + "x" * 50 + " dd. " + "é" * 33)], "k bigint, t string")
+    found = [r["content"] for r in chunk_rows(hard, "t", "k", tokenizer_splitter(lambda: len, 10, 4)).collect()]
+    assert max(map(len, found)) <= 10 and sum(c.count("x") for c in found) >= 50
 
 
 def test_tokenizer_that_counts_words_equals_native(spark):

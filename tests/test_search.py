@@ -82,18 +82,22 @@ def test_filter_reaches_the_scan_and_columns_are_fetched(spark, vectors, tmp_pat
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_many_hits_are_joined_by_salted_keys(spark, vectors, monkeypatch):
-    from passagework import session
+def test_many_hits_are_joined_by_key(spark, vectors, monkeypatch):
     from passagework.operators import search
 
     index, queries = frames(spark, vectors)
     want = {tuple(r) for r in similarity_search(index, queries, 3, ["label"]).collect()}
     monkeypatch.setattr(search, "SMALL_TABLE_ROWS", 10)
-    salted = lambda *a, **o: session.join_lookup(*a, **o, small_rows=10, hot_rows=20)
-    monkeypatch.setattr(search, "join_lookup", salted)
     assert {tuple(r) for r in similarity_search(index, queries, 3, ["label"]).collect()} == want
 
 
+def test_text_keys_rank_as_texts(spark):
+    index = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [2.0, 0.0]), ("ab", [1.0, 1.0])], "id string, embedding array<float>")
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id bigint, embedding array<float>")
+    assert [r["id"] for r in similarity_search(index, queries, 3).orderBy("rank").collect()] == ["a", "b", "ab"]
+    assert similarity_search(index.limit(0), queries, 3).isEmpty()
+
+
 def test_vectors_of_other_length_fail(spark):
     index = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0])], "id bigint, embedding array<float>").coalesce(1)
     queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id bigint, embedding array<float>")
@@ -126,6 +130,7 @@ def test_approximate_hits_have_exact_scores(spark, vectors):
     assert probes.count() == 2 * 89
     one = approximate_search(listed, model, queries.limit(1), 3, 1)
     assert re.search(r"PartitionFilters: \[[^]]*list_id", one._jdf.queryExecution().executedPlan().toString())
+    assert "dynamicpruning" in one._jdf.queryExecution().executedPlan().toString().lower()
     every = approximate_search(listed, model, queries, 3, 5)
     assert as_set(every) == brute([v[:2] for v in vectors[0]], [q[:2] for q in vectors[1]], 3)
 

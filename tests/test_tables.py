@@ -9,7 +9,7 @@ from passagework.operators.chunking import chunk_rows
 from passagework.operators.extract import chunk_files
 from passagework.operators.index import build_index, complete_versions, read_index, refresh_index
 from passagework.schemas import CHUNKS, RAW_FILES, SYNC_TABLE, check_columns
-from passagework.session import arrow_batch_rows, is_small, join_lookup, scratch_dir, write_once
+from passagework.session import arrow_batch_rows, is_small, scratch_dir, write_once
 from passagework.sources.files import scan_files
 from passagework.sources.tables import append_table, create_schema, create_table, overwrite_table, spread
 from passagework.streaming.embed_sync import read_sync_table, sync_embeddings
@@ -141,6 +141,9 @@ def test_index_refresh_embeds_only_changes(spark, tmp_path):
         (1, "a", 1.0), (2, "B b", 2.0), (4, "d", 1.0)}
     texts = [t for p in sent.iterdir() for t in p.read_text().split("\n")]
     assert sorted(texts) == ["B b", "a", "b", "c", "d"]
+    # the second version has the changes alone, the files of the first are as they were
+    assert spark.read.parquet(f"{path}/version=2").count() == 3
+    assert spark.read.parquet(f"{path}/version=1").count() == 3
     assert refresh_index(after, path, load_embedder=load).isEmpty()
     assert complete_versions(spark, path) == [1, 2]
     # a version whose write did not end is not read
@@ -166,16 +169,8 @@ def test_latest(spark):
     df = spark.createDataFrame([("m", "9", 1), ("m", "10", 2), ("m", "x", 3), ("n", "2", 4)], "k string, v string, t int")
     assert {tuple(r) for r in latest_version(df, "k", "v").collect()} == {("m", 10), ("n", 2)}
     assert {tuple(r) for r in latest_rows(df, "k", ["t"]).collect()} == {("m", "x", 3), ("n", "2", 4)}
-
-
-@pytest.mark.parametrize("small_rows,hot_rows", [(100, 10), (1, 10), (1, 10**6)])
-@pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
-def test_join_lookup_with_a_hot_key(spark, small_rows, hot_rows, how):
-    big = spark.range(300).select(F.col("id").alias("r"), F.when(F.col("id") < 200, 0).otherwise(F.col("id") % 9).alias("k"))
-    lookup = spark.createDataFrame([(k, f"v{k}") for k in (0, 2, 3, 50)], "k bigint, v string")
-    got = join_lookup(big, lookup, ["k"], salt_by="r", how=how, small_rows=small_rows, hot_rows=hot_rows)
-    want = big.join(lookup, ["k"], how)
-    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    tied = df.withColumn("t", F.lit(1))
+    assert {tuple(r) for r in latest_rows(tied, "k", ["t", "v"]).collect()} == {("m", "x", 1), ("n", "2", 1)}
 
 
 def test_session_helpers(spark, tmp_path):
