@@ -110,7 +110,7 @@ def review_records(spark: SparkSession, folder: str) -> DataFrame:
 def _requests(spark: SparkSession, folder: str) -> DataFrame:
     """A generation request per message; system messages leave the parameters open."""
     open_ = F.col("role") == "system"
-    return _conversations(spark, folder).select(
+    return table(spark, folder, "conversations").select(
         "conv_id", "turn", F.col("text").alias("prompt"), F.col("role").alias("system_prompt"),
         F.when(~open_, F.lit(0.5)).alias("temperature"),
         F.when(~open_, F.col("turn") + 10).alias("max_new_tokens"),

@@ -19,7 +19,7 @@ from passagework.operators.search import (
 from passagework.plans.retrieval import embedded_chunks, expression_embedding, model_embedding, nearest_chunks
 from passagework.session import scratch_dir
 
-N_PROBE = 3
+N_PROBE = 5
 
 
 def _vectors(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -147,12 +147,12 @@ _LISTED = """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embe
       near AS (SELECT vec_id, c, row_number() OVER (
         PARTITION BY vec_id ORDER BY round(list_cosine_similarity(v, m), 6) DESC, c) AS n FROM e CROSS JOIN centre),
       listed AS (SELECT vec_id, c FROM near WHERE n = 1),
-      probe AS (SELECT vec_id, c FROM near WHERE n <= 3),
+      probe AS (SELECT vec_id, c FROM near WHERE n <= PROBES),
       pair AS (SELECT p.vec_id AS query_id, l.vec_id AS id FROM probe p JOIN listed l USING (c)),
       scored AS (SELECT query_id, id, round(list_cosine_similarity(q.v, i.v), 6) AS score
         FROM pair JOIN e q ON q.vec_id = query_id JOIN e i ON i.vec_id = id),
       hits AS (SELECT * FROM (
-        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM scored) WHERE rank <= 3)"""
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM scored) WHERE rank <= 3)""".replace("PROBES", str(N_PROBE))
 
 _CHUNKS = sql_chunks("SELECT doc_id AS key, text FROM documents")
 _KEYED = f"SELECT {sql_id('key', 'chunk_pos')} AS id, content AS text FROM chunks"
