@@ -102,20 +102,30 @@ def size_range(n, percent: int):
 
 
 def _sample(tokens: np.ndarray, share: float, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The shingles whose counts a set needs: those of the share, and in a space of their own all, if those are few."""
+    """The shingles whose counts a set needs: those of the share, and in a space of their own all, if those are few.
+
+    The last bit of a name tells the space.
+    """
     some = tokens[tokens <= np.uint64(min(int(share * 2**64), 2**64 - 1))]
     few = len(some) <= missing(len(tokens), percent)
-    return some, mix(tokens ^ _OWN) if few else tokens[:0]
+    return some & ~np.uint64(1), mix(tokens ^ _OWN) | np.uint64(1) if few else tokens[:0]
+
+
+def _listed(n: int, repeated: np.ndarray, counts: np.ndarray, alone: int, percent: int) -> np.ndarray:
+    """List keys of a set of ``n``: its rarest shingles but for the ``alone`` that no other set has."""
+    order = np.lexsort((repeated, counts))[:max(0, missing(n, percent) + 1 - alone)]
+    b = int(size_range(n, percent))
+    near = repeated[order]
+    return np.concatenate([mix(near + mix(np.array([i], dtype=np.int64).view(np.uint64) ^ _OWN)) for i in (b, b + 1)])
 
 
-def _rarest(tokens: np.ndarray, counts: np.ndarray, lacking: int) -> np.ndarray:
-    """Of the rarest ``lacking`` + 1 shingles those found in another set, too."""
-    order = np.lexsort((tokens, counts))[:lacking + 1]
-    return tokens[order][counts[order] > 1]
+def _is_listed(n: int, x: int, percent: int) -> bool:
+    """Whether sets of ``n`` can be similar to one larger than ``x``."""
+    return n >= -(-percent * (x + 1) // 100)
 
 
-def _entries(tokens: np.ndarray, counts, x: int, share: float, percent: int) -> np.ndarray:
-    """All keys under which a set looks for similar ones. ``counts``: tokens to the numbers of sets."""
+def _subsets(tokens: np.ndarray, x: int, percent: int) -> list[np.ndarray]:
+    """Keys of the subsets that a small set may share with sets of every similar size."""
     n, keys = len(tokens), []
     if n <= x:
         names = mix(tokens)
@@ -125,13 +135,15 @@ def _entries(tokens: np.ndarray, counts, x: int, share: float, percent: int) ->
                 seed = np.uint64((min(n, m) << 32 | max(n, m)) * 2 + 1)
                 of = np.array([names[list(s)].sum(dtype=np.uint64) for s in combinations(range(n), c)], dtype=np.uint64)
                 keys.append(mix(of * np.uint64(0x9E3779B97F4A7C15) + mix(np.array([seed]))))
-    if n >= -(-percent * (x + 1) // 100):
-        for space in _sample(tokens, share, percent):
-            if len(space):
-                near = _rarest(space, counts(space), missing(n, percent))
-                b = int(size_range(n, percent))
-                keys += [mix(near + mix(np.array([i], dtype=np.int64).view(np.uint64) ^ _OWN)) for i in (b, b + 1)]
-    return np.unique(np.concatenate(keys)) if keys else tokens[:0]
+    return keys
+
+
+def _entered(found: list[tuple[int, list[np.ndarray]]]) -> pa.RecordBatch:
+    """Rows of the keys of each node, every key once."""
+    made = [(node, np.unique(np.concatenate(keys))) for node, keys in found if keys]
+    keys = np.concatenate([k for _, k in made] + [np.zeros(0, dtype=np.uint64)]).view(np.int64)
+    nodes = np.repeat(np.array([node for node, _ in made], dtype=np.int64), [len(k) for _, k in made])
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes)], ["key", "node"])
 
 
 def _unique(sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
@@ -157,81 +169,80 @@ def _count_shingles(docs: DataFrame, words: int, share: float, percent: int) ->
     return counts.groupBy("token").agg(F.sum("n").alias("n")).filter("n > 1")
 
 
-def _keys_of(docs: DataFrame, x: int, words: int, share: float, percent: int, max_broadcast: int) -> DataFrame:
+def _keys_of(docs: DataFrame, sets: DataFrame, x: int, words: int, share: float, percent: int, max_broadcast: int) -> DataFrame:
     """``key`` and ``node``: the entries of all sets, of shingles counted over all documents."""
     counted = write_once(_count_shingles(docs, words, share, percent))
 
-    def entered(found) -> pa.RecordBatch:
-        made = [(node, _entries(tokens, counts, x, share, percent)) for node, tokens, counts in found]
-        keys = np.concatenate([k for _, k in made] + [np.zeros(0, dtype=np.uint64)]).view(np.int64)
-        nodes = np.repeat(np.array([node for node, _ in made], dtype=np.int64), [len(k) for _, k in made])
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes)], ["key", "node"])
-
     if counted.count() <= max_broadcast:
         table = counted.toArrow()
-        token, n = table.column("token").to_numpy().view(np.uint64), table.column("n").to_numpy().astype(np.int64)
+        token, n = table.column("token").to_numpy().view(np.uint64), table.column("n").to_numpy()
         order = np.argsort(token)
-        sent = docs.sparkSession.sparkContext.broadcast((token[order], n[order]))
+        sent = docs.sparkSession.sparkContext.broadcast((token[order], np.minimum(n[order], 2**31 - 1).astype(np.int32)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             token, n = sent.value
 
-            def counts(tokens: np.ndarray) -> np.ndarray:
-                if not len(token):
-                    return np.ones(len(tokens), dtype=np.int64)
-                at = np.minimum(np.searchsorted(token, tokens), len(token) - 1)
-                return np.where(token[at] == tokens, n[at], 1)
+            def keys(tokens: np.ndarray) -> list[np.ndarray]:
+                out = _subsets(tokens, x, percent)
+                for space in _sample(tokens, share, percent) if _is_listed(len(tokens), x, percent) else ():
+                    at = np.minimum(np.searchsorted(token, space), max(len(token) - 1, 0))
+                    again = token[at] == space if len(token) else np.zeros(len(space), dtype=bool)
+                    if len(space):
+                        out.append(_listed(len(tokens), space[again], n[at[again]], int((~again).sum()), percent))
+                return out
 
             for batch in batches:
                 for _, texts in pieces(batch, "text"):
-                    yield entered((node, t, counts) for node, t in _unique(shingle_sets(texts, words)))
+                    yield _entered([(node, keys(t)) for node, t in _unique(shingle_sets(texts, words))])
 
         return docs.select("text").mapInArrow(run, "key long, node long").distinct()
 
+    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in pieces(batch, "text"):
+                yield _entered([(node, _subsets(t, x, percent)) for node, t in _unique(shingle_sets(texts, words))])
+
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in pieces(batch, "text"):
-                for node, t in _unique(shingle_sets(texts, words)):
-                    token = np.concatenate(_sample(t, share, percent))
+                made = [(node, np.concatenate(_sample(t, share, percent)))
+                        for node, t in _unique(shingle_sets(texts, words)) if _is_listed(len(t), x, percent)]
+                if made:
+                    nodes = np.repeat(np.array([node for node, _ in made]), [len(t) for _, t in made])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(token.view(np.int64)), pa.array(np.full(len(token), node))], ["token", "node"])
-
-    places = docs.select("text").mapInArrow(spread, "token long, node long").distinct().join(counted, "token")
-    lists = places.groupBy("node").agg(F.collect_list(F.struct("token", "n")).alias("found"))
-    texts = representatives(docs, words).join(lists, "node", "left")
+                        [pa.array(np.concatenate([t for _, t in made]).view(np.int64)), pa.array(nodes)], ["token", "node"])
 
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in pieces(batch, "text"):
-                made = []
-                for found, tokens in zip(part.column("found").to_pylist(), shingle_sets(texts, words)):
-                    known = {f["token"] & (2**64 - 1): f["n"] for f in found or []}
-                    made.append((set_key(tokens), tokens, lambda t, known=known: np.array(
-                        [known.get(k, 1) for k in t.tolist()], dtype=np.int64)))
-                yield entered(made)
+            made = []
+            for node, n, some, found in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "some", "found"))):
+                token = np.array([f["token"] for f in found], dtype=np.int64).view(np.uint64)
+                count, second = np.array([f["n"] for f in found]), (token & np.uint64(1)).astype(bool)
+                of = [(some, ~second)] + ([(n, second)] if some <= missing(n, percent) else [])
+                made.append((node, [_listed(n, token[at], count[at], size - int(at.sum()), percent) for size, at in of]))
+            yield _entered(made)
 
-    return texts.select("text", F.col("found")).mapInArrow(own, "key long, node long").distinct()
+    # only shingles found twice come out of the join, so what is gathered per set is little
+    places = docs.select("text").mapInArrow(spread, "token long, node long").join(counted, "token")
+    found = places.groupBy("node").agg(F.collect_set(F.struct("token", "n")).alias("found"))
+    found = found.join(sets.select("node", "n", "some"), "node").select("node", "n", "some", "found")
+    subsets = docs.select("text").mapInArrow(small, "key long, node long")
+    return subsets.unionByName(found.mapInArrow(lists, "key long, node long")).distinct()
 
 
-def sizes_of(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``node``, the key of the set, of every document."""
+def sizes_of(docs: DataFrame, words: int, share: float, percent: int) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``some`` (those of the share) and ``node``, the key of the set, of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in pieces(batch, "text"):
                 sets = shingle_sets(texts, words)
+                numbers = ([len(s) for s in sets], [len(_sample(s, share, percent)[0]) for s in sets], map(set_key, sets))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], type=pa.int64()),
-                     pa.array([set_key(s) for s in sets], type=pa.int64())], ["doc_id", "n_shingles", "node"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node long")
-
+                    [part.column("doc_id"), *(pa.array(list(x), type=pa.int64()) for x in numbers)],
+                    ["doc_id", "n_shingles", "some", "node"])
 
-def representatives(docs: DataFrame, words: int) -> DataFrame:
-    """``node`` and ``text`` of one document per distinct set."""
-    sized = sizes_of(docs, words).filter("n_shingles > 0")
-    chosen = sized.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    return docs.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates(["node"])
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, some long, node long")
 
 
 def _join_block(nodes: np.ndarray, weights: np.ndarray, sides: np.ndarray, tokens: list[np.ndarray], percent: int):
@@ -346,13 +357,14 @@ def similar_documents(
         raise ValueError("percent over 50, and a share of shingles above 1 - percent / 100, are needed")
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.col(text).alias("text"))
-    sized = write_once(sizes_of(docs, words))
+    sized = write_once(sizes_of(docs, words, share, percent))
     known = sized.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     sets = known.groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.count("*").alias("weight"))
+        F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.max("some").alias("some"),
+        F.count("*").alias("weight"))
     small = sets.filter(F.col("n") <= 2 * MOST_SMALL).groupBy("n").count().collect()
     x = boundary({r["n"]: r["count"] for r in small}, percent)
-    keys = write_once(_keys_of(docs.filter("doc_id IS NOT NULL"), x, words, share, percent, max_broadcast))
+    keys = write_once(_keys_of(docs.filter("doc_id IS NOT NULL"), sets, x, words, share, percent, max_broadcast))
     least = keys.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first <> last")
     edges = keys.join(least.select("key", "first"), "key").select(F.col("node").alias("a"), F.col("first").alias("b"))
     groups = write_once(connected_components(edges)).withColumnRenamed("component", "group")
