@@ -2,7 +2,8 @@
 
 Vectors of one label (and one length) are dealt to overlapping cluster shards: each belongs to its nearest centres. Every
 shard builds a flat graph whose lists are thinned by robust pruning, and the lists of a vector are united over its
-shards. Each vector then searches the shards of its ``probes`` nearest centres: greedily from the shard's medoid, then on
+shards. Each vector then searches the shards of its ``probes`` nearest centres, but for those that can hold nothing in
+range: greedily from the shard's medoid, then on
 from everything found within the range until nothing new lies in it. Cosines are verified in double precision. A
 vector is counted by the one shard that is its nearest, so links are counted once without any list of pairs; what
 leaves a task are counts and the edges of a spanning forest. At last recall is audited against all vectors for
@@ -34,7 +35,7 @@ THRESHOLD = 0.98
 SHARD, MAX_SHARD, MAX_CENTRES, SAMPLE = 1000, 4096, 20_000, 100_000
 OVERLAP, PROBES = 2, 3
 DEGREE, POOL, SLACK = 24, 64, 1.2
-BEAM, LANES = 32, 256
+BEAM, STRIDE, LANES = 32, 4, 256
 AUDIT, LEAST_RECALL = 1000, 0.9
 
 
@@ -115,11 +116,13 @@ def range_search(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, point) with a cosine of ``threshold`` or more that the graph leads to.
 
-    ``own``: the query's place among the points, or -1. Queries move on side by side; each keeps its ``beam`` best.
+    ``own``: the query's place among the points, or -1. Queries move on side by side; each keeps its ``beam`` best and
+    follows the ``STRIDE`` best of them that are new.
     """
     n, m = len(points), len(queries)
     flat, edges = _flat(graph)
     medoid = int((points @ points.mean(0)).argmax())
+    single = points.astype(np.float32), queries.astype(np.float32)
     seen = np.zeros((m, n), dtype=bool)
     best = np.full((m, beam), -1, dtype=np.int64)
     score = np.full((m, beam), -9.0)
@@ -132,10 +135,12 @@ def range_search(
         keys = np.unique(lane[fresh] * n + node[fresh])
         lane, node = keys // n, keys % n
         seen[lane, node] = True
-        alike = np.einsum("ik,ik->i", queries[lane], points[node])
-        inside = alike >= threshold
-        rows_found.append(lane[inside])
-        points_found.append(node[inside])
+        alike = np.einsum("ik,ik->i", single[1][lane], single[0][node])  # to find the way
+        close = np.flatnonzero(alike >= threshold - 1e-4)
+        exact = np.einsum("ik,ik->i", queries[lane[close]], points[node[close]])
+        close = close[exact >= threshold]
+        rows_found.append(lane[close])
+        points_found.append(node[close])
         return lane, node, alike
 
     def enter(lane: np.ndarray, node: np.ndarray, alike: np.ndarray) -> None:
@@ -160,10 +165,11 @@ def range_search(
         lane = np.flatnonzero(~done.all(1))
         if not len(lane):
             break
-        pick = np.argmax(~done[lane], axis=1)
-        done[lane, pick] = True
-        which, node = _neighbours(flat, edges, best[lane, pick])
-        found = look(lane[which], node)
+        new = ~done[lane]
+        row, pick = np.nonzero(new & (np.cumsum(new, axis=1) <= STRIDE))
+        done[lane[row], pick] = True
+        which, node = _neighbours(flat, edges, best[lane[row], pick])
+        found = look(lane[row[which]], node)
         if len(found[0]):
             enter(*found)
     # go on from all that lies in range
@@ -219,8 +225,20 @@ def make_centres(nodes: DataFrame, shard: int, max_centres: int, sample: int) ->
     return Centres(centres)
 
 
-def _assigned(nodes: DataFrame, centres: Centres, overlap: int, probes: int) -> DataFrame:
-    """``shard``, ``node`` and its rank (0: nearest) among the shards it belongs to or searches."""
+def reachable(alike: np.ndarray, near: np.ndarray, centres: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the nearest centres can be the nearest one of a vector in range.
+
+    A vector nearer to centre c than to c' lies on c's side of the plane between them. So a query that is further than
+    the range from that plane, on the other side, has nothing in range there. Loses nothing but rounding.
+    """
+    reach = np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
+    gap = alike[:, :1] - alike
+    apart = np.sqrt(np.maximum(0, ((centres[near] - centres[near[:, :1]]) ** 2).sum(2)))
+    return gap <= reach * apart + 1e-9
+
+
+def _assigned(nodes: DataFrame, centres: Centres, overlap: int, probes: int, threshold: float) -> DataFrame:
+    """``shard``, ``node``, its rank (0: nearest) among the shards it belongs to or searches, and whether it searches it."""
     sent = nodes.sparkSession.sparkContext.broadcast(centres)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,15 +251,19 @@ def _assigned(nodes: DataFrame, centres: Centres, overlap: int, probes: int) ->
                 if key in of.of:
                     alike = unit(_matrix(part.column("v"))) @ of.of[key].T
                     ranks = min(max(overlap, probes), alike.shape[1])
-                    near = np.argsort(-alike, axis=1, kind="stable")[:, :ranks] + of.base[key]
+                    near = np.argsort(-alike, axis=1, kind="stable")[:, :ranks]
+                    asks = reachable(np.take_along_axis(alike, near, 1), near, of.of[key], threshold)
+                    asks &= np.arange(ranks) < probes
+                    near = near + of.base[key]
                 else:  # a group without centres is a shard of its own
                     ranks = 1
                     near = np.full((len(at), 1), -1 - (hash_text(key) % (1 << 40)))
+                    asks = np.ones((len(at), 1), dtype=bool)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(near.ravel()), part.column("node").take(pa.array(np.repeat(np.arange(len(at)), ranks))),
-                     pa.array(np.tile(np.arange(ranks), len(at)))], ["shard", "node", "rank"])
+                     pa.array(np.tile(np.arange(ranks), len(at))), pa.array(asks.ravel())], ["shard", "node", "rank", "asks"])
 
-    return nodes.select("label", "dim", "v", "node").mapInArrow(run, "shard long, node long, rank long")
+    return nodes.select("label", "dim", "v", "node").mapInArrow(run, "shard long, node long, rank long, asks boolean")
 
 
 def hash_text(key: tuple) -> int:
@@ -367,7 +389,7 @@ def search_graph(
     """``node``, ``links`` and ``root`` of every node in every shard it searched."""
     spark = nodes.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    near = write_once(_assigned(nodes, centres, overlap, probes))
+    near = write_once(_assigned(nodes, centres, overlap, probes, threshold))
     sizes = near.filter(F.col("rank") < overlap).groupBy("shard").agg(
         F.ceil(F.count("*") / max_shard).cast("int").alias("cuts"))
     dealt = near.join(sizes, "shard")
@@ -379,7 +401,7 @@ def search_graph(
     united = write_once(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))
     every = dealt.withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     every = every.withColumn("member", (F.col("rank") < overlap) & (mine == F.col("cut")))
-    every = every.withColumn("asks", F.col("rank") < probes).filter("member OR asks")
+    every = every.filter("member OR asks")
     every = every.withColumn("primary", F.col("member") & (F.col("rank") == 0))
     rows = every.select("shard", "cut", "node", "member", "asks", "primary").join(nodes.select("node", "v", "weight"), "node")
     rows = rows.join(united, "node").repartition(parts, "shard", "cut").sortWithinPartitions("shard", "cut", "node")
