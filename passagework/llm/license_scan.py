@@ -151,6 +151,13 @@ class LicenseModel:
     bias: np.ndarray
     least: np.ndarray
 
+    def promising(self, symbols: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Numbers of the paragraphs that can reach a least probability, by the best family of every n-gram; loses none."""
+        over = self.weights[:, :-1] - self.weights[:, -1:]
+        bound = _pooled(symbols, first, end, over.max(1, keepdims=True))[:, 0] + (self.bias[:-1] - self.bias[-1]).max()
+        least = np.clip(self.least.min(), 1e-6, 1 - 1e-6)
+        return np.flatnonzero(bound >= np.log(least / (1 - least)) - 1e-6)
+
     def probabilities(self, symbols, first, end) -> np.ndarray:
         raw = _pooled(symbols, first, end, self.weights) + self.bias
         raw = np.exp(raw - raw.max(1, keepdims=True))
@@ -259,18 +266,22 @@ def scan_licenses(df: DataFrame, model: LicenseModel, text: str = "text", confir
             for part, texts in pieces(batch, text, 1 << 20):
                 symbols, row, first, end = paragraphs(texts)
                 found: list[list] = [[] for _ in range(part.num_rows)]
-                if len(first):
-                    p = sent.value.probabilities(symbols, first, end)
+                some = sent.value.promising(symbols, first, end) if len(first) else []
+                if len(some):
+                    size = end[some] - first[some]
+                    edge = np.cumsum(size) - size
+                    own = symbols[np.repeat(first[some] - edge, size) + np.arange(size.sum())]
+                    p = sent.value.probabilities(own, edge, edge + size)
                     best = p[:, :-1].argmax(1)
-                    some = np.flatnonzero(p[np.arange(len(p)), best] >= sent.value.least[best])
                     begin = np.searchsorted(row, np.arange(part.num_rows))
-                    for i in some.tolist():
-                        k, a, b = int(best[i]), int(first[i]), int(end[i])
+                    for j in np.flatnonzero(p[np.arange(len(p)), best] >= sent.value.least[best]).tolist():
+                        i = int(some[j])
+                        k, a, b = int(best[j]), int(first[i]), int(end[i])
                         like = templates.likeness(k, symbols[a:b])
                         if like >= confirm:
                             found[row[i]].append({
                                 "family": FAMILIES[k], "first_word": a - int(first[begin[row[i]]]), "n_words": b - a,
-                                "probability": float(p[i, k]), "likeness": like})
+                                "probability": float(p[j, k]), "likeness": like})
                 yield pa.RecordBatch.from_arrays(
                     [part.column(n) for n in names] + [pa.array(found, type=arrow)], [*names, "licenses"])
 
