@@ -75,8 +75,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, path)
+    decoded = bpe.encode_and_decode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
         (F.col("bytes") == F.coalesce("text", F.lit("")).cast("binary")).alias("exact"))

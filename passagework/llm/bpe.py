@@ -17,11 +17,12 @@ from __future__ import annotations
 
 import base64
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -30,7 +31,8 @@ from passagework.llm.words import Texts, pieces
 #: Most bytes of a vocabulary file; it is sent to every executor.
 VOCABULARY_BYTES = 16 << 20
 #: Distinct chunks whose ids a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+PIECE_BYTES = 1 << 20
 
 
 def byte_characters() -> list[str]:
@@ -104,78 +106,94 @@ def spread(values: np.ndarray, first: np.ndarray, which: np.ndarray) -> tuple[np
     return values[np.arange(edges[-1]) + np.repeat(first[which] - edges[:-1], count)], edges
 
 
-def _replace(df: DataFrame, new: dict[str, T.DataType]) -> tuple[list[str], T.StructType]:
-    kept = [f for f in df.schema.fields if f.name not in new]
-    return [f.name for f in kept], T.StructType(kept + [T.StructField(n, t) for n, t in new.items()])
+class _Encoder:
+    """A tokenizer and the ids of chunks it has seen; one per Python worker, kept from task to task."""
 
+    kept: tuple[tuple, _Encoder] | None = None
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False) -> DataFrame:
-    """Add ``ids``; with ``offsets`` also ``starts`` and ``ends``, the characters that each token touches.
+    def __init__(self, content: bytes, pattern: str, offsets: bool):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer, self.offsets = make_tokenizer(parse_ranks(content), pattern), offsets
+        self.slots: dict[bytes, int] = {}
+        self.first = np.zeros(1, dtype=np.int64)
+        self.stored = [np.zeros(0, dtype=np.int32) for _ in range(3 if offsets else 1)]  # ids, starts and ends
+
+    @classmethod
+    def of(cls, content: bytes, pattern: str, offsets: bool) -> _Encoder:
+        key = (content, pattern, offsets)
+        if cls.kept is None or cls.kept[0] != key:
+            cls.kept = None
+            cls.kept = (key, cls(*key))
+        return cls.kept[1]
+
+    def remember(self, chunks: list[bytes]) -> np.ndarray:
+        """Slots of the chunks; those not known are encoded."""
+        if len(self.slots) > REMEMBERED:  # go on with what this piece has
+            kept = [c for c in chunks if c in self.slots]
+            which = np.array([self.slots[c] for c in kept], dtype=np.int64)
+            found = [spread(values, self.first, which) for values in self.stored]
+            self.stored, self.first = [x[0] for x in found], found[0][1]
+            self.slots = {c: i for i, c in enumerate(kept)}
+        fresh = [c for c in chunks if c not in self.slots]
+        new: list[list[np.ndarray]] = [[x] for x in self.stored]
+        sizes = [self.first]
+        for at in range(0, len(fresh), 4096):
+            some = self.tokenizer.encode_batch([c.decode() for c in fresh[at:at + 4096]], add_special_tokens=False)
+            ids = [e.ids for e in some]
+            new[0].append(np.array([i for x in ids for i in x], dtype=np.int32))
+            if self.offsets:
+                where = np.array([o for e in some for o in e.offsets], dtype=np.int32).reshape(-1, 2)
+                new[1].append(where[:, 0])
+                new[2].append(where[:, 1])
+            sizes.append(sizes[-1][-1] + np.cumsum([len(x) for x in ids]))
+        self.stored, self.first = [np.concatenate(x) for x in new], np.concatenate(sizes)
+        self.slots.update(zip(fresh, range(len(self.slots), len(self.slots) + len(fresh))))
+        return np.array([self.slots[c] for c in chunks], dtype=np.int64)
+
+    def lists(self, texts: Texts) -> list[pa.ListArray]:
+        """Ids, and with offsets starts and ends, of each text."""
+        starts = chunk_starts(texts)
+        edges = np.concatenate([starts, [len(texts.data)]]).astype(np.int64)
+        chunks = pa.Array.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(texts.data)])
+        codes = chunks.dictionary_encode()
+        which = self.remember(codes.dictionary.to_pylist())[codes.indices.to_numpy(zero_copy_only=False)]
+        out = []
+        for k, flat in enumerate(self.stored):
+            values, ends = spread(flat, self.first, which)
+            row_edges = ends[np.searchsorted(starts, texts.offsets)]
+            if k:  # places within the text
+                letters = np.concatenate([[0], np.cumsum((texts.data & 0xC0) != 0x80)])
+                row = np.searchsorted(texts.offsets, starts, side="right") - 1
+                values = values + np.repeat(letters[starts] - letters[texts.offsets[row]], np.diff(ends))
+            out.append(pa.ListArray.from_arrays(pa.array(row_edges, type=pa.int32()), pa.array(values, type=pa.int32())))
+        return out
+
+
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def _replace(schema: T.StructType, new: dict[str, T.DataType]) -> tuple[list[str], T.StructType]:
+    kept = [f for f in schema.fields if f.name not in new]
+    return [f.name for f in kept], T.StructType(kept + [T.StructField(n, t) for n, t in new.items()])
 
-    A character that is split over several tokens is in the range of each of them. ``path`` is read once by the driver.
-    """
-    content = df.sparkSession.sparkContext.broadcast(read_ranks(path))
+
+def _encoding(schema: T.StructType, content: Broadcast, pattern: str, text: str, offsets: bool) -> tuple[Task, T.StructType]:
     ints = T.ArrayType(T.IntegerType(), False)
     new = {"ids": ints} | ({"starts": ints, "ends": ints} if offsets else {})
-    names, schema = _replace(df, new)
+    names, out = _replace(schema, new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = make_tokenizer(parse_ranks(content.value), pattern)
-
-        slots: dict[bytes, int] = {}  # remembered chunks
-        first = np.zeros(1, dtype=np.int64)
-        stored = [np.zeros(0, dtype=np.int32) for _ in new]  # their ids, starts and ends
-
-        def remember(chunks: list[bytes]) -> np.ndarray:
-            """Slots of the chunks; those not known are encoded."""
-            nonlocal slots, first, stored
-            if len(slots) > REMEMBERED:  # go on with what this piece has
-                kept = [c for c in chunks if c in slots]
-                which = np.array([slots[c] for c in kept], dtype=np.int64)
-                found = [spread(values, first, which) for values in stored]
-                stored, first = [x[0] for x in found], found[0][1]
-                slots = {c: i for i, c in enumerate(kept)}
-            fresh = [c for c in chunks if c not in slots]
-            for at in range(0, len(fresh), 8192):
-                some = tokenizer.encode_batch([c.decode() for c in fresh[at:at + 8192]], add_special_tokens=False)
-                ids = [e.ids for e in some]
-                flat = [np.array([i for x in ids for i in x], dtype=np.int32)]
-                if offsets:
-                    flat += list(np.array([o for e in some for o in e.offsets], dtype=np.int32).reshape(-1, 2).T)
-                stored = [np.concatenate(x) for x in zip(stored, flat)]
-                first = np.concatenate([first, first[-1] + np.cumsum([len(x) for x in ids])])
-            slots.update(zip(fresh, range(len(slots), len(slots) + len(fresh))))
-            return np.array([slots[c] for c in chunks], dtype=np.int64)
-
+        encoder = _Encoder.of(content.value, pattern, offsets)
         for batch in batches:
-            for part, texts in pieces(batch, text):
-                starts = chunk_starts(texts)
-                edges = np.concatenate([starts, [len(texts.data)]]).astype(np.int64)
-                chunks = pa.Array.from_buffers(
-                    pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(texts.data)])
-                codes = chunks.dictionary_encode()
-                which = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                which = remember(codes.dictionary.to_pylist())[which]
-                lists = []
-                for k, flat in enumerate(stored):
-                    values, ends = spread(flat, first, which)
-                    row_edges = ends[np.searchsorted(starts, texts.offsets)]
-                    if k:  # places within the text
-                        letters = np.concatenate([[0], np.cumsum((texts.data & 0xC0) != 0x80)])
-                        row = np.searchsorted(texts.offsets, starts, side="right") - 1
-                        values = values + np.repeat(letters[starts] - letters[texts.offsets[row]], np.diff(ends))
-                    lists.append(pa.ListArray.from_arrays(
-                        pa.array(row_edges, type=pa.int32()), pa.array(values, type=pa.int32())))
-                yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + lists, [*names, *new])
-
-    return df.mapInArrow(run, schema)
+            for part, texts in pieces(batch, text, PIECE_BYTES):
+                yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + encoder.lists(texts), [*names, *new])
 
+    return run, out
 
-def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """Add ``bytes``, the joined bytes of the ids, and ``decoded``, their text."""
-    content = df.sparkSession.sparkContext.broadcast(read_ranks(path))
-    names, schema = _replace(df, {"bytes": T.BinaryType(), "decoded": T.StringType()})
+
+def _decoding(schema: T.StructType, content: Broadcast, ids: str) -> tuple[Task, T.StructType]:
+    names, out = _replace(schema, {"bytes": T.BinaryType(), "decoded": T.StringType()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # tokens as the vocabulary shows them, then back through the byte table
@@ -198,9 +216,32 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
                 body, edges = spread(flat, first, numbers)
                 ends = edges[np.concatenate([[0], np.cumsum(count)])].tolist()
                 rows = [body[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+                decoded = [r.decode(errors="replace") for r in rows]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(n) for n in names]
-                    + [pa.array(rows, type=pa.binary()), pa.array([r.decode(errors="replace") for r in rows], type=pa.string())],
+                    [part.column(n) for n in names] + [pa.array(rows, type=pa.binary()), pa.array(decoded, type=pa.string())],
                     [*names, "bytes", "decoded"])
 
-    return df.mapInArrow(run, schema)
+    return run, out
+
+
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False) -> DataFrame:
+    """Add ``ids``; with ``offsets`` also ``starts`` and ``ends``, the characters that each token touches.
+
+    A character that is split over several tokens is in the range of each of them. ``path`` is read once by the driver.
+    """
+    content = df.sparkSession.sparkContext.broadcast(read_ranks(path))
+    return df.mapInArrow(*_encoding(df.schema, content, pattern, text, offsets))
+
+
+def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
+    """Add ``bytes``, the joined bytes of the ids, and ``decoded``, their text."""
+    content = df.sparkSession.sparkContext.broadcast(read_ranks(path))
+    return df.mapInArrow(*_decoding(df.schema, content, ids))
+
+
+def encode_and_decode(df: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False) -> DataFrame:
+    """``decode`` of ``encode`` in one Python worker per task."""
+    content = df.sparkSession.sparkContext.broadcast(read_ranks(path))
+    encoder, schema = _encoding(df.schema, content, pattern, text, offsets)
+    decoder, schema = _decoding(schema, content, "ids")
+    return df.mapInArrow(lambda batches: decoder(encoder(batches)), schema)

@@ -81,11 +81,10 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(read(spark, folder, "documents", "doc_id", "text"), path, public_tokenizers.PATTERN)
-    encoded = encoded.select(
-        "doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), joined_hash(F.col("ids")).alias("ids_sha256"))
-    decoded = bpe.decode(encoded, path)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+    found = bpe.encode_and_decode(read(spark, folder, "documents", "doc_id", "text"), path, public_tokenizers.PATTERN)
+    return found.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), joined_hash(F.col("ids")).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
