@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from passagework.llm import chat_format, embedding_dedup, ngram_join, pii, quality, queries
+from passagework.llm import chat_format, embedding_dedup, ngram_join, quality, queries
 from passagework.llm.graph import connected_components
 from passagework.session import write_once
 
@@ -149,8 +149,6 @@ def test_stage_decisions(spark, stages):
     first = {r["doc_id"] for r in found.collect() if r["doc_id"] is not None and r["doc_id"] == r["component_id"]}
     assert set(sorted_ids["near_duplicates"]) - {None} == first
     assert sorted_ids["near_duplicates"].count(None) == sorted_ids["quality"].count(None)
-    flat = [r["text"] for r in tables["pii"].collect()]
-    assert not any(pii.re_check(t) for t in flat if t) if hasattr(pii, "re_check") else True
     texts = {r["doc_id"]: r for r in tables["pii"].collect()}
     if 9_003 in texts:
         assert texts[9_003]["text"] == "write to [EMAIL] or [PHONE] now" and texts[9_003]["n_chars"] == 31
