@@ -36,7 +36,7 @@ from passagework.session import write_once
 WORDS = 5
 PERCENT = 80
 SHARE = 0.3
-MAX_BROADCAST = 2_000_000
+MAX_BROADCAST = 500_000
 MAX_BLOCK = 4096
 #: Largest size of a set that is thought of as small, and entries in lists that weigh as much as a subset.
 MOST_SMALL, LIST_WEIGHT = 24, 4
@@ -169,33 +169,9 @@ def _count_shingles(docs: DataFrame, words: int, share: float, percent: int) ->
     return counts.groupBy("token").agg(F.sum("n").alias("n")).filter("n > 1")
 
 
-def _keys_of(docs: DataFrame, sets: DataFrame, x: int, words: int, share: float, percent: int, max_broadcast: int) -> DataFrame:
+def _keys_of(docs: DataFrame, sets: DataFrame, x: int, words: int, share: float, percent: int) -> DataFrame:
     """``key`` and ``node``: the entries of all sets, of shingles counted over all documents."""
-    counted = write_once(_count_shingles(docs, words, share, percent))
-
-    if counted.count() <= max_broadcast:
-        table = counted.toArrow()
-        token, n = table.column("token").to_numpy().view(np.uint64), table.column("n").to_numpy()
-        order = np.argsort(token)
-        sent = docs.sparkSession.sparkContext.broadcast((token[order], np.minimum(n[order], 2**31 - 1).astype(np.int32)))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            token, n = sent.value
-
-            def keys(tokens: np.ndarray) -> list[np.ndarray]:
-                out = _subsets(tokens, x, percent)
-                for space in _sample(tokens, share, percent) if _is_listed(len(tokens), x, percent) else ():
-                    at = np.minimum(np.searchsorted(token, space), max(len(token) - 1, 0))
-                    again = token[at] == space if len(token) else np.zeros(len(space), dtype=bool)
-                    if len(space):
-                        out.append(_listed(len(tokens), space[again], n[at[again]], int((~again).sum()), percent))
-                return out
-
-            for batch in batches:
-                for _, texts in pieces(batch, "text"):
-                    yield _entered([(node, keys(t)) for node, t in _unique(shingle_sets(texts, words))])
-
-        return docs.select("text").mapInArrow(run, "key long, node long").distinct()
+    counted = _count_shingles(docs, words, share, percent)
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -364,14 +340,15 @@ def similar_documents(
         F.count("*").alias("weight"))
     small = sets.filter(F.col("n") <= 2 * MOST_SMALL).groupBy("n").count().collect()
     x = boundary({r["n"]: r["count"] for r in small}, percent)
-    keys = write_once(_keys_of(docs.filter("doc_id IS NOT NULL"), sets, x, words, share, percent, max_broadcast))
+    keys = write_once(_keys_of(docs.filter("doc_id IS NOT NULL"), sets, x, words, share, percent))
     least = keys.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first <> last")
     edges = keys.join(least.select("key", "first"), "key").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    edges = write_once(edges.distinct())
     groups = write_once(connected_components(edges)).withColumnRenamed("component", "group")
     members = write_once(groups.join(sets, "node"))
     dealt = _deal(members.select("node", "group", "n", "weight"), percent, max_block)
     chosen = members.select("doc_id", "node")
-    chosen = F.broadcast(chosen) if chosen.count() <= max_broadcast // 4 else chosen
+    chosen = F.broadcast(chosen) if chosen.count() <= max_broadcast else chosen
     bodies = docs.join(chosen, "doc_id")
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
