@@ -72,18 +72,19 @@ def embed_native(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def embed_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Chunks streamed twice, the second time with other French texts; a second source has the pages' texts."""
+    """Chunks streamed twice, the second time with old and new French texts in one batch; a second source has the pages' texts."""
     work = scratch_dir(spark)
 
-    def sync(rows: DataFrame, name: str, mode: str, url: str) -> None:
+    def sync(rows: DataFrame, name: str, mode: str, url: str, order: str | None = None) -> None:
         rows.write.mode(mode).parquet(f"{work}/{name}")
         stream = spark.readStream.schema(rows.schema).parquet(f"{work}/{name}")
-        sync_embeddings(stream, f"{work}/sync", f"{work}/checkpoint-{name}", load_digit_embedder, url)
+        sync_embeddings(stream, f"{work}/sync", f"{work}/checkpoint-{name}", load_digit_embedder, url, order)
 
-    first = _chunks(spark, folder)
-    sync(first, "chunks", "append", "doc_id")
+    first = _chunks(spark, folder).withColumn("edition", F.lit(1))
+    sync(first, "chunks", "append", "doc_id", "edition")
     changed = F.when(F.col("lang") == "fr", F.concat(F.col("content"), F.lit(" fin"))).otherwise(F.col("content"))
-    sync(first.withColumn("content", changed), "chunks", "overwrite", "doc_id")
+    second = first.withColumns({"content": changed, "edition": F.lit(2)})
+    sync(second.unionByName(first.filter("lang = 'fr'")), "chunks", "overwrite", "doc_id", "edition")
     pages = table(spark, folder, "pages").select(F.concat(F.lit("page "), "page_id").alias("url"), "url", F.col("url").alias("text"))
     sync(chunk_rows(pages.toDF("path", "address", "text").drop("address"), "text", "path"), "pages", "append", "path")
     return _dimensions(read_sync_table(spark, f"{work}/sync"), "id")

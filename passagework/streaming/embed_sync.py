@@ -6,6 +6,7 @@ import threading
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,28 +24,44 @@ def _content_hash() -> Column:
 def changed_rows(batch: DataFrame, known: DataFrame) -> DataFrame:
     """Rows of a batch that are new or whose content differs from the newest stored row of their key.
 
-    A key that stands in a batch with several contents keeps the one with the greatest hash, so a repeated batch gives the
-    same rows. Only keys and hashes of the stored rows are read.
+    A key that stands in a batch with several contents keeps the one with the greatest ``order``, and of those that tie
+    the one with the greatest hash, so a repeated batch gives the same rows. A null order is before all others. Only keys
+    and hashes of the stored rows are read.
     """
     hashed = batch.withColumn("content_hash", _content_hash())
-    one = hashed.groupBy("id").agg(F.max("content_hash").alias("content_hash"))
-    fresh = one.join(known.select("id", "content_hash"), ["id", "content_hash"], "left_anti")
-    return hashed.dropDuplicates(["id", "content_hash"]).join(fresh, ["id", "content_hash"], "left_semi")
+    last = hashed.groupBy("id").agg(F.max(F.struct("order", "content_hash")).alias("last")).select("id", "last.content_hash")
+    fresh = last.join(known.select("id", "content_hash"), ["id", "content_hash"], "left_anti")
+    return hashed.drop("order").dropDuplicates(["id", "content_hash"]).join(fresh, ["id", "content_hash"], "left_semi")
+
+
+def _order(chunks: DataFrame, order_col: str | None) -> Column:
+    """The order column, or the modification time of the file that a row comes from."""
+    if order_col is not None:
+        return F.col(order_col)
+    try:
+        chunks.select("_metadata.file_modification_time")
+    except AnalysisException as error:
+        raise ValueError("the stream has no file times: name an order column") from error
+    return F.col("_metadata.file_modification_time")
 
 
 def sync_embeddings(
-    chunks: DataFrame, path: str, checkpoint: str, load_embedder: Callable[[], Embedder], url_col: str = "path"
+    chunks: DataFrame, path: str, checkpoint: str, load_embedder: Callable[[], Embedder], url_col: str = "path",
+    order_col: str | None = None,
 ) -> None:
     """Embed the chunks that arrived since the last run and append them to the Parquet table at ``path``.
 
     The key is made from address and position. A row reaches the model if its key is new or its content differs from
-    what the table shows for the key; the newest row of a key wins when the table is read. Every query (a checkpoint that
+    what the table shows for the key; the newest row of a key wins when the table is read. Of several contents of a key
+    in one batch the newest one counts, by ``order_col`` or else by the modification time of the file, which does not
+    tell rows of one file or of one clock tick apart. A later batch is newer than an earlier one. Every query (a checkpoint that
     is started anew is another one) and batch owns the folder ``source=Q/batch=N``, which a repeated batch replaces: a
     retry leaves no duplicates, and several sources can feed one table.
     """
     spark = chunks.sparkSession
     rows = chunks.select(
-        stable_id(F.col(url_col), F.col("chunk_pos")).alias("id"), F.col(url_col).cast("string").alias("url"), "content"
+        stable_id(F.col(url_col), F.col("chunk_pos")).alias("id"), F.col(url_col).cast("string").alias("url"), "content",
+        _order(chunks, order_col).alias("order"),
     )
     started = threading.Event()
     source: list[str] = []

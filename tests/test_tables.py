@@ -114,6 +114,41 @@ def test_rewritten_chunks_are_embedded_once(spark, tmp_path):
     assert {r["content"] for r in read_sync_table(spark, str(tmp_path / "sync")).collect()} == {"a", "b", "c", "d", "other"}
 
 
+def test_newest_of_several_contents_in_a_batch(spark, tmp_path):
+    """Keys of the first run are stored with their old text, the others are not; either text may have the greater hash."""
+    import os
+
+    schema = "path string, chunk_pos int, content string, edition int"
+    sources = {"times": None, "editions": "edition"}
+
+    def run(name):
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / name))
+        sync_embeddings(stream, str(tmp_path / f"sync-{name}"), str(tmp_path / f"cp-{name}"), load_digit_embedder,
+                        order_col=sources[name])
+        rows = read_sync_table(spark, str(tmp_path / f"sync-{name}")).collect()
+        return {r["url"]: r["content"] for r in rows}, len(rows)
+
+    def write(name, edition, keys):
+        known = set((tmp_path / name).glob("*.parquet"))
+        rows = [(f"u{i}", 0, f"text {i} of {edition}", edition) for i in keys]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(str(tmp_path / name))
+        # the file times of the second source say the contrary of its editions
+        at = 1_700_000_000 + (edition if sources[name] is None else -edition)
+        for file in set((tmp_path / name).glob("*.parquet")) - known:
+            os.utime(file, (at, at))
+
+    for name in sources:
+        write(name, 1, range(20))
+        assert run(name)[0] == {f"u{i}": f"text {i} of 1" for i in range(20)}
+        write(name, 3, range(40))
+        write(name, 1, range(40))
+        write(name, 2, range(40))
+        assert run(name) == ({f"u{i}": f"text {i} of 3" for i in range(40)}, 40)
+    with pytest.raises(ValueError):
+        rows = spark.readStream.format("rate").load().selectExpr("'u' AS path", "0 AS chunk_pos", "'c' AS content")
+        sync_embeddings(rows, str(tmp_path / "none"), str(tmp_path / "cp-none"), load_digit_embedder)
+
+
 def test_index_refresh_embeds_only_changes(spark, tmp_path):
     sent = tmp_path / "sent"
     sent.mkdir()
