@@ -333,6 +333,40 @@ def test_pii_trees_add_secrets(spark):
     assert pii.fit(df.limit(0)).least == {}
 
 
+def test_pii_trees_add_addresses_and_numbers(spark):
+    """Forms that no rule finds, beside many that the rules find and look-alikes that are none."""
+    rnd = random.Random(6)
+
+    def digits(n):
+        return "".join(rnd.choice("23456789") for _ in range(n))
+
+    def name():
+        return "".join(rnd.choice("abcdefghij") for _ in range(rnd.randrange(4, 9)))
+
+    makers = [
+        lambda: f"{name()} (at) {name()}.{rnd.choice(['org', 'com', 'de'])}", lambda: f"({digits(3)}) {digits(3)}-{digits(4)}",
+        lambda: f"{name()} (at) noon", lambda: f"{digits(5)} {digits(2)}",
+        lambda: f"{name()}@{name()}.org", lambda: f"+1 ({digits(3)}) {digits(3)}-{digits(4)}"]
+    bodies = [makers[i % 6]() for i in range(1800)]
+    df = spark.createDataFrame([(i, f"we saw: {b} , and more") for i, b in enumerate(bodies)], "doc_id long, text string")
+    more = spark.createDataFrame([(-1, "so: marie [at] hosting.org , ok"), (-2, "so: (555) 123-4567 , ok")], df.schema)
+    found = {r["doc_id"]: r["l"] for r in pii.find_pii(df.unionByName(more), pii.fit(df)).select(
+        "doc_id", pii.listed(F.col("spans")).alias("l")).collect()}
+    whole = collections.Counter()
+    for i, body in enumerate(bodies):
+        kind = ["address", "number", None, None, "email", "phone"][i % 6]
+        whole[i % 6] += found[i] == (f"{kind}:8:{8 + len(body)}" if kind else "")
+    assert min(whole[0], whole[1]) >= 285 and min(whole[2], whole[3]) >= 291 and whole[4] == whole[5] == 300, whole
+    assert (found[-1], found[-2]) == ("address:4:26", "number:4:18")
+
+
+def test_pii_key_words_are_proof_and_no_feature(spark):
+    rows = [(0, "tel. 555 12345 , x"), (1, "item 555 12345 , x"), (2, "shotel 555 12345 , x")]
+    spans = pii.candidates(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", F.explode("wide").alias("s"))
+    got = spans.select("doc_id", pii.proof(F.col("s")).alias("y"), pii.features(F.col("s"))["key_word_before"].alias("x")).collect()
+    assert sorted(tuple(r) for r in got) == [(0, True, 0.0), (1, False, 0.0), (2, False, 0.0)]
+
+
 # licences
 
 
