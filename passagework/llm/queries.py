@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagework.llm import (
-    bpe, chat_format, decontamination, embedding_dedup, license_scan, ngram_join, pii, quality, substring_dedup, suffix_dedup,
+    bpe, chat_format, collocations, decontamination, embedding_dedup, license_scan, ngram_join, periodic_runs, pii, quality,
+    substring_dedup, suffix_dedup, token_counts,
 )
 from passagework.session import write_once
 
 #: Least score of a document that counts as good.
 GOOD = 0.3
+#: Most tokens of a document that is not over the limit.
+TOKEN_LIMIT = 512
 
 
 def read(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -219,6 +222,87 @@ SELECT vec_id, (SELECT count(*) FROM link WHERE link.a = vec_id)::BIGINT AS n_li
 FROM embeddings JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a) USING (vec_id)
 """
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document, from the counts at all of its prefixes."""
+    import public_tokenizers
+
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    counted = token_counts.prefix_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    tokens = token_counts.total_tokens(F.col("counts"))
+    return counted.select(
+        "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"), tokens.alias("n_tokens"),
+        (tokens > TOKEN_LIMIT).alias("over_limit"))
+
+
+def planted(text: Column, doc_id: Column) -> Column:
+    """The words of a text; from a place on, those of one in ten documents follow a period. Both are set by the id."""
+    text = F.coalesce(text, F.lit(""))
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeat(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, a + (i - a) % p))), " ")
+
+    made = F.transform(F.array(F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))), lambda words: F.when(
+        F.size(words) > 0, repeat(words)).otherwise(""))[0]
+    return F.when(h % 10 == 0, made).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Stretches of words of every document that repeat with a period, and what is left without the repeats."""
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    found = periodic_runs.find_runs(docs.select("doc_id", planted(F.col("text"), F.col("doc_id")).alias("text")))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(
+        ",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    found = found.withColumns({"_listed": F.array_join(listed, ""), "_best": best})
+    start, length, period = -F.col("_best.start"), F.col("_best.length"), -F.col("_best.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.col("_listed").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The phrases of two and three words of each language whose words keep together most."""
+    return collocations.find_collocations(read(spark, folder, "documents", "text", "lang"))
+
+
+OP13_SQL = r"""
+WITH piece AS (
+  SELECT row_number() OVER () AS r, lang, body FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS body FROM documents)),
+spelled AS (SELECT lang, regexp_extract_all(body, '[^\x20\x09]+') AS ws FROM piece),
+phrase AS (
+  SELECT lang, m, ws[i:i + m - 1] AS p, count(*)::HUGEINT AS f
+  FROM (SELECT lang, ws, m, unnest(range(1, greatest(len(ws) - m + 2, 1))) AS i FROM spelled CROSS JOIN (VALUES (1), (2), (3)) v(m))
+  GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM phrase WHERE m = 1 GROUP BY lang),
+candidate AS (SELECT lang, m, p, f AS a FROM phrase WHERE m > 1 AND f >= 10),
+cut AS (
+  SELECT c.lang, c.p, a, k, x.f AS l, y.f AS r, (1000000 * a * a) // (x.f * y.f) AS score
+  FROM (SELECT *, p[1:k] AS head, p[k + 1:] AS tail FROM (SELECT *, unnest(range(1, m)) AS k FROM candidate)) c
+  JOIN phrase x ON x.lang = c.lang AND x.p = head JOIN phrase y ON y.lang = c.lang AND y.p = tail),
+worst AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS place FROM cut) WHERE place = 1),
+inside AS (
+  SELECT lang, p, max(a) AS longer FROM (
+    SELECT lang, a, unnest([p[1:2], p[2:3]]) AS p FROM candidate WHERE m = 3) GROUP BY ALL),
+named AS (
+  SELECT w.lang, array_to_string(w.p, ' ') AS phrase, a, l, r, score
+  FROM worst w LEFT JOIN inside i ON i.lang = w.lang AND i.p = w.p WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM named)
+JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_pii": op2_pii,
@@ -230,6 +314,9 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_token_counts": op11_token_counts,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES = {
@@ -238,4 +325,5 @@ ORACLES = {
     "op6_decontamination": OP6_SQL,
     "op9_substring_dedup": OP9_SQL,
     "op10_embedding_dedup": OP10_SQL,
+    "op13_collocations": OP13_SQL,
 }
