@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from passagework.functions.templates import fill
 from passagework.functions.text import tokens
 from passagework.operators.chunking import CONTEXT_TOKENS
+from passagework.session import is_small, write_once
 
 # Turns of a conversation that are put in order at a time.
 RUN_TURNS = 256
@@ -131,13 +132,34 @@ def context_check(
     return sizes.select("conv_id", "n_tokens", (F.col("n_tokens") + max_new_tokens <= context_tokens).alias("fits"))
 
 
+def paged_history(messages: DataFrame) -> DataFrame:
+    """``conv_id, page, messages``: the messages of at most ``RUN_TURNS`` consecutive turns, in order.
+
+    A page is put together by a task of its own, however long the conversation is.
+    """
+    return messages.groupBy("conv_id", F.floor(F.col("turn") / RUN_TURNS).alias("page")).agg(
+        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("messages"))
+
+
 def with_memory(messages: DataFrame, prompt: Callable[[Column, Column], Column]) -> DataFrame:
     """``conv_id, turn, n_earlier, prompt``: every message with the prompt made from it and all earlier ones.
 
-    ``prompt`` gets the array of earlier messages and the message. The ordered history is held once per conversation and
-    sliced while a prompt is filled, so only prompts leave the row.
+    ``prompt`` gets the array of earlier messages and the message. Pages are stored once. A turn is a row of its own from the
+    start, with the whole pages before its page and the head of its own page, so a task holds one prompt at a time. A
+    conversation of one page needs no further shuffle; the pages of a longer one are dealt anew once they know what is before
+    them, so its prompts are filled by many tasks: that moves one history per ``RUN_TURNS`` prompts.
     """
-    filled = F.transform("messages", lambda m, i: F.struct(
-        m["turn"].alias("turn"), i.cast("bigint").alias("n_earlier"),
-        prompt(F.slice("messages", F.lit(1), i), m).alias("prompt")))
-    return fold(messages).select("conv_id", F.explode(filled).alias("m")).select("conv_id", "m.*")
+    pages = write_once(paged_history(messages))
+    long = pages.groupBy(F.col("conv_id").alias("_conv")).agg(F.count("*").alias("_pages")).filter("_pages > 1")
+    long = write_once(long.select("_conv"))
+    long = F.broadcast(long) if is_small(long) else long
+    same = F.col("conv_id").eqNullSafe(F.col("_conv"))
+    before = Window.partitionBy("conv_id").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    alone = pages.join(long, same, "left_anti").select("conv_id", F.slice("messages", 1, 0).alias("earlier"), "messages")
+    paged = pages.join(long, same, "left_semi").withColumn("earlier", F.flatten(F.collect_list("messages").over(before)))
+    paged = paged.repartition("conv_id", "page").select("conv_id", "earlier", "messages")
+    turns = alone.unionByName(paged).select("conv_id", "earlier", "messages", F.posexplode("messages").alias("at", "m"))
+    head = F.concat("earlier", F.slice("messages", F.lit(1), F.col("at")))
+    return turns.select(
+        "conv_id", "m.turn", (F.size("earlier") + F.col("at")).cast("bigint").alias("n_earlier"),
+        prompt(head, F.col("m")).alias("prompt"))

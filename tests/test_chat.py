@@ -96,6 +96,22 @@ def test_memory(messages):
         assert got[conv, turn]["prompt"] == "[" + ",".join(map(str, earlier)) + "]" + (text if text is not None else "-")
 
 
+def test_memory_over_pages(spark):
+    """Conversations of several pages, turns with gaps, next to short ones and one without an id."""
+    rows = [(c, t * step, "user" if t % 2 else "assistant", f"m{c}-{t}") for c, n, step in ((1, 900, 1), (2, 3, 1), (3, 40, 100), (4, 256, 1))
+            for t in range(n)] + [(None, t, "user", f"n{t}") for t in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    got = with_memory(df, lambda earlier, m: F.concat(F.array_join(F.transform(earlier, lambda e: e["text"]), ","), F.lit("|"), m["text"]))
+    found = {(r["conv_id"], r["turn"]): (r["n_earlier"], r["prompt"]) for r in got.collect()}
+    assert len(found) == len(rows)
+    texts = {}
+    for conv, turn, _, text in rows:
+        earlier = texts.setdefault(conv, [])
+        assert found[conv, turn] == (len(earlier), ",".join(earlier) + "|" + text)
+        earlier.append(text)
+    assert with_memory(df.limit(0), lambda earlier, m: m["text"]).count() == 0
+
+
 def test_final_messages(messages):
     out = fold(messages).filter("conv_id = 1").select(
         F.to_json(final_messages(F.lit("sys"), formatted_history_of(F.col("messages")), F.lit("q"))))
