@@ -13,16 +13,17 @@ def latest_version(df: DataFrame, key: str, version_col: str) -> DataFrame:
 
 
 def latest_rows(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
-    """The last row per key by ``order_cols``, whole; of rows that tie in all of them one stays.
+    """The last row per key by ``order_cols``, whole; of rows that tie in all of them one stays, the same one each time.
 
-    Only keys and order columns are aggregated, by hash and before the shuffle; the rows come by a join on both.
+    Only keys, order columns and a hash of the row are aggregated; the rows come by joins on the key, whose partitioning serves
+    all of them. Ties are broken by the hash, so what is left per key is one row or copies of it.
     """
-    found = df
-    for col in order_cols:
+    found = df.withColumn("_row", F.xxhash64(*df.columns))
+    for col in [*order_cols, "_row"]:
         last = found.groupBy(F.col(key).alias("_key")).agg(F.max(col).alias("_last"))
         same = F.col(key).eqNullSafe(F.col("_key")) & F.col(col).eqNullSafe(F.col("_last"))
         found = found.join(last, same, "left_semi")
-    return found.dropDuplicates([key]).select(*df.columns)
+    return found.select(*df.columns).distinct()
 
 
 def content_hash(*columns: str) -> Column:

@@ -1,48 +1,77 @@
-"""Incremental embedding: streams of chunks to the sync table."""
+"""Incremental embedding: streams of chunks to the sync table.
+
+What a stream has embedded is kept as keyed state: order and content hash of the newest row of every key, in the state store of
+the query's checkpoint. A batch meets the state of its own keys only, so its cost follows the batch and no stored table is read.
+"""
 
 from __future__ import annotations
 
-import threading
 import time
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from passagework.functions.text import stable_id
 from passagework.operators.embedding import Embedder, embed
 from passagework.schemas import SYNC_TABLE
 
-_STORED = "id string, url string, content string, embedding array<float>, content_hash string, version bigint"
+_CHANGED = "id string, url string, content string, content_hash string, order bigint"
+_STORED = f"{_CHANGED}, embedding array<float>, version bigint"
+_STATE = "order bigint, content_hash string"
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_BEFORE_ALL = -(2**63)
 
 
 def _content_hash() -> Column:
     return F.md5(F.coalesce("content", F.lit("")))
 
 
-def changed_rows(batch: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows of a batch that are new or whose content differs from the newest stored row of their key.
+def _changed(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The newest row of a key in this batch, if it is as new as the known one and its content differs from that."""
+    best, row = None, None
+    for frame in frames:
+        for at, rank in enumerate(zip(frame["order"], frame["content_hash"])):
+            if best is None or rank > best:
+                best, row = rank, frame.iloc[at:at + 1]
+    known = state.get if state.exists else None
+    if known is None or best[0] >= known[0]:
+        state.update((int(best[0]), best[1]))
+        if known is None or best[1] != known[1]:
+            yield row
+
+
+def changed_rows(rows: DataFrame) -> DataFrame:
+    """Of a stream of ``id, url, content, order``: the rows that are new or bring a newer content for their key.
 
-    A key that stands in a batch with several contents keeps the one with the greatest ``order``, and of those that tie
-    the one with the greatest hash, so a repeated batch gives the same rows. A null order is before all others. Only keys
-    and hashes of the stored rows are read.
+    Of several contents of a key the one with the greatest ``order`` counts, of those that tie in a batch the one with the greatest
+    hash, and of those that tie over batches the later one. An older content that arrives late is left out; a null order
+    is before all others.
     """
-    hashed = batch.withColumn("content_hash", _content_hash())
-    last = hashed.groupBy("id").agg(F.max(F.struct("order", "content_hash")).alias("last")).select("id", "last.content_hash")
-    fresh = last.join(known.select("id", "content_hash"), ["id", "content_hash"], "left_anti")
-    return hashed.drop("order").dropDuplicates(["id", "content_hash"]).join(fresh, ["id", "content_hash"], "left_semi")
+    hashed = rows.withColumns({"content_hash": _content_hash(), "order": F.coalesce("order", F.lit(_BEFORE_ALL))})
+    hashed = hashed.select("id", "url", "content", "content_hash", "order")
+    return hashed.groupBy("id").applyInPandasWithState(_changed, _CHANGED, _STATE, "update", GroupStateTimeout.NoTimeout)
 
 
 def _order(chunks: DataFrame, order_col: str | None) -> Column:
-    """The order column, or the modification time of the file that a row comes from."""
-    if order_col is not None:
-        return F.col(order_col)
-    try:
-        chunks.select("_metadata.file_modification_time")
-    except AnalysisException as error:
-        raise ValueError("the stream has no file times: name an order column") from error
-    return F.col("_metadata.file_modification_time")
+    """The order column as BIGINT, or the modification time of the file that a row comes from."""
+    if order_col is None:
+        try:
+            chunks.select("_metadata.file_modification_time")
+        except AnalysisException as error:
+            raise ValueError("the stream has no file times: name an order column") from error
+        return F.unix_micros("_metadata.file_modification_time")
+    kind = chunks.schema[order_col].dataType.simpleString()
+    if kind == "timestamp":
+        return F.unix_micros(order_col)
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError(f"an order column holds whole numbers or timestamps, {order_col} is {kind}")
+    return F.col(order_col).cast("bigint")
 
 
 def sync_embeddings(
@@ -51,48 +80,48 @@ def sync_embeddings(
 ) -> None:
     """Embed the chunks that arrived since the last run and append them to the Parquet table at ``path``.
 
-    The key is made from address and position. A row reaches the model if its key is new or its content differs from
-    what the table shows for the key; the newest row of a key wins when the table is read. Of several contents of a key
-    in one batch the newest one counts, by ``order_col`` or else by the modification time of the file, which does not
-    tell rows of one file or of one clock tick apart. A later batch is newer than an earlier one. Every query (a checkpoint that
-    is started anew is another one) and batch owns the folder ``source=Q/batch=N``, which a repeated batch replaces: a
-    retry leaves no duplicates, and several sources can feed one table.
+    The key is made from address and position. A row reaches the model if its key is new to the query or its content is newer
+    than, and other than, the one known (see ``changed_rows``), by ``order_col`` or else by the modification time of the file, which
+    does not tell rows of one file or of one clock tick apart. Every query (a checkpoint that is started anew is another one)
+    and batch owns the folder ``source=Q/batch=N``, which a repeated batch replaces: a retry leaves no duplicates, and
+    several sources can feed one table. The order is stored, so the newest row of a key wins when the table is read, whichever
+    source or batch brought it. The state lies on disk (RocksDB) unless the session names another store.
     """
     spark = chunks.sparkSession
     rows = chunks.select(
         stable_id(F.col(url_col), F.col("chunk_pos")).alias("id"), F.col(url_col).cast("string").alias("url"), "content",
         _order(chunks, order_col).alias("order"),
     )
-    started = threading.Event()
-    source: list[str] = []
 
     def write(batch: DataFrame, number: int) -> None:
-        started.wait()
-        own = (F.col("source") == source[0]) & (F.col("batch") == number)
-        stored = _stored(batch.sparkSession, path).filter(~own)
-        newest = stored.agg(F.max("version")).first()[0] or 0
-        version = max(time.time_ns() // 1000, newest + 1)
-        fresh = embed(changed_rows(batch, _newest(stored)), "content", load_embedder)
-        fresh = fresh.withColumn("version", F.lit(version)).select(*SYNC_TABLE.names, "content_hash", "version")
-        fresh.write.mode("overwrite").parquet(f"{path}/source={source[0]}/batch={number}")
+        # the id of the query, the same over its restarts, is a local property of every batch
+        source = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        version = time.time_ns() // 1000 * 1000 + zlib.crc32(source.encode()) % 1000  # of two sources at once, too, only one
+        fresh = embed(batch, "content", load_embedder).withColumn("version", F.lit(version))
+        fresh.write.mode("overwrite").parquet(f"{path}/source={source}/batch={number}")
 
     spark.createDataFrame([], _STORED).write.mode("ignore").parquet(f"{path}/source=none/batch=-1")
-    query = rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(write).start()
-    source.append(str(query.id))
-    started.set()
+    named = spark.conf.get(_STATE_STORE, None)
+    if named is None or named.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(_STATE_STORE, _ON_DISK)
+    try:
+        stream = changed_rows(rows).writeStream.outputMode("update").trigger(availableNow=True)
+        query = stream.option("checkpointLocation", checkpoint).foreachBatch(write).start()
+    finally:
+        if named is not None:
+            spark.conf.set(_STATE_STORE, named)
+        else:
+            spark.conf.unset(_STATE_STORE)
     query.awaitTermination()
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"{_STORED}, source string, batch bigint").option("basePath", path).parquet(path)
-
-
-def _newest(stored: DataFrame) -> DataFrame:
-    """The newest row per key: numbers are aggregated, rows come by a join on key and version."""
-    last = stored.groupBy("id").agg(F.max("version").alias("version"))
-    return stored.join(last, ["id", "version"])
-
-
 def read_sync_table(spark: SparkSession, path: str) -> DataFrame:
-    """The newest row of every key, with the source and batch that wrote it."""
-    return _newest(_stored(spark, path)).select(*SYNC_TABLE.names, "source", "batch")
+    """The newest row of every key, by order, then by the time it was written, with the source and batch that wrote it.
+
+    Keys and two numbers are aggregated, by hash; rows come by a join on them.
+    """
+    stored = spark.read.schema(f"{_STORED}, source string, batch bigint").option("basePath", path).parquet(path)
+    rank = F.col("order").cast("decimal(19,0)") * F.lit(str(10**19)).cast("decimal(20,0)") + F.col("version").cast("decimal(19,0)")
+    stored = stored.withColumn("rank", rank.cast("decimal(38,0)"))
+    last = stored.groupBy("id").agg(F.max("rank").alias("rank"))
+    return stored.join(last, ["id", "rank"]).select(*SYNC_TABLE.names, "source", "batch")

@@ -1,5 +1,7 @@
 """Files, tables, streams, changes, index versions and session helpers."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from passagework.functions.vectors import load_digit_embedder
 from passagework.operators.changes import latest_rows, latest_version, snapshot_changes
 from passagework.operators.chunking import chunk_rows
 from passagework.operators.extract import chunk_files
-from passagework.operators.index import build_index, complete_versions, read_index, refresh_index
+from passagework.operators.index import build_index, compact_index, read_index, refresh_index, versions, without_changed
 from passagework.schemas import CHUNKS, RAW_FILES, SYNC_TABLE, check_columns
 from passagework.session import arrow_batch_rows, is_small, scratch_dir, write_once
 from passagework.sources.files import scan_files
@@ -177,14 +179,22 @@ def test_index_refresh_embeds_only_changes(spark, tmp_path):
     texts = [t for p in sent.iterdir() for t in p.read_text().split("\n")]
     assert sorted(texts) == ["B b", "a", "b", "c", "d"]
     # the second version has the changes alone, the files of the first are as they were
-    assert spark.read.parquet(f"{path}/version=2").count() == 3
-    assert spark.read.parquet(f"{path}/version=1").count() == 3
+    assert spark.read.parquet(f"{path}/rows/version=2").count() == 3
+    assert spark.read.parquet(f"{path}/rows/version=1").count() == 3
     assert refresh_index(after, path, load_embedder=load).isEmpty()
-    assert complete_versions(spark, path) == [1, 2]
-    # a version whose write did not end is not read
-    (tmp_path / "index" / "version=10").mkdir()
-    assert complete_versions(spark, path) == [1, 2]
+    assert versions(spark, path) == [1, 2]
+    # a version whose write did not end is not read, and replaced by the next refresh
+    spark.read.parquet(f"{path}/rows/version=1").write.parquet(f"{path}/rows/version=3")
+    assert versions(spark, path) == [1, 2]
     assert read_index(spark, path).count() == 3
+    refresh_index(source([(1, "u", "a"), (2, "u", "B b"), (3, "u", "c again"), (4, "u", "d")]), path, load_embedder=load)
+    shown = {(1, "a"), (2, "B b"), (3, "c again"), (4, "d")}
+    assert {tuple(r) for r in read_index(spark, path).select("id", "content").collect()} == shown
+    compact_index(spark, path)
+    assert versions(spark, path) == [4]
+    assert {tuple(r) for r in read_index(spark, path).select("id", "content").collect()} == shown
+    refresh_index(source([(1, "u", "a"), (2, "u", "B b"), (3, "u", "c again")]), path, load_embedder=load)
+    assert {tuple(r) for r in read_index(spark, path).select("id", "content").collect()} == shown - {(4, "d")}
     with pytest.raises(FileExistsError):
         build_index(after, path, load_embedder=load)
     with pytest.raises(ValueError):
@@ -193,6 +203,84 @@ def test_index_refresh_embeds_only_changes(spark, tmp_path):
         read_index(spark, str(tmp_path / "none"))
 
 
+@pytest.mark.parametrize("limits", [{}, {"max_broadcast": 0}, {"max_broadcast": 0, "max_bitmap": 0}])
+def test_merge_on_read(spark, tmp_path, limits):
+    """Twelve versions that insert, change and delete keys at random, also keys with negative hashes and none changed at all."""
+    rnd, path, rows = random.Random(8), str(tmp_path / "index"), {}
+
+    def source():
+        return spark.createDataFrame([(k, "u", v) for k, v in rows.items()], "id bigint, url string, content string").withColumn(
+            "embedding", F.array(F.length("content").cast("float")))
+
+    for number in range(12):
+        for _ in range(40 if not number else 6):
+            key = rnd.randrange(60)
+            if rnd.random() < 0.3 and len(rows) > 5:
+                rows.pop(key, None)
+            else:
+                rows[key] = f"content {rnd.randrange(1000)} of {number}"
+        if number:
+            refresh_index(source(), path, embedding_col="embedding")
+        else:
+            build_index(source(), path, embedding_col="embedding")
+        if number in (0, 1, 11):
+            found = read_index(spark, path, **limits)
+            assert {(r["id"], r["content"]) for r in found.collect()} == set(rows.items())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") >= 2 and "embedding" not in "".join(x for x in plan.splitlines() if "HashAggregate" in x)
+
+
+def test_rows_without_changes_are_not_shuffled(spark):
+    """With a bitmap, only rows whose bit is set meet the changed keys in a shuffle."""
+    rows = spark.range(50_000).withColumn("version", F.lit(1))
+    changed = spark.range(0, 50_000, 97).withColumn("last", F.lit(2))
+    found = without_changed(rows, changed, 516, max_broadcast=0)
+    assert found.count() == 50_000 - 516 and found.filter("id % 97 = 0").isEmpty()
+
+
+def test_latest_rows_without_sorting_rows(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 5, "b"), (1, None, "z"), (2, None, "c"), (None, 1, "d"), (None, 1, "d")],
+                               "k int, t int, x string")
+    found = latest_rows(df, "k", ["t"])
+    rows = sorted(map(tuple, found.collect()), key=str)
+    assert [r[0] for r in rows] == [1, 2, None] and rows[1:] == [(2, None, "c"), (None, 1, "d")] and rows[0][2] in "ab"
+    assert sorted(map(tuple, latest_rows(df.repartition(3), "k", ["t"]).collect()), key=str) == rows
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_older_contents_that_arrive_late_are_left_out(spark, tmp_path):
+    schema = "path string, chunk_pos int, content string, edition int"
+    sent = tmp_path / "sent"
+    sent.mkdir()
+    folder = str(sent)
+
+    def load():
+        import uuid
+        model = load_digit_embedder()
+
+        def noted(batch):
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write("\n".join(batch))
+            return model(batch)
+        return noted
+
+    def run(rows):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        sync_embeddings(stream, str(tmp_path / "sync"), str(tmp_path / "cp"), load, order_col="edition")
+        found = read_sync_table(spark, str(tmp_path / "sync")).collect()
+        return {r["url"]: r["content"] for r in found}, len(found)
+
+    assert run([("a", 0, "two", 2), ("b", 0, "x", None), ("c", 0, None, 1)]) == ({"a": "two", "b": "x", "c": None}, 3)
+    # older, newer than none, the same content under a newer order, and a tie that arrives later
+    assert run([("a", 0, "one", 1), ("b", 0, "y", 0), ("c", 0, None, 9)]) == ({"a": "two", "b": "y", "c": None}, 3)
+    assert run([("c", 0, "old", 8), ("a", 0, "two again", 2)]) == ({"a": "two again", "b": "y", "c": None}, 3)
+    assert sorted(t for p in sent.iterdir() for t in p.read_text().split("\n")) == ["two", "two again", "x", "y"]
+    with pytest.raises(ValueError):
+        rows = spark.readStream.schema("path string, chunk_pos int, content string, edition string").parquet(str(tmp_path / "in"))
+        sync_embeddings(rows, str(tmp_path / "sync"), str(tmp_path / "cp4"), load, order_col="edition")
+
+
 def test_changes_see_nulls(spark):
     before = spark.createDataFrame([(1, None), (2, ""), (3, None), (4, "x")], "id int, t string")
     after = spark.createDataFrame([(1, ""), (2, ""), (3, None), (5, "x")], "id int, t string")
