@@ -33,8 +33,11 @@ from pyspark.sql import types as T
 from passagework.llm.bpe import VOCABULARY_BYTES, byte_characters, chunk_starts, spread
 from passagework.llm.words import Texts, pieces
 
-#: Distinct chunks whose counts a task remembers, and the characters that they may have in all.
-REMEMBERED, REMEMBERED_CHARACTERS = 200_000, 8 << 20
+#: Distinct chunks whose counts a worker remembers in a generation, and the characters that they may have in all.
+REMEMBERED, REMEMBERED_CHARACTERS = 200_000, 4 << 20
+
+#: Letters before this character are the same in every version of the character tables.
+_LATIN_END = "\u0250"
 
 #: White space for Python, but not for the splitter.
 _NOT_WHITE = "\x1c\x1d\x1e\x1f"
@@ -90,7 +93,6 @@ class PrefixCounter:
         automaton.make_automaton()
         self.found_in = automaton.iter
         self.may_follow: dict[int, bool] = {}
-        self.words: dict[str, list[int]] = {}
 
     @classmethod
     def of(cls, content: str) -> PrefixCounter:
@@ -124,9 +126,6 @@ class PrefixCounter:
 
     def byte_counts(self, letters: str) -> list[int]:
         """Tokens of the first i bytes for every i; bytes come as the characters that stand for them."""
-        found = self.words.get(letters)
-        if found is not None:
-            return found
         counts, last, done, known = [0], [0], 0, self.may_follow.get
         for end, (token, size) in self.found_in(letters):  # all entries that end at a place, longest first
             if end < done:
@@ -143,10 +142,6 @@ class PrefixCounter:
             done += 1
         if done != len(letters):
             raise ValueError("the merges of the vocabulary leave a prefix without a last token")
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        if len(letters) <= 64:
-            self.words[letters] = counts
         return counts
 
     def spelled(self, text: str) -> str:
@@ -159,6 +154,12 @@ class PrefixCounter:
 
     def plain_counts(self, text: str) -> list[int]:
         """Tokens of every prefix of a text without special tokens, one number per character."""
+        word = text[1:] if text[:1] == " " else text
+        if word.isalpha() and max(word) < _LATIN_END:  # one match of the splitter: a word and the blank before it
+            if word.isascii():
+                return self.byte_counts(text if word is text else self.letter[0x20] + word)[1:]
+            counts = self.byte_counts(self.spelled(text))
+            return [n for n, byte in zip(counts, text.encode() + b"a") if byte & 0xC0 != 0x80][1:]
         out: list[int] = []
         done = blank_at = 0  # tokens before the match, and before the run of white space that the last matches belong to
         blank: list[str] = []
@@ -213,12 +214,16 @@ class PrefixCounter:
 
 
 class _Memory:
-    """Counts of chunks seen before, one flat array per worker."""
+    """Counts of chunks seen before, one flat array per worker; a full one is kept until the next one is full."""
 
     kept: tuple[str, _Memory] | None = None
 
     def __init__(self, content: str):
         self.counter = PrefixCounter.of(content)
+        self.clear()
+        self.before = (self.slots, self.first, self.stored)
+
+    def clear(self) -> None:
         self.slots: dict[bytes, int] = {}
         self.first = np.zeros(1, dtype=np.int64)
         self.stored = np.zeros(0, dtype=np.int32)
@@ -229,16 +234,25 @@ class _Memory:
             cls.kept = (content, cls(content))
         return cls.kept[1]
 
+    def add(self, chunks: list[bytes], values: np.ndarray, edges: np.ndarray) -> None:
+        self.slots.update(zip(chunks, range(len(self.slots), len(self.slots) + len(chunks))))
+        self.stored = np.concatenate([self.stored, values])
+        self.first = np.concatenate([self.first, self.first[-1] + edges])
+
     def remember(self, chunks: list[bytes]) -> np.ndarray:
         if len(self.slots) > REMEMBERED or len(self.stored) > REMEMBERED_CHARACTERS:
-            self.slots, self.first, self.stored = {}, self.first[:1], self.stored[:0]
-        fresh = [c for c in chunks if c not in self.slots]
+            self.before = (self.slots, self.first, self.stored)
+            self.clear()
+        missing = [c for c in chunks if c not in self.slots]
+        slots, first, stored = self.before
+        known = [c for c in missing if c in slots]
+        if known:
+            values, edges = spread(stored, first, np.array([slots[c] for c in known], dtype=np.int64))
+            self.add(known, values, edges[1:])
+        fresh = [c for c in missing if c not in slots]
         if fresh:
             found = [self.counter.plain_counts(c.decode()) for c in fresh]
-            flat = np.array([n for x in found for n in x], dtype=np.int32)
-            self.stored = np.concatenate([self.stored, flat])
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in found])])
-            self.slots.update(zip(fresh, range(len(self.slots), len(self.slots) + len(fresh))))
+            self.add(fresh, np.array([n for x in found for n in x], dtype=np.int32), np.cumsum([len(x) for x in found]))
         return np.array([self.slots[c] for c in chunks], dtype=np.int64)
 
     def lists(self, texts: Texts) -> pa.ListArray:
