@@ -204,18 +204,101 @@ def train_lists(
     return np.array(means.fit(usable.select(array_to_vector(F.col(vector_col)).alias("_vector"))).clusterCenters())
 
 
-def _nearest_lists(rows: DataFrame, vector_col: str, centres: np.ndarray, n: int) -> DataFrame:
+def refine_centres(index: DataFrame, centres: np.ndarray, rounds: int = 1, vector_col: str = "embedding") -> np.ndarray:
+    """Centres after ``rounds`` steps of k-means by cosine from the given ones: the mean of the unit vectors of each list.
+
+    Tasks add up their vectors per list; sums meet per list and dimension, so the driver gets one number for each cell of
+    the centres, whatever the size of the index. A list without vectors keeps its centre.
+    """
+    centres = np.asarray(centres, dtype=np.float64)
+    vectors = index.select(F.col(vector_col).cast("array<double>").alias("v")).filter(norm(F.col("v")) > 0)
+    for _ in range(rounds):
+        sent = index.sparkSession.sparkContext.broadcast(centres)
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scorer, table = CosineScorer(), sent.value
+            lists = scorer.unit(table)
+            total, count = np.zeros_like(table), np.zeros(len(table))
+            height = max(1, MATRIX_CELLS // max(1, len(table)))
+            for whole in batches:
+                for start in range(0, whole.num_rows, height):
+                    rows = scorer.rows(whole.slice(start, height).column("v"))
+                    scores = np.round(scorer.scores(rows, np.arange(len(rows[0])), lists, np.arange(len(table))), scorer.digits)
+                    best = scores.argmax(axis=1)
+                    np.add.at(total, best, rows[0])
+                    np.add.at(count, best, 1)
+            at, dim = np.nonzero(np.broadcast_to(count[:, None] > 0, table.shape))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at), pa.array(dim), pa.array(total[at, dim]), pa.array(count[at])], ["list", "dim", "x", "n"])
+
+        sums = vectors.mapInArrow(add, "list long, dim long, x double, n double")
+        found = sums.groupBy("list", "dim").agg((F.sum("x") / F.sum("n")).alias("x")).toArrow()
+        centres = centres.copy()
+        centres[found.column("list").to_numpy(), found.column("dim").to_numpy()] = found.column("x").to_numpy()
+    return centres
+
+
+class CentreTree:
+    """Centres of lists below some top centres: a vector meets the tops, then only the centres below its nearest tops.
+
+    With n centres and their square root as tops that are two short scans instead of n scores. ``beam`` tops are followed;
+    with all of them the nearest centres are exact.
+    """
+
+    def __init__(self, centres: np.ndarray, n_tops: int | None = None, beam: int = 3, rounds: int = 0):
+        self.centres = np.asarray(centres, dtype=np.float64)
+        scorer, n = CosineScorer(), len(self.centres)
+        n_tops = min(n, n_tops or max(1, int(np.sqrt(n))))
+        unit = scorer.unit(self.centres)[0]
+        self.tops = self.centres[np.arange(n_tops) * n // max(1, n_tops)]
+        for number in range(rounds + 1):
+            of = np.round(unit @ scorer.unit(self.tops)[0].T, scorer.digits).argmax(axis=1) if n else np.zeros(0, int)
+            if number < rounds:
+                self.tops = np.array([unit[of == t].mean(axis=0) if (of == t).any() else self.tops[t] for t in range(n_tops)])
+        self.below = [np.flatnonzero(of == t) for t in range(n_tops)]
+        self.beam = min(beam, n_tops)
+
+    def nearest(self, rows: np.ndarray, n: int) -> np.ndarray:
+        """The ``n`` nearest lists of each vector of length one below its nearest tops, -1 where there are fewer."""
+        scorer = CosineScorer()
+        leaves, tops = scorer.unit(self.centres)[0], scorer.unit(self.tops)[0]
+        score = np.full((len(rows), n), -np.inf)
+        best = np.full((len(rows), n), -1)
+        nearest = np.argsort(-np.round(rows @ tops.T, scorer.digits), axis=1, kind="stable")[:, :self.beam]
+        for top, below in enumerate(self.below):
+            at = np.flatnonzero((nearest == top).any(axis=1))
+            height = max(1, MATRIX_CELLS // max(1, len(below)))
+            for start in range(0, len(at) if len(below) else 0, height):
+                some = at[start:start + height]
+                scores = np.round(rows[some] @ leaves[below].T, scorer.digits)
+                every = np.concatenate([score[some], scores], axis=1)
+                lists = np.concatenate([best[some], np.broadcast_to(below, scores.shape)], axis=1)
+                order = np.lexsort((lists, -every), axis=1)[:, :n]
+                score[some] = np.take_along_axis(every, order, axis=1)
+                best[some] = np.take_along_axis(lists, order, axis=1)
+        return np.where(score > -np.inf, best, -1)
+
+
+def _nearest_lists(rows: DataFrame, vector_col: str, centres: np.ndarray | CentreTree, n: int) -> DataFrame:
     """The rows, each once for every one of its ``n`` nearest lists, ties by lower number. Zero vectors have none.
 
     The centres are an input of the caller and go to the rows: no shuffle. Scores are built in pieces of bounded size.
     """
-    sent = rows.sparkSession.sparkContext.broadcast(np.asarray(centres, dtype=np.float64))
+    tree = isinstance(centres, CentreTree)
+    parts = (centres.centres, centres.tops, centres.below, centres.beam) if tree else np.asarray(centres, dtype=np.float64)
+    sent = rows.sparkSession.sparkContext.broadcast(parts)
     schema = T.StructType([*rows.schema.fields, T.StructField("list_id", T.IntegerType())])
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = CosineScorer()
-        lists = scorer.unit(sent.value)
-        height = max(1, MATRIX_CELLS // max(1, len(sent.value)))
+        if tree:
+            known = CentreTree.__new__(CentreTree)
+            known.centres, known.tops, known.below, known.beam = sent.value
+            width = len(known.tops)
+        else:
+            lists = scorer.unit(sent.value)
+            width = len(sent.value)
+        height = max(1, MATRIX_CELLS // max(1, width))
         for whole in batches:
             for start in range(0, whole.num_rows, height):
                 batch = whole.slice(start, height)
@@ -223,16 +306,20 @@ def _nearest_lists(rows: DataFrame, vector_col: str, centres: np.ndarray, n: int
                 vectors = scorer.rows(batch.column(vector_col))
                 at = np.nonzero(vectors[1])[0]
                 if len(at):
-                    scores = np.round(scorer.scores(vectors, at, lists, np.arange(len(sent.value))), scorer.digits)
-                    order = np.argsort(-scores, axis=1, kind="stable")[:, :n]
-                    out = batch.take(pa.array(np.repeat(at, order.shape[1])))
-                    yield out.append_column("list_id", pa.array(order.ravel().astype(np.int32)))
+                    if tree:
+                        order = known.nearest(vectors[0][at], n)
+                    else:
+                        scores = np.round(scorer.scores(vectors, at, lists, np.arange(width)), scorer.digits)
+                        order = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+                    found = order.ravel() >= 0
+                    out = batch.take(pa.array(np.repeat(at, order.shape[1])[found]))
+                    yield out.append_column("list_id", pa.array(order.ravel()[found].astype(np.int32)))
 
     return rows.mapInArrow(nearest, schema)
 
 
 def assign_lists(
-    index: DataFrame, centres: np.ndarray, vector_col: str = "embedding", path: str | None = None
+    index: DataFrame, centres: np.ndarray | CentreTree, vector_col: str = "embedding", path: str | None = None
 ) -> DataFrame:
     """Write the index with a ``list_id``, one folder per list, so that a search reads only probed lists.
 
@@ -245,7 +332,7 @@ def assign_lists(
 
 
 def probe_lists(
-    queries: DataFrame, centres: np.ndarray, n_probe: int, query_id_col: str = "query_id",
+    queries: DataFrame, centres: np.ndarray | CentreTree, n_probe: int, query_id_col: str = "query_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
     """The ``n_probe`` nearest lists of each query: ``query_id, embedding, list_id``."""
@@ -258,7 +345,7 @@ def probe_lists(
 
 def approximate_search(
     listed: DataFrame,
-    centres: np.ndarray,
+    centres: np.ndarray | CentreTree,
     queries: DataFrame,
     k: int,
     n_probe: int,
@@ -283,6 +370,81 @@ def approximate_search(
     )
 
 
+def list_bounds(listed: DataFrame, centres: np.ndarray, vector_col: str = "embedding") -> np.ndarray:
+    """The least cosine of the vectors of each list to its centre, 2 where a list is empty. One scan, one number per list."""
+    sent = listed.sparkSession.sparkContext.broadcast(np.asarray(centres, dtype=np.float64))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = CosineScorer()
+        lists = scorer.unit(sent.value)[0]
+        for batch in batches:
+            rows = scorer.rows(batch.column(vector_col))[0]
+            of = batch.column("list_id").to_numpy()
+            found = np.full(len(lists), 2.0)
+            np.minimum.at(found, of, np.einsum("ij,ij->i", rows, lists[of]) if len(of) else np.zeros(0))
+            at = np.flatnonzero(found < 2)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(found[at])], ["list_id", "least"])
+
+    least = listed.select("list_id", vector_col).mapInArrow(measure, "list_id int, least double")
+    found = least.groupBy("list_id").agg(F.min("least").alias("least")).toArrow()
+    out = np.full(len(centres), 2.0)
+    out[found.column("list_id").to_numpy()] = found.column("least").to_numpy()
+    return out
+
+
+def _reachable_lists(asked: DataFrame, centres: np.ndarray, bounds: np.ndarray) -> DataFrame:
+    """``query_id, embedding, list_id``: the lists that can hold a vector with a cosine of ``least`` or more to the query.
+
+    A vector within an angle b of its centre has, to a query at an angle a from the centre, an angle of a - b at least.
+    """
+    sent = asked.sparkSession.sparkContext.broadcast((np.asarray(centres, dtype=np.float64), np.asarray(bounds)))
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, (table, least) = CosineScorer(), sent.value
+        lists = scorer.unit(table)[0]
+        width = np.arccos(np.clip(least, -1, 1))
+        height = max(1, MATRIX_CELLS // max(1, len(lists)))
+        for whole in batches:
+            for start in range(0, whole.num_rows, height):
+                batch = whole.slice(start, height)
+                rows, usable = scorer.rows(batch.column("embedding"))
+                angle = np.arccos(np.clip(rows @ lists.T, -1, 1)) if len(rows) else np.zeros((0, len(lists)))
+                best = np.cos(np.maximum(angle - width, 0))
+                # scores are compared after rounding; a list is left out only if it stays clearly below
+                wanted = batch.column("least").to_numpy()[:, None] - 2 * 10.0 ** -scorer.digits
+                row, col = np.nonzero((best >= wanted) & (least < 2) & usable[:, None])
+                out = batch.take(pa.array(row)).drop_columns(["least"])
+                yield out.append_column("list_id", pa.array(col.astype(np.int32)))
+
+    return asked.mapInArrow(reach, "query_id bigint, embedding array<double>, list_id int")
+
+
+def clustered_search(
+    listed: DataFrame, centres: np.ndarray, bounds: np.ndarray, queries: DataFrame, k: int,
+    columns: list[str] | None = None, id_col: str = "id", vector_col: str = "embedding", query_id_col: str = "query_id",
+    query_vector_col: str = "embedding", block_bytes: int = BLOCK_BYTES, n_probe: int = 1,
+) -> tuple[DataFrame, DataFrame]:
+    """Exact search that opens only the lists that can hold hits; and the pairs ``query_id, list_id`` that it scores.
+
+    ``listed`` is an index written by ``assign_lists`` and ``bounds`` its ``list_bounds``. The nearest lists of a query give a score
+    that its k-th hit reaches at least; other lists are read only if their angle to the query allows that score. Results
+    equal those of ``similarity_search``.
+    """
+    first = approximate_search(
+        listed, centres, queries, k, n_probe, None, id_col, vector_col, query_id_col, query_vector_col, block_bytes)
+    kth = first.filter(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
+    asked = queries.select(
+        F.col(query_id_col).cast("bigint").alias("query_id"), F.col(query_vector_col).cast("array<double>").alias("embedding"))
+    asked = asked.filter("embedding IS NOT NULL").join(write_once(kth), "query_id", "left").withColumn(
+        "least", F.coalesce("least", F.lit(-2.0)))
+    pairs = write_once(_reachable_lists(asked.select("query_id", "embedding", "least"), centres, bounds))
+    wanted = F.broadcast(pairs.select("list_id").filter("list_id >= 0").distinct())
+    found = similarity_search(
+        listed.join(wanted, "list_id"), pairs, k, columns, match=("list_id", "list_id"), id_col=id_col, vector_col=vector_col,
+        block_bytes=block_bytes)
+    return found, pairs.select("query_id", "list_id")
+
+
 def share_scored(listed: DataFrame, probes: DataFrame) -> float:
     """Share of all query-vector pairs that a search of the probed lists scores."""
     sizes = listed.groupBy("list_id").agg(F.count("*").alias("n"))

@@ -4,8 +4,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from passagework.operators.keyword_index import build_keyword_index, indexed_search, share_read
 from passagework.operators.search import (
-    approximate_search, assign_lists, keyword_search, probe_lists, similarity_search, train_lists,
+    CentreTree, CosineScorer, approximate_search, assign_lists, clustered_search, keyword_search, list_bounds, probe_lists,
+    refine_centres, similarity_search, train_lists,
 )
 from passagework.plans.retrieval import expression_embedding, nearest_chunks
 from passagework.functions.vectors import digit_embedding
@@ -163,3 +165,107 @@ def test_nearest_chunks(spark):
     queries = spark.createDataFrame([(5, "Red  FOX")], "q bigint, t string")
     row = nearest_chunks(chunks, queries, "q", "t", expression_embedding(digit_embedding), 1, ["content"]).first()
     assert (row["query_id"], row["id"], row["content"], row["score"]) == (5, 1, "red fox", 1.0)
+
+
+@pytest.mark.parametrize("n_probe", [1, 3])
+def test_clustered_search_is_exact(spark, vectors, n_probe):
+    index, queries = frames(spark, vectors)
+    centres = refine_centres(index, np.random.default_rng(1).normal(size=(12, 6)), 2)
+    listed = assign_lists(index, centres)
+    found, pairs = clustered_search(listed, centres, list_bounds(listed, centres), queries, 4, n_probe=n_probe)
+    assert as_set(found) == brute([v[:2] for v in vectors[0]], [q[:2] for q in vectors[1]], 4)
+    assert pairs.count() <= 12 * 90
+    # more hits wanted than there are vectors
+    few, _ = clustered_search(listed, centres, list_bounds(listed, centres), queries.limit(3), 700, ["label"])
+    assert few.groupBy("query_id").count().filter("count <> 599").isEmpty() and "label" in few.columns
+
+
+def test_clustered_search_skips_lists(spark):
+    rng = np.random.default_rng(5)
+    seeds = rng.normal(size=(20, 16))
+    rows = [(i, (seeds[i % 20] * 10 + rng.normal(size=16)).tolist()) for i in range(2000)]
+    index = spark.createDataFrame(rows, "id bigint, embedding array<double>")
+    listed = assign_lists(index, seeds)
+    queries = index.filter("id < 40").withColumnRenamed("id", "query_id")
+    found, pairs = clustered_search(listed, seeds, list_bounds(listed, seeds), queries, 3)
+    assert as_set(found) == as_set(similarity_search(index, queries, 3))
+    assert pairs.count() < 0.2 * 40 * 20
+
+
+def test_refined_centres(spark):
+    rng = np.random.default_rng(2)
+    rows = rng.normal(size=(300, 5))
+    start = rng.normal(size=(6, 5))
+    df = spark.createDataFrame([(r.tolist(),) for r in rows] + [(None,), ([0.0] * 5,)], "embedding array<double>").repartition(4)
+    unit = rows / np.linalg.norm(rows, axis=1)[:, None]
+    want = start.copy()
+    for _ in range(3):
+        of = np.round(unit @ (want / np.linalg.norm(want, axis=1)[:, None]).T, 6).argmax(axis=1)
+        want = np.array([unit[of == c].mean(axis=0) if (of == c).any() else want[c] for c in range(6)])
+    assert np.allclose(refine_centres(df, start, 3), want)
+
+
+def test_centre_tree():
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(90, 8))
+    rows = CosineScorer().unit(rng.normal(size=(400, 8)))[0]
+    exact = np.argsort(-np.round(rows @ CosineScorer().unit(centres)[0].T, 6), axis=1, kind="stable")
+    assert (CentreTree(centres, beam=90).nearest(rows, 5) == exact[:, :5]).all()
+    near = CentreTree(centres, beam=4, rounds=3)
+    assert len(near.tops) == 9 and sorted(np.concatenate(near.below).tolist()) == list(range(90))
+    assert (near.nearest(rows, 1)[:, 0] == exact[:, 0]).mean() > 0.85
+    assert (CentreTree(centres[:2]).nearest(rows, 3)[:, 2] == -1).all()
+
+
+def keyword_rows(seed=9):
+    rng = np.random.default_rng(seed)
+    words = [f"w{i}" for i in range(60)]
+    def text(n):
+        return " ".join(words[min(59, int(x))] for x in rng.exponential(9, n))
+    rows = [(i, text(int(rng.integers(0, 40))), f"s{i % 4}") for i in range(500)] + [(500 + i, "w0 w1 W2. w3", "copy") for i in range(90)]
+    rows += [(900, None, "s"), (901, "", "s"), (902, "  \n", None)]
+    queries = [(i, text(int(rng.integers(1, 25)))) for i in range(40)] + [(100, None), (101, ""), (102, "unknown words"), (103, "w0 w1 w2 w3 w0")]
+    return rows, queries
+
+
+@pytest.mark.parametrize("block_ids, first_ids, k", [(4096, 20_000, 3), (8, 30, 3), (8, 0, 1), (50, 100, 700)])
+def test_keyword_index(spark, tmp_path, block_ids, first_ids, k):
+    rows, queries = keyword_rows()
+    docs = spark.createDataFrame(rows, "key bigint, body string, source string").repartition(4)
+    asked = spark.createDataFrame(queries, "q bigint, t string")
+    path = str(tmp_path / "keywords")
+    build_keyword_index(docs, path, "key", "body", ("source",), block_ids)
+    found = indexed_search(spark, path, asked, k, "q", "t", first_ids)
+    assert found.columns == ["query_id", "rank", "id", "source", "score"]
+    def tokens(text):
+        return set((text or "").lower().split())
+    want = set()
+    for q, t in queries:
+        hits = sorted((-len(tokens(t) & tokens(body)), key, source) for key, body, source in rows if tokens(t) & tokens(body))
+        want |= {(q, rank, key, source, float(-n)) for rank, (n, key, source) in enumerate(hits[:k], 1)}
+    assert {tuple(r) for r in found.collect()} == want
+    with pytest.raises(ValueError):
+        indexed_search(spark, path, asked, 0, "q", "t")
+
+
+def test_keyword_index_reads_few_postings(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(f"c{x}" for x in rng.integers(0, 30, 60)) + " " + " ".join(f"r{x}" for x in rng.integers(0, 3000, 12))) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "id bigint, content string")
+    path = str(tmp_path / "keywords")
+    build_keyword_index(docs, path)
+    asked = docs.filter("id % 300 = 0").selectExpr("id AS query_id", "content AS query_text")
+    for r in share_read(spark, path, asked, 3, first_ids=500).collect():
+        assert r["n_candidates"] < 0.1 * r["n_postings"]
+    best = indexed_search(spark, path, asked, 3, first_ids=500).filter("rank = 1 AND id = query_id").count()
+    assert best == 10
+    # the tables of the index are all that a search reads
+    files = indexed_search(spark, path, asked, 3).inputFiles()
+    assert files and all("/keywords/" in f or "passagework-" in f for f in files)
+
+
+def test_empty_keyword_index(spark, tmp_path):
+    none = spark.createDataFrame([], "id bigint, content string")
+    build_keyword_index(none, str(tmp_path / "keywords"))
+    asked = spark.createDataFrame([(1, "a")], "query_id bigint, query_text string")
+    assert indexed_search(spark, str(tmp_path / "keywords"), asked, 3).count() == 0
