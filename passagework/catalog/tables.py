@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from passagework.catalog.common import plain, sql_clean, table
 from passagework.functions.text import clean_text
-from passagework.operators.changes import latest_rows, latest_version, snapshot_changes
+from passagework.operators.changes import latest_rows, latest_version, snapshot_changes, state_changes, write_state
 from passagework.operators.extract import extract
 from passagework.session import scratch_dir
 from passagework.sources.files import scan_files, without_name
@@ -66,6 +66,16 @@ def changes(spark: SparkSession, folder: str) -> DataFrame:
     return snapshot_changes(before, after, "doc_id", ["text"])
 
 
+def touched(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of which about one in a hundred changes, compared by the digests of their buckets."""
+    work, documents = scratch_dir(spark), table(spark, folder, "documents").select("doc_id", "lang", "text")
+    text = F.when(F.col("doc_id") % 97 == 5, F.concat(F.col("text"), F.lit(" fin"))).otherwise(F.col("text"))
+    for name, state in (("before", documents), ("after", documents.withColumn("text", text))):
+        write_state(state, f"{work}/{name}", "doc_id", ["text"])
+    found = state_changes(spark, f"{work}/before", f"{work}/after", "doc_id")
+    return found.select("doc_id", "change", F.md5("text").alias("text_md5"))
+
+
 def append_history(spark: SparkSession, folder: str) -> DataFrame:
     """Both states appended to one table; the current view is the last one of each document."""
     path = f"{scratch_dir(spark)}/history"
@@ -133,6 +143,7 @@ QUERIES = {
     ).select("user_id", "event_id", "event_type", "value"),
     "s6_append_history": append_history,
     "s10_changes": changes,
+    "s10_touched_buckets": touched,
     "p1_preview": lambda s, d: s.read.parquet(f"{d}/documents.parquet")
     .select("doc_id", "lang", "source").orderBy("doc_id").limit(10),
     "p2_suffix_filter": lambda s, d: table(s, d, "pages")
@@ -170,6 +181,8 @@ ORACLES = {
       SELECT coalesce(b.doc_id, a.doc_id) AS doc_id, CASE WHEN b.doc_id IS NULL THEN 'insert'
         WHEN a.doc_id IS NULL THEN 'delete' ELSE 'update' END AS change
       FROM b FULL JOIN a ON a.doc_id = b.doc_id WHERE a.text IS DISTINCT FROM b.text""",
+    "s10_touched_buckets": """SELECT doc_id, 'update' AS change, md5(text || ' fin') AS text_md5 FROM documents
+      WHERE doc_id % 97 = 5""",
     "p1_preview": "SELECT doc_id, lang, source FROM documents ORDER BY doc_id LIMIT 10",
     "p2_suffix_filter": "SELECT page_id, url FROM pages WHERE url LIKE '%.html'",
     "p3_select_rename": "SELECT page_id AS id, url AS address FROM pages",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagework.catalog.common import (
-    noise, plain, spread_table, sql_bucket, sql_chunks, sql_clean, sql_id, sql_noise, sql_tokens, sql_vectors, table,
+    load_word_encoder, noise, plain, spread_table, sql_bucket, sql_chunks, sql_clean, sql_id, sql_noise, sql_tokens, sql_vectors, table,
 )
 from passagework.functions.text import (
     PAGE_BREAK, clean_pages, clean_text, collapse_whitespace, join_hyphenated, sentences, split_pages,
@@ -14,10 +14,10 @@ from passagework.functions.text import (
 )
 from passagework.functions.vectors import digit_embedding, load_digit_embedder
 from passagework.operators.chat import context_check
-from passagework.operators.chunking import chunk_report, chunk_rows, token_windows, tokenizer_splitter
-from passagework.operators.embedding import embed, request_payloads
+from passagework.operators.chunking import chunk_report, chunk_rows, encoder_splitter, token_windows
+from passagework.operators.embedding import embed, embed_distinct, request_payloads
 from passagework.operators.extract import chunk_files, extract, rejects
-from passagework.session import scratch_dir
+from passagework.session import scratch_dir, write_once
 from passagework.streaming.embed_sync import read_sync_table, sync_embeddings
 
 
@@ -67,6 +67,22 @@ def embed_udf(spark: SparkSession, folder: str) -> DataFrame:
     return _dimensions(embed(documents, "text", load_digit_embedder), "doc_id")
 
 
+def embed_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts that reach the model when all documents are embedded, and again with other French ones, through one store."""
+    store = f"{scratch_dir(spark)}/vectors"
+    documents = _documents(spark, folder).select("doc_id", "lang", "text")
+    changed = F.when(F.col("lang") == "fr", F.concat(F.col("text"), F.lit(" fin"))).otherwise(F.col("text"))
+    seen, out = 0, []
+    for number, rows in enumerate((documents, documents.withColumn("text", changed)), 1):
+        found = write_once(embed_distinct(rows, "text", load_digit_embedder, store))
+        inputs = spark.read.parquet(store).count()
+        sums = found.agg(F.count("*").alias("n_rows"), F.sum(F.aggregate(
+            "embedding", F.lit(0.0), lambda s, v: s + v)).cast("bigint").alias("n_tokens"))
+        out.append(sums.select(F.lit(number).cast("bigint").alias("run"), "n_rows", F.lit(inputs - seen).cast("bigint").alias("n_inputs"), "n_tokens"))
+        seen = inputs
+    return out[0].unionByName(out[1])
+
+
 def embed_native(spark: SparkSession, folder: str) -> DataFrame:
     return _dimensions(_documents(spark, folder), "doc_id", digit_embedding(F.col("text")))
 
@@ -111,7 +127,7 @@ QUERIES = {
     "k3_token_count": lambda s, d: _documents(s, d).select(
         "doc_id", word_count(clean_text(F.col("text"))).cast("bigint").alias("n_tokens")),
     "k3_tokenizer_chunks": lambda s, d: plain(chunk_rows(
-        _documents(s, d).select("doc_id", "text"), "text", "doc_id", tokenizer_splitter(lambda: lambda t: len(t.split(" ")))
+        _documents(s, d).select("doc_id", "text"), "text", "doc_id", encoder_splitter(load_word_encoder)
     ).select("doc_id", "chunk_pos", "content")),
     "k4_chunk_rows": lambda s, d: plain(_chunks(s, d).select("id", "doc_id", "lang", "source", "chunk_pos")),
     "k5_token_windows": lambda s, d: plain(chunk_rows(
@@ -121,6 +137,7 @@ QUERIES = {
     "k8_context_check": lambda s, d: context_check(table(s, d, "conversations"), 100, 512),
     "e1_embed_udf": embed_udf,
     "e1_embed_native": embed_native,
+    "e1_embed_distinct": embed_once,
     "e4_embed_stream": embed_stream,
     "e6_request_payloads": lambda s, d: request_payloads(_documents(s, d), "doc_id", "text").select(
         "bucket", "batch", "n_rows", F.md5("payload").alias("payload_md5")),
@@ -132,7 +149,8 @@ _HTML = (
     "regexp_replace(regexp_replace(html, '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', ' ', 'g'), "
     "'<[^>]*>', ' ', 'g')"
 )
-for _entity, _char in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")]:
+for _entity, _char in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"),
+                      ("&amp;", "&")]:
     _HTML = f"replace({_HTML}, '{_entity}', '{_char}')"
 _VECTORS = f"WITH {sql_vectors('vec', 'SELECT doc_id AS id, text FROM documents')} SELECT id AS doc_id, dim, v FROM vec"
 
@@ -173,6 +191,12 @@ ORACLES = {
       sum({sql_tokens('text')}) + 100 <= 512 AS fits FROM conversations GROUP BY 1""",
     "e1_embed_udf": _VECTORS,
     "e1_embed_native": _VECTORS,
+    "e1_embed_distinct": """WITH t AS (
+        SELECT 1 AS run, text FROM documents
+        UNION ALL SELECT 2, CASE WHEN lang = 'fr' THEN text || ' fin' ELSE text END FROM documents)
+      SELECT run::BIGINT AS run, count(*) AS n_rows,
+        (count(DISTINCT text) FILTER (run = 1 OR text NOT IN (SELECT text FROM documents)))::BIGINT AS n_inputs,
+        sum(len(regexp_extract_all(text, '\\S+')))::BIGINT AS n_tokens FROM t GROUP BY run""",
     "e4_embed_stream": f"""WITH RECURSIVE {_DOC_CHUNKS},
       rows AS (
         SELECT {sql_id('key', 'chunk_pos')} AS id, CASE WHEN lang = 'fr' THEN content || ' fin' ELSE content END AS text

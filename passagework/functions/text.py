@@ -16,9 +16,6 @@ ANY_SPACE = f"[ {OTHER_SPACE}]"
 # A lone blank is already in its final form; matching only the other runs saves one replacement per word.
 _RUN = f"[{OTHER_SPACE}]{ANY_SPACE}*| {ANY_SPACE}+"
 
-# HTML entities that are decoded, in the order of replacement (the ampersand comes last).
-HTML_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
-
 # Fixed value: marks the end of a page inside one text.
 PAGE_BREAK = "\f"
 
@@ -66,15 +63,6 @@ def split_pages(text: Column) -> Column:
     return F.split(text, PAGE_BREAK)
 
 
-def strip_html(html: Column) -> Column:
-    """Visible text of an HTML page: scripts, styles, comments and tags go, common entities are decoded."""
-    text = F.regexp_replace(html, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", " ")
-    text = F.regexp_replace(text, r"<[^>]*>", " ")
-    for entity, char in HTML_ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
-
-
 def words(cleaned: Column) -> Column:
     """Tokens of a cleaned text: its runs of non-blank characters. Empty for an empty text."""
     return F.array_remove(F.split(cleaned, " "), "")

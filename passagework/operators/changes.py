@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -48,3 +48,48 @@ def hash_changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
 def snapshot_changes(before: DataFrame, after: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """``key, change`` between two states of a table, by the hash of ``columns``."""
     return hash_changes(*[df.select(key, content_hash(*columns).alias("content_hash")) for df in (before, after)], key)
+
+
+def write_state(df: DataFrame, path: str, key: str, columns: list[str], n_buckets: int = 256) -> None:
+    """Write a state of a table in buckets of its unique keys, with a digest of each bucket.
+
+    A row carries the hash of ``columns``; the digest of a bucket is made of the keys and hashes of its rows alone, so it needs no
+    texts and does not depend on the order of rows. States are compared by ``state_changes``.
+    """
+    if {"_bucket", "_hash"} & set(df.columns):
+        raise ValueError("columns _bucket and _hash are added")
+    rows = df.withColumns({"_bucket": F.pmod(F.xxhash64(key), F.lit(n_buckets)).cast("int"), "_hash": content_hash(*columns)})
+    rows.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/rows")
+    written = _bucketed(df.sparkSession, path)
+    row = F.xxhash64(key, "_hash")
+    again = F.xxhash64(F.lit(1), F.col(key), "_hash").cast("decimal(38,0)")
+    digests = written.groupBy("_bucket").agg(F.count("*").alias("n"), F.bit_xor(row).alias("x"), F.sum(again).alias("s"))
+    digests.select("*", F.lit(n_buckets).alias("n_buckets")).coalesce(1).write.mode("overwrite").parquet(f"{path}/digests")
+
+
+def _bucketed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/rows")
+
+
+def touched_buckets(spark: SparkSession, before: str, after: str) -> list[int]:
+    """Buckets whose digests differ between two states, of which each has one row; a state without rows has none."""
+    sides = [spark.read.parquet(f"{path}/digests") for path in (before, after)]
+    if sides[0].select("n_buckets").unionByName(sides[1].select("n_buckets")).distinct().count() > 1:
+        raise ValueError("the states have different numbers of buckets")
+    same = ["_bucket", "n", "x", "s"]
+    only = sides[0].select(same).exceptAll(sides[1].select(same)).unionByName(sides[1].select(same).exceptAll(sides[0].select(same)))
+    return sorted(r[0] for r in only.select("_bucket").distinct().collect())
+
+
+def state_changes(spark: SparkSession, before: str, after: str, key: str) -> DataFrame:
+    """``key, change`` and the columns of the later state between two written states, NULL where a row is gone.
+
+    Only buckets with different digests are opened; of the earlier state only keys and hashes are read there.
+    """
+    touched = touched_buckets(spark, before, after)
+    old, new = (_bucketed(spark, path).filter(F.col("_bucket").isin(touched)) for path in (before, after))
+    if "_bucket" not in old.columns or "_bucket" not in new.columns:
+        raise ValueError("a state without rows has no columns to compare")
+    found = hash_changes(
+        *[side.select(key, F.col("_hash").alias("content_hash")) for side in (old, new)], key)
+    return found.join(new.drop("_bucket", "_hash"), key, "left")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 
 from passagework.functions.text import bind, clean_text, sentences, split_pages, stable_id, word_count, words
 
+# From texts to the places (start, end) of the tokens of each.
+Encoder = Callable[[list[str]], list[list[tuple[int, int]]]]
+
 # Defaults of the splitter and of the model that reads the chunks.
 CHUNK_SIZE = 500
 CHUNK_OVERLAP = 10
@@ -171,6 +175,87 @@ def tokenizer_splitter(
     return lambda text: split(text_sentences(text))
 
 
+def encoder_splitter(
+    load_encoder: Callable[[], Encoder], size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP
+) -> Callable[[Column], Column]:
+    """Splitter over a real tokenizer that encodes every text once; pass it as ``splitter`` to ``chunk_rows``.
+
+    ``load_encoder`` runs once per Python task and returns a function from texts to the places of their tokens, one list of
+    (start, end) in characters per text, ordered by start. It is called with many texts at a time. The rules are those of ``chunk_text``;
+    a word of more than the limit is cut between tokens. The end of each chunk is found by binary search in the places.
+
+    A chunk alone may count differently from its stretch of the text, by the tokens at its edges. All chunks of a batch are
+    therefore encoded once more, together; a text with a chunk that counts more than ``size`` is split anew with room for the
+    difference. So calls grow with the text, and no chunk exceeds ``size`` unless a single character does.
+    """
+    _check(size, overlap)
+
+    @F.pandas_udf("array<string>")
+    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = load_encoder()
+        for found in batches:
+            out: list[list[str] | None] = [None] * len(found)
+            texts = {i: " ".join(s) for i, s in enumerate(found) if s is not None}
+            rooms = dict.fromkeys(texts, 0)
+            starts = {i: [a for a, _ in places] for i, places in zip(texts, encode(list(texts.values())) if texts else [])}
+            while rooms:
+                for i, room in rooms.items():
+                    out[i] = _token_chunks(texts[i], found.iat[i], starts[i], max(size - room, overlap + 1), overlap)
+                chunks = [(i, c) for i in rooms for c in out[i]]
+                excess: dict[int, int] = {}
+                for (i, chunk), places in zip(chunks, encode([c for _, c in chunks]) if chunks else []):
+                    if len(places) > size and len(chunk) > 1:
+                        excess[i] = max(excess.get(i, 0), len(places) - size)
+                rooms = {i: 2 * rooms[i] + more for i, more in excess.items() if size - rooms[i] > overlap + 1}
+            yield pd.Series(out, dtype=object)
+
+    return lambda text: split(text_sentences(text))
+
+
+def _token_chunks(text: str, parts: list[str], starts: list[int], size: int, overlap: int) -> list[str]:
+    """Chunks of a text of ``parts``, joined by blanks, whose tokens start at ``starts``."""
+    limit = size - overlap
+
+    def tokens_to(place: int) -> int:
+        return bisect_left(starts, place)
+
+    def tokens_from(place: int) -> int:
+        """The first token of a stretch; it may start with the blank before it."""
+        return bisect_left(starts, place - 1 if place and text[place - 1] == " " else place)
+
+    # ends of pieces: parts, or words and stretches of words of a part that is too long
+    ends: list[int] = []
+    at = 0
+    for part in parts:
+        end = at + len(part)
+        begin = at
+        while tokens_to(end) - tokens_from(begin) > limit:
+            furthest = starts[tokens_from(begin) + limit]  # where the first token too many starts
+            cut = text.rfind(" ", begin + 1, furthest + 1)
+            cut = cut if cut > begin else max(furthest, begin + 1)
+            ends.append(cut)
+            begin = cut + (text[cut] == " ")
+        ends.append(end)
+        at = end + 1
+    packed: list[tuple[int, int]] = []
+    at = first = 0
+    while first < len(ends):
+        allowed = tokens_from(at) + limit
+        furthest = starts[allowed] if allowed < len(starts) else len(text)
+        last = max(bisect_right(ends, furthest), first + 1)
+        packed.append((at, ends[last - 1]))
+        at = ends[last - 1] + (text[ends[last - 1]:ends[last - 1] + 1] == " ")
+        first = last
+    out = [text[a:b] for a, b in packed[:1]]
+    for (a, b), (c, d) in zip(packed, packed[1:]):
+        wanted = max(tokens_to(b) - overlap, 0)
+        begin = starts[wanted] if overlap and wanted < len(starts) else b
+        if begin > a:  # whole words only
+            begin = text.find(" ", begin - 1, b) + 1 or b
+        out.append(text[max(begin, a):b] + " " + text[c:d] if max(begin, a) < b else text[c:d])
+    return out
+
+
 def token_windows(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
     """Fixed windows of ``size`` tokens that advance by ``size - overlap``, ARRAY<STRING>."""
     _check(size, overlap)

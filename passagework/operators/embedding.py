@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from passagework.functions.text import hash_bucket
+from passagework.session import scratch_dir, write_once
 
 Embedder = Callable[[list[str]], list[list[float]]]
 
@@ -61,16 +62,42 @@ def embed(
     return df.withColumn(out_col, vectors.asNondeterministic()(F.col(text_col)))
 
 
+def embed_distinct(
+    df: DataFrame,
+    text_col: str,
+    load_embedder: Callable[[], Embedder],
+    store: str | None = None,
+    out_col: str = "embedding",
+    max_call: int = MAX_CALL,
+) -> DataFrame:
+    """``embed``, where equal texts go to the model once: over all rows and, with a ``store``, over all runs.
+
+    Vectors are kept under the 128-bit hash of their text. Texts whose hash the store lacks are made distinct, before the shuffle
+    where they meet in a task, and embedded; every row then gets its vector by hash. A text that many rows share makes a
+    skewed join, which adaptive execution splits on the side of the rows. ``store`` is a Parquet table that one run at a
+    time appends to; a run that fails adds nothing, and the next one embeds what is missing.
+    """
+    spark = df.sparkSession
+    store = store or f"{scratch_dir(spark)}/vectors"
+    schema = "_hash string, _vector array<float>"
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(store)
+    texts = df.select(F.md5(text_col).alias("_hash"), F.col(text_col).alias("_text")).filter("_text IS NOT NULL")
+    missing = texts.join(spark.read.schema(schema).parquet(store).select("_hash"), "_hash", "left_anti").distinct()
+    embed(missing, "_text", load_embedder, "_vector", max_call).select("_hash", "_vector").write.mode("append").parquet(store)
+    vectors = spark.read.schema(schema).parquet(store).withColumnRenamed("_vector", out_col)
+    return df.drop(out_col).withColumn("_hash", F.md5(text_col)).join(vectors, "_hash", "left").drop("_hash")
+
+
 def request_payloads(df: DataFrame, key_col: str, text_col: str, max_call: int = MAX_CALL) -> DataFrame:
     """Texts shaped as JSON requests ``{"columns": [..], "index": [..], "data": [[..]]}`` of ``max_call`` rows.
 
-    Batches are cut inside hash buckets of about ``16 * max_call`` keys, so that no task orders the whole table.
-    Keys must be unique.
+    Batches are cut inside hash buckets of about ``16 * max_call`` keys, so that no task orders the whole table. The
+    input is evaluated once and written; its rows are then counted from the files. Keys must be unique.
     """
-    buckets = F.lit(max(1, -(-df.count() // (16 * max_call))))
+    rows = write_once(df.select(F.col(key_col).alias("key"), F.col(text_col).alias("text")))
+    buckets = F.lit(max(1, -(-rows.count() // (16 * max_call))))
     numbered = (
-        df.select(F.col(key_col).alias("key"), F.col(text_col).alias("text"))
-        .withColumn("bucket", hash_bucket(F.col("key"), buckets))
+        rows.withColumn("bucket", hash_bucket(F.col("key"), buckets))
         .withColumn("pos", F.row_number().over(Window.partitionBy("bucket").orderBy("key")) - 1)
         .withColumn("batch", F.floor(F.col("pos") / max_call))
     )

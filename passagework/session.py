@@ -47,18 +47,20 @@ def is_small(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> bool:
 
 
 @contextmanager
-def arrow_batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Send at most ``rows`` rows per batch to Python while the block runs its jobs, then restore the setting.
+def arrow_batches(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
+    """Send batches of at most ``rows`` rows, and of one row beyond ``size`` bytes, to Python while the block runs its jobs.
 
-    For tables whose rows are large, such as whole files on their way to an extractor.
+    For tables whose rows are large, such as whole files on their way to an extractor. The settings are restored after.
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(rows))
+    wanted = {"maxRecordsPerBatch": rows, "maxBytesPerBatch": size}
+    before = {key: spark.conf.get(f"spark.sql.execution.arrow.{key}", None) for key in wanted}
     try:
+        for key, value in wanted.items():
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(value))
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(f"spark.sql.execution.arrow.{key}")
+            else:
+                spark.conf.set(f"spark.sql.execution.arrow.{key}", value)

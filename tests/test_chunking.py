@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from passagework.functions.text import clean_text, word_count
-from passagework.operators.chunking import chunk_rows, chunk_text, token_windows, tokenizer_splitter
+from passagework.catalog.common import load_word_encoder
+from passagework.operators.chunking import chunk_rows, chunk_text, encoder_splitter, token_windows, tokenizer_splitter
 from test_text import clean_with_re
 
 FOLDER = "/root/testdata/sf0.001"
@@ -92,6 +93,53 @@ def test_tokenizer_that_counts_words_equals_native(spark):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+@pytest.mark.parametrize("size, overlap", [(40, 6), (7, 0), (12, 11)])
+def test_encoder_of_words_equals_native(spark, size, overlap):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    got = chunk_rows(documents, "text", "doc_id", encoder_splitter(load_word_encoder, size, overlap))
+    want = chunk_rows(documents, "text", "doc_id", lambda c: chunk_text(c, size, overlap))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_encoder_is_called_in_proportion_to_the_text(spark, tmp_path):
+    """A byte-level tokenizer: no chunk exceeds the limit, no word is lost, and few texts are encoded more than twice."""
+    import public_tokenizers
+
+    path, folder = public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path)
+
+    def load():
+        import uuid
+
+        from tokenizers import Tokenizer
+        tokenizer = Tokenizer.from_file(path)
+
+        def encode(texts):
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write(f"{len(texts)} {sum(map(len, texts))}")
+            return [e.offsets for e in tokenizer.encode_batch(list(texts), add_special_tokens=False)]
+        return encode
+
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").union(spark.createDataFrame(
+        [(-1, "x" * 3000 + " end"), (-2, "日本語" * 200 + ". one two."), (-3, ""), (-4, None), (-5, "\U0001F600" * 90)], "id long, t string"))
+    size, overlap = 60, 8
+    found = chunk_rows(rows, "text", "doc_id", encoder_splitter(load, size, overlap)).collect()
+    found.sort(key=lambda r: (r["doc_id"], r["chunk_pos"]))
+    calls = [tuple(map(int, p.read_text().split())) for p in tmp_path.iterdir()]
+    letters = sum(len(r["text"] or "") for r in rows.collect())
+    assert sum(n for _, n in calls) < 3 * letters and len(calls) < 100
+    assert max(map(len, load()([r["content"] for r in found]))) <= size
+    by = {}
+    for r in found:
+        by.setdefault(r["doc_id"], []).append(r["content"])
+    for doc_id, text in rows.collect():
+        words = set((text or "").replace("- ", "").split())
+        chunks = " ".join(by.get(doc_id, []))
+        assert doc_id in by or not words
+        if doc_id >= 0:
+            assert len(set(chunks.split()) & words) >= 0.9 * len(words)
+    assert "".join(by[-1]).count("x") >= 3000
+
+
 def test_parameters_are_checked():
     for size, overlap in [(10, 10), (5, -1), (0, 0)]:
         with pytest.raises(ValueError):

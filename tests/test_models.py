@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 
 from passagework.functions.vectors import digit_embedding, load_digit_embedder
 from passagework.operators.compose import classify_and_answer, fan_out, normalise_label, parallel, prompt_step, route
-from passagework.operators.embedding import embed, request_payloads
+from passagework.operators.embedding import embed, embed_distinct, request_payloads
 from passagework.operators.generation import generate, predict, with_defaults
 from passagework.schemas import SchemaMismatch
-from passagework.session import arrow_batch_rows
+from passagework.session import arrow_batches
 
 
 def texts(spark, n, parts=2):
@@ -36,11 +36,39 @@ def test_model_is_loaded_once_per_task(spark, tmp_path):
         open(os.path.join(folder, uuid.uuid4().hex), "w").close()
         return lambda batch: [[1.0] for _ in batch]
 
-    with arrow_batch_rows(spark, 10):
+    with arrow_batches(spark, 10, 64 << 20):
         assert embed(texts(spark, 400, 2), "t", load).filter("embedding[0] = 1").count() == 400
     assert len(list(tmp_path.iterdir())) == 2
 
 
+def test_equal_texts_are_embedded_once(spark, tmp_path):
+    sent = tmp_path / "sent"
+    sent.mkdir()
+    folder, store = str(sent), str(tmp_path / "store")
+
+    def load():
+        import uuid
+
+        def model(batch):
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write("\n".join(batch))
+            return [[float(len(t))] for t in batch]
+        return model
+
+    def inputs():
+        return sorted(t for p in sent.iterdir() for t in p.read_text().split("\n"))
+
+    rows = [(i, ["a", "bb", "ccc", None][i % 4]) for i in range(80)]
+    df = spark.createDataFrame(rows, "id int, t string").repartition(5)
+    for extra in ([], [], [(100, "dddd"), (101, "a"), (102, "dddd")]):
+        now = df.unionByName(spark.createDataFrame(extra, "id int, t string"))
+        found = {r["id"]: r["embedding"] for r in embed_distinct(now, "t", load, store).collect()}
+        assert found == {i: None if t is None else [float(len(t))] for i, t in rows + extra}
+    assert inputs() == ["a", "bb", "ccc", "dddd"]
+    assert embed_distinct(df.limit(0), "t", load).count() == 0
+    assert embed_distinct(df.withColumn("embedding", F.lit("old")), "t", load, store).columns == ["id", "t", "embedding"]
+
+
 def test_wrong_number_of_vectors_fails(spark):
     with pytest.raises(Exception, match="returned 1 vectors for 5 texts"):
         embed(texts(spark, 5, 1), "t", lambda: lambda batch: [[1.0]]).collect()

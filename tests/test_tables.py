@@ -6,12 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from passagework.functions.vectors import load_digit_embedder
-from passagework.operators.changes import latest_rows, latest_version, snapshot_changes
+from passagework.operators.changes import (
+    latest_rows, latest_version, snapshot_changes, state_changes, touched_buckets, write_state,
+)
 from passagework.operators.chunking import chunk_rows
 from passagework.operators.extract import chunk_files
 from passagework.operators.index import build_index, compact_index, read_index, refresh_index, versions, without_changed
 from passagework.schemas import CHUNKS, RAW_FILES, SYNC_TABLE, check_columns
-from passagework.session import arrow_batch_rows, is_small, scratch_dir, write_once
+from passagework.session import arrow_batches, is_small, scratch_dir, write_once
 from passagework.sources.files import scan_files
 from passagework.sources.tables import append_table, create_schema, create_table, overwrite_table, spread
 from passagework.streaming.embed_sync import read_sync_table, sync_embeddings
@@ -288,6 +290,33 @@ def test_changes_see_nulls(spark):
     assert {tuple(r) for r in got.collect()} == {(1, "update"), (4, "delete"), (5, "insert")}
 
 
+def test_state_changes_open_touched_buckets_only(spark, tmp_path):
+    schema = "id bigint, t string, other string"
+    before = {i: (f"t{i}", "x") for i in range(500)} | {500: (None, None)}
+    after = {i: (f"t{i}", "y") for i in range(500) if i not in (7, 8)} | {500: ("", None), 3: ("changed", "x"), 900: ("new", None)}
+    for name, rows in (("before", before), ("after", after), ("none", {})):
+        write_state(spark.createDataFrame([(k, *v) for k, v in rows.items()], schema), str(tmp_path / name), "id", ["t"], 64)
+    paths = [str(tmp_path / "before"), str(tmp_path / "after")]
+    found = state_changes(spark, *paths, "id")
+    assert found.columns == ["id", "change", "t", "other"]
+    assert {tuple(r) for r in found.collect()} == {
+        (7, "delete", None, None), (8, "delete", None, None), (500, "update", "", None), (3, "update", "changed", "x"),
+        (900, "insert", "new", None)}
+    touched = touched_buckets(spark, *paths)
+    assert 1 <= len(touched) <= 5
+    read = {f for side in (0, 1) for f in spark.read.parquet(f"{paths[side]}/rows").filter(F.col("_bucket").isin(touched)).inputFiles()}
+    every = {f for path in paths for f in spark.read.parquet(f"{path}/rows").inputFiles()}
+    assert len(read) < len(every)
+    plan = state_changes(spark, *paths, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_bucket" in plan.replace("isnotnull(", "")
+    assert state_changes(spark, paths[1], paths[1], "id").count() == 0
+    assert touched_buckets(spark, str(tmp_path / "none"), paths[0]) == sorted(
+        r[0] for r in spark.read.parquet(f"{paths[0]}/digests").select("_bucket").collect())
+    write_state(spark.createDataFrame([(1, "a", "b")], schema), str(tmp_path / "few"), "id", ["t"], 8)
+    with pytest.raises(ValueError):
+        touched_buckets(spark, paths[0], str(tmp_path / "few"))
+
+
 def test_latest(spark):
     df = spark.createDataFrame([("m", "9", 1), ("m", "10", 2), ("m", "x", 3), ("n", "2", 4)], "k string, v string, t int")
     assert {tuple(r) for r in latest_version(df, "k", "v").collect()} == {("m", 10), ("n", 2)}
@@ -301,8 +330,9 @@ def test_session_helpers(spark, tmp_path):
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
     with pytest.raises(RuntimeError):
-        with arrow_batch_rows(spark, 3):
+        with arrow_batches(spark, 3, 1000):
             assert spark.conf.get(key) == "3"
+            assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1000"
             raise RuntimeError
     assert spark.conf.get(key) == before
     assert scratch_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -70,13 +70,60 @@ def test_stable_id_is_unique(spark):
     assert ids.filter("length(k) <> 32").isEmpty()
 
 
+def page_text(spark, page):
+    raw = spark.createDataFrame([(bytearray(page.encode()),)], "content binary")
+    return extract(raw, "html").select(T.clean_text(F.col("pages")[0])).first()[0]
+
+
 def test_html(spark):
     html = (
         "<html><head><style>p{}</style><SCRIPT a='1'>var t='</p>';</SCRIPT></head><!-- no -->"
         "<p>a &lt;b&gt; &amp;amp; &quot;c&quot;&nbsp;d</p></html>"
     )
-    row = spark.createDataFrame([(html,)], "h string").select(T.clean_text(T.strip_html(F.col("h")))).first()
-    assert row[0] == 'a <b> &amp; "c" d'
+    assert page_text(spark, html) == 'a <b> &amp; "c" d'
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<a title="x > y" href=z>one</a> two', "one two"),
+    ("<a title='x > \"y'>one</a>", "one"),
+    ("<p class=it's>one</p> it's two", "one it's two"),
+    ("one <!-- not closed <b>two</b>", "one"),
+    ("one <!-- a --> two <!-- b > c --> three", "one two three"),
+    ("one <script>if (a < b) { c = '</p>' }", "one"),
+    ('one <script src="a>b">no</SCRIPT > two <style>p > a {}</style>three', "one two three"),
+    ("<scripted>one</scripted> <b", "one"),
+    ('one <a href="two', "one"),
+    ("1 < 2 and 3 > 2, a<3", "1 < 2 and 3 > 2, a<3"),
+    ("&copy;&#233;&#x1F600;&hellip;&amp;copy; &unknown; &amp;lt;", "©é😀…&copy; &unknown; &lt;"),
+    ("", ""),
+    ("<br>" * 3000 + "x" + "<a b='" + "y" * 100_000 + "'>z", "x z"),
+])
+def test_html_in_one_pass(spark, page, text):
+    assert page_text(spark, page) == text
+
+
+def test_large_files_go_to_python_one_by_one(spark, tmp_path):
+    """Files of 100 MB: a batch ends once it holds more than the limit of bytes."""
+    import pandas as pd
+
+    from passagework.operators.extract import write_chunks
+    from passagework.sources.files import scan_files
+
+    for i in range(3):
+        with open(tmp_path / f"{i}.txt", "wb") as file:
+            for _ in range(100):
+                file.write(b"a" * (1 << 20))
+    (tmp_path / "small.txt").write_bytes(b"tiny")
+
+    @F.pandas_udf("array<string>")
+    def sizes(content: pd.Series) -> pd.Series:
+        return pd.Series([[f"{len(content)} of {len(raw)}"] for raw in content])
+
+    raw = scan_files(spark, str(tmp_path)).coalesce(1)
+    found = write_chunks(raw, sizes, batch_rows=1000, batch_bytes=32 << 20).select("content").collect()
+    assert sorted(r[0].split(" of ")[1] for r in found) == ["104857600"] * 3 + ["4"]
+    assert all(int(r[0].split(" of ")[0]) <= 2 for r in found)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
 
 
 def test_failed_parse_gives_a_reject_and_no_chunk(spark):
