@@ -227,24 +227,59 @@ def collocation_rows(seed=6):
     return rows + [("tick tock " * 3000, "en")] * 3
 
 
-@pytest.mark.parametrize("limits", [{}, {"top": 7}, {"least": 3, "percent": 90}])
+@pytest.mark.parametrize("limits", [{}, {"top": 7}, {"least": 3, "percent": 90}, {"most_codes": 4}, {"most_codes": 0}])
 def test_collocations(spark, limits):
     rows = collocation_rows()
     df = clashing(spark.createDataFrame(rows, "text string, lang string").repartition(5))
     found = collocations.find_collocations(df, **limits)
-    assert sorted(tuple(r) for r in found.collect()) == collocations_by_hand(rows, **limits)
+    assert sorted(tuple(r) for r in found.collect()) == collocations_by_hand(rows, **{k: v for k, v in limits.items() if k != "most_codes"})
     assert collocations.find_collocations(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most_codes", [collocations.MOST_CODES, 3])
+def test_hot_pairs_are_spread(spark, most_codes):
+    """A pair before hundreds of different words, each often enough: it is found to be hot, and the counts stay right."""
+    rows = [(f"hot pair w{i % 300} end.", "en") for i in range(3600)] + [("other words here", "de")] * 12
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    codes = collocations.make_codes(collocations.frequent_words(df, "text", "lang", 10), df)
+    assert len(collocations.hot_pairs(df, codes, "text", "lang")) == 1
+    found = collocations.find_collocations(df, top=400, most_codes=most_codes)
+    assert sorted(tuple(r) for r in found.collect()) == collocations_by_hand(rows, top=400)
+
+
 def test_products_beyond_64_bits(spark):
     n = 10**15
     rows = spark.createDataFrame([(n - 1, n, n + 1)], "a long, l long, r long")
     assert rows.select(collocations._score("l", "r")).first()[0] == 10**6 * (n - 1) ** 2 // (n * (n + 1))
 
 
-def test_windows_are_counted_without_a_window_sort(spark):
-    df = spark.createDataFrame([("a b c", "en")], "text string, lang string")
-    plan = collocations.phrase_counts(df)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and plan.count("Expand") == 1
-    assert sorted(tuple(r) for r in collocations.windows(df).collect()) == [
-        ("en", "a", "b", "c"), ("en", "b", "c", ""), ("en", "c", "", "")]
+def test_windows(spark):
+    """Windows end at pieces and, if all frequent words have a character, before rare words."""
+    df = spark.createDataFrame([("a b c. a b c a", "en"), ("x", "en")], "text string, lang string")
+    words = spark.createDataFrame([("a", 3), ("b", 2)], "word string, f long")
+    a = collocations._character(0)
+    codes = collocations.make_codes(words, df, 5)
+    assert codes.langs == ["en"]
+    for hot in ([], [1 << collocations.BITS | 2]):
+        counted, dealt = collocations.count_windows(df.coalesce(1), codes, hot)
+        assert dealt == ["p", "part"][:1 + bool(hot)]
+        rows = collocations._named(counted, codes).select("lang", "w1", "w2", "w3", "c").collect()
+        assert sorted(tuple(r) for r in rows) == [(0, 0, 0, 0, 3), (0, 1, 0, 0, 1), (0, 1, 2, 0, 2), (0, 2, 0, 0, 2)]
+    codes = collocations.make_codes(words, df, 1)
+    assert codes.langs is None
+    counted, _ = collocations.count_windows(df.coalesce(1), codes, [f"{a}\n b\nen"])
+    assert sorted(tuple(r) for r in counted.select("lang", "w1", "w2", "w3", "c", F.col("part") >= 0).collect()) == sorted([
+        ("en", " c", "", "", 1, False), ("en", " c", a, "", 1, False), ("en", " x", "", "", 1, False), ("en", a, "", "", 1, False),
+        ("en", a, " b", " c", 2, True), ("en", " b", " c", "", 1, False), ("en", " b", " c", a, 1, False)])
+    found = collocations.phrase_counts(df, least=2)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([
+        ("en", 0, None, None, None, 8), ("en", 1, "a", None, None, 3), ("en", 1, "b", None, None, 2), ("en", 1, "c", None, None, 2),
+        ("en", 2, "a", "b", None, 2), ("en", 2, "b", "c", None, 2), ("en", 3, "a", "b", "c", 2)], key=str)
+    plan = collocations.phrase_counts(df, least=2)._jdf.queryExecution().executedPlan().toString()
+    assert "Window [" not in plan and plan.count("Expand [") == 1 and plan.count("Exchange hash") == 3
+
+
+def test_characters():
+    codes = [0, 1, 0xD6FF, 0xD700, 0xD701, collocations.MOST_CODES - 1]
+    assert [collocations._code(collocations._character(c)) for c in codes] == codes
+    assert all(collocations._character(c).encode() for c in codes)
