@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from passagework.llm.words import Texts, pieces
+from passagework.llm.words import Texts, pieces, released
 
 #: Most bytes of a vocabulary file; it is sent to every executor.
 VOCABULARY_BYTES = 16 << 20
@@ -244,4 +244,4 @@ def encode_and_decode(df: DataFrame, path: str, pattern: str, text: str = "text"
     content = df.sparkSession.sparkContext.broadcast(read_ranks(path))
     encoder, schema = _encoding(df.schema, content, pattern, text, offsets)
     decoder, schema = _decoding(schema, content, "ids")
-    return df.mapInArrow(lambda batches: decoder(encoder(batches)), schema)
+    return df.mapInArrow(released(lambda batches: decoder(encoder(batches))), schema)

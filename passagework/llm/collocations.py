@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from passagework.llm.words import LOWER, Texts, Words, find_words, hash_words, pieces
+from passagework.llm.words import LOWER, OTHER, Texts, Words, find_words, hash_words, pieces
 from passagework.session import write_once
 
 LEAST, PERCENT, TOP = 10, 50, 2000
@@ -57,7 +57,6 @@ _BETWEEN = np.zeros(256, dtype=bool)
 _BETWEEN[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _IN_WORD = ~_BETWEEN
 _IN_WORD[[0x20, 0x09]] = False
-_OTHER = np.random.default_rng(1).permutation(256).astype(np.uint8)
 
 
 def _character(code: int) -> str:
@@ -72,7 +71,7 @@ def _code(character: str) -> int:
 
 
 def _hashes(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
-    return hash_words(data, words), hash_words(_OTHER[data], words)
+    return hash_words(data, words), hash_words(OTHER[data], words)
 
 
 def _distinct(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

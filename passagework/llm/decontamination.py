@@ -20,12 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from passagework.llm.words import ALNUM, LOWER, Texts, Words, find_words, hash_runs, hash_words, pieces
+from passagework.llm.words import ALNUM, LOWER, Texts, Words, find_words, hash_runs, hash_words, pieces, released
 
 WINDOW = 10
 BLOCK = 2
 LANE = 512
 BLOCK_BYTES = 32 << 20
+#: Bytes of text that a task gathers before it goes through several blocks.
+ROUND_BYTES = 16 << 20
 
 FOUND = {
     "n_words": T.LongType(), "n_hit": T.LongType(), "items": T.ArrayType(T.StringType()),
@@ -123,12 +125,13 @@ def pattern_blocks(benchmark: DataFrame, id_column: str, column: str, size: int,
 
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    size: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+    size: int = WINDOW, block_bytes: int = BLOCK_BYTES, round_bytes: int = ROUND_BYTES,
 ) -> DataFrame:
     """Per document ``n_words``, ``n_hit`` (words inside any occurrence), ``items`` (ids, as sorted strings) and ``hits``.
 
     ``hits`` lists the maximal runs of hit words. One pass over the texts and no shuffle. The search tables are
-    broadcast in blocks of at most ``block_bytes`` of windows; a task holds the tables of one block at a time.
+    broadcast in blocks of at most ``block_bytes`` of windows; a task holds the tables of one block at a time. With
+    several blocks it gathers ``round_bytes`` of text before it goes through them, as building the tables of a block takes a while.
     """
     spark = docs.sparkSession
     blocks = [spark.sparkContext.broadcast(b) for b in pattern_blocks(benchmark, item_id, item_text, size, block_bytes)]
@@ -137,41 +140,60 @@ def find_contamination(
     names = [f.name for f in kept]
     table = docs.select("*") if text in names else docs
 
+    def finish(part: pa.RecordBatch, words: Words, hit: np.ndarray, items: list[set]) -> pa.RecordBatch:
+        inside = np.cumsum(hit)[:-1] > 0
+        doc_start = np.zeros(len(inside), dtype=bool)
+        doc_start[words.first[:-1][words.first[:-1] < words.first[1:]]] = True
+        begins, stops = inside.copy(), inside.copy()
+        begins[1:] &= ~inside[:-1] | doc_start[1:]
+        stops[:-1] &= ~inside[1:] | doc_start[1:]
+        starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+        total = np.concatenate([[0], np.cumsum(inside)])
+        runs = np.searchsorted(starts, words.first)
+        spans = pa.StructArray.from_arrays(
+            [pa.array(starts - words.first[words.doc[starts]]), pa.array(ends - starts)], ["first_word", "n"])
+        result = {
+            "n_words": pa.array(np.diff(words.first)),
+            "n_hit": pa.array(total[words.first[1:]] - total[words.first[:-1]]),
+            "items": pa.array([sorted(x) for x in items], type=pa.list_(pa.string())),
+            "hits": pa.ListArray.from_arrays(pa.array(runs, type=pa.int32()), spans),
+        }
+        return pa.RecordBatch.from_arrays([part.column(n) for n in names] + list(result.values()), [*names, *result])
+
+    def search(tables: Patterns, data: np.ndarray, words: Words, symbols: np.ndarray, hit: np.ndarray, items: list[set]) -> None:
+        for place, window in zip(*(x.tolist() for x in tables.search(words, symbols))):
+            to = place + tables.length
+            at = zip(words.starts[place:to].tolist(), words.ends[place:to].tolist())
+            if b" ".join(data[a:b].tobytes() for a, b in at) == tables.bytes[window]:
+                hit[place] += 1
+                hit[to] -= 1
+                items[int(words.doc[place])].update(tables.owners[window])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loaded = None
+        loaded: tuple = (None, [])
+
+        def solved(waiting: list[tuple]) -> Iterator[pa.RecordBatch]:
+            """The waiting pieces against one block after the other; tables are built once per block and round."""
+            nonlocal loaded
+            for block in blocks:
+                if loaded[0] is not block:
+                    loaded = (block, [Patterns(*group) for group in block.value])
+                for tables in loaded[1]:
+                    for piece in waiting:
+                        search(tables, *piece[1:])
+            for part, _, words, _, hit, items in waiting:
+                yield finish(part, words, hit, items)
+
+        waiting, size = [], 0
         for batch in batches:
             for part, texts in pieces(batch, text):
                 data, words, symbols = as_words(texts)
-                hit = np.zeros(len(symbols) + 1, dtype=np.int64)
                 items: list[set] = [set() for _ in range(part.num_rows)]
-                for block in blocks:
-                    if loaded is None or loaded[0] is not block:
-                        loaded = (block, [Patterns(*group) for group in block.value])
-                    for tables in loaded[1]:
-                        for place, window in zip(*(x.tolist() for x in tables.search(words, symbols))):
-                            to = place + tables.length
-                            at = zip(words.starts[place:to].tolist(), words.ends[place:to].tolist())
-                            if b" ".join(data[a:b].tobytes() for a, b in at) == tables.bytes[window]:
-                                hit[place] += 1
-                                hit[to] -= 1
-                                items[int(words.doc[place])].update(tables.owners[window])
-                inside = np.cumsum(hit)[:-1] > 0
-                doc_start = np.zeros(len(inside), dtype=bool)
-                doc_start[words.first[:-1][words.first[:-1] < words.first[1:]]] = True
-                begins, stops = inside.copy(), inside.copy()
-                begins[1:] &= ~inside[:-1] | doc_start[1:]
-                stops[:-1] &= ~inside[1:] | doc_start[1:]
-                starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-                total = np.concatenate([[0], np.cumsum(inside)])
-                runs = np.searchsorted(starts, words.first)
-                spans = pa.StructArray.from_arrays(
-                    [pa.array(starts - words.first[words.doc[starts]]), pa.array(ends - starts)], ["first_word", "n"])
-                result = {
-                    "n_words": pa.array(np.diff(words.first)),
-                    "n_hit": pa.array(total[words.first[1:]] - total[words.first[:-1]]),
-                    "items": pa.array([sorted(x) for x in items], type=pa.list_(pa.string())),
-                    "hits": pa.ListArray.from_arrays(pa.array(runs, type=pa.int32()), spans),
-                }
-                yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + list(result.values()), [*names, *result])
-
-    return table.mapInArrow(run, schema)
+                waiting.append((part, data, words, symbols, np.zeros(len(symbols) + 1, dtype=np.int64), items))
+                size += len(data)
+                if len(blocks) < 2 or size >= round_bytes:
+                    yield from solved(waiting)
+                    waiting, size = [], 0
+        yield from solved(waiting)
+
+    return table.mapInArrow(released(run), schema)

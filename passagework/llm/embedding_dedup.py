@@ -37,6 +37,8 @@ OVERLAP, PROBES = 2, 3
 DEGREE, POOL, SLACK = 24, 64, 1.2
 BEAM, STRIDE, LANES = 32, 4, 256
 AUDIT, LEAST_RECALL = 1000, 0.9
+#: Cells of a matrix of vectors against centres that is held at a time.
+CELLS = 4_000_000
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -55,7 +57,8 @@ def fit_centres(sample: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> n
     rng = np.random.default_rng(seed)
     centres = sample[rng.choice(len(sample), min(k, len(sample)), replace=False)]
     for _ in range(rounds):
-        nearest = np.concatenate([(part @ centres.T).argmax(1) for part in np.array_split(sample, len(sample) // 4096 + 1)])
+        height = max(1, CELLS // max(1, len(centres)))
+        nearest = np.concatenate([(sample[at:at + height] @ centres.T).argmax(1) for at in range(0, len(sample), height)])
         sums = np.zeros_like(centres)
         np.add.at(sums, nearest, sample)
         length = np.sqrt((sums * sums).sum(1, keepdims=True))
@@ -246,22 +249,26 @@ def _assigned(nodes: DataFrame, centres: Centres, overlap: int, probes: int, thr
         for batch in batches:
             keys = list(zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist()))
             for key in sorted(set(keys), key=str):
-                at = np.array([i for i, k in enumerate(keys) if k == key])
-                part = batch.take(pa.array(at))
-                if key in of.of:
-                    alike = unit(_matrix(part.column("v"))) @ of.of[key].T
-                    ranks = min(max(overlap, probes), alike.shape[1])
-                    near = np.argsort(-alike, axis=1, kind="stable")[:, :ranks]
-                    asks = reachable(np.take_along_axis(alike, near, 1), near, of.of[key], threshold)
-                    asks &= np.arange(ranks) < probes
-                    near = near + of.base[key]
-                else:  # a group without centres is a shard of its own
-                    ranks = 1
-                    near = np.full((len(at), 1), -1 - (hash_text(key) % (1 << 40)))
-                    asks = np.ones((len(at), 1), dtype=bool)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(near.ravel()), part.column("node").take(pa.array(np.repeat(np.arange(len(at)), ranks))),
-                     pa.array(np.tile(np.arange(ranks), len(at))), pa.array(asks.ravel())], ["shard", "node", "rank", "asks"])
+                every = np.array([i for i, k in enumerate(keys) if k == key])
+                height = max(1, CELLS // len(of.of[key])) if key in of.of else len(every)
+                yield from (placed(of, key, batch.take(pa.array(every[i:i + height]))) for i in range(0, len(every), height))
+
+    def placed(of: Centres, key: tuple, part: pa.RecordBatch) -> pa.RecordBatch:
+        at = np.arange(part.num_rows)
+        if key in of.of:
+            alike = unit(_matrix(part.column("v"))) @ of.of[key].T
+            ranks = min(max(overlap, probes), alike.shape[1])
+            near = np.argsort(-alike, axis=1, kind="stable")[:, :ranks]
+            asks = reachable(np.take_along_axis(alike, near, 1), near, of.of[key], threshold)
+            asks &= np.arange(ranks) < probes
+            near = near + of.base[key]
+        else:  # a group without centres is a shard of its own
+            ranks = 1
+            near = np.full((len(at), 1), -1 - (hash_text(key) % (1 << 40)))
+            asks = np.ones((len(at), 1), dtype=bool)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(near.ravel()), part.column("node").take(pa.array(np.repeat(np.arange(len(at)), ranks))),
+             pa.array(np.tile(np.arange(ranks), len(at))), pa.array(asks.ravel())], ["shard", "node", "rank", "asks"])
 
     return nodes.select("label", "dim", "v", "node").mapInArrow(run, "shard long, node long, rank long, asks boolean")
 
@@ -414,7 +421,10 @@ def link_vectors(
     overlap: int = OVERLAP, probes: int = PROBES, shard: int = SHARD, max_shard: int = MAX_SHARD,
     max_centres: int = MAX_CENTRES, sample: int = SAMPLE, audit: int = AUDIT, least_recall: float = LEAST_RECALL,
 ) -> DataFrame:
-    """One row per row of ``df``: vec_id, ``n_links``, ``component_id`` (least vec_id reachable), ``kept``, ``recall``."""
+    """One row per row of ``df``: vec_id, ``n_links``, ``component_id`` (least vec_id reachable), ``kept``, ``recall``.
+
+    The search widens until the audited recall reaches ``least_recall``, and fails if it does not with all shards searched.
+    """
     rows, nodes = make_nodes(df, vec_id, vector, label)
     nodes = write_once(nodes)
     centres = make_centres(nodes, shard, max_centres, sample)
@@ -422,8 +432,10 @@ def link_vectors(
         found = search_graph(nodes, centres, threshold, overlap, probes, max_shard)
         have, exact = _audit(nodes, found, threshold, audit)
         recall = have / exact if exact else 1.0
-        if recall >= least_recall or probes >= max([len(c) for c in centres.of.values()], default=1):
+        if recall >= least_recall:
             break
+        if probes >= max([len(c) for c in centres.of.values()], default=1):
+            raise RuntimeError(f"all shards were searched, and of {exact} links of the audit only {have} were found")
         probes *= 2
     classes = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))

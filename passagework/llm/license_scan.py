@@ -2,9 +2,11 @@
 
 A paragraph is a line of text, in overlapping stretches of ``STRETCH`` words if it is longer. A multinomial logistic regression over
 hashed n-grams of one to three words tells licence families and an unknown class apart. It is trained on variants of the templates (words
-dropped, changed, cut off at the ends, surrounded by words of the corpus) and on at most ``SAMPLE`` paragraphs of the corpus, chosen by
-hash, as unknown. The least probability of each family is calibrated on variants and paragraphs set aside. A prediction counts when
-the words of the best template of its family are found in the paragraph, or the paragraph's in the template, to a given share.
+dropped, changed, cut off at the ends, between up to a stretch of words of the corpus) and on about ``SAMPLE`` distinct paragraphs of
+the corpus, chosen by hash, as unknown. Every family is weighed against unknown on its own; its least probability is calibrated on
+variants and paragraphs set aside. A prediction counts when the word pairs of a template of its family are found in the paragraph,
+or the paragraph's in the template, to a given share. Of families that match the same words the best match counts, so a
+stretch lists several licences if different words name them.
 
 Cases: a null or empty text has no paragraphs. Repeated rows get a row each, repeated paragraphs count each. A text that
 quotes several licences lists all. Empty tables give empty results, also for training. Other columns are kept, but for
@@ -24,23 +26,24 @@ from pyspark.sql import types as T
 
 from passagework.llm.words import ALNUM, LOWER, Texts, find_words, hash_words, mix, pieces
 
-STRETCH, STEP = 48, 24
+STRETCH, STEP = 24, 12
 BITS = 15
 SAMPLE, VARIANTS = 8000, 60
 CONFIRM = 0.7
-MISTAKES = 0.001
+#: Shares of unknown paragraphs that may reach a family's least probability, at most and at least.
+MISTAKES = (0.1, 0.05)
 
 #: Notices of licence families as published, one or more per family.
 TEMPLATES = {
     "Apache-2.0": [
-        "Licensed under the Apache License, Version 2.0.",
+        "Licensed under the Apache License, Version 2.0.", "the Apache License, Version 2.0", "the Apache 2.0 license",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
         "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on "
         "an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     ],
     "MIT": [
-        "Released under the MIT License.", "This project is licensed under the terms of the MIT license.",
+        "Released under the MIT License.", "the MIT license", "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
         "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
@@ -48,29 +51,35 @@ TEMPLATES = {
         "the Software.",
     ],
     "BSD": [
-        "Licensed under the BSD 3-Clause License.", "Distributed under the BSD license.",
+        "Licensed under the BSD 3-Clause License.", "Distributed under the BSD license.", "the BSD 3-Clause license",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
         "disclaimer.",
     ],
     "GPL": [
-        "This work is licensed under the GNU General Public License, version 3.",
+        "This work is licensed under the GNU General Public License, version 3.", "the GNU General Public License",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
         "later version.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation; either version 2 of the License, or any later version.",
     ],
+    "AGPL": [
+        "Licensed under the GNU Affero General Public License, version 3.", "the GNU Affero General Public License",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version.",
+    ],
     "LGPL": [
-        "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "Licensed under the GNU Lesser General Public License, version 2.1.", "the GNU Lesser General Public License",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
         "Public License as published by the Free Software Foundation",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
-        "Licensed under the Mozilla Public License, version 2.0.",
+        "Licensed under the Mozilla Public License, version 2.0.", "the Mozilla Public License",
     ],
     "CC-BY": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-SA": [
@@ -155,9 +164,14 @@ class LicenseModel:
         """Numbers of the paragraphs that can reach a least probability, by the best family of every n-gram; loses none."""
         over = self.weights[:, :-1] - self.weights[:, -1:]
         bound = _pooled(symbols, first, end, over.max(1, keepdims=True))[:, 0] + (self.bias[:-1] - self.bias[-1]).max()
-        least = np.clip(self.least.min(), 1e-6, 1 - 1e-6)
+        least = np.clip(self.least, 1e-6, 1 - 1e-6).min()
         return np.flatnonzero(bound >= np.log(least / (1 - least)) - 1e-6)
 
+    def against_unknown(self, symbols, first, end) -> np.ndarray:
+        """Of each family the probability if there were only it and unknown."""
+        raw = _pooled(symbols, first, end, self.weights) + self.bias
+        return 1 / (1 + np.exp(np.clip(raw[:, -1:] - raw[:, :-1], -50, 50)))
+
     def probabilities(self, symbols, first, end) -> np.ndarray:
         raw = _pooled(symbols, first, end, self.weights) + self.bias
         raw = np.exp(raw - raw.max(1, keepdims=True))
@@ -170,33 +184,48 @@ def _symbols(text: str) -> np.ndarray:
     return hash_words(data, find_words(Texts(data, np.array([0, len(body)])), ALNUM))
 
 
+def _sample(df: DataFrame, text: str, sample: int) -> list[np.ndarray]:
+    """About ``sample`` distinct lines, chosen by hash; copies of a line are made one before they leave the executors."""
+    split = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    total = df.agg(F.sum(F.size(split))).first()[0] or 1
+    share = min(1_000_000, int(sample * 1_000_000 / total) + 1)
+    lines = df.select(F.explode(split).alias("line")).filter("line <> ''")
+    some = lines.filter(F.pmod(F.xxhash64("line"), F.lit(1_000_000)) < share).distinct().limit(2 * sample)
+    found = [_symbols(line)[:STRETCH] for line in sorted(r["line"] for r in some.collect())]
+    return [c for c in found if len(c)]
+
+
+def _variant(notice: np.ndarray, foreign: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """A notice with words dropped and changed, cut to a stretch if it is longer, or among foreign words."""
+    words = notice[rng.random(len(notice)) > 0.06] if len(notice) > 8 else notice.copy()
+    swap = rng.random(len(words)) < (0.04 if len(words) > 8 else 0)
+    words[swap] = rng.integers(1, 2**63, swap.sum()).astype(np.uint64)
+    if len(words) > STRETCH // 2:
+        size = int(rng.integers(STRETCH // 2, STRETCH + 1))
+        at = int(rng.integers(0, max(1, len(words) - size + 1)))
+        words = words[at:at + size]
+    room = int(rng.integers(0, max(1, STRETCH - len(words) + 1))) if len(foreign) else 0
+    before = int(rng.integers(0, room + 1))
+    return np.concatenate([foreign[:before], words, foreign[before:room]])
+
+
 def fit(df: DataFrame, text: str = "text", sample: int = SAMPLE, variants: int = VARIANTS, seed: int = 11) -> LicenseModel:
-    """Train on variants of the templates and at most ``sample`` paragraphs of the documents, chosen by hash."""
-    lines = df.select(F.explode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line")).filter("line <> ''")
-    share = min(1_000_000, int(4 * sample * 1_000_000 / max(df.count(), 1)) + 1)
-    some = lines.filter(F.pmod(F.xxhash64("line"), F.lit(1_000_000)) < share).orderBy(F.xxhash64("line", F.lit(seed)), "line")
-    corpus = [_symbols(r["line"])[:STRETCH] for r in some.limit(sample).collect()]
-    corpus = [c for c in corpus if len(c)]
+    """Train on variants of the templates and about ``sample`` paragraphs of the documents, chosen by hash."""
+    corpus = _sample(df, text, sample)
     rng = np.random.default_rng(seed)
     rows, labels = [], []
     notices = [(k, _symbols(t)) for k, family in enumerate(FAMILIES) for t in TEMPLATES[family]]
     known = [set(t.tolist()) for _, t in notices]
+    clean = [c for c in corpus if not any(sum(w in t for w in c.tolist()) >= 0.6 * min(len(t), len(c)) for t in known)]
+    none = np.zeros(0, dtype=np.uint64)
     for k, notice in notices:
         for v in range(variants):
-            words = notice.copy()
-            if v:
-                words = words[rng.random(len(words)) > 0.06] if len(words) > 8 else words
-                swap = rng.random(len(words)) < 0.04
-                words[swap] = rng.integers(1, 2**63, swap.sum()).astype(np.uint64)
-                if corpus and v % 2:
-                    extra = corpus[rng.integers(len(corpus))][:int(rng.integers(0, 12))]
-                    words = np.concatenate([extra, words] if v % 4 == 1 else [words, extra])
-            rows.append(words[:STRETCH])
+            some = [clean[i] for i in rng.integers(len(clean), size=6)] if v % 3 and clean else []
+            rows.append(_variant(notice, np.concatenate([*some, none])[:STRETCH], rng) if v else notice[:STRETCH])
             labels.append(k)
-    for words in corpus:
-        if not any(sum(w in t for w in words.tolist()) >= 0.6 * min(len(t), len(words)) for t in known):
-            rows.append(words)
-            labels.append(len(FAMILIES))
+    for words in clean:
+        rows.append(words)
+        labels.append(len(FAMILIES))
     y = np.array(labels)
     flat = np.concatenate(rows)
     end = np.cumsum([len(r) for r in rows])
@@ -221,15 +250,14 @@ def fit(df: DataFrame, text: str = "text", sample: int = SAMPLE, variants: int =
         moment = 0.8 * moment + slope - 0.002 * model.weights[used]
         model.weights[used] += 0.05 * moment
         model.bias += 0.02 * wrong.sum(0) / max(len(rows), 1)
-    p = model.probabilities(flat, first, end)[aside]
+    p = model.against_unknown(flat, first, end)[aside]
     of = y[aside]
     for k in range(len(FAMILIES)):
-        mine = p[:, k].copy()
-        best = p.argmax(1) == k
-        right, wrong = np.sort(mine[best & (of == k)]), mine[best & (of != k)]
-        floor = right[int(0.02 * len(right))] if len(right) else 0.9
-        ceiling = np.quantile(wrong, 1 - MISTAKES) if len(wrong) else 0.0
-        model.least[k] = min(max(0.3, floor * 0.8, min(ceiling, 0.9)), 0.9)
+        right, wrong = np.sort(p[of == k, k]), p[of == len(FAMILIES), k]
+        floor = right[int(0.01 * len(right))] if len(right) else 0.9
+        often, seldom = np.quantile(wrong, [1 - MISTAKES[0], 1 - MISTAKES[1]]) if len(wrong) else (0.0, 0.9)
+        # below the weakest variants, as the templates confirm, as long as few paragraphs of the corpus go on to them
+        model.least[k] = min(max(0.5 * floor, often), seldom, 0.9)
     return model
 
 
@@ -237,16 +265,36 @@ class Templates:
     """Word pairs of the templates, for comparison."""
 
     def __init__(self):
-        self.pairs = [[self._pairs(_symbols(t)) for t in TEMPLATES[f]] for f in FAMILIES]
+        self.pairs = [[set(self._pairs(_symbols(t))) for t in TEMPLATES[f]] for f in FAMILIES]
 
     @staticmethod
-    def _pairs(symbols: np.ndarray) -> set:
-        return set(zip(symbols[:-1].tolist(), symbols[1:].tolist()))
-
-    def likeness(self, family: int, symbols: np.ndarray) -> float:
-        """Largest share of a template's word pairs in the paragraph, or of the paragraph's in a longer template."""
-        mine = self._pairs(symbols)
-        return max((len(mine & t) / max(1, min(len(t), max(len(mine), 4))) for t in self.pairs[family]), default=0.0)
+    def _pairs(symbols: np.ndarray) -> list[tuple]:
+        return list(zip(symbols[:-1].tolist(), symbols[1:].tolist()))
+
+    def matches(self, families: list[int], symbols: np.ndarray, confirm: float) -> list[tuple[int, float]]:
+        """Families that a paragraph names and the likeness of each.
+
+        Likeness is the largest share of a template's word pairs in the paragraph, or of the paragraph's in a longer template.
+        A family counts if most of the words that it matches are not matched better by another one.
+        """
+        pairs = self._pairs(symbols)
+        mine, found = set(pairs), []
+        for family in families:
+            for template in self.pairs[family]:
+                shared = mine & template
+                like = len(shared) / max(1, min(len(template), max(len(mine), 4)))
+                if like >= confirm and shared:
+                    found.append((len(shared), like, family, {i for i, p in enumerate(pairs) if p in shared}))
+        # longer matches first: the notice of one licence may hold most words of a shorter one of another
+        out, taken = {}, set()
+        for _, like, family, places in sorted(found, key=lambda f: (-f[0], -f[1], f[2])):
+            if family in out:
+                out[family] = max(out[family], like)
+                taken |= places
+            elif len(places - taken) > 0.5 * len(places):
+                out[family] = like
+                taken |= places
+        return sorted(out.items())
 
 
 def scan_licenses(df: DataFrame, model: LicenseModel, text: str = "text", confirm: float = CONFIRM) -> DataFrame:
@@ -271,14 +319,13 @@ def scan_licenses(df: DataFrame, model: LicenseModel, text: str = "text", confir
                     size = end[some] - first[some]
                     edge = np.cumsum(size) - size
                     own = symbols[np.repeat(first[some] - edge, size) + np.arange(size.sum())]
-                    p = sent.value.probabilities(own, edge, edge + size)
-                    best = p[:, :-1].argmax(1)
+                    p = sent.value.against_unknown(own, edge, edge + size)
                     begin = np.searchsorted(row, np.arange(part.num_rows))
-                    for j in np.flatnonzero(p[np.arange(len(p)), best] >= sent.value.least[best]).tolist():
+                    passed = p >= sent.value.least
+                    for j in np.flatnonzero(passed.any(axis=1)).tolist():
                         i = int(some[j])
-                        k, a, b = int(best[j]), int(first[i]), int(end[i])
-                        like = templates.likeness(k, symbols[a:b])
-                        if like >= confirm:
+                        a, b = int(first[i]), int(end[i])
+                        for k, like in templates.matches(np.flatnonzero(passed[j]).tolist(), symbols[a:b], confirm):
                             found[row[i]].append({
                                 "family": FAMILIES[k], "first_word": a - int(first[begin[row[i]]]), "n_words": b - a,
                                 "probability": float(p[j, k]), "likeness": like})

@@ -8,8 +8,9 @@ of all shingles chosen by hash, which still suffices (sets with too few shingles
 lists of their own). Lists are kept per range of set sizes.
 
 Candidates are joined to groups along the lists, not in pairs. Each group is then joined exactly: every set scans the
-inverted lists of its whole set within the group, and overlaps decide. A group over ``max_block`` sets is cut by size
-ranges and hash, and each pair of pieces whose sizes allow a link is joined in a task of its own.
+inverted lists of its whole set within the group, and overlaps decide. A group over ``max_block`` sets or ``max_shingles``
+shingles is cut by size ranges and hash, and each pair of pieces whose sizes allow a link is joined in a task of its own, so
+the memory of a task depends on neither the number nor the length of the texts of a group.
 
 Cases: null or blank texts have an empty set and no links. A text with fewer words than ``words`` has one shingle, all
 its words. Repeated rows and other copies link with each other. Rows with a null id get a size, but link with nothing and
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passagework.llm.graph import connected_components
-from passagework.llm.words import LOWER, NOT_BLANK, Texts, find_words, hash_runs, hash_words, mix, pieces
+from passagework.llm.words import LOWER, NOT_BLANK, Texts, find_words, hash_runs, hash_words, mix, pieces, released
 from passagework.session import write_once
 
 WORDS = 5
@@ -38,6 +39,8 @@ PERCENT = 80
 SHARE = 0.3
 MAX_BROADCAST = 500_000
 MAX_BLOCK = 4096
+#: Shingles of the sets that are joined at a time, of 8 bytes and some 40 more while they are; one set may have more.
+MAX_SHINGLES = 2_000_000
 #: Largest size of a set that is thought of as small, and entries in lists that weigh as much as a subset.
 MOST_SMALL, LIST_WEIGHT = 24, 4
 
@@ -165,7 +168,7 @@ def _count_shingles(docs: DataFrame, words: int, share: float, percent: int) ->
                     token, n = np.unique(np.concatenate(spaces), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], ["token", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "token long, n long")
+    counts = docs.select("text").mapInArrow(released(run), "token long, n long")
     return counts.groupBy("token").agg(F.sum("n").alias("n")).filter("n > 1")
 
 
@@ -199,11 +202,11 @@ def _keys_of(docs: DataFrame, sets: DataFrame, x: int, words: int, share: float,
             yield _entered(made)
 
     # only shingles found twice come out of the join, so what is gathered per set is little
-    places = docs.select("text").mapInArrow(spread, "token long, node long").join(counted, "token")
+    places = docs.select("text").mapInArrow(released(spread), "token long, node long").join(counted, "token")
     found = places.groupBy("node").agg(F.collect_set(F.struct("token", "n")).alias("found"))
     found = found.join(sets.select("node", "n", "some"), "node").select("node", "n", "some", "found")
-    subsets = docs.select("text").mapInArrow(small, "key long, node long")
-    return subsets.unionByName(found.mapInArrow(lists, "key long, node long")).distinct()
+    subsets = docs.select("text").mapInArrow(released(small), "key long, node long")
+    return subsets.unionByName(found.mapInArrow(released(lists), "key long, node long")).distinct()
 
 
 def sizes_of(docs: DataFrame, words: int, share: float, percent: int) -> DataFrame:
@@ -218,7 +221,7 @@ def sizes_of(docs: DataFrame, words: int, share: float, percent: int) -> DataFra
                     [part.column("doc_id"), *(pa.array(list(x), type=pa.int64()) for x in numbers)],
                     ["doc_id", "n_shingles", "some", "node"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, some long, node long")
+    return docs.select("doc_id", "text").mapInArrow(released(run), "doc_id long, n_shingles long, some long, node long")
 
 
 def _join_block(nodes: np.ndarray, weights: np.ndarray, sides: np.ndarray, tokens: list[np.ndarray], percent: int):
@@ -228,10 +231,11 @@ def _join_block(nodes: np.ndarray, weights: np.ndarray, sides: np.ndarray, token
     """
     size = np.array([len(t) for t in tokens])
     flat, code = np.unique(np.concatenate(tokens), return_inverse=True)
-    owner = np.repeat(np.arange(len(tokens)), size)
+    code = code.astype(np.int32)
     order = np.argsort(code, kind="stable")
-    first = np.searchsorted(code[order], np.arange(len(flat) + 1))
-    listed = owner[order]
+    first = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(flat)))])
+    listed = np.repeat(np.arange(len(tokens), dtype=np.int32), size)[order]
+    del flat, order
     edge = np.concatenate([[0], np.cumsum(size)])
     root = list(range(len(tokens)))
 
@@ -291,15 +295,15 @@ def _blocks(percent: int):
     return run
 
 
-def _deal(members: DataFrame, percent: int, max_block: int) -> DataFrame:
+def _deal(members: DataFrame, percent: int, max_block: int, max_shingles: int) -> DataFrame:
     """``node``, ``block`` and ``side``: one block per group, or the pairs of pieces of a large group."""
     spread = F.floor(F.log(F.col("n").cast("double")) / math.log(100.01 / percent)).cast("int")
     members = members.withColumn("range", spread)
-    counts = members.groupBy("group", "range").agg(F.count("*").alias("k"))
-    total = counts.groupBy("group").agg(F.sum("k").alias("total"))
-    large = total.filter(F.col("total") > max_block).select("group")
-    pieces_of = counts.join(large, "group").select(
-        "group", "range", F.ceil(F.col("k") / (max_block // 2)).cast("int").alias("pieces"))
+    counts = members.groupBy("group", "range").agg(F.count("*").alias("k"), F.sum("n").alias("shingles"))
+    total = counts.groupBy("group").agg(F.sum("k").alias("total"), F.sum("shingles").alias("shingles"))
+    large = total.filter((F.col("total") > max_block) | (F.col("shingles") > max_shingles)).select("group")
+    cuts = F.greatest(F.ceil(F.col("k") / (max_block // 2)), F.ceil(F.col("shingles") / (max_shingles // 2)))
+    pieces_of = counts.join(large, "group").select("group", "range", F.least(cuts, F.col("k")).cast("int").alias("pieces"))
     one = members.join(large, "group", "left_anti").select(
         "node", "n", "weight", F.concat_ws(":", "group").alias("block"), F.lit(0).alias("side"))
     hot = members.join(pieces_of, ["group", "range"]).withColumn(
@@ -326,7 +330,7 @@ def _deal(members: DataFrame, percent: int, max_block: int) -> DataFrame:
 
 def similar_documents(
     docs: DataFrame, text: str = "text", words: int = WORDS, percent: int = PERCENT, share: float = SHARE,
-    max_broadcast: int = MAX_BROADCAST, max_block: int = MAX_BLOCK,
+    max_broadcast: int = MAX_BROADCAST, max_block: int = MAX_BLOCK, max_shingles: int = MAX_SHINGLES,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, ``n_shingles``, ``n_links`` (other documents linked) and ``component_id``."""
     if not percent / 100 > 0.5 or not 1 - percent / 100 < share <= 1:
@@ -346,7 +350,7 @@ def similar_documents(
     edges = write_once(edges.distinct())
     groups = write_once(connected_components(edges)).withColumnRenamed("component", "group")
     members = write_once(groups.join(sets, "node"))
-    dealt = _deal(members.select("node", "group", "n", "weight"), percent, max_block)
+    dealt = _deal(members.select("node", "group", "n", "weight"), percent, max_block, max_shingles)
     chosen = members.select("doc_id", "node")
     chosen = F.broadcast(chosen) if chosen.count() <= max_broadcast else chosen
     bodies = docs.join(chosen, "doc_id")
@@ -360,11 +364,11 @@ def similar_documents(
                     [part.column("node").take(pa.array(mine, type=pa.int64())),
                      pa.array([found[i].tobytes() for i in mine], type=pa.binary())], ["node", "tokens"])
 
-    whole = bodies.select("node", "text").mapInArrow(tokens, "node long, tokens binary").dropDuplicates(["node"])
+    whole = bodies.select("node", "text").mapInArrow(released(tokens), "node long, tokens binary").dropDuplicates(["node"])
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     ready = dealt.join(whole, "node").repartition(parts, "block").sortWithinPartitions("block")
     solved = write_once(ready.select("block", "node", "weight", "side", "tokens").mapInArrow(
-        _blocks(percent), "node long, root long, links long"))
+        released(_blocks(percent)), "node long, root long, links long"))
     components = connected_components(solved.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = solved.groupBy("node").agg(F.sum("links").alias("links"))
     found = write_once(components.join(links, "node"))

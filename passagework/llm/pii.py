@@ -4,8 +4,10 @@ Rules (``BASE``) find addresses, network addresses, card and phone numbers. High
 spans of looser shapes. Of each candidate, features of its format and of its context are measured, gradient-boosted
 trees score it, and per generator the least score that kept the wanted precision on a part set aside selects it. The
 labels come from proofs that the features do not see: a rule's check inside the candidate or of its normal form (``(at)`` as
-``@``, a national number as an international one), a key word right before a number, or a known prefix or key word of a
-secret. Candidates that touch a rule's span are not added, so the least scores are chosen without them; rules' spans stay.
+``@``, a national number as an international one), a key word right before a number, or a known prefix of a secret or a
+key word and a sign right before it. Where a key word proves, key words and signs to the left are no features of that kind, so
+the trees learn the format and what follows. Candidates that touch a rule's span are not added, so the least scores are
+chosen without them; rules' spans stay. ``added`` reports how many spans of each kind the trees add.
 
 All of it is column expressions over one row; nothing is exploded or shuffled but the bounded training sample of at most
 ``SAMPLE`` candidates, from documents chosen by hash, on which the trees are fitted.
@@ -44,6 +46,7 @@ WIDE = {
 KINDS = [*BASE, *WIDE]
 
 _SECRET = r"^(?:AKIA|ASIA|ghp_|sk-|xox[bp]-)|(?i)(?:password|passwd|secret|token|api[_-]?key)="
+_NAMED = r"(?i)(?<![a-z])(?:password|passwd|pwd|secret|token|api[_ -]?key|access[_ -]?key)[\"']?\s{0,2}[:=]\s{0,2}[\"']?$"
 _CONTEXT = r"(?i)(?:mail|contact|call|phone|tel|fax|card|visa|account|iban|key|token|pass|secret|host|server|ip|addr)"
 _AT = r"\s?(?:@|\(at\)|\[at\])\s?"
 _ADDRESS = (
@@ -163,7 +166,7 @@ def proof(s: Column) -> Column:
         | F.exists(F.regexp_extract_all(body, F.lit(BASE["phone"]), F.lit(0)), lambda m: _passes("phone", m))
         | F.exists(F.regexp_extract_all(body, F.lit(BASE["ip"]), F.lit(0)), lambda m: _passes("ip", m))
         | national | called,
-        "secret": body.rlike(_SECRET),
+        "secret": body.rlike(_SECRET) | s["left"].rlike(_NAMED),
     }
     out = F.lit(False)
     for kind, rule in rules.items():
@@ -172,7 +175,7 @@ def proof(s: Column) -> Column:
 
 
 def features(s: Column) -> dict[str, Column]:
-    """Numbers that describe the format and the context of a candidate; words before a number are kept for its proof."""
+    """Numbers that describe the format and the context of a candidate; what proves a kind from the left is not told for it."""
     body, left, right = s["body"], s["left"], s["right"]
     size = F.length(body)
 
@@ -193,15 +196,17 @@ def features(s: Column) -> dict[str, Column]:
         "distinct": F.size(F.array_distinct(F.split(body, ""))) / size,
         "longest_digits": F.coalesce(F.array_max(F.transform(F.split(body, "[^0-9]+"), F.length)), F.lit(0)).cast("double"),
         "changes": (F.size(F.split(body, "(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])")) - 1).cast("double"),
-        "key_word_before": ((s["kind"] != KINDS.index("number")) & left.rlike(_CONTEXT)).cast("double"),
-        "sign_before": left.rlike(r"[:=]\s?$").cast("double"),
+        "hex": share("[0-9a-fA-F]"),
+        "key_word_before": ((s["kind"] == KINDS.index("address")) & left.rlike(_CONTEXT)).cast("double"),
+        "sign_before": ((s["kind"] != KINDS.index("secret")) & left.rlike(r"[:=]\s?$")).cast("double"),
+        "quote_after": right.rlike("^[\"']").cast("double"),
         "blank_after": (right.rlike(r"^\s") | (right == "")).cast("double"),
     }
 
 
 NAMES = [
     "kind", "length", "digits", "upper", "lower", "dots", "dashes", "blanks", "brackets", "starts_with_plus", "distinct",
-    "longest_digits", "changes", "key_word_before", "sign_before", "blank_after"]
+    "longest_digits", "changes", "hex", "key_word_before", "sign_before", "quote_after", "blank_after"]
 
 
 @dataclass
@@ -328,6 +333,12 @@ def find_pii(df: DataFrame, model: Trees, text: str = "text") -> DataFrame:
     return df.withColumns({"spans": plain(F.concat("base", added)), "base": plain(F.col("base"))}).drop("wide")
 
 
+def added(found: DataFrame) -> DataFrame:
+    """``kind, n``: how many spans of each kind stand beside those of the rules, of a result of ``find_pii``."""
+    extra = found.select(F.explode(F.array_except("spans", "base")).alias("s"))
+    return extra.groupBy(F.array(*[F.lit(k) for k in KINDS])[F.col("s.kind")].alias("kind")).agg(F.count("*").alias("n"))
+
+
 def listed(spans: Column) -> Column:
     """``kind:start:end`` of sorted spans, joined by commas."""
     names = F.array(*[F.lit(k) for k in KINDS])

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from passagework.llm.words import NOT_BLANK, Texts, find_words, hash_words, pieces
+from passagework.llm.words import NOT_BLANK, Texts, find_words, hash_words, pieces, released
 
 FEATURES = 128
 RIDGE = 1e-4
@@ -131,7 +131,7 @@ def _with(df: DataFrame, name: str, kind: T.DataType, text: str, make) -> DataFr
             for part, texts in pieces(batch, text):
                 yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + [make(measure(texts))], [*names, name])
 
-    return df.mapInArrow(run, T.StructType([*kept, T.StructField(name, kind)]))
+    return df.mapInArrow(released(run), T.StructType([*kept, T.StructField(name, kind)]))
 
 
 @dataclass
@@ -234,7 +234,7 @@ def score_stats(df: DataFrame, model: QualityModel) -> DataFrame:
             scores = model.score(_matrix(batch.column("stats"))) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array(scores)], [*names, "score"])
 
-    return df.mapInArrow(run, T.StructType([*kept, T.StructField("score", T.DoubleType())]))
+    return df.mapInArrow(released(run), T.StructType([*kept, T.StructField("score", T.DoubleType())]))
 
 
 def score_documents(df: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:

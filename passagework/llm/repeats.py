@@ -12,7 +12,8 @@ the least hash (the rightmost of equals) is its anchor. Equal windows have equal
    hash, in buckets as many as chunks, so no task holds a whole hot group;
 4. marked windows are gathered per text.
 
-Each step covers all texts; a limit only changes how the work is spread. A text is known by ``doc_id`` and a hash.
+Each step covers all texts; a limit only changes how the work is spread. A text is known by ``doc_id`` and 128 bits of hash of
+the whole text: rows that share both are copies, and what is found for one holds for all of them.
 """
 
 from __future__ import annotations
@@ -23,11 +24,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from passagework.llm.words import Texts, mix, pieces
+from passagework.llm.words import Texts, mix, pieces, released
 from passagework.session import write_once
 
 MAX_BROADCAST = 2_000_000
@@ -49,13 +50,13 @@ class Kind:
     """How texts become units, and how a block of stretches is resolved.
 
     ``units``: texts to (symbols, first unit of each text, function from unit ranges to bytes). ``resolve``: stretches to
-    (marks, hashes), both one value per window: whether it starts twice or more here, and a hash of its units.
+    (marks, function to hashes): whether each window starts twice or more here, and two hashes of its units.
     """
 
     length: int
     gram: int
     units: Callable
-    resolve: Callable[[Stretches], tuple[np.ndarray, np.ndarray]]
+    resolve: Callable[[Stretches], tuple[np.ndarray, Callable]]
 
 
 def gram_hashes(symbols: np.ndarray, gram: int) -> np.ndarray:
@@ -94,6 +95,10 @@ def anchors(symbols: np.ndarray, first: np.ndarray, kind: Kind) -> dict[str, np.
     place = np.uint64((1 << int(bits)) - 1)
     keys = (grams >> bits << bits) | (place - np.arange(len(grams), dtype=np.uint64))
     best = (place - (least_ahead(keys, width) & place)).astype(np.int64)
+    # the high bits mostly tell; where they tie, the whole hash decides, so equal windows agree whatever text they lie in
+    for i in np.flatnonzero(grams[best] != least_ahead(grams, width)).tolist():
+        own = grams[i:i + width]
+        best[i] = i + int(np.flatnonzero(own == own.min())[-1])
     count = np.maximum(0, np.diff(first) - kind.length + 1)
     doc = np.repeat(np.arange(len(count)), count)
     start = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count) + first[doc]
@@ -108,9 +113,15 @@ def anchors(symbols: np.ndarray, first: np.ndarray, kind: Kind) -> dict[str, np.
     }
 
 
+def _text_key(text: str) -> list[Column]:
+    """Two numbers that stand for a text."""
+    whole = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(whole), F.xxhash64(F.lit(1), whole)]
+
+
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
-    return docs.select("doc_id", F.hash(F.coalesce(text, F.lit(""))).alias("th"),
-                       F.coalesce(text, F.lit("")).alias("text"))
+    ta, tb = _text_key(text)
+    return docs.select("doc_id", ta.alias("ta"), tb.alias("tb"), F.coalesce(text, F.lit("")).alias("text"))
 
 
 def count_anchors(docs: DataFrame, kind: Kind) -> DataFrame:
@@ -123,13 +134,13 @@ def count_anchors(docs: DataFrame, kind: Kind) -> DataFrame:
                 f, n = np.unique(anchors(symbols, first, kind)["f"], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(f), pa.array(n)], ["f", "n"])
 
-    return docs.select("text").mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).filter("n > 1")
+    return docs.select("text").mapInArrow(released(run), "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).filter("n > 1")
 
 
 STRETCH = T.StructType([
     T.StructField(n, t) for n, t in (
-        ("doc_id", T.LongType()), ("th", T.IntegerType()), ("s1", T.IntegerType()), ("run", T.IntegerType()),
-        ("anchor", T.IntegerType()), ("f", T.LongType()), ("chunk", T.IntegerType()), ("chunks", T.IntegerType()),
+        ("doc_id", T.LongType()), ("ta", T.LongType()), ("tb", T.LongType()), ("s1", T.IntegerType()),
+        ("run", T.IntegerType()), ("anchor", T.IntegerType()), ("f", T.LongType()), ("chunk", T.IntegerType()), ("chunks", T.IntegerType()),
         ("body", T.BinaryType()))])
 
 
@@ -146,8 +157,8 @@ def _stretches(kind: Kind, wanted: Callable, max_members: int) -> Callable:
                 found = {k: v[keep] for k, v in found.items()}
                 chunks = -(-n[keep] // max_members)
                 doc_id = part.column("doc_id").take(pa.array(found["row"]))
-                th = part.column("th").take(pa.array(found["row"]))
-                salt = mix(th.to_numpy(zero_copy_only=False).astype(np.uint64) + found["s1"].astype(np.uint64) * _C
+                ta, tb = (part.column(c).take(pa.array(found["row"])) for c in ("ta", "tb"))
+                salt = mix(ta.to_numpy(zero_copy_only=False).view(np.uint64) + found["s1"].astype(np.uint64) * _C
                            + doc_id.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64) * np.uint64(3))
                 chunk = (salt % np.maximum(chunks, 1).astype(np.uint64)).astype(np.int32)
                 at = first[found["row"]] + found["s1"]
@@ -156,14 +167,14 @@ def _stretches(kind: Kind, wanted: Callable, max_members: int) -> Callable:
                     bodies = cut(at[to], (at + found["run"] + kind.length - 1)[to])
                     ints = [pa.array(x[to].astype(np.int32)) for x in (found["s1"], found["run"], found["anchor"])]
                     yield pa.RecordBatch.from_arrays(
-                        [doc_id[i:i + 4096], th[i:i + 4096], *ints, pa.array(found["f"][to]), pa.array(chunk[to]),
+                        [doc_id[i:i + 4096], ta[i:i + 4096], tb[i:i + 4096], *ints, pa.array(found["f"][to]), pa.array(chunk[to]),
                          pa.array(chunks[to].astype(np.int32)), pa.array(bodies, type=pa.binary())], STRETCH.names)
 
     return run
 
 
 def repeated_stretches(docs: DataFrame, kind: Kind, max_broadcast: int, max_members: int) -> DataFrame:
-    """The stretches of all anchors found twice or more; ``docs`` has doc_id, th and text."""
+    """The stretches of all anchors found twice or more; ``docs`` has doc_id, ta, tb and text."""
     repeated = write_once(count_anchors(docs, kind))
     if repeated.count() <= max_broadcast:
         table = repeated.toArrow()
@@ -182,7 +193,7 @@ def repeated_stretches(docs: DataFrame, kind: Kind, max_broadcast: int, max_memb
 
             return counts
 
-        return docs.mapInArrow(_stretches(kind, lookup, max_members), STRETCH)
+        return docs.mapInArrow(released(_stretches(kind, lookup, max_members)), STRETCH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,14 +202,15 @@ def repeated_stretches(docs: DataFrame, kind: Kind, max_broadcast: int, max_memb
                 found = anchors(symbols, first, kind)
                 rows = pa.array(found["row"])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(rows), part.column("th").take(rows), pa.array(found["f"])],
-                    ["doc_id", "th", "f"])
+                    [*(part.column(c).take(rows) for c in ("doc_id", "ta", "tb")), pa.array(found["f"])],
+                    ["doc_id", "ta", "tb", "f"])
 
-    places = docs.mapInArrow(run, "doc_id long, th int, f long").distinct().join(repeated, "f")
-    lists = places.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("f", "n"))).alias("found"))
-    lists = lists.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "found")
-    both = docs.join(lists, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select(
-        "doc_id", "th", "text", F.col("found.f").alias("f"), F.col("found.n").alias("n"))
+    places = docs.mapInArrow(released(run), "doc_id long, ta long, tb long, f long").distinct().join(repeated, "f")
+    lists = places.groupBy("doc_id", "ta", "tb").agg(F.sort_array(F.collect_list(F.struct("f", "n"))).alias("found"))
+    lists = lists.select(F.col("doc_id").alias("_id"), F.col("ta").alias("_ta"), F.col("tb").alias("_tb"), "found")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("ta") == F.col("_ta")) & (F.col("tb") == F.col("_tb"))
+    both = docs.join(lists, same).select(
+        "doc_id", "ta", "tb", "text", F.col("found.f").alias("f"), F.col("found.n").alias("n"))
 
     def own(part):
         f, n = (part.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("f", "n"))
@@ -210,12 +222,12 @@ def repeated_stretches(docs: DataFrame, kind: Kind, max_broadcast: int, max_memb
 
         return counts
 
-    return both.mapInArrow(_stretches(kind, own, max_members), STRETCH)
+    return both.mapInArrow(released(_stretches(kind, own, max_members)), STRETCH)
 
 
 FOUND = T.StructType([
     T.StructField(n, t) for n, t in (
-        ("doc_id", T.LongType()), ("th", T.IntegerType()), ("at", T.ArrayType(T.IntegerType())),
+        ("doc_id", T.LongType()), ("ta", T.LongType()), ("tb", T.LongType()), ("at", T.ArrayType(T.IntegerType())),
         ("n", T.ArrayType(T.IntegerType())), ("f", T.LongType()), ("bucket", T.IntegerType()),
         ("left", T.BinaryType()))])
 
@@ -226,37 +238,45 @@ def _runs(starts: np.ndarray) -> tuple[list, list]:
     return starts[new].tolist(), np.diff(np.concatenate([new, [len(starts)]])).tolist()
 
 
-_LEFT = np.dtype([("hash", "<u8"), ("doc_id", "<i8"), ("th", "<i4"), ("start", "<i4"), ("open", "?"), ("no_id", "?")])
+_LEFT = np.dtype([
+    ("hash", "<u8"), ("more", "<u8"), ("doc_id", "<i8"), ("ta", "<i8"), ("tb", "<i8"), ("start", "<i4"), ("open", "?"), ("no_id", "?")])
 
 
 def _resolver(kind: Kind, block_bytes: int) -> Callable:
     """Task over stretches sorted by group: windows that start twice, and what is left over of chunked groups."""
 
     def solve(rows: pa.Table) -> Iterator[tuple]:
-        get = {c: rows.column(c).to_numpy() for c in ("f", "chunks", "s1", "run", "anchor", "th")}
+        get = {c: rows.column(c).to_numpy() for c in ("f", "chunks", "s1", "run", "anchor", "ta", "tb")}
         ids = rows.column("doc_id").combine_chunks()
         no_id, ids = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy(zero_copy_only=False)
         bodies = rows.column("body").to_pylist()
         run = get["run"].astype(np.int64)
-        marks, hashes = kind.resolve(Stretches(get["f"], get["s1"], run, get["anchor"].astype(np.int64), bodies))
+        marks, hashed = kind.resolve(Stretches(get["f"], get["s1"], run, get["anchor"].astype(np.int64), bodies))
         edges = np.concatenate([[0], np.cumsum(run)])
         start = np.arange(edges[-1]) - np.repeat(edges[:-1], run) + np.repeat(get["s1"], run)
         total = np.concatenate([[0], np.cumsum(marks)])
         for i in np.flatnonzero(total[edges[1:]] > total[edges[:-1]]).tolist():
             own = slice(edges[i], edges[i + 1])
-            yield (None if no_id[i] else int(ids[i]), int(get["th"][i]), *_runs(start[own][marks[own]]), None, None, None)
-        for f in np.unique(get["f"][get["chunks"] > 1]).tolist():
+            key = (None if no_id[i] else int(ids[i]), int(get["ta"][i]), int(get["tb"][i]))
+            yield (*key, *_runs(start[own][marks[own]]), None, None, None)
+        chunked = np.unique(get["f"][get["chunks"] > 1]).tolist()
+        hashes = hashed() if chunked else ()
+        for f in chunked:
             mine = np.flatnonzero(get["f"] == f)
             at = np.concatenate([np.arange(edges[i], edges[i + 1]) for i in mine])
             owner = np.repeat(mine, run[mine])
-            one, where = np.unique(hashes[at], return_index=True)  # each distinct window of the chunk once
+            # each distinct window of the chunk once
+            both = np.empty(len(at), dtype=[("hash", "<u8"), ("more", "<u8")])
+            both["hash"], both["more"] = hashes[0][at], hashes[1][at]
+            both, where = np.unique(both, return_index=True)
+            one, who = both["hash"], owner[where]
             left = np.zeros(len(one), dtype=_LEFT)
-            left["hash"], left["doc_id"], left["no_id"] = one, ids[owner[where]], no_id[owner[where]]
-            left["th"], left["start"], left["open"] = get["th"][owner[where]], start[at[where]], ~marks[at[where]]
+            left["hash"], left["more"], left["doc_id"], left["no_id"] = one, both["more"], ids[who], no_id[who]
+            left["ta"], left["tb"], left["start"], left["open"] = get["ta"][who], get["tb"][who], start[at[where]], ~marks[at[where]]
             n = int(get["chunks"][mine[0]])
             bucket = (mix(one) % np.uint64(n)).astype(np.int64)
             for b in np.unique(bucket).tolist():
-                yield (None, None, None, None, f, b, left[bucket == b].tobytes())
+                yield (None, None, None, None, None, f, b, left[bucket == b].tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
@@ -305,14 +325,15 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def solve(rows: list[bytes]) -> Iterator[tuple]:
         left = np.frombuffer(b"".join(rows), dtype=_LEFT)
-        _, which, count = np.unique(left["hash"], return_inverse=True, return_counts=True)
+        _, which, count = np.unique(left[["hash", "more"]], return_inverse=True, return_counts=True)
         again = left[(count[which] > 1) & left["open"]]
-        again = again[np.lexsort((again["start"], again["th"], again["doc_id"], again["no_id"]))]
-        keys = again[["no_id", "doc_id", "th"]]
+        again = again[np.lexsort((again["start"], again["tb"], again["ta"], again["doc_id"], again["no_id"]))]
+        keys = again[["no_id", "doc_id", "ta", "tb"]]
         cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1 if len(again) else []
         for part in np.split(again, cuts) if len(again) else []:
             one = part[0]
-            yield (None if one["no_id"] else int(one["doc_id"]), int(one["th"]), *_runs(part["start"]), None, None, None)
+            key = (None if one["no_id"] else int(one["doc_id"]), int(one["ta"]), int(one["tb"]))
+            yield (*key, *_runs(part["start"]), None, None, None)
 
     def groups() -> Iterator[tuple]:
         key, rows = None, []
@@ -333,15 +354,15 @@ def repeated_windows(
     docs: DataFrame, kind: Kind, text: str = "text", max_broadcast: int = MAX_BROADCAST,
     max_members: int = MAX_MEMBERS, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Per text with any: ``doc_id``, ``th``, and ``at``, ``n``: runs of starts of windows that start anywhere else too."""
+    """Per text with any: ``doc_id``, ``ta``, ``tb``, and ``at``, ``n``: runs of starts of windows that start anywhere else too."""
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     found = repeated_stretches(_keyed(docs, text), kind, max_broadcast, max_members)
     groups = found.repartition(parts, "f", "chunk").sortWithinPartitions("f", "chunk")
-    solved = write_once(groups.mapInArrow(_resolver(kind, block_bytes), FOUND))
+    solved = write_once(groups.mapInArrow(released(_resolver(kind, block_bytes)), FOUND))
     leftover = solved.filter("left IS NOT NULL").select("f", "bucket", "left")
-    met = leftover.repartition(parts, "f", "bucket").sortWithinPartitions("f", "bucket").mapInArrow(_meet, FOUND)
+    met = leftover.repartition(parts, "f", "bucket").sortWithinPartitions("f", "bucket").mapInArrow(released(_meet), FOUND)
     every = solved.filter("left IS NULL").unionByName(met)
-    return every.groupBy("doc_id", "th").agg(
+    return every.groupBy("doc_id", "ta", "tb").agg(
         F.flatten(F.collect_list("at")).alias("at"), F.flatten(F.collect_list("n")).alias("n"))
 
 
@@ -359,8 +380,11 @@ AT, COUNT = "_repeat_at", "_repeat_n"
 
 def with_windows(docs: DataFrame, windows: DataFrame, text: str = "text") -> DataFrame:
     """The documents with the runs of their repeated windows, null where they have none."""
-    docs = docs.withColumn("_repeat_th", F.hash(F.coalesce(text, F.lit(""))))
+    ta, tb = _text_key(text)
+    docs = docs.withColumns({"_repeat_ta": ta, "_repeat_tb": tb})
     windows = windows.select(
-        F.col("doc_id").alias("_repeat_id"), F.col("th").alias("_repeat_own"), F.col("at").alias(AT), F.col("n").alias(COUNT))
-    same = F.col("doc_id").eqNullSafe(F.col("_repeat_id")) & (F.col("_repeat_th") == F.col("_repeat_own"))
-    return docs.join(windows, same, "left").drop("_repeat_id", "_repeat_own", "_repeat_th")
+        F.col("doc_id").alias("_repeat_id"), F.col("ta").alias("_own_ta"), F.col("tb").alias("_own_tb"), F.col("at").alias(AT),
+        F.col("n").alias(COUNT))
+    same = F.col("doc_id").eqNullSafe(F.col("_repeat_id"))
+    same = same & (F.col("_repeat_ta") == F.col("_own_ta")) & (F.col("_repeat_tb") == F.col("_own_tb"))
+    return docs.join(windows, same, "left").drop("_repeat_id", "_own_ta", "_own_tb", "_repeat_ta", "_repeat_tb")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from passagework.llm.repeats import AT, COUNT, Kind, Stretches, covered, gram_hashes, repeated_windows, with_windows
-from passagework.llm.words import NOT_BLANK, Texts, Words, find_words, hash_words, pieces
+from passagework.llm.words import NOT_BLANK, OTHER, Texts, Words, find_words, hash_words, pieces, released
 
 LENGTH = 35
 SEED_WORDS = 6
@@ -65,7 +65,7 @@ def _classes(old: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def resolve(length: int, seed_words: int, blocks: Stretches) -> tuple[np.ndarray, np.ndarray]:
-    """Marks and hashes of all windows of the stretches, see ``Kind``."""
+    """Marks and, on demand, hashes of all windows of the stretches, see ``Kind``."""
     run, anchor = blocks.run, blocks.anchor
     edges = np.concatenate([[0], np.cumsum(run)])
     split = pc.split_pattern(pa.array(blocks.bodies, type=pa.binary()).cast(pa.large_binary()), b" ")
@@ -94,14 +94,16 @@ def resolve(length: int, seed_words: int, blocks: Stretches) -> tuple[np.ndarray
         on = (a >= 0) & (b >= 0)
         both = _classes(np.where(on, a, -1), b)
         marks[edges[mine] + anchor[mine] - back] = both >= 0
-    names = np.zeros(0, dtype=np.uint64)
-    if (np.bincount(seeds) > 0).any():
+
+    def hashed() -> tuple[np.ndarray, np.ndarray]:
         letters = words.dictionary.cast(pa.large_binary())
         offsets = np.frombuffer(letters.buffers()[1], dtype=np.int64)[letters.offset:letters.offset + len(letters) + 1]
         data = np.frombuffer(letters.buffers()[2], dtype=np.uint8)
-        names = hash_words(data, Words(offsets[:-1], offsets[1:], offsets, offsets))[codes]
-    start = np.repeat(base[:-1], run) + np.arange(edges[-1]) - np.repeat(edges[:-1], run)
-    return marks, gram_hashes(names, length)[start]
+        spans = Words(offsets[:-1], offsets[1:], offsets, offsets)
+        start = np.repeat(base[:-1], run) + np.arange(edges[-1]) - np.repeat(edges[:-1], run)
+        return tuple(gram_hashes(hash_words(d, spans)[codes], length)[start] for d in (data, OTHER[data]))
+
+    return marks, hashed
 
 
 def kind(length: int = LENGTH, seed_words: int = SEED_WORDS) -> Kind:
@@ -139,4 +141,4 @@ def remove_repeated_words(
                 columns = [pa.array([r[k] for r in rows], type=t) for k, t in enumerate(types)]
                 yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + columns, [*names, *new])
 
-    return both.mapInArrow(run, T.StructType(kept + [T.StructField(n, t) for n, t in new.items()]))
+    return both.mapInArrow(released(run), T.StructType(kept + [T.StructField(n, t) for n, t in new.items()]))

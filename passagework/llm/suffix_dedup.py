@@ -3,8 +3,11 @@
 Stretches around repeated anchors meet in groups (see ``repeats``). A block of groups is written as a string of symbols,
 one per ``STEP`` bytes counted from the anchor. Its suffixes are sorted by linear grouping: groups of suffixes with
 one Lyndon prefix are processed from the highest to the lowest with previous-smaller pointers, then each group's order
-is emitted from the order of what follows its Lyndon prefix, with no recursion and no renaming (after Baier). Windows
-whose symbols are shared by neighbours in the suffix order are then compared over all their bytes.
+is emitted from the order of what follows its Lyndon prefix, with no recursion and no renaming (after Baier). Neighbours in
+the order that share the whole symbols of a window make a class. Its members are extended to the left and to the right, a byte
+at a time, less than a symbol each way, and leave when no other member agrees: a window starts twice when two members
+share the class of the bytes to the left and that of the bytes to the right. Only bytes decide; hashes merely name symbols, and
+the bytes behind a name are compared.
 
 Cases: a null text is empty and has nothing to remove, as has every text shorter than ``length``. Rows with one text,
 also under one or no id, are copies of each other, so all their strings of that length go. Matches may overlap in one
@@ -13,7 +16,7 @@ text. Empty tables give empty results. Columns of the input are kept, but for th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from passagework.llm.repeats import AT, COUNT, Kind, Stretches, covered, gram_hashes, repeated_windows, with_windows
-from passagework.llm.words import Texts, mix, pieces
+from passagework.llm.words import OTHER, Texts, mix, pieces, released
 
 LENGTH = 400
 STEP = 64
@@ -103,8 +106,31 @@ def byte_units(texts: Texts):
     return _SYMBOL[data], texts.offsets, cut
 
 
-def resolve(length: int, blocks: Stretches) -> tuple[np.ndarray, np.ndarray]:
-    """Marks and hashes of all windows of the stretches, see ``Kind``."""
+def _named(data: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """A number from 2 on for every symbol of ``STEP`` bytes, the same for equal bytes."""
+    if not len(where):
+        return np.zeros(0, dtype=np.int64)
+    names = gram_hashes(_SYMBOL[data], STEP)[where]
+    _, first, names = np.unique(names, return_index=True, return_inverse=True)
+    bodies = data[where[:, None] + np.arange(STEP)]
+    if (bodies[first][names] != bodies).any():  # other bytes under one hash
+        names = np.unique(bodies, axis=0, return_inverse=True)[1].ravel()
+    return names + 2
+
+
+def _split(old: np.ndarray, byte: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Split classes by a byte. Members whose weights do not add up to two get -1, as do those that had it or have no byte."""
+    out = np.full(len(old), -1, dtype=np.int32)
+    on = np.flatnonzero((old >= 0) & (byte >= 0))
+    if len(on):
+        _, which = np.unique(old[on].astype(np.int64) * 257 + byte[on], return_inverse=True)
+        total = np.bincount(which, weights=weight[on])
+        out[on] = np.where(total[which] > 1, which, -1)
+    return out
+
+
+def resolve(length: int, blocks: Stretches) -> tuple[np.ndarray, Callable]:
+    """Marks and, on demand, hashes of all windows of the stretches, see ``Kind``."""
     run = blocks.run
     edges = np.concatenate([[0], np.cumsum(run)])
     distinct: dict[tuple, int] = {}
@@ -115,7 +141,6 @@ def resolve(length: int, blocks: Stretches) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(blocks.bodies[i]) for i in first])
     base = np.concatenate([[0], np.cumsum(sizes)])
     data = np.frombuffer(b"".join(blocks.bodies[i] for i in first), dtype=np.uint8)
-    hashed = _SYMBOL[data]
     # symbols of STEP bytes, in step with the anchor
     need = (length - STEP + 1) // STEP
     phase = blocks.anchor[first] % STEP
@@ -123,14 +148,14 @@ def resolve(length: int, blocks: Stretches) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(first)), count)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
     where = base[owner] + phase[owner] + nth * STEP
-    names = np.unique(gram_hashes(hashed, STEP)[where], return_inverse=True)[1] + 2 if len(where) else np.zeros(0, int)
+    names = _named(data, where)
     line = np.ones(len(names) + len(first) + 1, dtype=np.int64)  # 1 between stretches, 0 at the end
     line[np.arange(len(names)) + owner] = names
     line[-1] = 0
     order = np.array(suffix_order(line.tolist()))
-    rank_owner = np.full(len(line), -1)
-    rank_owner[np.arange(len(names)) + owner] = np.arange(len(names))
-    block = rank_owner[order]
+    number = np.full(len(line), -1)
+    number[np.arange(len(names)) + owner] = np.arange(len(names))
+    block = number[order]
     block = block[block >= 0]
     block = block[nth[block] + need <= count[owner[block]]]  # suffixes with enough symbols, in order
     new = np.ones(len(block), dtype=bool)
@@ -138,26 +163,45 @@ def resolve(length: int, blocks: Stretches) -> tuple[np.ndarray, np.ndarray]:
         new[1:] = False
         for j in range(need):
             new[1:] |= names[block[1:] + j] != names[block[:-1] + j]
-    number = np.cumsum(new) - 1
-    shared = np.bincount(number, weights=copies[owner[block]], minlength=1)[number] > 1 if len(block) else new
-    # windows whose first symbol has a shared suffix, compared over all bytes
+    weight = copies[owner[block]]
+    classes = np.cumsum(new) - 1
+    again = np.bincount(classes, weights=weight, minlength=1)[classes] > 1 if len(block) else new
+    block, classes, weight = block[again], classes[again], weight[again]
+    # bytes to both sides of the shared symbols
+    begin, low, high = where[block], base[owner[block]], base[owner[block] + 1]
+    end, rest = begin + need * STEP, length - need * STEP
+
+    def byte(at: np.ndarray, on: np.ndarray) -> np.ndarray:
+        fits = on & (at >= low) & (at < high)
+        return np.where(fits, data[np.where(fits, at, 0)] if len(data) else 0, -1).astype(np.int64)
+
+    right = [classes]
+    for j in range(rest):
+        right.append(_split(right[-1], byte(end + j, right[-1] >= 0), weight))
     windows = run[first]
     at = np.concatenate([[0], np.cumsum(windows)])
-    of_window = np.repeat(np.arange(len(first)), windows)
-    offset = np.arange(at[-1]) - at[of_window]
-    step_in = -(-(offset - phase[of_window]) // STEP)
-    known = np.zeros(len(owner) + 1, dtype=bool)
-    known[block[shared]] = True
-    block_base = np.cumsum(count) - count
-    candidate = known[np.minimum(block_base[of_window] + step_in, len(owner))] if len(owner) else np.zeros(at[-1], bool)
-    hashes = gram_hashes(hashed, length)[base[of_window] + offset]
     marks = np.zeros(at[-1], dtype=bool)
-    some = np.flatnonzero(candidate)
-    _, which = np.unique(hashes[some], return_inverse=True)
-    times = np.bincount(which, weights=copies[of_window[some]], minlength=1)
-    marks[some] = times[which] > 1 if len(some) else False
-    back = np.arange(edges[-1]) - np.repeat(edges[:-1], run) + np.repeat(at[of], run)
-    return marks[back], hashes[back]
+    left = classes
+    for back in range(min(STEP, rest + 1)):
+        if back:
+            left = _split(left, byte(begin - back, left >= 0), weight)
+        if not (left >= 0).any():
+            break
+        other = right[rest - back]
+        some = np.flatnonzero((left >= 0) & (other >= 0))
+        _, which = np.unique(left[some].astype(np.int64) * (len(block) + 1) + other[some], return_inverse=True)
+        some = some[np.bincount(which, weights=weight[some])[which] > 1]
+        start = begin[some] - back - low[some]
+        inside = (start >= 0) & (start < windows[owner[block[some]]])
+        marks[at[owner[block[some]]][inside] + start[inside]] = True
+
+    def hashed() -> tuple[np.ndarray, np.ndarray]:
+        of_window = np.repeat(np.arange(len(first)), windows)
+        place = base[of_window] + np.arange(at[-1]) - at[of_window]
+        return tuple(gram_hashes(_SYMBOL[d], length)[place][back_to] for d in (data, OTHER[data]))
+
+    back_to = np.arange(edges[-1]) - np.repeat(edges[:-1], run) + np.repeat(at[of], run)
+    return marks[back_to], hashed
 
 
 def kind(length: int = LENGTH) -> Kind:
@@ -195,4 +239,4 @@ def remove_repeated_bytes(
                 columns = [pa.array([r[k] for r in rows], type=t) for k, t in enumerate(types)]
                 yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + columns, [*names, *new])
 
-    return both.mapInArrow(run, T.StructType(kept + [T.StructField(n, t) for n, t in new.items()]))
+    return both.mapInArrow(released(run), T.StructType(kept + [T.StructField(n, t) for n, t in new.items()]))

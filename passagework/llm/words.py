@@ -6,6 +6,7 @@ a batch; one text is never cut, its memory is a small multiple of its own length
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -30,6 +31,10 @@ ALNUM = np.zeros(256, dtype=bool)
 ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
 
+#: Another name for every byte: hashes of so renamed texts are a second opinion on equal hashes.
+OTHER = np.random.default_rng(1).permutation(256).astype(np.uint8)
+
+
 class Texts(NamedTuple):
     data: np.ndarray  # bytes of all texts, one after the other
     offsets: np.ndarray  # where each begins, and the end of the last
@@ -55,6 +60,26 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Itera
         at = to
 
 
+def released(task):
+    """The task, which gives the memory it used back to the system at its end.
+
+    Workers live on between tasks and stages. What their allocators keep for later adds up on an executor whose next
+    stage needs it for something else.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library, which has no such call
+                pass
+
+    return run
+
+
 def find_words(texts: Texts, kind: np.ndarray) -> Words:
     """Maximal runs of the bytes that ``kind`` marks, within each text."""
     data, offsets = texts
