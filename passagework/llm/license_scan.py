@@ -31,7 +31,7 @@ BITS = 15
 SAMPLE, VARIANTS = 8000, 60
 CONFIRM = 0.7
 #: Shares of unknown paragraphs that may reach a family's least probability, at most and at least.
-MISTAKES = (0.1, 0.05)
+MISTAKES = (0.2, 0.1)
 
 #: Notices of licence families as published, one or more per family.
 TEMPLATES = {
