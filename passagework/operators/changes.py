@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def latest_version(df: DataFrame, key: str, version_col: str) -> DataFrame:
@@ -60,17 +61,13 @@ def write_state(df: DataFrame, path: str, key: str, columns: list[str], n_bucket
         raise ValueError("columns _bucket and _hash are added")
     rows = df.withColumns({"_bucket": F.pmod(F.xxhash64(key), F.lit(n_buckets)).cast("int"), "_hash": content_hash(*columns)})
     rows.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/rows")
-    written = _bucketed(df.sparkSession, path)
+    written = df.sparkSession.read.schema(rows.schema).parquet(f"{path}/rows")
     row = F.xxhash64(key, "_hash")
     again = F.xxhash64(F.lit(1), F.col(key), "_hash").cast("decimal(38,0)")
     digests = written.groupBy("_bucket").agg(F.count("*").alias("n"), F.bit_xor(row).alias("x"), F.sum(again).alias("s"))
     digests.select("*", F.lit(n_buckets).alias("n_buckets")).coalesce(1).write.mode("overwrite").parquet(f"{path}/digests")
 
 
-def _bucketed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/rows")
-
-
 def touched_buckets(spark: SparkSession, before: str, after: str) -> list[int]:
     """Buckets whose digests differ between two states, of which each has one row; a state without rows has none."""
     sides = [spark.read.parquet(f"{path}/digests") for path in (before, after)]
@@ -81,15 +78,23 @@ def touched_buckets(spark: SparkSession, before: str, after: str) -> list[int]:
     return sorted(r[0] for r in only.select("_bucket").distinct().collect())
 
 
+def _schema(spark: SparkSession, *paths: str) -> T.StructType:
+    """The schema of the first state that has rows."""
+    for path in paths:
+        if not spark.read.parquet(f"{path}/digests").isEmpty():
+            return spark.read.parquet(f"{path}/rows").schema
+    raise ValueError("two states without rows have no columns to compare")
+
+
 def state_changes(spark: SparkSession, before: str, after: str, key: str) -> DataFrame:
     """``key, change`` and the columns of the later state between two written states, NULL where a row is gone.
 
     Only buckets with different digests are opened; of the earlier state only keys and hashes are read there.
     """
     touched = touched_buckets(spark, before, after)
-    old, new = (_bucketed(spark, path).filter(F.col("_bucket").isin(touched)) for path in (before, after))
-    if "_bucket" not in old.columns or "_bucket" not in new.columns:
-        raise ValueError("a state without rows has no columns to compare")
+    schema = _schema(spark, before, after)
+    old, new = (
+        spark.read.schema(schema).parquet(f"{path}/rows").filter(F.col("_bucket").isin(touched)) for path in (before, after))
     found = hash_changes(
         *[side.select(key, F.col("_hash").alias("content_hash")) for side in (old, new)], key)
     return found.join(new.drop("_bucket", "_hash"), key, "left")

@@ -245,7 +245,7 @@ class CentreTree:
     with all of them the nearest centres are exact.
     """
 
-    def __init__(self, centres: np.ndarray, n_tops: int | None = None, beam: int = 3, rounds: int = 0):
+    def __init__(self, centres: np.ndarray, n_tops: int | None = None, beam: int = 8, rounds: int = 0):
         self.centres = np.asarray(centres, dtype=np.float64)
         scorer, n = CosineScorer(), len(self.centres)
         n_tops = min(n, n_tops or max(1, int(np.sqrt(n))))
