@@ -9,7 +9,7 @@
 
 All stages but the last return the columns of their input, in order, and only ``doc_id`` and ``text`` are read by the operators:
 other columns travel in one struct and cannot clash with theirs. Null and empty texts pass every stage that their score
-lets pass; empty tables give empty results.
+lets pass; empty tables give empty results. The stages set the session's Arrow batches to 4 MB.
 """
 
 from __future__ import annotations
@@ -24,6 +24,14 @@ from passagework.session import scratch_dir, write_once
 
 LEAST_QUALITY = 0.3
 BROADCAST_IDS = 500_000
+#: Bytes of rows after which a batch goes to Python. Spark's own bound, 64 MB, is held several times by an executor.
+BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in small batches from here on; the setting stays, as a stage's result is evaluated after its return."""
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -41,6 +49,7 @@ def _unpacked(df: DataFrame, docs: DataFrame, text=None) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     stats = write_once(quality.document_stats(docs.select("doc_id", "text")).drop("text"))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     model = quality.fit(quality.labelled(stats, labels))
@@ -49,6 +58,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     found = ngram_join.similar_documents(docs.select("doc_id", "text"))
     kept = write_once(found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows")))
     kept = F.broadcast(kept) if kept.count() <= BROADCAST_IDS else kept
@@ -58,6 +68,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     found = decontamination.find_contamination(_packed(docs), benchmark)
     return _unpacked(found.filter("n_hit = 0"), docs)
@@ -74,6 +85,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
+    _small_batches(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     decoded = bpe.encode_and_decode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
     return decoded.select(
