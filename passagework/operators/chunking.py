@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,9 @@ CHUNK_SIZE = 500
 CHUNK_OVERLAP = 10
 CONTEXT_TOKENS = 4096
 
+# Characters of the texts that an encoder gets at once.
+CALL_CHARS = 500_000
+
 
 def _check(size: int, overlap: int) -> None:
     if not size > overlap >= 0:
@@ -176,15 +180,16 @@ def tokenizer_splitter(
 
 
 def encoder_splitter(
-    load_encoder: Callable[[], Encoder], size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP
+    load_encoder: Callable[[], Encoder], size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, call_chars: int = CALL_CHARS
 ) -> Callable[[Column], Column]:
     """Splitter over a real tokenizer that encodes every text once; pass it as ``splitter`` to ``chunk_rows``.
 
     ``load_encoder`` runs once per Python task and returns a function from texts to the places of their tokens, one list of
-    (start, end) in characters per text, ordered by start. It is called with many texts at a time. The rules are those of ``chunk_text``;
+    (start, end) in characters per text, ordered by start. It is called with many texts at a time, of at most ``call_chars`` characters
+    unless one text alone has more, so that the places of few texts are held at once. The rules are those of ``chunk_text``;
     a word of more than the limit is cut between tokens. The end of each chunk is found by binary search in the places.
 
-    A chunk alone may count differently from its stretch of the text, by the tokens at its edges. All chunks of a batch are
+    A chunk alone may count differently from its stretch of the text, by the tokens at its edges. All chunks of a call are
     therefore encoded once more, together; a text with a chunk that counts more than ``size`` is split anew with room for the
     difference. So calls grow with the text, and no chunk exceeds ``size`` unless a single character does.
     """
@@ -193,11 +198,14 @@ def encoder_splitter(
     @F.pandas_udf("array<string>")
     def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = load_encoder()
-        for found in batches:
+
+        def some(found: pd.Series) -> list[list[str] | None]:
             out: list[list[str] | None] = [None] * len(found)
             texts = {i: " ".join(s) for i, s in enumerate(found) if s is not None}
             rooms = dict.fromkeys(texts, 0)
-            starts = {i: [a for a, _ in places] for i, places in zip(texts, encode(list(texts.values())) if texts else [])}
+            starts = {
+                i: array("q", [a for a, _ in places])
+                for i, places in zip(texts, encode(list(texts.values())) if texts else [])}
             while rooms:
                 for i, room in rooms.items():
                     out[i] = _token_chunks(texts[i], found.iat[i], starts[i], max(size - room, overlap + 1), overlap)
@@ -207,12 +215,31 @@ def encoder_splitter(
                     if len(places) > size and len(chunk) > 1:
                         excess[i] = max(excess.get(i, 0), len(places) - size)
                 rooms = {i: 2 * rooms[i] + more for i, more in excess.items() if size - rooms[i] > overlap + 1}
+            return out
+
+        for found in batches:
+            lengths = [0 if s is None else sum(map(len, s)) for s in found]
+            out: list[list[str] | None] = []
+            for start, stop in _runs(lengths, call_chars):
+                out += some(found.iloc[start:stop])
             yield pd.Series(out, dtype=object)
 
     return lambda text: split(text_sentences(text))
 
 
-def _token_chunks(text: str, parts: list[str], starts: list[int], size: int, overlap: int) -> list[str]:
+def _runs(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Stretches of neighbours whose lengths add up to at most ``most``; a greater one stands alone."""
+    start = total = 0
+    for at, length in enumerate(lengths):
+        if at > start and total + length > most:
+            yield start, at
+            start, total = at, 0
+        total += length
+    if lengths:
+        yield start, len(lengths)
+
+
+def _token_chunks(text: str, parts: list[str], starts: Sequence[int], size: int, overlap: int) -> list[str]:
     """Chunks of a text of ``parts``, joined by blanks, whose tokens start at ``starts``."""
     limit = size - overlap
 

@@ -140,6 +140,28 @@ def test_encoder_is_called_in_proportion_to_the_text(spark, tmp_path):
     assert "".join(by[-1]).count("x") >= 3000
 
 
+def test_encoder_gets_a_bounded_part_of_a_batch(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def load():
+        import uuid
+
+        encode = load_word_encoder()
+
+        def noted(texts):
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(sum(map(len, texts))))
+            return encode(texts)
+        return noted
+
+    rows = spark.range(0, 300, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("w "), "id", F.lit(". ")), 700).alias("text"))
+    got = chunk_rows(rows, "text", "doc_id", encoder_splitter(load))
+    want = chunk_rows(rows, "text", "doc_id")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    sizes = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert sum(sizes) > 1_500_000 and max(sizes) < 700_000
+
+
 def test_parameters_are_checked():
     for size, overlap in [(10, 10), (5, -1), (0, 0)]:
         with pytest.raises(ValueError):
