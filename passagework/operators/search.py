@@ -56,6 +56,22 @@ class CosineScorer:
             raise ValueError(f"index vectors have {x.shape[1]} dimensions, query vectors {q.shape[1]}")
         return x[row_at] @ q[query_at].T
 
+    def rough(self, rows: Any, row_at: np.ndarray, queries: Any, query_at: np.ndarray) -> tuple[np.ndarray, float]:
+        """Scores in single precision, and how far they may be off: vectors have length one, so n products add up to
+        n + 2 roundings at most. Twice that is allowed."""
+        x, q = rows[0][row_at].astype(np.float32), queries[0][query_at].astype(np.float32)
+        if len(x) and len(q) and x.shape[1] != q.shape[1]:
+            raise ValueError(f"index vectors have {x.shape[1]} dimensions, query vectors {q.shape[1]}")
+        scores = x @ q.T if len(x) and len(q) else np.empty((len(x), len(q)), dtype=np.float32)
+        return scores, (x.shape[1] + 4) * 2.0 ** -23
+
+    def pairs(self, rows: Any, row: np.ndarray, queries: Any, query: np.ndarray) -> np.ndarray:
+        """Scores of pairs in double precision, a bounded number at a time."""
+        step = max(1, MATRIX_CELLS // max(1, rows[0].shape[1]))
+        return np.concatenate([np.zeros(0), *[
+            np.einsum("ij,ij->i", rows[0][row[at:at + step]], queries[0][query[at:at + step]])
+            for at in range(0, len(row), step)]])
+
 
 class SharedTokenScorer:
     """Number of distinct tokens that two texts share. Features are cleaned lower-case texts."""

@@ -269,3 +269,64 @@ def test_empty_keyword_index(spark, tmp_path):
     build_keyword_index(none, str(tmp_path / "keywords"))
     asked = spark.createDataFrame([(1, "a")], "query_id bigint, query_text string")
     assert indexed_search(spark, str(tmp_path / "keywords"), asked, 3).count() == 0
+
+
+def test_queries_beyond_a_block_do_not_pass_through_the_driver(spark, vectors, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    index, queries = frames(spark, vectors)
+    monkeypatch.setattr(DataFrame, "toArrow", lambda self: pytest.fail("queries on the driver"))
+    got = similarity_search(index, queries, 3, match=("label", "allowed"), block_bytes=1500)
+    assert as_set(got) == brute(*vectors, 3, lambda i, q: i == q)
+
+
+def test_cells_of_small_parts(spark, vectors):
+    from passagework.operators import ranking
+
+    index, queries = frames(spark, vectors)
+    rows = index.select("id", F.col("embedding").alias("feature"), F.col("label").cast("long").alias("match"))
+    asked = queries.select("query_id", F.col("embedding").alias("feature"), F.col("allowed").alias("match"))
+    got, _ = ranking.best_matches(rows, asked, 3, CosineScorer(), F.size("feature") * 8, 500, 4000)
+    assert as_set(got) == brute(*vectors, 3, lambda i, q: i == q)
+    got, _ = ranking.best_matches(rows.drop("match"), asked.drop("match"), 3, CosineScorer(), F.size("feature") * 8, 500, 4000)
+    assert as_set(got) == brute([v[:2] for v in vectors[0]], [q[:2] for q in vectors[1]], 3)
+
+
+def test_index_rows_are_prepared_in_bounded_slices(monkeypatch):
+    import pyarrow as pa
+
+    from passagework.operators import ranking
+    from passagework.operators.search import SharedTokenScorer
+
+    class Noted(SharedTokenScorer):
+        most = 0
+
+        def rows(self, features):
+            self.most = max(self.most, len(features))
+            return super().rows(features)
+
+    monkeypatch.setattr(ranking, "SLICE_BYTES", 2000, raising=False)
+    scorer = Noted()
+    block = ranking._Block(pa.table({"query_id": [1], "feature": ["a b c"]}), scorer, 2)
+    texts = ["a x " * 10, "b a c", "q"] * 100
+    block.add(pa.RecordBatch.from_pydict({"id": list(range(300)), "feature": texts}))
+    assert scorer.most <= 110
+    assert block.best.table(block.ids).to_pydict() == {"query_id": [1, 1], "id": [1, 4], "score": [3.0, 3.0]}
+
+
+def test_rough_scores_lose_no_close_hit():
+    import pyarrow as pa
+
+    from passagework.operators import ranking
+
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=40)
+    rows = base + rng.normal(size=(3000, 40)) * 3e-4
+    queries = base + rng.normal(size=(7, 40)) * 3e-4
+    arrays = [pa.array(x.tolist(), pa.list_(pa.float64())) for x in (rows, queries)]
+    block = ranking._Block(pa.table({"query_id": list(range(7)), "feature": arrays[1]}), CosineScorer(), 5)
+    assert block.scorer.rough(block.scorer.rows(arrays[0]), np.arange(9), block.features, np.arange(7))[0].dtype == np.float32
+    block.add(pa.RecordBatch.from_pydict({"id": list(range(3000)), "feature": arrays[0]}))
+    got = {(q, i, s) for q, i, s in zip(*block.best.table(block.ids).to_pydict().values())}
+    want = brute([(i, r) for i, r in enumerate(rows)], [(i, q) for i, q in enumerate(queries)], 5)
+    assert got == {(q, i, s) for q, _, i, s in want}
