@@ -283,6 +283,29 @@ def test_older_contents_that_arrive_late_are_left_out(spark, tmp_path):
         sync_embeddings(rows, str(tmp_path / "sync"), str(tmp_path / "cp4"), load, order_col="edition")
 
 
+def test_a_call_keeps_the_state_of_many_keys():
+    import pandas as pd
+
+    from passagework.streaming import embed_sync
+
+    class State:
+        exists = False
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    def run(*rows):
+        frames = [pd.DataFrame([r], columns=["id", "url", "content", "content_hash", "order"]) for r in rows]
+        return {tuple(r[:3]) for f in embed_sync._changed((3,), iter(frames), state) for r in f.values.tolist()}
+
+    state = State()
+    assert run(("a", "u", "1", "h1", 1), ("b", "v", None, "h0", 5), ("a", "u", "2", "h2", 1)) == {("a", "u", "2"), ("b", "v", None)}
+    # the same content under a newer order, an older one, a new key
+    assert run(("a", "u", "2", "h2", 7), ("b", "v", "old", "h3", 4), ("c", "w", "x", "h4", 0)) == {("c", "w", "x")}
+    assert run(("a", "u", "3", "h5", 6)) == set()
+    assert run(("a", "u", "3", "h5", 7)) == {("a", "u", "3")}
+
+
 def test_changes_see_nulls(spark):
     before = spark.createDataFrame([(1, None), (2, ""), (3, None), (4, "x")], "id int, t string")
     after = spark.createDataFrame([(1, ""), (2, ""), (3, None), (5, "x")], "id int, t string")
